@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import bpe, decontam, linededup, quality, secrets, warc
-from trackloom.llm.common import new_path
+from trackloom.llm import bpe, decontam, langid, linededup, minhash, pii, quality, secrets, toxicity, warc
+from trackloom.llm.common import held_out, new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,4 +65,29 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op5_decontamination, op7_bpe, op8_line_dedup, op9_quality)}
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return masked.select("row.doc_id", F.col("masked_text").alias("text"), *[f"n_{k}" for k in pii.KINDS], "spans")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = langid.fit(docs)
+    return langid.identify(docs.select("doc_id", "text"), filters).select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_in_class")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_warc, op2_secrets, op3_toxicity, op4_pii, op5_decontamination, op6_language, op7_bpe, op8_line_dedup, op9_quality, op10_near_duplicates)
+}
