@@ -15,8 +15,8 @@ from trackloom.llm.common import cut, limit_batches, map_texts, packed, stored,
 from trackloom.llm.decontam import small
 
 SHINGLE = 5
-#: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-6.
-BANDS, ROWS = 24, 4
+#: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.
+BANDS, ROWS = 20, 4
 THRESHOLD = 0.8
 #: Words whose hashes a worker remembers; a full memory is emptied.
 MAX_WORDS = 400_000
@@ -71,17 +71,14 @@ def signature(elements: np.ndarray, weights: np.ndarray, registers: int = BANDS
     while len(elements):
         many = max(1, -(-2 * registers // len(elements)))
         nth = np.arange(step + 1, step + many + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        bits = mix(elements[:, None] + nth[None, :])
-        gaps = -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weights[:, None]
-        times = at[:, None] + np.cumsum(gaps, 1)
-        places = (mix(bits) % np.uint64(registers)).astype(np.int64)
-        order = np.argsort(times, axis=None)[::-1]
-        flat = places.ravel()[order]
-        first, who = np.full(registers, np.inf), np.zeros(registers, np.uint64)
-        first[flat] = times.ravel()[order]
-        who[flat] = np.repeat(elements, many)[order]
-        sooner = first < best
-        best[sooner], held[sooner] = first[sooner], who[sooner]
+        bits = mix(elements[:, None] + nth)
+        gaps = np.log(((bits >> np.uint64(32)) + 0.5) * 2.0**-32)  # the high half is the time, the low half the register
+        gaps /= weights[:, None]
+        times = at[:, None] - (np.cumsum(gaps, 1) if many > 1 else gaps)
+        places = (((bits & np.uint64(0xFFFFFFFF)) * np.uint64(registers)) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(best, places.ravel(), times.ravel())
+        row, col = np.nonzero(times == best[places])
+        held[places[row, col]] = elements[row]
         at = times[:, -1]
         go_on = at < best.max()
         elements, weights, at = elements[go_on], weights[go_on], at[go_on]
@@ -212,31 +209,36 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = rows.join(chosen, "text_key").groupBy("key").agg(F.first("body").alias("body"))
     sets = stored(_sets(texts), "shingles")
 
-    def pairs(low: str, high: str, of: DataFrame) -> DataFrame:
-        star = of.select(F.explode(F.array(low, high)).alias("a"), F.col("key").alias("b")).where("a != b")
-        return star.select(F.when(F.col("a") < F.col("b"), F.col("a")).otherwise(F.col("b")).alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def pairs(centres: list[str], of: DataFrame) -> DataFrame:
+        star = of.select(F.explode(F.array(*centres)).alias("a"), F.col("key").alias("b")).where("a != b")
+        return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    tried = cut(pairs("low", "high", members))
-    links = cut(_verified(tried, sets, threshold))
+    tried = cut(pairs(["low", "high"], members))
+    roots = cut(components(cut(_verified(tried, sets, threshold))))
     turn = 0
     while True:
-        roots = cut(components(links))
         placed = members.select("band", "key").join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("low"), F.max_by("key", F.xxhash64("key", F.lit(turn))).alias("high"), F.count("*").alias("n"))
+        drawn = [f("key", F.xxhash64("key", F.lit(2 * turn + i))).alias(f"p{2 * i + j}") for i in range(2) for j, f in enumerate((F.min_by, F.max_by))]
+        mixed = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n"), *drawn)
         open_ = placed.join(mixed.where("r != s and n > 3"), "band")  # of three members all pairs have been tried
-        fresh = cut(pairs("low", "high", open_).join(tried, ["a", "b"], "left_anti"))
-        more = cut(_verified(_across(fresh, roots), sets, threshold))
+        fresh = cut(_across(pairs([f"p{i}" for i in range(4)], open_).join(tried, ["a", "b"], "left_anti"), roots))
+        more = cut(_verified(fresh.select("a", "b"), sets, threshold))
         if more.isEmpty():
             break
-        tried, links, turn = cut(tried.unionByName(fresh)), cut(links.unionByName(more)), turn + 1
+        joined = components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+        moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
+        known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
+        roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
+        tried, turn = cut(tried.unionByName(fresh.select("a", "b"))), turn + 1
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose keys are not of one class yet."""
+    """(a, b, a_root, b_root): the pairs whose keys are not of one class yet, and their classes."""
     of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
     both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    both = both.select("a", "b", F.coalesce("a_root", "a").alias("a_root"), F.coalesce("b_root", "b").alias("b_root"))
+    return both.where("a_root != b_root")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
