@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import cut, limit_batches, map_texts, packed, stored, text_key
@@ -18,6 +18,8 @@ SHINGLE = 5
 #: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.
 BANDS, ROWS = 20, 4
 THRESHOLD = 0.8
+#: Members of a bucket that all others are compared with, in the first round and in each later one.
+FIRST, LATER = 4, 32
 #: Words whose hashes a worker remembers; a full memory is emptied.
 MAX_WORDS = 400_000
 
@@ -166,7 +168,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(key, root): root is the least key of the component that the edges (a, b) put a key in.
 
     Large and small stars in turn: each key hands its larger, then its smaller neighbours its least one,
-    until the edges stay as they are. Least neighbours are found with sums inside the map tasks, so a hub
+    until only stars are left. Least neighbours are found with sums inside the map tasks, so a hub
     is no single task's work. A table in the shared folder cuts the lineage after each turn.
     """
 
@@ -178,14 +180,14 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def done(e: DataFrame) -> bool:
+        """Whether each key has one root, which is no key's child."""
+        own = e.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
+        return own.join(own.select(F.col("a").alias("up")), F.col("b") == F.col("up"), "left").where("n > 1 or up is not null").isEmpty()
 
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
-    before, after = None, state(now)
-    while before != after and after[0]:
+    while not done(now):
         now = cut(stars(now))
-        before, after = after, state(now)
     roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("key"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
 
@@ -194,41 +196,49 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(text_key, class) for every text of rows (text_key, body) that has words; class is a key, equal for near-duplicates.
 
     Texts with the same words are one from the start. The others meet in buckets, one for each band. All
-    members of a bucket are compared with its least and greatest key, and what passes is linked. Buckets
-    whose members are still of several classes are compared with other members, drawn anew in each round,
-    until a round adds no link. So a bucket of n texts costs a multiple of n comparisons, a class of
+    members of a bucket are compared with FIRST of them, and what passes is linked. Buckets whose members
+    are still of several classes are compared with LATER others, drawn anew in each round, until a round
+    adds no link; that is all pairs, unless a bucket is larger. So a bucket of n texts costs a multiple of n comparisons, a class of
     thousands of copies as well, and texts that chain through others join their class.
     """
     signed = stored(_signed(rows), "signatures").where("key is not null")
     keys = cut(signed.groupBy("key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
     filed = keys.select("key", F.explode("bands").alias("band"))
-    shared = filed.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high")
+    number = F.xxhash64("key")
+    shared = filed.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high")).where("low != high").select("band")
     members = stored(filed.join(shared, "band"), "buckets")
-    wanted = small(members.select("key").distinct())
-    chosen = small(keys.select("key", "text_key").join(wanted, "key", "left_semi"))
+    chosen = small(keys.select("key", "text_key").join(members.select("key").distinct(), "key", "left_semi"))
     texts = rows.join(chosen, "text_key").groupBy("key").agg(F.first("body").alias("body"))
     sets = stored(_sets(texts), "shingles")
 
-    def pairs(centres: list[str], of: DataFrame) -> DataFrame:
-        star = of.select(F.explode(F.array(*centres)).alias("a"), F.col("key").alias("b")).where("a != b")
+    def pairs(of: DataFrame, turn: int, many: int) -> DataFrame:
+        """Each member of a bucket with up to `many` others, the same for all; all pairs of buckets that are no larger.
+
+        The order is one for all buckets, so a class has much the same centres in each of its buckets, and
+        every map task passes on only that many rows of a bucket.
+        """
+        nth = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("key", F.lit(turn)), "key"))
+        centres = of.select("band", "key", nth.alias("nth")).where(F.col("nth") <= many).select("band", F.col("key").alias("a"))
+        star = of.select("band", F.col("key").alias("b")).join(centres, "band").where("a != b")
         return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    tried = cut(pairs(["low", "high"], members))
-    roots = cut(components(cut(_verified(tried, sets, threshold))))
-    turn = 0
+    tried = cut(pairs(members, 0, FIRST))
+    roots = cut(components(_verified(tried, sets, threshold)))
+    turn = 1
     while True:
-        placed = members.select("band", "key").join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-        drawn = [f("key", F.xxhash64("key", F.lit(2 * turn + i))).alias(f"p{2 * i + j}") for i in range(2) for j, f in enumerate((F.min_by, F.max_by))]
-        mixed = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n"), *drawn)
-        open_ = placed.join(mixed.where("r != s and n > 3"), "band")  # of three members all pairs have been tried
-        fresh = cut(_across(pairs([f"p{i}" for i in range(4)], open_).join(tried, ["a", "b"], "left_anti"), roots))
+        placed = members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
+        mixed = placed.groupBy("band").agg(F.count("*").alias("n"), F.min(F.xxhash64("root")).alias("r"), F.max(F.xxhash64("root")).alias("s"))
+        mixed = mixed.where(F.col("n") > (FIRST if turn == 1 else LATER)).where("r != s").select("band")
+        fresh = cut(_across(pairs(placed.join(mixed, "band"), turn, LATER).join(tried, ["a", "b"], "left_anti"), roots))
         more = cut(_verified(fresh.select("a", "b"), sets, threshold))
         if more.isEmpty():
             break
-        joined = components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+        joined = cut(components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))))
         moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
         known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
         roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
+        if members.groupBy("band").count().where(F.col("count") > LATER).isEmpty():
+            break  # all pairs of every bucket have been looked at
         tried, turn = cut(tried.unionByName(fresh.select("a", "b"))), turn + 1
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
 
