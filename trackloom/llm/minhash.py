@@ -18,8 +18,8 @@ SHINGLE = 5
 #: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.
 BANDS, ROWS = 20, 4
 THRESHOLD = 0.8
-#: Members of a bucket that all others are compared with, in the first round and in each later one.
-FIRST, LATER = 4, 32
+#: Members of a bucket that all others are compared with: in the first round, in each later one, and in any round of a bucket of more than LATER.
+FIRST, LATER, LARGE = 4, 32, 2
 #: Words whose hashes a worker remembers; a full memory is emptied.
 MAX_WORDS = 400_000
 
@@ -205,7 +205,7 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keys = cut(signed.groupBy("key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
     filed = keys.select("key", F.explode("bands").alias("band"))
     number = F.xxhash64("key")
-    shared = filed.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high")).where("low != high").select("band")
+    shared = filed.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high"), F.count("*").alias("n")).where("low != high").select("band", "n")
     members = stored(filed.join(shared, "band"), "buckets")
     chosen = small(keys.select("key", "text_key").join(members.select("key").distinct(), "key", "left_semi"))
     texts = rows.join(chosen, "text_key").groupBy("key").agg(F.first("body").alias("body"))
@@ -218,7 +218,8 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         every map task passes on only that many rows of a bucket.
         """
         nth = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("key", F.lit(turn)), "key"))
-        centres = of.select("band", "key", nth.alias("nth")).where(F.col("nth") <= many).select("band", F.col("key").alias("a"))
+        centres = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= many)
+        centres = centres.where((F.col("n") <= LATER) | (F.col("nth") <= LARGE)).select("band", F.col("key").alias("a"))
         star = of.select("band", F.col("key").alias("b")).join(centres, "band").where("a != b")
         return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -226,8 +227,8 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = cut(components(_verified(tried, sets, threshold)))
     turn = 1
     while True:
-        placed = members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-        mixed = placed.groupBy("band").agg(F.count("*").alias("n"), F.min(F.xxhash64("root")).alias("r"), F.max(F.xxhash64("root")).alias("s"))
+        placed = members.join(roots, "key", "left").select("band", "n", "key", F.coalesce("root", "key").alias("root"))
+        mixed = placed.groupBy("band", "n").agg(F.min(F.xxhash64("root")).alias("r"), F.max(F.xxhash64("root")).alias("s"))
         mixed = mixed.where(F.col("n") > (FIRST if turn == 1 else LATER)).where("r != s").select("band")
         fresh = cut(_across(pairs(placed.join(mixed, "band"), turn, LATER).join(tried, ["a", "b"], "left_anti"), roots))
         more = cut(_verified(fresh.select("a", "b"), sets, threshold))
@@ -237,7 +238,7 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
         known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
         roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
-        if members.groupBy("band").count().where(F.col("count") > LATER).isEmpty():
+        if members.where(F.col("n") > LATER).isEmpty():
             break  # all pairs of every bucket have been looked at
         tried, turn = cut(tried.unionByName(fresh.select("a", "b"))), turn + 1
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
