@@ -85,8 +85,8 @@ FACTS = (None, "the lid is open", "the box is closed", "the lid was open and is
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A caption for each event: (video_id, segment_id, observation_id, status, raw_action, object_1, object_2, facts, confidence, seg_start, seg_end, start_sec, end_sec)."""
     ev, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
-    n = part.agg(F.count("*").alias("n_part"))
-    keyed = ev.select("event_id", "user_id", "event_type", "value").join(F.broadcast(n)).withColumn("p_partkey", F.col("event_id") % F.col("n_part"))
+    n = max(1, part.count())
+    keyed = ev.select("event_id", "user_id", "event_type", "value").withColumn("p_partkey", F.col("event_id") % n)
     both = keyed.join(part.select("p_partkey", "p_name"), "p_partkey")
     pick = lambda options, k: F.element_at(F.array(*map(F.lit, options)), (F.col("event_id") % k + 1).cast("int"))
     start = F.floor(F.col("event_id") / 4) * 8.0
