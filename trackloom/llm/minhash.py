@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import cut, limit_batches, map_texts, packed, stored, text_key
@@ -198,8 +198,8 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Texts with the same words are one from the start. The others meet in buckets, one for each band. All
     members of a bucket are compared with FIRST of them, and what passes is linked. Buckets whose members
     are still of several classes are compared with LATER others, which is all pairs unless a bucket is
-    larger. Larger ones (LARGE centres a round) go on with members that nothing is linked to yet, by turns the
-    most central and some drawn at random, until neither adds a link. So a bucket of n texts costs a multiple of n comparisons, a class of
+    larger. Larger ones go on with members that nothing is linked to yet, LARGE that are most central and LARGE
+    drawn at random, until a round adds no link. So a bucket of n texts costs a multiple of n comparisons, a class of
     thousands of copies as well, and texts that chain through others join their class.
     """
     signed = stored(_signed(rows), "signatures").where("key is not null")
@@ -220,30 +220,37 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         every map task passes on only that many rows of a bucket. A text in many large buckets comes first:
         it lies amid its group, so that more of the group is near to it than to others.
         """
-        order = [F.xxhash64("key", F.lit(turn)), "key"] if turn and turn % 2 == 0 else [F.desc("weight"), F.xxhash64("key"), "key"]
-        nth = F.row_number().over(Window.partitionBy("band").orderBy(*([F.desc("single")] if turn else []), *order))
-        centres = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= many)
-        centres = centres.where((F.col("n") <= LATER) | (F.col("nth") <= LARGE)).select("band", F.col("key").alias("a"))
+        drawn = F.xxhash64("key", F.lit(turn))
+
+        def first(*order: Column) -> DataFrame:
+            nth = F.row_number().over(Window.partitionBy("band").orderBy(*([F.desc("single")] if turn else []), *order, "key"))
+            top = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= many)
+            return top.where((F.col("n") <= LATER) | (F.col("nth") <= LARGE)).select("band", F.col("key").alias("a"))
+
+        centres = first(F.desc("weight"), drawn)
+        if turn > 1:
+            centres = centres.unionByName(first(drawn)).distinct()
         star = of.select("band", F.col("key").alias("b")).join(centres, "band").where("a != b")
         return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     tried = cut(pairs(members, 0, FIRST))
     roots = cut(components(_verified(tried, sets, threshold)))
-    turn, idle = 1, 0
+    large = not members.where(F.col("n") > LATER).isEmpty()
+    turn = 1
     while True:
         placed = members.join(roots, "key", "left").select("band", "n", "key", "weight", F.col("root").isNull().alias("single"), F.coalesce("root", "key").alias("root"))
         mixed = placed.groupBy("band", "n").agg(F.min(F.xxhash64("root")).alias("r"), F.max(F.xxhash64("root")).alias("s"))
         mixed = mixed.where(F.col("n") > (FIRST if turn == 1 else LATER)).where("r != s").select("band")
         fresh = cut(_across(pairs(placed.join(mixed, "band"), turn, LATER).join(tried, ["a", "b"], "left_anti"), roots))
         more = cut(_verified(fresh.select("a", "b"), sets, threshold))
-        idle = idle + 1 if more.isEmpty() else 0
-        if not idle:
-            joined = cut(components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))))
-            moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
-            known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
-            roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
-        if idle == 2 or members.where(F.col("n") > LATER).isEmpty():
-            break  # neither central nor random members add a link, or all pairs of every bucket have been looked at
+        if more.isEmpty():
+            break
+        joined = cut(components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))))
+        moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
+        known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
+        roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
+        if not large:
+            break  # all pairs of every bucket have been looked at
         tried, turn = cut(tried.unionByName(fresh.select("a", "b"))), turn + 1
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
 
