@@ -200,6 +200,35 @@ def test_near_duplicates_by_brute_force(spark):
     assert sorted(kept) == sorted({find(i) for i, _ in rows})
 
 
+def test_large_buckets_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 25)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 999)}"
+        if i % 5 == 0:
+            words += words[: rng.randint(5, 60)]
+        rows.append((i, " ".join(words)))
+    sets = []
+    for _, t in rows:
+        elements, counts = minhash.shingles(minhash.word_list(t))
+        sets.append(((elements >> 32).astype("uint32"), counts.astype("uint32")))
+    assert all((s[0][1:] != s[0][:-1]).all() for s in sets)
+    packed = [(s.tobytes(), c.tobytes() if (c > 1).any() else b"") for s, c in sets]
+    root = list(range(150))
+    for a in range(150):
+        for b in range(a + 1, 150):
+            if root[a] != root[b] and minhash.similarity(packed[a][0], packed[b][0], packed[a][1], packed[b][1]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < 150
+    got = {r.id: r.class_id for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_short_items_and_long_spans(spark):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"w{i}" for i in range(12))), (3, None), (None, "zz yy")], "item_id long, text string")
     rows = [(1, "x ONE, two; three y one two"), (2, " ".join(f"w{i}" for i in range(1, 11))), (3, " ".join(f"w{i}" for i in range(9))), (4, "zz yy"), (5, None)]

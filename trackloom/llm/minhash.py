@@ -18,8 +18,10 @@ SHINGLE = 5
 #: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.
 BANDS, ROWS = 20, 4
 THRESHOLD = 0.8
-#: Members of a bucket that all others are compared with: in the first round, in each later one, and in any round of a bucket of more than LATER.
+#: Members of a bucket that all others are compared with first; FIRST, or LARGE in buckets of more than LATER members.
 FIRST, LATER, LARGE = 4, 32, 2
+#: A bucket of more than LATER members is compared in blocks of about so many members and bytes of shingles, so many distinct shingles at a time.
+BLOCK, BLOCK_BYTES, COLUMNS = 1000, 16 << 20, 2048
 #: Words whose hashes a worker remembers; a full memory is emptied.
 MAX_WORDS = 400_000
 
@@ -196,11 +198,9 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(text_key, class) for every text of rows (text_key, body) that has words; class is a key, equal for near-duplicates.
 
     Texts with the same words are one from the start. The others meet in buckets, one for each band. All
-    members of a bucket are compared with FIRST of them, and what passes is linked. Buckets whose members
-    are still of several classes are compared with LATER others, which is all pairs unless a bucket is
-    larger. Larger ones go on with members that nothing is linked to yet, LARGE that are most central and LARGE
-    drawn at random, until a round adds no link. So a bucket of n texts costs a multiple of n comparisons, a class of
-    thousands of copies as well, and texts that chain through others join their class.
+    members of a bucket are compared with a few of them, and what passes is linked. Buckets of up to LATER
+    members that are still of several classes get all their pairs, larger ones all pairs of different
+    classes, block against block. So every pair of texts that shares a bucket is linked, or in one class, if it is similar.
     """
     signed = stored(_signed(rows), "signatures").where("key is not null")
     keys = cut(signed.groupBy("key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
@@ -213,48 +213,144 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = rows.join(chosen, "text_key").groupBy("key").agg(F.first("body").alias("body"))
     sets = stored(_sets(texts), "shingles")
 
-    def pairs(of: DataFrame, turn: int, many: int) -> DataFrame:
+    def pairs(of: DataFrame, many: int) -> DataFrame:
         """Each member of a bucket with up to `many` others, the same for all; all pairs of buckets that are no larger.
 
         The order is one for all buckets, so a class has much the same centres in each of its buckets, and
         every map task passes on only that many rows of a bucket. A text in many large buckets comes first:
         it lies amid its group, so that more of the group is near to it than to others.
         """
-        drawn = F.xxhash64("key", F.lit(turn))
-
-        def first(*order: Column) -> DataFrame:
-            nth = F.row_number().over(Window.partitionBy("band").orderBy(*([F.desc("single")] if turn else []), *order, "key"))
-            top = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= many)
-            return top.where((F.col("n") <= LATER) | (F.col("nth") <= LARGE)).select("band", F.col("key").alias("a"))
-
-        centres = first(F.desc("weight"), drawn)
-        if turn > 1:
-            centres = centres.unionByName(first(drawn)).distinct()
-        star = of.select("band", F.col("key").alias("b")).join(centres, "band").where("a != b")
+        nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("weight"), "key"))
+        centres = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= F.when(F.col("n") <= LATER, many).otherwise(min(many, LARGE)))
+        star = of.select("band", F.col("key").alias("b")).join(centres.select("band", F.col("key").alias("a")), "band").where("a != b")
         return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    tried = cut(pairs(members, 0, FIRST))
-    roots = cut(components(_verified(tried, sets, threshold)))
-    large = not members.where(F.col("n") > LATER).isEmpty()
-    turn = 1
-    while True:
-        placed = members.join(roots, "key", "left").select("band", "n", "key", "weight", F.col("root").isNull().alias("single"), F.coalesce("root", "key").alias("root"))
-        mixed = placed.groupBy("band", "n").agg(F.min(F.xxhash64("root")).alias("r"), F.max(F.xxhash64("root")).alias("s"))
-        mixed = mixed.where(F.col("n") > (FIRST if turn == 1 else LATER)).where("r != s").select("band")
-        fresh = cut(_across(pairs(placed.join(mixed, "band"), turn, LATER).join(tried, ["a", "b"], "left_anti"), roots))
-        more = cut(_verified(fresh.select("a", "b"), sets, threshold))
-        if more.isEmpty():
-            break
-        joined = cut(components(fresh.join(more, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))))
+    def mixed(roots: DataFrame, above: int) -> DataFrame:
+        """The members, with their classes, of buckets of more than `above` members that are of several classes."""
+        placed = members.where(F.col("n") > above).join(roots, "key", "left").select("band", "n", "key", "weight", F.coalesce("root", "key").alias("root"))
+        number = F.xxhash64("root")
+        several = placed.groupBy("band").agg(F.min(number).alias("r"), F.max(number).alias("s")).where("r != s").select("band")
+        return placed.join(several, "band", "left_semi")
+
+    def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+        """roots after the classes that links (a, b) name have become one."""
+        joined = cut(components(links))
         moved = joined.select(F.col("key").alias("root"), F.col("root").alias("new"))
         known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
-        roots = cut(known.unionByName(joined.join(roots, "key", "left_anti")))
-        if not large:
-            break  # all pairs of every bucket have been looked at
-        tried, turn = cut(tried.unionByName(fresh.select("a", "b"))), turn + 1
+        return cut(known.unionByName(joined.join(roots, "key", "left_anti")))
+
+    tried = cut(pairs(members, FIRST))
+    roots = cut(components(_verified(tried, sets, threshold)))
+    later = pairs(mixed(roots, FIRST).where(F.col("n") <= LATER), LATER).join(tried, ["a", "b"], "left_anti")
+    fresh = cut(_across(later, roots))
+    links = fresh.join(_verified(fresh.select("a", "b"), sets, threshold), ["a", "b"])
+    roots = merged(roots, links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    large = cut(mixed(roots, LATER).select("band", "key", "root"))
+    if not large.isEmpty():
+        roots = merged(roots, _block_links(large, sets, threshold))
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
 
 
+def _block_links(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): classes that some pair within a bucket of large (band, key, root) links; what is left out follows from the rest.
+
+    A bucket is split into blocks of about BLOCK members and BLOCK_BYTES of shingles, and every two blocks meet
+    in a group of their own, so no task holds a whole bucket. Classes that fill blocks alone have
+    blocks of their own, which do not meet each other: only members of different classes are compared.
+    A group tells at most one link for each class in it.
+    """
+    sized = large.join(sets.select("key", (F.octet_length("marks") + F.octet_length("counts")).alias("bytes")), "key")
+    parts = lambda: F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("long")
+    own = sized.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    fills = (F.col("n") >= BLOCK) | (F.col("bytes") >= BLOCK_BYTES)
+    own = own.withColumn("alone", F.when(fills, F.col("root")).otherwise(F.lit(b"")))
+    split = small(own.groupBy("band", "alone").agg(parts().alias("parts")))
+    filling = small(own.where(F.col("alone") != F.lit(b"")).select("band", "root", "alone"))
+    block = lambda part: F.xxhash64("alone", part)
+    blocks = split.select("band", F.col("alone").alias("other_alone"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    blocks = small(blocks.select("band", "other_alone", F.xxhash64("other_alone", "part").alias("other")))
+
+    lying = large.join(filling, ["band", "root"], "left").withColumn("alone", F.coalesce("alone", F.lit(b"")))
+    lying = lying.join(split, ["band", "alone"]).withColumn("block", block(F.pmod(F.xxhash64("key"), "parts")))
+    lying = lying.join(sets, "key").join(blocks, "band").where((F.col("alone") != F.col("other_alone")) | (F.col("alone") == F.lit(b"")))
+    ends = {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
+    sent = lying.select("band", *[c.alias(n) for n, c in ends.items()], "block", "root", "marks", "counts")
+
+    def meet(group: pa.Table) -> pa.Table:
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        at = group.column("block").to_numpy()
+        rows = [group.column(c).to_pylist() for c in ("root", "marks", "counts")]
+        found = class_links(*rows, np.flatnonzero(at == low), np.flatnonzero(at == high), threshold)
+        return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+
+    return sent.groupBy("band", "low", "high").applyInArrow(meet, "a binary, b binary").distinct()
+
+
+def class_links(roots: list[bytes], marks: list[bytes], counts: list[bytes], left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links (class, other class) that join just the classes which near pairs of a left and a right text join.
+
+    Numbers of shared shingles come from products of incidence matrices, COLUMNS shingles at a time. The
+    probability Jaccard is never above the share of a text's shingles, with their counts, that the other
+    text has, so it is worked out only for pairs that this share lets through.
+    """
+    names, of = np.unique(np.array(roots, object), return_inverse=True)
+    sets = [np.frombuffer(m, np.uint32) for m in marks]
+    sizes = np.array([len(s) for s in sets])
+    repeats = np.array([bool(c) for c in counts])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    shares = [np.frombuffer(c, np.uint32) if c else np.ones(n) for c, n in zip(counts, sizes, strict=True)]
+    share = np.concatenate([(s / s.sum()).astype(np.float32) for s in shares])
+
+    def entries(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The row's place, column and share of every shingle of the rows, by column."""
+        flat = np.concatenate([np.arange(starts[r], starts[r + 1]) for r in rows])
+        order = flat[np.argsort(column[flat], kind="stable")]
+        place = np.repeat(np.arange(len(rows)), sizes[rows])[np.argsort(column[flat], kind="stable")]
+        return place, column[order], share[order]
+
+    sides = [entries(left), entries(right)]
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    shape = (len(left), len(right))
+    shared, mass_left, mass_right = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+    for first in range(0, len(both), COLUMNS):
+        some = both[first : first + COLUMNS]
+        cut_out = []
+        for (place, col, part), n in zip(sides, shape, strict=True):
+            lo, hi = np.searchsorted(col, some[0], "left"), np.searchsorted(col, some[-1], "right")
+            spot = np.searchsorted(some, col[lo:hi])
+            stay = some[spot] == col[lo:hi]
+            there, mass = np.zeros((n, len(some)), np.float32), np.zeros((n, len(some)), np.float32)
+            there[place[lo:hi][stay], spot[stay]] = 1
+            mass[place[lo:hi][stay], spot[stay]] = part[lo:hi][stay]
+            cut_out.append((there, mass))
+        (x, x_mass), (y, y_mass) = cut_out
+        shared += x @ y.T
+        if repeats.any():
+            mass_left += x_mass @ y.T
+            mass_right += x @ y_mass.T
+    apart = of[left][:, None] != of[right][None, :]
+    near = apart & (shared / (sizes[left][:, None] + sizes[right][None, :] - shared) >= threshold)
+    label = np.arange(len(names))
+
+    def link(a: np.ndarray, b: np.ndarray) -> None:
+        while (label[a] != label[b]).any():
+            least = np.minimum(label[a], label[b])
+            for ends in (a, b):
+                np.minimum.at(label, label[ends], least)
+            label[:] = label[label]
+
+    i, j = np.nonzero(near)
+    link(of[left[i]], of[right[j]])
+    if repeats.any():
+        maybe = apart & ~near & (repeats[left][:, None] | repeats[right][None, :]) & (np.minimum(mass_left, mass_right) >= threshold - 1e-4)
+        for r, s in zip(*np.nonzero(maybe), strict=True):
+            a, b = left[r], right[s]
+            if label[of[a]] != label[of[b]] and similarity(marks[a], marks[b], counts[a], counts[b]) >= threshold:
+                link(of[[a]], of[[b]])
+    return [(names[k], names[label[k]]) for k in np.flatnonzero(label != np.arange(len(names)))]
+
+
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """(a, b, a_root, b_root): the pairs whose keys are not of one class yet, and their classes."""
     of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
