@@ -158,6 +158,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to): a revisit has the figures of its response's payload."""
     own = records.select("page_id", "record_type", "refers_to", "named_digest", F.octet_length("payload").cast("long").alias("size"), sha1_base32(F.col("payload")).alias("digest"))
+    own = stored(own, "warc-figures")  # used three times; the payloads move once
     first = own.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("source")).agg(F.max(F.struct("size", "digest")).alias("seen"))
     revisits = own.where("record_type = 'revisit'").join(first, F.col("refers_to") == F.col("source"), "left")
     done = revisits.select("page_id", F.col("seen.size").alias("payload_bytes"), F.coalesce("seen.digest", "named_digest").alias("payload_digest"), "record_type", "refers_to")
