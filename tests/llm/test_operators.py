@@ -110,6 +110,25 @@ def test_pseudonyms_link_and_go_back():
     assert pii.replace(masked, f, back=True)[0] == text
 
 
+def test_values_beside_other_numbers_are_found():
+    f = pii.Feistel(b"k")
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    around = ["{} 12/27", "{} 737 ok", "738 {}", "12 34 56 78 {}", "{}-737", "9-{} 5", "{}, 100", "1 {} 2"]
+    for value, kind, forms in ((card, "card", around), (card.replace(" ", "-"), "card", around), (card.replace(" ", ""), "card", around), (iban, "iban", ["{} EUR 100", "{} 1234 5678 9012 3456 7890", "AB13 3456 7890 {}", "{} X", "{}"]), (iban.replace(" ", ""), "iban", ["{} EUR", "XX00 AAAA {} B1"])):
+        for form in forms:
+            text = form.format(value)
+            masked, spans = pii.replace(text, f)
+            at = text.index(value)
+            assert (kind, at, at + len(value)) in spans and value not in masked, text
+            assert len(masked) == len(text)
+    text = f"{card} {card} {iban} DE89 3704 0044 0532 0130 00 {card[:-1]}2"
+    masked, spans = pii.replace(text, f)
+    assert [k for k, _, _ in spans] == ["card", "card", "iban", "iban"] and masked.endswith(f" {card[:-1]}2")
+    assert masked[:19] == masked[20:39] == pii.replace(card, f)[0]
+    long = "1 " * 50_000
+    assert len(pii.replace(long + "x", f)[0]) == len(long) + 1
+
+
 def test_codec_equals_the_library():
     from tokenizers import Tokenizer
 

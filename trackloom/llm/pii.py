@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from datetime import date
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -17,13 +19,22 @@ ROUNDS = 8
 FIRST_DAY, DAYS = date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal() - date(1900, 1, 1).toordinal()
 
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_CARD = re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])")
+_IBAN = re.compile("[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+_CARD = re.compile("[0-9](?:[ -]?[0-9]){12,18}")
+_CARD_PRINTED = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1){2}[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
 _IPV4 = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])")
 _DATE = re.compile(r"(?<![\w/.-])(?:([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})|([0-9]{1,2})([/.-])([0-9]{1,2})\6([0-9]{4}))(?![\w/-]|\.[0-9])")
 _PHONE = re.compile(r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w-])")
 _SSN = re.compile(r"(?<![\w-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![\w-])")
 _DIGIT = re.compile("[0-9]")
+#: Where values of parts may lie one after another or beside other numbers; each is a range of the parts.
+_RUNS = {
+    "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    "card": re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,}(?![\w-])"),
+}
+_PART = re.compile("[A-Z0-9]+")
+#: Fewest and most digits and letters of such values.
+_SIZES = {"iban": (12, 35), "card": (13, 19)}
 
 
 class Feistel:
@@ -171,16 +182,38 @@ _PATTERNS = {"email": _EMAIL, "iban": _IBAN, "card": _CARD, "ipv4": _IPV4, "date
 
 
 def replace(text: str, feistel: Feistel, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
-    """The text with pseudonyms, and (kind, start, end) of what they replace. Of overlapping values the kind listed first wins."""
+    """The text with pseudonyms, and (kind, start, end) of what they replace. Of overlapping values the kind listed first wins.
+
+    In a run of parts each part is tried as the start of a value, with the longest valid range first, and the
+    search goes on behind a valid range only; cards in their printed groups come before others, so no part of one
+    is lost to a neighbour. So the pseudonym of a number beside others can be valid in a longer
+    range, one time in ten for a card; then back needs the spans to find it.
+    """
     taken: list[tuple[int, int, str, str]] = []
     has_digit = _DIGIT.search(text)
+
+    def take(kind: str, m: re.Match) -> bool:
+        fresh = None if any(a < m.end() and m.start() < b for a, b, _, _ in taken) else pseudonym(feistel, kind, m, back)
+        if fresh is not None:
+            taken.append((m.start(), m.end(), kind, fresh))
+        return fresh is not None
+
     for kind, pattern in _PATTERNS.items():
         if "@" not in text if kind == "email" else not has_digit:
             continue
-        for m in pattern.finditer(text):
-            fresh = None if any(a < m.end() and m.start() < b for a, b, _, _ in taken) else pseudonym(feistel, kind, m, back)
-            if fresh is not None:
-                taken.append((m.start(), m.end(), kind, fresh))
+        if kind not in _RUNS:
+            for m in pattern.finditer(text):
+                take(kind, m)
+            continue
+        for run in _RUNS[kind].finditer(text):
+            parts = [p.span() for p in _PART.finditer(text, *run.span())]
+            sums, (least, most) = [0, *accumulate(b - a for a, b in parts)], _SIZES[kind]
+            for form in (_CARD_PRINTED, pattern) if kind == "card" else (pattern,):
+                i = 0
+                while i < len(parts):
+                    ends = range(bisect_right(sums, sums[i] + most) - 1, bisect_left(sums, sums[i] + least) - 1, -1)
+                    ranges = ((j, form.fullmatch(text, parts[i][0], parts[j - 1][1])) for j in ends)
+                    i = next((j for j, m in ranges if m and take(kind, m)), i + 1)
     if not taken:
         return text, []
     taken.sort()
