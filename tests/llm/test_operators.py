@@ -248,6 +248,31 @@ def test_large_buckets_by_brute_force(spark, monkeypatch):
     assert got == dict(enumerate(root))
 
 
+def test_blocks_without_members(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LATER", 6)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 900)
+    rng = random.Random(5)
+    rows = []
+    for i in range(30):
+        words = [f"w{j}" for j in range(150)]
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 999)}"
+        rows.append((i, " ".join(words)))
+    sets = [(e >> 32).astype("uint32").tobytes() for e, _ in (minhash.shingles(minhash.word_list(t)) for _, t in rows)]
+    root = list(range(30))
+    for a in range(30):
+        for b in range(a + 1, 30):
+            if root[a] != root[b] and minhash.similarity(sets[a], sets[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < 30
+    asked = []
+    real = minhash._block_links
+    monkeypatch.setattr(minhash, "_block_links", lambda *a: asked.append(1) or real(*a))
+    got = {r.id: r.class_id for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert asked and got == dict(enumerate(root))
+
+
 def test_short_items_and_long_spans(spark):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"w{i}" for i in range(12))), (3, None), (None, "zz yy")], "item_id long, text string")
     rows = [(1, "x ONE, two; three y one two"), (2, " ".join(f"w{i}" for i in range(1, 11))), (3, " ".join(f"w{i}" for i in range(9))), (4, "zz yy"), (5, None)]

@@ -257,7 +257,7 @@ def _block_links(large: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     A bucket is split into blocks of about BLOCK members and BLOCK_BYTES of shingles, and every two blocks meet
     in a group of their own, so no task holds a whole bucket. Classes that fill blocks alone have
     blocks of their own, which do not meet each other: only members of different classes are compared.
-    A group tells at most one link for each class in it.
+    A group tells at most one link for each class in it. A block that no member is hashed to has groups of one side.
     """
     sized = large.join(sets.select("key", (F.octet_length("marks") + F.octet_length("counts")).alias("bytes")), "key")
     parts = lambda: F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("long")
@@ -280,7 +280,8 @@ def _block_links(large: DataFrame, sets: DataFrame, threshold: float) -> DataFra
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
         at = group.column("block").to_numpy()
         rows = [group.column(c).to_pylist() for c in ("root", "marks", "counts")]
-        found = class_links(*rows, np.flatnonzero(at == low), np.flatnonzero(at == high), threshold)
+        left, right = np.flatnonzero(at == low), np.flatnonzero(at == high)
+        found = class_links(*rows, left, right, threshold) if len(left) and len(right) else []
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
     return sent.groupBy("band", "low", "high").applyInArrow(meet, "a binary, b binary").distinct()
