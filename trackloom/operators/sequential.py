@@ -77,21 +77,38 @@ class Mover:
         self.hits, self.misses = self.hits + 1, 0
 
 
-def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_hits: int = 1, frame_w: float = 1920.0, frame_h: float = 1080.0) -> DataFrame:
+def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_hits: int = 1, frame_w: float = 1920.0, frame_h: float = 1080.0, stride: int = 1, max_missed: int = 2) -> DataFrame:
     """Tracks of each video: (video_id, track_id, class_name, frame_index, x1..y2, conf, estimated).
 
-    In every frame of the video that has detections each track is predicted, the pair of a track and a
-    detection of its class with the largest overlap is matched first (ties: least track, then detection),
+    In every frame from the video's first to its last detection each track is predicted, the pair of a track
+    and a detection of its class with the largest overlap is matched first (ties: least track, then detection),
     matched tracks take the detected box, others keep a predicted point of confidence 0 unless it is under
-    a pixel or out of the frame, and go after max_age frames. Detections left over begin tracks.
+    a pixel or out of the frame, and go after max_age frames, or stride * (max_missed + 1) if that is more:
+    stride is the number of frames between attempts at detection. Detections left over begin tracks.
     """
+    patience = max(max_age, stride * (max_missed + 1))
     if iou_from <= 0:
         raise ValueError("an overlap of 0 would match everything with everything")
 
     def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, live, count = [], [], 0
+        out, live, count, last = [], [], 0, None
+
+        def missed(t: Mover, frame: int) -> None:
+            t.misses += 1
+            b = t.box()
+            if min(t.place[2:]) >= 1 and b[2] > 0 and b[3] > 0 and b[0] < frame_w and b[1] < frame_h:
+                out.append((t.number, t.label, frame, *b, 0.0, True, t.hits))
+
         for frame, rows in pdf.sort_values(["frame_index", "det_id"]).groupby("frame_index", sort=True):
             boxes, labels, conf = rows[BOX].to_numpy(float), [c.lower() for c in rows["class_name"]], rows["conf"].to_numpy(float)
+            empty = frame if last is None else last + 1
+            while live and empty < frame:
+                for t in live:
+                    t.predict()
+                    missed(t, empty)
+                live = [t for t in live if t.misses <= patience]
+                empty += 1
+            last = frame
             for t in live:
                 t.predict()
             free = set(range(len(boxes)))
@@ -109,11 +126,8 @@ def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_h
                         out.append((live[i].number, live[i].label, frame, *boxes[j], conf[j], False, live[i].hits))
                 for i, t in enumerate(live):
                     if i not in taken:
-                        t.misses += 1
-                        b = t.box()
-                        if min(t.place[2:]) >= 1 and b[2] > 0 and b[3] > 0 and b[0] < frame_w and b[1] < frame_h:
-                            out.append((t.number, t.label, frame, *b, 0.0, True, t.hits))
-                live = [t for t in live if t.misses <= max_age]
+                        missed(t, frame)
+                live = [t for t in live if t.misses <= patience]
             for j in sorted(free):
                 count += 1
                 live.append(Mover(count, boxes[j], labels[j]))
