@@ -9,6 +9,7 @@ from trackloom.functions import lexicon as lx
 from trackloom.functions import sequences as s
 
 AUTO, REVIEW = 0.70, 0.40
+VOCABULARY = ("GRASP", "RELEASE", "PICK", "PLACE", "MOVE", "PUSH", "PULL", "OPEN", "CLOSE", "INSERT", "REMOVE", "USE_TOOL", "TOUCH", "INSPECT", "UNKNOWN")
 WEIGHTS = {"timing": 0.10, "actor": 0.20, "object": 0.20, "state": 0.20, "action": 0.10, "model": 0.20}
 
 
@@ -110,8 +111,17 @@ def bad_bounds(df: DataFrame) -> Column:
     return (F.col("start_sec") > F.col("end_sec")) | (F.col("start_sec") < 0) | (F.col("end_sec") < 0)
 
 
-def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataFrame, scores: DataFrame, resolved: DataFrame) -> DataFrame:
-    """(rule, severity, item_id): what breaks the rules of reference and order between the tables; each rule is a filter or an anti-join."""
+def gathered(members: DataFrame, events: DataFrame, states: DataFrame, links: DataFrame) -> DataFrame:
+    """(episode_id, start_sec, end_sec, event_ids, edge_ids, transition_ids) of the episodes that members (video_id, event_id, episode) name."""
+    m = members.select("event_id", "video_id", "episode").join(events.select("event_id", "start_sec", "end_sec"), "event_id", "left")
+    m = m.join(links.select("event_id", "edge_id"), "event_id", "left").join(states.select("event_id", "transition_id"), "event_id", "left")
+    ids = [F.collect_set(f"{k}_id").alias(f"{k}_ids") for k in ("event", "edge", "transition")]
+    found = m.groupBy("video_id", "episode").agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), *ids)
+    return found.select(F.concat_ws("_", F.lit("ie"), "video_id", "episode").alias("episode_id"), "start_sec", "end_sec", "event_ids", "edge_ids", "transition_ids")
+
+
+def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataFrame, scores: DataFrame, resolved: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """(rule, severity, item_id): what breaks the rules of reference and order between the tables; each rule is a filter or an anti-join. whole: episodes as gathered() gives them."""
 
     def issue(df: DataFrame, rule: str, severity: str, item: str) -> DataFrame:
         return df.select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.col(item).alias("item_id"))
@@ -137,6 +147,16 @@ def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataF
         issue(links.where("timing = 'SEGMENT'"), "edge_segment_timing", "INFO", "edge_id"),
         issue(scores.join(known, "event_id", "left_anti"), "score_event_missing", "ERROR", "event_id"),
     ]
+    if whole is not None:
+        each = lambda k: whole.select("episode_id", F.col("start_sec").alias("a"), F.col("end_sec").alias("b"), F.explode(f"{k}_ids").alias(f"{k}_id"))
+        held = each("event").join(events.select("event_id", "start_sec", "end_sec"), "event_id")
+        out += [
+            issue(whole.where(bad_bounds(whole)), "episode_bounds", "ERROR", "episode_id"),
+            issue(each("event").join(known, "event_id", "left_anti"), "episode_event_missing", "ERROR", "episode_id"),
+            issue(held.where("start_sec < a or end_sec > b"), "episode_event_outside", "WARNING", "episode_id"),
+            issue(each("edge").join(links.select("edge_id"), "edge_id", "left_anti"), "episode_edge_missing", "ERROR", "episode_id"),
+            issue(each("transition").join(states.select("transition_id"), "transition_id", "left_anti"), "episode_transition_missing", "ERROR", "episode_id"),
+        ]
     total = out[0]
     for more in out[1:]:
         total = total.unionByName(more)
@@ -147,19 +167,26 @@ def assess(events: DataFrame, truth: DataFrame, tolerance: float = 1.0) -> DataF
     """Each event against the labelled actions of its video that it overlaps, or if none, that lie within the tolerance.
 
     (event_id, action, verdict, attribution, n_covered). truth: (video_id, label_id, truth_action, t_start,
-    t_end). The join is on the video with an overlap as its condition; the widened one serves only events
+    t_end), and truth_object and truth_target where known: labels with a role that the event's object names
+    (either contains the other) go before those without. The join is on the video with an overlap as its condition; the widened one serves only events
     without a direct overlap.
     """
-    e = events.select("video_id", "event_id", "action", "start_sec", "end_sec")
+    e = events.select("video_id", "event_id", "action", "start_sec", "end_sec", *[c for c in ("object_label",) if c in events.columns])
     strict = (F.col("start_sec") < F.col("t_end")) & (F.col("t_start") < F.col("end_sec"))
     wide = (F.col("start_sec") - tolerance < F.col("t_end")) & (F.col("t_start") < F.col("end_sec") + tolerance)
     both = e.join(truth, "video_id").where(wide).withColumn("hit", strict)
     some = both.groupBy("event_id").agg(F.bool_or("hit").alias("any_hit"))
     used = both.join(some, "event_id").where(F.col("hit") | ~F.col("any_hit"))
+    roles = [c for c in ("truth_object", "truth_target") if c in truth.columns and "object_label" in events.columns]
+    if roles:
+        low = lambda c: F.lower(F.trim(c))
+        named = lambda c: (F.length("object_label") > 0) & (F.length(c) > 0) & (F.contains(low("object_label"), low(c)) | F.contains(low(c), low("object_label")))
+        used = used.withColumn("on", F.greatest(F.lit(False), *[named(c) for c in roles]))
+        used = used.withColumn("any_on", F.max("on").over(Window.partitionBy("event_id"))).where(F.col("on") | ~F.col("any_on"))
     opposite = F.element_at(F.create_map(*[F.lit(x) for p in lx.ANTONYMS.items() for x in p]), F.col("truth_action"))
-    sums = used.groupBy("event_id").agg(F.count("*").alias("n_covered"), F.bool_or(F.col("action") == F.col("truth_action")).alias("same"), F.bool_or(F.coalesce(F.col("action") == opposite, F.lit(False))).alias("turned"), F.first("any_hit").alias("any_hit"))
+    sums = used.groupBy("event_id").agg(F.count("*").alias("n_covered"), F.bool_or(F.col("action") == F.col("truth_action")).alias("same"), F.bool_or(F.coalesce(F.col("action") == opposite, F.lit(False))).alias("turned"), F.first("any_hit").alias("any_hit"), F.bool_or(F.col("truth_action").isin(*VOCABULARY)).alias("worded"))
     out = e.join(sums, "event_id", "left")
-    verdict = F.when(F.col("n_covered").isNull(), "UNMATCHED").when(F.col("same"), "EXACT").when(F.col("turned"), "REVERSED").otherwise("OTHER")
+    verdict = F.when(F.col("n_covered").isNull(), "UNMATCHED").when(F.col("same"), "EXACT").when(F.col("turned"), "REVERSED").when(~F.col("worded"), "NOT_IN_VOCABULARY").otherwise("OTHER")
     attribution = F.when(F.col("n_covered") > 1, F.concat(F.lit("AMBIGUOUS x"), "n_covered")).when(F.col("any_hit"), "PRECISE").when(F.col("n_covered") == 1, "NEAR")
     return out.select("video_id", "event_id", "action", verdict.alias("verdict"), attribution.alias("attribution"), F.coalesce("n_covered", F.lit(0)).cast("long").alias("n_covered"))
 

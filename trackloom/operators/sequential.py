@@ -216,7 +216,11 @@ def correct_states(events: DataFrame) -> DataFrame:
 
 
 def episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
-    """(video_id, event_id, episode): each event joins the first open episode within the gap that shares its object, else its actor without a different object."""
+    """(video_id, event_id, episode, timing, quality): each event joins the first open episode within the gap that shares its object, else its actor without a different object.
+
+    Where events have a tier those of REJECT are left out, and quality is the least tier in the episode; timing
+    is that of its events, or MIXED. Both are null where events have no such column.
+    """
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start_sec", "end_sec", "event_id"])
@@ -235,10 +239,15 @@ def episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
             home["things"] |= {thing} if known_o else set()
             home["actors"] |= {actor} if known_a else set()
             ids.append(home["n"])
-        return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "episode": ids})
+        return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "episode": ids, "timing": pdf["timing"], "tier": pdf["tier"]})
 
     cols = ["video_id", "event_id", "start_sec", "end_sec", "actor_id", "object_id"]
-    return events.select(*cols).groupBy("video_id").applyInPandas(gather, "video_id long, event_id string, episode long")
+    extra = [(F.col(c) if c in events.columns else F.lit(None).cast("string")).alias(c) for c in ("timing", "tier")]
+    valid = events.select(*cols, *extra).where("tier is null or tier <> 'REJECT'")
+    found = valid.groupBy("video_id").applyInPandas(gather, "video_id long, event_id string, episode long, timing string, tier string")
+    w = Window.partitionBy("video_id", "episode")
+    mixed = F.when(F.min("timing").over(w) == F.max("timing").over(w), F.min("timing").over(w)).when(F.max("timing").over(w).isNotNull(), "MIXED")
+    return found.select("video_id", "event_id", "episode", mixed.alias("timing"), F.max("tier").over(w).alias("quality"))
 
 
 def monotone_assign(points: list[float], bounds: list[float]) -> list[int]:

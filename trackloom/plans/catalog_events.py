@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import lexicon as lx
 from trackloom.operators import events as ev
+from trackloom.operators import sequential as sq
 from trackloom.plans.catalog import query, r6, rounded
 from trackloom.plans.views import OBSERVATIONS_SQL, observations, table
 
@@ -125,7 +126,9 @@ def l_integrity_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     states, links = ev.transitions(e), ev.edges(e)
     people = e.groupBy("video_id").agg(F.countDistinct("actor_id").alias("n_people"))
     points = ev.nodes(e).select("node_id", "role").distinct()
-    found = ev.issues(e, states, links, points, ev.quality(e, states), ev.resolve(e, people))
+    scores = ev.quality(e, states)
+    members = sq.episodes(e.join(scores.select("event_id", "tier"), "event_id", "left"))
+    found = ev.issues(e, states, links, points, scores, ev.resolve(e, people), ev.gathered(members, e, states, links))
     return found.groupBy("rule", "severity").agg(F.count("*").alias("n"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.lexicon import evidence
+from trackloom.operators import events as ev
 from trackloom.operators import sequential as sq
 from trackloom.plans.catalog import query, rounded
 from trackloom.plans.catalog_events import events
@@ -35,7 +36,8 @@ def j5_corrected_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def j7_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sq.episodes(events(spark, sf_dir))
+    e = events(spark, sf_dir)
+    return sq.episodes(e.join(ev.quality(e, ev.transitions(e)).select("event_id", "tier"), "event_id", "left"))
 
 
 @query(f"select (floor((epoch_us(ts) - {START_US}) / {float(HOUR_US)} / 6))::bigint slot, event_type, count(*) n, round(sum(value), 4) total from events group by 1, 2")
