@@ -9,6 +9,8 @@ from trackloom.functions import lexicon as lx
 from trackloom.functions import sequences as s
 
 AUTO, REVIEW = 0.70, 0.40
+#: Seconds of a stretch in which events and labels meet.
+SPAN = 16.0
 VOCABULARY = ("GRASP", "RELEASE", "PICK", "PLACE", "MOVE", "PUSH", "PULL", "OPEN", "CLOSE", "INSERT", "REMOVE", "USE_TOOL", "TOUCH", "INSPECT", "UNKNOWN")
 WEIGHTS = {"timing": 0.10, "actor": 0.20, "object": 0.20, "state": 0.20, "action": 0.10, "model": 0.20}
 
@@ -168,13 +170,21 @@ def assess(events: DataFrame, truth: DataFrame, tolerance: float = 1.0) -> DataF
 
     (event_id, action, verdict, attribution, n_covered). truth: (video_id, label_id, truth_action, t_start,
     t_end), and truth_object and truth_target where known: labels with a role that the event's object names
-    (either contains the other) go before those without. The join is on the video with an overlap as its condition; the widened one serves only events
-    without a direct overlap.
+    (either contains the other) go before those without. The join
+    is on the video and on stretches of SPAN seconds, each pair in the first that both reach, with an overlap as
+    its condition; the widened one serves only events without a direct overlap.
     """
     e = events.select("video_id", "event_id", "action", "start_sec", "end_sec", *[c for c in ("object_label",) if c in events.columns])
     strict = (F.col("start_sec") < F.col("t_end")) & (F.col("t_start") < F.col("end_sec"))
     wide = (F.col("start_sec") - tolerance < F.col("t_end")) & (F.col("t_start") < F.col("end_sec") + tolerance)
-    both = e.join(truth, "video_id").where(wide).withColumn("hit", strict)
+
+    def spread(df: DataFrame, a: Column, b: Column, first: str) -> DataFrame:
+        low, high = F.floor(F.least(a, b) / SPAN), F.floor(F.greatest(a, b) / SPAN)
+        return df.withColumns({first: low, "stretch": F.explode(F.sequence(low, high))})
+
+    near = spread(e, F.col("start_sec") - tolerance, F.col("end_sec") + tolerance, "e_first")
+    labels = spread(truth, F.col("t_start"), F.col("t_end"), "t_first")
+    both = near.join(labels, ["video_id", "stretch"]).where(wide & (F.col("stretch") == F.greatest("e_first", "t_first"))).withColumn("hit", strict)
     some = both.groupBy("event_id").agg(F.bool_or("hit").alias("any_hit"))
     used = both.join(some, "event_id").where(F.col("hit") | ~F.col("any_hit"))
     roles = [c for c in ("truth_object", "truth_target") if c in truth.columns and "object_label" in events.columns]

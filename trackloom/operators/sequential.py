@@ -185,7 +185,7 @@ def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: f
 def correct_states(events: DataFrame) -> DataFrame:
     """(video_id, event_id, action, corrected): an OPEN of what is open, or a CLOSE of what is closed, is turned round.
 
-    Events of a video are folded by time for each object; runs of one verb are corrected together, and other
+    Events of an object in a video are folded by time; runs of one verb are corrected together, and other
     events set the state where their facts name it.
     """
 
@@ -212,7 +212,7 @@ def correct_states(events: DataFrame) -> DataFrame:
         return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "action": pdf["action"], "corrected": fixed})
 
     cols = ["video_id", "event_id", "action", "object_label", "says", "start_sec"]
-    return events.select(*cols).groupBy("video_id").applyInPandas(fold, "video_id long, event_id string, action string, corrected string")
+    return events.select(*cols).groupBy("video_id", "object_label").applyInPandas(fold, "video_id long, event_id string, action string, corrected string")
 
 
 def episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
