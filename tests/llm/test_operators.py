@@ -79,6 +79,33 @@ def test_warc_rejects_magic_inside_payloads(spark):
     assert got[4].payload_digest == base64.b32encode(hashlib.sha1((inner + "é").encode()).digest()).decode()
 
 
+def test_warc_with_repeated_ids(spark):
+    rows = [(5, "u", "A" * 10), (5, "u", "B" * 20), (3, "u", "A" * 10), (3, "u", "A" * 10), (2, "u", "B" * 20)]
+    path = new_path(spark, "test-warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    got = warc.resolve_revisits(warc.read_warc(spark, path)).select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got)) == [(2, 20, "revisit", 5), (3, 10, "revisit", 5), (3, 10, "revisit", 5), (5, 10, "response", None), (5, 20, "response", None)]
+
+
+def test_warc_chains_run_across_splits(spark):
+    rng = random.Random(4)
+    fake = "WARC/1.1\r\nContent-Length: {}\r\n\r\n"
+    bits = [fake.format(n) for n in (0, 3, 40, 500)] + ["x" * 30, "\r\n\r\n", "é ", "WARC/1.1\r\n"]
+    rows = [(i, "u", "".join(rng.choice(bits) for _ in range(rng.choice((0, 1, 9, 200))))) for i in range(120)]
+    path = new_path(spark, "test-warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(3), path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = warc.read_warc(spark, path).select("record_type", "page_id", "payload", "sound").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(got) == len(rows) and all(r.sound for r in got)
+    texts = {i: t for i, _, t in rows}
+    for r in got:
+        assert bytes(r.payload).decode() == (texts[r.page_id] if r.record_type == "response" else "")
+
+
 def test_warc_of_no_pages(spark):
     path = new_path(spark, "test-warc")
     warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)

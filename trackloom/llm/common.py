@@ -15,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Rows in one Arrow batch; texts may be long, so batches stay far below Spark's default of 10,000 rows.
 ARROW_ROWS = 512
+#: A side of a join is broadcast up to so many bytes, counted before; beyond them Spark shuffles both sides.
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +57,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a path that nothing reads any more, in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
+    total = F.lit(24)
+    for c, t in df.dtypes:
+        size = F.octet_length(F.col(c)) if t in ("string", "binary") else F.size(c) * 16 if t.startswith("array") else F.lit(0)
+        total = total + 8 + F.coalesce(size, F.lit(0))
+    return total.cast("long")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, checkpointed, with a broadcast hint if it takes at most BROADCAST_BYTES."""
+    df = cut(df)
+    size = df.agg(F.sum(row_bytes(df))).first()[0]
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, other letters as they are. The cheaper lower() serves texts of one byte a character."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -7,12 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ascii_lower, cut, packed, text_key
+from trackloom.llm.common import ascii_lower, cut, packed, small, text_key
 
 #: What stands between words, after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A side of a join is broadcast up to so many rows; beyond them Spark shuffles both sides.
-BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -35,12 +33,6 @@ def fingerprints(tokens: Column, window: int, k: int) -> Column:
     return let(F.transform(tokens, lambda w: F.xxhash64(w)), lambda h: let(grams(h, k, F.xxhash64), lambda g: F.array_distinct(grams(g, window - k + 1, F.least))))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df, materialised, with a broadcast hint if it has few enough rows."""
-    df = cut(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def windows(tokens: Column, length: int) -> Column:
     """The texts of all runs of so many words."""
     return grams(tokens, length, lambda *w: F.concat_ws(" ", *w))
@@ -56,7 +48,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     makes its text one. In the candidates the hits are extended: each run of words is held against the items'
     windows, word for word. Items too short to winnow are sought by all runs of their own length. Texts are
     keyed by a 128-bit hash, so copies are examined once; a null or empty text has no words and no hits.
-    The benchmark's tables are broadcast only up to BROADCAST_ROWS rows. Items with a null id count as hits
+    The benchmark's tables are broadcast only up to a size counted before. Items with a null id count as hits
     but are not listed; items of the same id count as one.
     """
     rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("key"))

@@ -11,8 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut, limit_batches, map_texts, packed, stored, text_key
-from trackloom.llm.decontam import small
+from trackloom.llm.common import cut, limit_batches, map_texts, packed, small, stored, text_key
 
 SHINGLE = 5
 #: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.

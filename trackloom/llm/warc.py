@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut, stored
+from trackloom.llm.common import cut, limit_batches, small, stored
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -15,7 +19,11 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 def sha1_base32(data: Column) -> Column:
     """The bare upper-case base32 SHA-1 of a string's or binary's bytes: five hex digits give four letters."""
-    digest = F.sha1(data)
+    return base32(F.sha1(data))
+
+
+def base32(digest: Column) -> Column:
+    """40 hex digits as 32 letters."""
     letters = []
     for i in range(8):
         bits = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
@@ -27,16 +35,17 @@ def with_revisits(pages: DataFrame, page_id: str, url: str, html: str, min_bytes
     """(id, url, payload, size, digest, keep): keep is the id of the response that a record repeats, or null.
 
     Of records with equal payloads of at least min_bytes, that with the largest id is the response. The
-    largest id is found per digest with sums inside the map tasks; the join back to the records can be split
-    where a digest is hot.
+    largest id is found per digest with sums inside the map tasks, and only digests that occur more than
+    once go back to the records: by broadcast if they are few, else by a join that can be split where a
+    digest is hot. Payloads don't move otherwise.
     """
     payload = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("id"), F.col(f"`{url}`").cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": sha1_base32(F.col("payload"))})
-    last = rows.where(F.col("size") >= min_bytes).groupBy(F.col("digest").alias("same")).agg(F.max("id").alias("last_id"))
-    both = rows.join(last, F.col("digest") == F.col("same"), "left")
-    repeats = (F.col("size") >= min_bytes) & F.col("last_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("last_id"))
-    return both.select("id", "url", "payload", "size", "digest", F.when(repeats, F.col("last_id")).alias("keep"))
+    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.unhex(F.sha1("payload"))})
+    last = rows.where(F.col("size") >= min_bytes).groupBy(F.col("digest").alias("same")).agg(F.max("id").alias("last_id"), F.count("*").alias("n"))
+    both = rows.join(small(last.where("n > 1").drop("n")), F.col("digest") == F.col("same"), "left")
+    repeats = F.col("last_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("last_id"))
+    return both.select("id", "url", "payload", "size", base32(F.hex("digest")).alias("digest"), F.when(repeats, F.col("last_id")).alias("keep"))
 
 
 def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -73,33 +82,104 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     rows.select(record.alias("value")).write.option("lineSep", "\r\n").text(path)
 
 
-def chunks(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, value): what stands between two occurrences of the magic, and the byte where the first one begins.
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """(path, file, block, value): what stands between two occurrences of the magic, in the order of each split.
 
-    Spark's reader splits files at every magic, wherever it stands, so tasks share large files. Offsets are
-    sums of lengths in file order. The text before a file's first magic, empty in a sound archive, has at < 0
-    only if it is empty; bytes before the first magic move all candidates off byte 0.
+    Spark's reader splits files at every magic, wherever it stands, so tasks share large files; block is the
+    byte where the split begins. file is a hash of the path.
     """
     read = spark.read.option("lineSep", MAGIC).text(path)
-    cols = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
-    parts = stored(read.select(*cols, F.monotonically_increasing_id().alias("nth"), F.col("value")), "warc-chunks")
-    order = Window.partitionBy("file").orderBy("block", "nth")
-    step = F.octet_length("value") + len(MAGIC)
-    before = F.coalesce(F.sum(step.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return parts.withColumn("at", before - len(MAGIC)).select("file", "at", "value")
+    where = F.col("_metadata.file_path")
+    return read.select(where.alias("path"), F.xxhash64(where).alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def candidates(parts: DataFrame) -> DataFrame:
-    """(file, at, next): every magic with a header of a known length, and the byte where a record would follow it."""
-    head = F.substring_index("value", END, 1)
+def jump(value: Column) -> Column:
+    """From a magic to the byte where a record would follow, by the header behind it; null without a known length."""
+    head = F.substring_index(value, END, 1)
     size = F.regexp_extract(head, r"(?im)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$", 1)
-    sound = (F.col("at") >= 0) & (size != "") & F.col("value").contains(END)
-    after = F.col("at") + len(MAGIC) + F.octet_length(head) + len(END) + size.cast("long") + len(END)
-    return parts.where(sound).select("file", "at", after.alias("next"))
+    total = len(MAGIC) + F.octet_length(head) + len(END) + size.cast("long") + len(END)
+    return F.when((size != "") & value.contains(END), total)
+
+
+def _runs(file: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
+    """The stretches of rows that are of one split."""
+    edges = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    return list(zip([0, *edges.tolist()], [*edges.tolist(), len(file)], strict=True)) if len(file) else []
+
+
+def exits(at: np.ndarray, after: np.ndarray, stop: int) -> np.ndarray:
+    """Where the chain from each candidate leaves its split; -1 if it breaks within. after is -1 for other chunks."""
+    out = np.full(len(at), -1, np.int64)
+    place = np.searchsorted(at, after)
+    for i in range(len(at) - 1, -1, -1):
+        if after[i] >= stop:
+            out[i] = after[i]
+        elif after[i] >= 0 and place[i] < len(at) and at[place[i]] == after[i]:
+            out[i] = out[place[i]]
+    return out
+
+
+def links(chunks: DataFrame) -> DataFrame:
+    """(file, block, local, after, leaves, length) for each chunk, without the text and without a shuffle.
+
+    local is the chunk's place in its split, after the place of the record that its header points to (null if
+    it is no candidate), leaves the first place outside the split on its chain. Tasks add up lengths as they read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, steps, jumps = None, [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if split is None:
+                return
+            step, leap = np.concatenate(steps), np.concatenate(jumps)
+            ends = np.cumsum(step)
+            at = ends - step
+            after = np.where(leap >= 0, at + leap, -1)
+            out = exits(at, after, int(ends[-1]))
+            n = len(at)
+            cols = [np.full(n, split[0]), np.full(n, split[1]), at]
+            arrays = [pa.array(c, pa.int64()) for c in cols]
+            arrays += [pa.array(x, pa.int64(), mask=x < 0) for x in (after, out)] + [pa.array(np.full(n, ends[-1]), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["file", "block", "local", "after", "leaves", "length"])
+
+        for batch in batches:
+            file, block, step, leap = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for a, b in _runs(file, block):
+                if split != (file[a], block[a]):
+                    yield from flush()
+                    split, steps, jumps = (file[a], block[a]), [], []
+                steps.append(step[a:b])
+                jumps.append(leap[a:b])
+        yield from flush()
+
+    step = (F.octet_length("value") + len(MAGIC)).cast("long")
+    rows = chunks.select("file", "block", step.alias("step"), F.coalesce(jump(F.col("value")), F.lit(-1)).cast("long").alias("leap"))
+    return rows.mapInArrow(run, "file long, block long, local long, after long, leaves long, length long")
+
+
+def placed(chunks: DataFrame) -> DataFrame:
+    """(path, file, block, local, value): the chunks with their places in their splits, to join texts by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, at = None, 0
+        for batch in batches:
+            file, block, step = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("file", "block", "step"))
+            local = np.empty(len(step), np.int64)
+            for a, b in _runs(file, block):
+                if split != (file[a], block[a]):
+                    split, at = (file[a], block[a]), 0
+                ends = at + np.cumsum(step[a:b])
+                local[a:b], at = ends - step[a:b], int(ends[-1])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(local)], ["path", "file", "block", "value", "local"])
+
+    limit_batches(chunks.sparkSession)
+    rows = chunks.select("path", "file", "block", "value", (F.octet_length("value") + len(MAGIC)).cast("long").alias("step"))
+    return rows.mapInArrow(run, "path string, file long, block long, value string, local long")
 
 
 def reachable(links: DataFrame) -> DataFrame:
-    """(file, at) of the records on the chain from byte 0 of each file.
+    """(file, at) of the records on the chain from byte 0 of each file, of links (file, at, next).
 
     Pointer jumping: in each round what is reached reaches its pointer's target, then every pointer is
     replaced by that of its target. A chain of n records takes log2(n) rounds; a table in the shared
@@ -107,34 +187,84 @@ def reachable(links: DataFrame) -> DataFrame:
     that is reached points to it.
     """
     state = cut(links.select("file", "at", "next", (F.col("at") == 0).alias("on")))
-    while True:
+    while not state.where(F.col("on") & F.col("next").isNotNull()).isEmpty():
         target = state.select("file", F.col("at").alias("next"), F.col("next").alias("jump"))
         hit = state.where(F.col("on") & F.col("next").isNotNull()).select("file", F.col("next").alias("at"), F.lit(True).alias("hit")).distinct()
         moved = state.join(target, ["file", "next"], "left").join(hit, ["file", "at"], "left")
-        moved = moved.select("file", "at", F.col("jump").alias("next"), (F.col("on") | F.coalesce("hit", F.lit(False))).alias("on"))
-        state = cut(moved)
-        if state.where(F.col("on") & F.col("next").isNotNull()).isEmpty():
-            return state.where("on").select("file", "at")
+        state = cut(moved.select("file", "at", F.col("jump").alias("next"), (F.col("on") | F.coalesce("hit", F.lit(False))).alias("on")))
+    return state.where("on").select("file", "at")
+
+
+def boundaries(chunks: DataFrame) -> DataFrame:
+    """(file, block, local, at, pieces): the chunks of each record on the chain of its file; at is the record's first byte.
+
+    Tasks emit, split by split, where each candidate's chain leaves the split. The byte where a split begins is
+    the sum of the lengths of those before it, one row for a split. Pointer jumping over the gates, which are the
+    candidates that a chain from another split or byte 0 enters by, tells where the real chain enters each
+    split; there it is walked to the end of the split. What stands before a split's first record belongs to
+    the last one of an earlier split. No task holds more than the numbers of one split.
+    """
+    all_links = stored(links(chunks), "warc-links")
+    order = Window.partitionBy("file").orderBy("block")
+    splits = all_links.groupBy("file", "block").agg(F.first("length").alias("length"))
+    base = F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - len(MAGIC)
+    splits = small(splits.select("file", "block", base.alias("base")))
+
+    sound = all_links.where("leaves is not null").join(splits, ["file", "block"])
+    sound = sound.select("file", "block", "local", (F.col("local") + F.col("base")).alias("at"), (F.col("leaves") + F.col("base")).alias("next"))
+    aims = sound.select("file", F.col("next").alias("at")).distinct()
+    gates = cut(sound.where("at = 0").unionByName(sound.where("at > 0").join(aims, ["file", "at"], "left_semi")))
+    entered = gates.join(reachable(gates), ["file", "at"], "left_semi").select("file", "block", F.col("local").alias("entry"))
+
+    def walk(group: pa.Table) -> pa.Table:
+        """Each chunk's record and where that ends, in places of the split; null before the first record."""
+        group = group.sort_by("local")
+        at = group.column("local").to_numpy()
+        after = np.nan_to_num(group.column("after").to_numpy(zero_copy_only=False), nan=-1).astype(np.int64)
+        entry = group.column("entry")[0].as_py()
+        starts = []
+        while entry is not None:
+            i = int(np.searchsorted(at, entry))
+            if i == len(at) or at[i] != entry or after[i] < 0:
+                break
+            starts.append(i)
+            entry = int(after[i])
+        which = np.searchsorted(np.array(starts, np.int64), np.arange(len(at)), "right") - 1
+        chosen = np.array(starts, np.int64)[np.maximum(which, 0)] if starts else np.zeros(len(at), np.int64)
+        none = which < 0
+        cols = [group.column(c).combine_chunks() for c in ("file", "block", "local")]
+        cols += [pa.array(x[chosen], pa.int64(), mask=none) for x in (at, after)]
+        return pa.Table.from_arrays(cols, ["file", "block", "local", "record", "until"])
+
+    inner = all_links.select("file", "block", "local", "after").join(entered, ["file", "block"], "left")
+    walked = cut(inner.groupBy("file", "block").applyInArrow(walk, "file long, block long, local long, record long, until long"))
+    last = walked.groupBy("file", "block").agg(F.max(F.struct("record", "until")).alias("last")).join(splits, ["file", "block"])
+    ends = F.when(F.col("last.record").isNotNull(), F.struct((F.col("last.record") + F.col("base")).alias("at"), (F.col("last.until") + F.col("base")).alias("until")))
+    carried = F.last(ends, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    last = last.select("file", "block", "base", carried.alias("carried"))
+    own = walked.join(last, ["file", "block"]).withColumn("byte", F.col("local") + F.col("base"))
+    at = F.coalesce(F.col("record") + F.col("base"), F.col("carried.at"))
+    until = F.coalesce(F.col("until") + F.col("base"), F.col("carried.until"))
+    own = own.select("file", "block", "local", "byte", at.alias("at"), until.alias("until")).where((F.col("byte") >= 0) & (F.col("byte") < F.col("until")))
+    counts = own.groupBy("file", "at").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    return own.join(counts, ["file", "at"], "left").select("file", "block", "local", "at", F.coalesce("pieces", F.lit(1)).alias("pieces"))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record of the archives under path.
 
     (file, at, record_type, page_id, url, refers_to, named_digest, payload, sound): payload is binary, whole,
-    also where it holds the magic; sound says that it has its full length. Each file's offsets and chunks are
-    put in order in one task, so files should be of the usual size, about a gigabyte. A file without records
+    also where it holds the magic; sound says that it has its full length. Texts are joined once to the places
+    of the records; those whose payload holds the magic are put together from their pieces. A file without records
     gives none; bytes behind a broken boundary are not on the chain and are left out.
     """
-    parts = chunks(spark, path)
-    on = reachable(candidates(parts)).withColumn("begins", F.lit(True))
-    order = Window.partitionBy("file").orderBy("at")
-    owned = parts.join(on, ["file", "at"], "left").where("at >= 0")
-    owned = owned.withColumn("record", F.last(F.when(F.col("begins"), F.col("at")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    pieces = owned.where("record is not null").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("pieces"))
-    whole = F.array_join(F.transform("pieces", lambda p: p["value"]), MAGIC)
-    rec = pieces.select("file", F.col("record").alias("at"), whole.alias("whole"))
-    head = F.substring_index("whole", END, 1)
-    rec = rec.withColumns({"head": head, "data": F.col("whole").cast("binary")})
+    chunks = scan(spark, path)
+    owned = small(boundaries(chunks))
+    both = placed(chunks).join(owned, ["file", "block", "local"])
+    single = both.where("pieces = 1").select("path", "at", F.col("value").alias("whole"))
+    parts = both.where("pieces > 1").groupBy("path", "at").agg(F.array_sort(F.collect_list(F.struct("block", "local", "value"))).alias("parts"))
+    rec = single.unionByName(parts.select("path", "at", F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).alias("whole")))
+    rec = rec.select(F.col("path").alias("file"), "at", F.substring_index("whole", END, 1).alias("head"), F.col("whole").cast("binary").alias("data"))
 
     def field(key: str, pattern: str) -> Column:
         got = F.regexp_extract("head", rf"(?im)^{key}:[ \t]*{pattern}[ \t]*\r?$", 1)
@@ -156,11 +286,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to): a revisit has the figures of its response's payload."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to): a revisit has the figures of its response's payload.
+
+    The response is the one that the revisit names whose payload has the named digest; several records may
+    have one id. A revisit whose response is not there keeps the digest that it names and has no size.
+    """
     own = records.select("page_id", "record_type", "refers_to", "named_digest", F.octet_length("payload").cast("long").alias("size"), sha1_base32(F.col("payload")).alias("digest"))
-    own = stored(own, "warc-figures")  # used three times; the payloads move once
-    first = own.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("source")).agg(F.max(F.struct("size", "digest")).alias("seen"))
-    revisits = own.where("record_type = 'revisit'").join(first, F.col("refers_to") == F.col("source"), "left")
-    done = revisits.select("page_id", F.col("seen.size").alias("payload_bytes"), F.coalesce("seen.digest", "named_digest").alias("payload_digest"), "record_type", "refers_to")
+    own = stored(own, "warc-figures")  # used three times; the payloads are read once
+    first = own.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("source"), F.col("digest").alias("same")).agg(F.max("size").alias("seen"))
+    revisits = own.where("record_type = 'revisit'").join(first, (F.col("refers_to") == F.col("source")) & (F.col("named_digest") == F.col("same")), "left")
+    done = revisits.select("page_id", F.col("seen").alias("payload_bytes"), F.col("named_digest").alias("payload_digest"), "record_type", "refers_to")
     plain = own.where("record_type = 'response'").select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     return plain.unionByName(done)
