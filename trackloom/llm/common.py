@@ -16,7 +16,7 @@ LOWER = UPPER.lower()
 #: Rows in one Arrow batch; texts may be long, so batches stay far below Spark's default of 10,000 rows.
 ARROW_ROWS = 512
 #: A side of a join is broadcast up to so many bytes, counted before; beyond them Spark shuffles both sides.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

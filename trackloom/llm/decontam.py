@@ -38,8 +38,8 @@ def windows(tokens: Column, length: int) -> Column:
     return grams(tokens, length, lambda *w: F.concat_ws(" ", *w))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5) -> DataFrame:
-    """(row, n_words, n_hit, item_ids) for every row of docs; row is the input row as a struct.
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5, columns: list[str] | None = None) -> DataFrame:
+    """(row, n_words, n_hit, item_ids) for every row of docs; row is the input row as a struct, or what `columns` names of it.
 
     A window is `window` consecutive words of an item, or all words of a shorter item. n_hit counts the words
     of the document inside any occurrence of a window, item_ids lists the items that have one.
@@ -48,7 +48,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     makes its text one. In the candidates the hits are extended: each run of words is held against the items'
     windows, word for word. Items too short to winnow are sought by all runs of their own length. Texts are
     keyed by a 128-bit hash, so copies are examined once; a null or empty text has no words and no hits.
-    The benchmark's tables are broadcast only up to a size counted before. Items with a null id count as hits
+    The benchmark's tables, the candidates' keys and the hits are stored, and broadcast only up to a size counted before;
+    else the joins can be split where a text is hot. Items with a null id count as hits
     but are not listed; items of the same id count as one.
     """
     rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("key"))
@@ -91,8 +92,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         ),
         lambda a: a["n"],
     )
-    hits = hits.select(F.col("key").alias("hit_key"), covered.cast("long").alias("n_hit"), "item_ids")
-    counted = rows.select("row", "key", F.size(words(F.col("body"))).cast("long").alias("n_words"))
+    hits = small(hits.select(F.col("key").alias("hit_key"), covered.cast("long").alias("n_hit"), "item_ids"))
+    row = F.struct(*[F.col("row").getField(c).alias(c) for c in columns]) if columns else F.col("row")
+    counted = rows.select(row.alias("row"), "key", F.size(words(F.col("body"))).cast("long").alias("n_words"))
     none = F.array().cast(f"array<{benchmark.schema[item_id].dataType.simpleString()}>")
     return counted.join(hits, F.col("key") == F.col("hit_key"), "left").select(
         "row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids")

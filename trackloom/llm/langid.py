@@ -19,6 +19,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def trigrams(text: str) -> np.ndarray:
     """The runs of three characters of the lower-cased words, each word between spaces, as 63-bit numbers."""
     words = _LETTERS.findall(text.lower())
+    if not all(map(str.isalpha, words)):  # the pattern lets other numerals through, such as fractions and powers
+        words = "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
     if not words:
         return np.zeros(0, np.uint64)
     codes = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -35,8 +37,11 @@ class Filters:
     false_rate: np.ndarray
 
     @staticmethod
-    def of(grams: dict[str, np.ndarray], bits: int = 17, hashes: int = 4) -> Filters:
+    def of(grams: dict[str, np.ndarray], hashes: int = 4, least_bits: int = 14) -> Filters:
+        """Filters of one size, of which the fullest sets about a third of its bits at most."""
         langs = sorted(grams)
+        most = max((len(v) for v in grams.values()), default=0)
+        bits = max(least_bits, (hashes * most * 5 // 2).bit_length())
         slots = np.zeros((1 << bits, max(1, -(-len(langs) // 64))), np.uint64)
         for i, lang in enumerate(langs):
             for at in places(grams[lang], bits, hashes):
@@ -72,12 +77,12 @@ def places(grams: np.ndarray, bits: int, hashes: int) -> list[np.ndarray]:
     return [((x + np.uint64(j) * step) & np.uint64((1 << bits) - 1)).astype(np.int64) for j in range(hashes)]
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 2000, keep: int = 4000, near: float = 0.3) -> Filters:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = 2000, least_docs: int = 2, near: float = 0.3) -> Filters:
     """Filters from the labelled rows that are not held out.
 
     About per_lang rows of each language, drawn by a hash of the id, are read; so the model's cost is bounded
-    by the number of languages. A language's filter holds those of its `keep` trigrams in the most documents
-    that are at least `near` times as common in it as in any other language.
+    by the number of languages. A language's filter holds those of its trigrams that occur in `least_docs` of them or more
+    and are at least `near` times as common in it as in any other language.
     """
     rows = packed(docs, text).select(F.col("row").getField(doc_id).alias("id"), F.col("row").getField(lang).alias("lang"), "body").where(F.col("lang").isNotNull() & ~held_out(F.col("id")))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # a row for each language
@@ -100,9 +105,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     size = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(min(n, per_lang))))])
     rate = sums.withColumn("rate", F.col("n") / size[F.col("lang")])
     rate = rate.withColumn("top", F.max("rate").over(Window.partitionBy("gram"))).where(F.col("rate") >= near * F.col("top"))
-    best = rate.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("nth") <= keep)
     grams: dict[str, list[int]] = {k: [] for k in counts}
-    for r in best.select("lang", "gram").collect():  # at most `keep` for each language
+    for r in rate.where(F.col("n") >= least_docs).select("lang", "gram").collect():  # of a bounded sample
         grams[r[0]].append(r[1])
     return Filters.of({k: np.array(v, np.int64).view(np.uint64) for k, v in grams.items()})
 

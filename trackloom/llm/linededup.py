@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ascii_lower, packed, text_key
+from trackloom.llm.common import ascii_lower, packed, small, text_key
 
 #: What is stripped from both ends of a line: space, tab, newline, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -34,20 +34,23 @@ def drop_shared_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, m
 
     Lines are exploded, hashed and counted over documents; the positions of the lines that reach min_docs
     go back to their texts, where the other lines are joined again in order. Texts are keyed by a 128-bit
-    hash, so repeated rows, repeated ids and null ids need no key of their own, and what copies share is
-    joined once. A null or empty text is one empty line. Lines of blanks only have the empty key and stay.
+    hash, so repeated rows, repeated ids and null ids need no key of their own. The shared lines and the positions are
+    stored, and broadcast if they are small; else the joins can be split where a line or text is hot, and texts
+    move once. A null or empty text is one empty line. Lines of blanks only have the empty key and stay.
     """
-    rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("key"))
-    common = shared_lines(docs, text, min_docs, min_chars).select("line_hash")
-    lines = rows.select("key", F.posexplode(F.transform(F.split("body", "\n", -1), lambda x: text_key(line_key(x)))).alias("pos", "line_hash"))
-    found = lines.join(common, "line_hash").groupBy("key").agg(F.collect_set("pos").alias("dropped"))
-    joined = rows.join(found.withColumnRenamed("key", "found_key"), F.col("key") == F.col("found_key"), "left")
-    lines, dropped = F.split("body", "\n", -1), F.coalesce("dropped", F.array().cast("array<int>"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
-    kept = F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n")
+    rows = packed(docs, text)
+    body = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
+    split = F.split("body", "\n", -1)
+    common = small(shared_lines(docs, text, min_docs, min_chars).select("line_hash"))
+    lines = rows.select(text_key(F.col("body")).alias("key"), F.posexplode(F.transform(split, lambda x: text_key(line_key(x)))).alias("pos", "line_hash"))
+    found = small(lines.join(common, "line_hash").groupBy("key").agg(F.collect_set("pos").alias("dropped")))
+    joined = rows.select("row", text_key(F.col("body")).alias("key")).join(found.withColumnRenamed("key", "found_key"), F.col("key") == F.col("found_key"), "left")
+    joined = joined.select("row", body.alias("body"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "dropped")
+    kept = F.array_join(F.transform(stay, lambda p: F.get(split, p)), "\n")
     return joined.select(
         "row",
-        F.when(F.col("dropped").isNull(), F.col("body")).otherwise(kept).alias("kept_text"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.size(dropped).cast("long").alias("n_dropped"),
+        F.when(F.size("dropped") == 0, F.col("body")).otherwise(kept).alias("kept_text"),
+        F.size(split).cast("long").alias("n_lines"),
+        F.size("dropped").cast("long").alias("n_dropped"),
     )

@@ -8,16 +8,16 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import cut, limit_batches, map_texts, packed, small, stored, text_key
 
 SHINGLE = 5
-#: Bands of the signature and registers in each. At a similarity of 0.8 a pair meets in some band with probability 1 - 3e-5.
+#: Bands of a signature and registers in each. At a similarity of 0.8, weighted or not, a pair meets in some band with probability 1 - 3e-5.
 BANDS, ROWS = 20, 4
 THRESHOLD = 0.8
-#: Members of a bucket that all others are compared with first; FIRST, or LARGE in buckets of more than LATER members.
+#: Members of a bucket that all others are compared with first, at most; FIRST, or LARGE in buckets of more than LATER members.
 FIRST, LATER, LARGE = 4, 32, 2
 #: A bucket of more than LATER members is compared in blocks of about so many members and bytes of shingles, so many distinct shingles at a time.
 BLOCK, BLOCK_BYTES, COLUMNS = 1000, 16 << 20, 2048
@@ -97,6 +97,15 @@ def band_hashes(held: np.ndarray) -> list[int]:
     return sums.view(np.int64).tolist()
 
 
+def bands_of(words: list[bytes]) -> list[int]:
+    """The buckets of a text: by its weighted shingles and, where some shingle repeats, by the set of them too."""
+    elements, counts = shingles(words)
+    bands = band_hashes(signature(elements, counts))
+    if (counts > 1).any():
+        bands += band_hashes(signature(elements, np.ones(len(elements))))
+    return bands
+
+
 def _signed(rows: DataFrame) -> DataFrame:
     """(text_key, key, bands): key stands for the sequence of words, so texts that differ in case or marks only share it; null without words."""
 
@@ -105,7 +114,7 @@ def _signed(rows: DataFrame) -> DataFrame:
             words = word_list(text)
             if not words:
                 return None, None
-            return hashlib.md5(b" ".join(words)).digest(), band_hashes(signature(*shingles(words)))
+            return hashlib.md5(b" ".join(words)).digest(), bands_of(words)
 
         def work(texts: list) -> dict[str, list]:
             got = [one(t) for t in texts]
@@ -117,7 +126,10 @@ def _signed(rows: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """(key, marks, counts): shingles as sorted 32-bit hashes, and their counts where one exceeds 1."""
+    """(key, marks, counts): shingles as sorted 32-bit hashes, and their counts where one exceeds 1.
+
+    Two texts of n shingles have about n * n / 2**32 chance meetings among them, too few to move a similarity.
+    """
 
     def make() -> Callable:
         def one(text: str) -> tuple[bytes, bytes]:
@@ -200,36 +212,39 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members of a bucket are compared with a few of them, and what passes is linked. Buckets of up to LATER
     members that are still of several classes get all their pairs, larger ones all pairs of different
     classes, block against block. So every pair of texts that shares a bucket is linked, or in one class, if it is similar.
+    What is known of a bucket is worked out with sums inside the map tasks and stored, so that joins on the bucket
+    can be split where one is hot.
     """
     signed = stored(_signed(rows), "signatures").where("key is not null")
     keys = cut(signed.groupBy("key").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
-    filed = keys.select("key", F.explode("bands").alias("band"))
+    filed = keys.select("key", F.explode(F.array_distinct("bands")).alias("band"))
     number = F.xxhash64("key")
-    shared = filed.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high"), F.count("*").alias("n")).where("low != high").select("band", "n")
+    shared = small(filed.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high"), F.count("*").alias("n")).where("low != high").select("band", "n"))
     lying = filed.join(shared, "band").groupBy("key").agg(F.collect_list(F.struct("band", "n")).alias("at"), F.sum("n").alias("weight"))
     members = stored(lying.select("key", "weight", F.inline("at")), "buckets")
     chosen = small(keys.select("key", "text_key").join(members.select("key").distinct(), "key", "left_semi"))
     texts = rows.join(chosen, "text_key").groupBy("key").agg(F.first("body").alias("body"))
     sets = stored(_sets(texts), "shingles")
 
-    def pairs(of: DataFrame, many: int) -> DataFrame:
-        """Each member of a bucket with up to `many` others, the same for all; all pairs of buckets that are no larger.
+    def stars() -> DataFrame:
+        """Each member of a bucket with its centres.
 
-        The order is one for all buckets, so a class has much the same centres in each of its buckets, and
-        every map task passes on only that many rows of a bucket. A text in many large buckets comes first:
+        A bucket's members are dealt by their hash, and the first of each hand is a centre. The order is one for all
+        buckets, so a class has much the same centres in each of its buckets. A text in many large buckets comes first:
         it lies amid its group, so that more of the group is near to it than to others.
         """
-        nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("weight"), "key"))
-        centres = of.select("band", "n", "key", nth.alias("nth")).where(F.col("nth") <= F.when(F.col("n") <= LATER, many).otherwise(min(many, LARGE)))
-        star = of.select("band", F.col("key").alias("b")).join(centres.select("band", F.col("key").alias("a")), "band").where("a != b")
+        hand = F.pmod(F.xxhash64("key"), F.when(F.col("n") <= LATER, FIRST).otherwise(LARGE))
+        first = members.groupBy("band", hand.alias("hand")).agg(F.min(F.struct((-F.col("weight")).alias("weight"), "key")).alias("first"))
+        centres = small(first.select("band", F.col("first.key").alias("a")))
+        star = members.select("band", F.col("key").alias("b")).join(centres, "band").where("a != b")
         return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def mixed(roots: DataFrame, above: int) -> DataFrame:
-        """The members, with their classes, of buckets of more than `above` members that are of several classes."""
-        placed = members.where(F.col("n") > above).join(roots, "key", "left").select("band", "n", "key", "weight", F.coalesce("root", "key").alias("root"))
+    def mixed(roots: DataFrame, of: DataFrame) -> DataFrame:
+        """Those of the members, with their classes, whose buckets are of several classes."""
+        placed = of.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
         number = F.xxhash64("root")
         several = placed.groupBy("band").agg(F.min(number).alias("r"), F.max(number).alias("s")).where("r != s").select("band")
-        return placed.join(several, "band", "left_semi")
+        return placed.join(small(several), "band", "left_semi")
 
     def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
         """roots after the classes that links (a, b) name have become one."""
@@ -238,13 +253,15 @@ def classes(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         known = roots.join(moved, "root", "left").select("key", F.coalesce("new", "root").alias("root"))
         return cut(known.unionByName(joined.join(roots, "key", "left_anti")))
 
-    tried = cut(pairs(members, FIRST))
+    tried = cut(stars())
     roots = cut(components(_verified(tried, sets, threshold)))
-    later = pairs(mixed(roots, FIRST).where(F.col("n") <= LATER), LATER).join(tried, ["a", "b"], "left_anti")
-    fresh = cut(_across(later, roots))
+    few = cut(mixed(roots, members.where(F.col("n") <= LATER)))
+    ends = lambda c: few.select("band", F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
+    later = ends("a").join(ends("b"), "band").where("a < b and a_root != b_root").drop("band").distinct()
+    fresh = cut(later.join(tried, ["a", "b"], "left_anti"))
     links = fresh.join(_verified(fresh.select("a", "b"), sets, threshold), ["a", "b"])
     roots = merged(roots, links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
-    large = cut(mixed(roots, LATER).select("band", "key", "root"))
+    large = cut(mixed(roots, members.where(F.col("n") > LATER)))
     if not large.isEmpty():
         roots = merged(roots, _block_links(large, sets, threshold))
     return signed.select("text_key", "key").distinct().join(roots, "key", "left").select("text_key", F.coalesce("root", "key").alias("class"))
@@ -351,39 +368,37 @@ def class_links(roots: list[bytes], marks: list[bytes], counts: list[bytes], lef
     return [(names[k], names[label[k]]) for k in np.flatnonzero(label != np.arange(len(names)))]
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b, a_root, b_root): the pairs whose keys are not of one class yet, and their classes."""
-    of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
-    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    both = both.select("a", "b", F.coalesce("a_root", "a").alias("a_root"), F.coalesce("b_root", "b").alias("b_root"))
-    return both.where("a_root != b_root")
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, text_key, class, class_id, n_in_class) for every row of docs: class_id is the least id of its near-duplicates.
 
-    Documents of five-word shingles with a similarity of 0.8 or more are linked, and links make classes. A
-    document without words (null, empty, marks only) is alone in its class, as is one that nothing is
-    linked to. Repeated rows count as copies; null ids are in classes but never their class_id unless
+    Documents whose five-word shingles have a similarity of 0.8 or more, by their sets or with their counts, are
+    linked, and links make classes. Equal texts are of one class. A null or empty text is alone in its class, as is
+    one that nothing is linked to. Repeated rows count as copies; null ids are in classes but never their class_id unless
     alone.
     """
     rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("text_key"))
-    found = classes(rows.select("text_key", "body"), threshold)
-    own = cut(rows.select(F.col("row").getField(doc_id).alias("id"), "text_key").join(found, "text_key", "left"))
-    sums = own.where("class is not null").groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("n_in_class"))
+    found = small(classes(rows.select("text_key", "body"), threshold))
+    same = F.coalesce("class", F.when(F.col("body") != "", F.col("text_key")))
+    own = cut(rows.join(found, "text_key", "left").select(F.col("row").getField(doc_id).alias("id"), "text_key", same.alias("class")))
+    sums = small(own.where("class is not null").groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("n_in_class")))
     joined = own.join(sums, "class", "left")
     return joined.select("id", "text_key", F.coalesce("class", "text_key").alias("class"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_in_class", F.lit(1)).cast("long").alias("n_in_class"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs with one of each class, that with the least id, and every row without words."""
+    """The rows of docs with one of each class, that with the least id, and every row with an empty text.
+
+    If several rows of a class have its least id, that with the least text hash stays, and one of rows that are equal in id and text.
+    """
     found = cut(near_duplicates(docs, doc_id, text, threshold))
-    stay = found.where(F.col("id").eqNullSafe(F.col("class_id"))).select("id", "text_key", "class")
-    one = stay.groupBy("id", "class").agg(F.min("text_key").alias("text_key"), F.count("*").alias("n"))
-    repeated = not one.where("n > 1").isEmpty()  # the least id of a class stands at several rows: its least text stays
-    stay = (one if repeated else stay).select("id", "text_key")
-    rows = docs.withColumn("__text_key", text_key(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
-    kept = rows.join(stay, rows["__text_key"].eqNullSafe(stay["text_key"]) & rows[doc_id].eqNullSafe(stay["id"]), "left_semi")
+    least = F.col("id").eqNullSafe(F.col("class_id"))
+    gone = found.where(~least).select("id", "text_key")
+    again = cut(found.where(least).groupBy("id", "class").agg(F.min("text_key").alias("stays"), F.count("*").alias("n")).where("n > 1"))
+    repeated = not again.isEmpty()
     if repeated:
-        kept = kept.dropDuplicates([doc_id, "__text_key"])
-    return kept.drop("__text_key")
+        both = found.where(least).alias("f").join(again.alias("g"), F.expr("f.id <=> g.id and f.class = g.class"))
+        gone = gone.unionByName(both.where("f.text_key != g.stays").select("f.id", "f.text_key"))
+    gone = small(gone.distinct().select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")))
+    rows = packed(docs, text).select("row", F.col("row").getField(doc_id).alias("id"), text_key(F.col("body")).alias("key"))
+    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti")
+    return (kept.dropDuplicates(["id", "key"]) if repeated else kept).select("row.*")

@@ -34,7 +34,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
-    found = decontam.contamination(docs, items)
+    found = decontam.contamination(docs, items, columns=["doc_id"])
     ids = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
     return found.select(
         "row.doc_id",
@@ -74,7 +74,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = spark.conf.get("spark.trackloom.pii.secret", None)
+    masked = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=named.encode() if named else pii.DEMO_KEY)
     return masked.select("row.doc_id", F.col("masked_text").alias("text"), *[f"n_{k}" for k in pii.KINDS], "spans")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import packed, text_key
+from trackloom.llm.common import packed, small, text_key
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -99,7 +99,7 @@ def scan(docs: DataFrame, text: str = "text", reach: int = 200, least: int = 12)
     """
     rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("key"))
     strong = rows.select("row", "key", *[parts(F.col("body"), k, least).alias(k) for k in KINDS[:3]])
-    more = linked(rows.select("key", "body"), reach, least).withColumnRenamed("key", "found_key")
+    more = small(linked(rows.select("key", "body"), reach, least).withColumnRenamed("key", "found_key"))
     none = F.array().cast("array<struct<start:int,stop:int,kind:string>>")
     return strong.join(more, F.col("key") == F.col("found_key"), "left").select("row", *KINDS[:3], F.coalesce("extra", none).alias("extra"))
 
