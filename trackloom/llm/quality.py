@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from trackloom.llm.common import map_texts, packed
 
 SYMBOLS = "#*$%&|<>"
-#: Phrases of legal and site furniture; fixed values.
+#: Signs between the entries of a menu; fixed values.
+BARS = "|»›•·"
+#: Phrases of legal and site furniture in the corpus's languages; fixed values.
 BOILERPLATE = (
     "all rights reserved",
     "licensed under",
@@ -29,6 +31,33 @@ BOILERPLATE = (
     "skip to content",
     "lorem ipsum",
     "enable javascript",
+    "alle rechte vorbehalten",
+    "lizenziert unter",
+    "nutzungsbedingungen",
+    "datenschutzerklärung",
+    "wir verwenden cookies",
+    "cookies akzeptieren",
+    "newsletter abonnieren",
+    "hier klicken",
+    "zum inhalt springen",
+    "tous droits réservés",
+    "sous licence",
+    "conditions d'utilisation",
+    "politique de confidentialité",
+    "nous utilisons des cookies",
+    "accepter les cookies",
+    "abonnez-vous à notre newsletter",
+    "cliquez ici",
+    "aller au contenu",
+    "todos los derechos reservados",
+    "bajo licencia",
+    "términos de uso",
+    "política de privacidad",
+    "utilizamos cookies",
+    "aceptar cookies",
+    "suscríbete a nuestro boletín",
+    "haz clic aquí",
+    "saltar al contenido",
 )
 
 
@@ -43,6 +72,8 @@ class Rules:
     max_shout_share: float = 0.5
     max_bar_share: float = 0.15
     max_run_share: float = 0.5
+    min_run_words: int = 6
+    max_boiler_share: float = 0.05
     max_lost_share: float = 0.5
 
 
@@ -85,13 +116,15 @@ def line_fault(line: bytes, words: list[bytes], rules: Rules) -> str | None:
         return "punctuation"
     if line.count(b"!!") and sum(1 for w in words if _SHOUT.search(w)) > rules.max_shout_share * n:
         return "punctuation"
-    if line.count(b"|") > rules.max_bar_share * n:
+    bars = line.count(b"|") if line.isascii() else sum(map(line.decode("utf-8", "replace").count, BARS))
+    if bars > rules.max_bar_share * n:
         return "navigation"
-    if n > 5:
+    if n >= rules.min_run_words:
         runs = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
         if runs > rules.max_run_share * (n - 1):
             return "repetition"
-    if n <= 40 and _BOILER.search(line.decode("utf-8", "replace")):
+    phrases = _BOILER.findall(line.decode("utf-8", "replace"))
+    if phrases and sum(len(p.split()) for p in phrases) > rules.max_boiler_share * n:
         return "boilerplate"
     return None
 
@@ -131,7 +164,7 @@ def judge(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFr
     """(row, statistics, base_failed, kept, clean_text, n_lines_removed) for every row of docs, without a shuffle.
 
     Words are runs without ASCII blanks. Each line with a word is held against the rules for punctuation,
-    navigation, repetition and boilerplate; failing lines leave clean_text. A document is kept if it passes
+    navigation, repetition and boilerplate, which are shares of the line and hold at any length; failing lines leave clean_text. A document is kept if it passes
     the base rules (enough words, few repeated windows) and its failing lines hold at most max_lost_share of
     its text. A null or empty text has no words, fails, and is not kept.
     """

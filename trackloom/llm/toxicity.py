@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import held_out, limit_batches, map_texts, packed
+from trackloom.llm.common import cut, held_out, limit_batches, map_texts, packed
 
 _WORD = re.compile(r"[^\W_]+")
 _QUOTES = re.compile("[\"“”„«»]")
@@ -33,45 +33,57 @@ class Automaton:
     """
 
     terms: dict[str, float]
-    fuzzy_from: int = 5
+    one_from: int = 5
+    two_from: int = 10
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: dict[int, str] = field(default_factory=dict)
+    deepest: list[int] = field(default_factory=lambda: [0])
 
     def __post_init__(self) -> None:
         for term in self.terms:
-            node = 0
+            path = [0]
             for c in term:
-                nxt = self.children[node].get(c)
+                nxt = self.children[path[-1]].get(c)
                 if nxt is None:
                     nxt = len(self.children)
-                    self.children[node][c] = nxt
+                    self.children[path[-1]][c] = nxt
                     self.children.append({})
-                node = nxt
-            self.ends[node] = term
+                    self.deepest.append(0)
+                path.append(nxt)
+            self.ends[path[-1]] = term
+            for node in path:
+                self.deepest[node] = max(self.deepest[node], self.edits(term))
         self.forget()
 
+    def edits(self, term: str) -> int:
+        """How many edits a word may be from a term: none for short terms, two for long ones."""
+        return 0 if len(term) < self.one_from else 1 if len(term) < self.two_from else 2
+
     def forget(self) -> None:
         self.start = self.closed({(0, 0)})
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
 
     def closed(self, states: set[tuple[int, int]]) -> frozenset:
-        """With what is reached by leaving out a letter of a term."""
-        more = {(child, 1) for node, edits in states if not edits for child in self.children[node].values()}
-        return frozenset(states | more)
+        """With what is reached by leaving out letters of a term. A node has no more edits than some term below it may have."""
+        out, fresh = set(states), states
+        while fresh:
+            fresh = {(child, n + 1) for node, n in fresh for child in self.children[node].values() if n < self.deepest[child]} - out
+            out |= fresh
+        return frozenset(out)
 
     def step(self, states: frozenset, c: str) -> frozenset:
         out: set[tuple[int, int]] = set()
-        for node, edits in states:
+        for node, n in states:
             child = self.children[node].get(c)
-            if child is not None:
-                out.add((child, edits))
-            if not edits:
-                out.add((node, 1))
-                out.update((other, 1) for other in self.children[node].values())
+            if child is not None and n <= self.deepest[child]:
+                out.add((child, n))
+            if n < self.deepest[node]:
+                out.add((node, n + 1))
+                out.update((other, n + 1) for other in self.children[node].values() if n < self.deepest[other])
         return self.closed(out)
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The term nearest to the word and its distance, 0 or 1; of equals the heaviest, then the first. Short terms must match exactly."""
+        """The term nearest to the word and its distance; of equals the heaviest, then the first."""
         states = self.start
         if len(self.steps) > MAX_MEMORY:
             self.forget()
@@ -82,7 +94,7 @@ class Automaton:
             if not nxt:
                 return None
             states = nxt
-        found = [(edits, -self.terms[t], t) for node, edits in states if (t := self.ends.get(node)) and (not edits or len(t) >= self.fuzzy_from)]
+        found = [(n, -self.terms[t], t) for node, n in states if (t := self.ends.get(node)) and n <= self.edits(t)]
         return (min(found)[2], min(found)[0]) if found else None
 
 
@@ -103,7 +115,7 @@ class Scorer:
     def look_up(self, word: str) -> tuple[str, int] | None:
         if word in self.terms:
             return word, 0
-        if word in self.known or len(word) < self.automaton.fuzzy_from - 1:
+        if word in self.known or len(word) < self.automaton.one_from - 1:  # too short for any term that allows an edit
             return None
         return self.automaton.match(word)
 
@@ -161,12 +173,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, turns: int = 3
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 20_000, max_terms: int = 3000, least_docs: int = 4, least_weight: float = 2.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 20_000, least_docs: int = 3, least_weight: float = 2.0) -> Model:
     """A lexicon with weights, and how hits are weighed, from labelled rows that are not held out.
 
-    About `sample` labelled rows, drawn by a hash of the id, are read; so the model's cost is bounded. Half
-    of them give the lexicon: words whose documents are toxic far more often than others (log-odds). The
-    other half gives the weights of the features. Of several labels for an id the largest counts; rows
+    About `sample` labelled rows, drawn by a hash of the id, are read; so the model's cost is bounded. The
+    lexicon is words whose documents are toxic far more often than others (log-odds). The weights of
+    the features come from cross-fitting: each half of the rows is looked at with the lexicon of the other
+    half; the model has the lexicon of all. Of several labels for an id the largest counts; rows
     without a label are not used. Without labels, or with one class only, every score is 0.
     """
     known_labels = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("label_id")).agg(F.max(label).cast("int").alias("y"))
@@ -175,50 +188,60 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n = chosen.count()
     part = min(1.0, sample / n) if n else 0.0
     chosen = chosen.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < part * 1_000_000)
-    drawn = rows.join(chosen, F.col("id") == F.col("label_id")).select("y", "body", (F.pmod(F.xxhash64(F.lit("half"), F.col("id")), F.lit(2)) == 0).alias("first"))
+    drawn = rows.join(chosen, F.col("id") == F.col("label_id")).select("y", "body", F.pmod(F.xxhash64(F.lit("half"), F.col("id")), F.lit(2)).alias("half"))
+    drawn = cut(drawn)  # a bounded sample, read three times
 
     def count(batches):
         for batch in batches:
-            toxic: dict[str, list[int]] = {}
-            for y, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            toxic: dict[tuple[int, str], list[int]] = {}
+            for y, body, half in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 for w in set(_WORD.findall(body.lower())):
-                    toxic.setdefault(w, [0, 0])[1 - (y > 0)] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(toxic), pa.string()), pa.array([v[0] for v in toxic.values()], pa.int64()), pa.array([v[1] for v in toxic.values()], pa.int64())], ["word", "t", "c"])
+                    toxic.setdefault((half, w), [0, 0])[1 - (y > 0)] += 1
+            cols = [[k[0] for k in toxic], [k[1] for k in toxic], [v[0] for v in toxic.values()], [v[1] for v in toxic.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["half", "word", "t", "c"])
 
     limit_batches(docs.sparkSession)
-    half = drawn.where("first")
-    sizes = half.groupBy((F.col("y") > 0).alias("bad")).count().collect()
-    n_toxic, n_clean = (sum(r[1] for r in sizes if r[0] is bad) for bad in (True, False))
+    sizes = [(r[0], r[1], r[2]) for r in drawn.groupBy("half", (F.col("y") > 0).alias("bad")).count().collect()]
+    sums = cut(drawn.mapInArrow(count, "half long, word string, t long, c long").groupBy("half", "word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")))
+
+    def lexicon(halves: tuple[int, ...]) -> tuple[dict[str, float], frozenset] | None:
+        """Terms and known words of the rows of these halves, if both classes are there; bounded by the sample."""
+        n_toxic, n_clean = (sum(k for h, bad, k in sizes if h in halves and bad is want) for want in (True, False))
+        if not n_toxic or not n_clean:
+            return None
+        both = sums.where(F.col("half").isin(*halves)).groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+        weight = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
+        heavy = both.withColumn("w", weight).where((F.col("t") >= least_docs) & (F.col("w") >= least_weight) & (F.char_length("word") >= 3))
+        terms = {r[0]: float(r[1]) for r in heavy.select("word", "w").collect()}
+        known = frozenset(r[0] for r in both.where("c >= 3").select("word").collect()) - terms.keys()
+        return terms, known
+
     none = Model({}, frozenset(), np.zeros(8), np.zeros(7), np.ones(7))
-    if not n_toxic or not n_clean:
+    whole = lexicon((0, 1))
+    if whole is None:
         return none
-    sums = half.select("y", "body").mapInArrow(count, "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    weight = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
-    heavy = sums.withColumn("w", weight).where((F.col("t") >= least_docs) & (F.col("w") >= least_weight) & (F.char_length("word") >= 3))
-    terms = {r[0]: float(r[1]) for r in heavy.orderBy(F.desc(F.col("w") * F.sqrt("t")), "word").limit(max_terms).select("word", "w").collect()}
-    common = sums.where("c >= 3").orderBy(F.desc("c"), "word").limit(20 * max_terms).select("word").collect()
-    known = frozenset(r[0] for r in common) - terms.keys()
-    shared = docs.sparkSession.sparkContext.broadcast((terms, known))
+    other = {h: lexicon((1 - h,)) or whole for h in (0, 1)}
+    shared = docs.sparkSession.sparkContext.broadcast(other)
 
     def look(batches):
-        scorer = Scorer(*shared.value)
+        scorers = {h: Scorer(*own) for h, own in shared.value.items()}
         for batch in batches:
-            made = [scorer.features(b) for b in batch.column(1).to_pylist()]
+            made = [scorers[half].features(body) for body, half in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(made, pa.list_(pa.float64()))], ["y", "x"])
 
-    seen = drawn.where(~F.col("first")).select("y", "body").mapInArrow(look, "y int, x array<double>").collect()  # half the sample, seven numbers each
+    seen = drawn.mapInArrow(look, "y int, x array<double>").collect()  # the sample, seven numbers each
     y = np.array([float(r[0] > 0) for r in seen])
     if not len(y) or y.min() == y.max():
         return none
     x = np.array([r[1] for r in seen])
     means, spreads = x.mean(0), np.maximum(x.std(0), 1e-6)
-    return Model(terms, known, _logistic((x - means) / spreads, y), means, spreads)
+    return Model(*whole, _logistic((x - means) / spreads, y), means, spreads)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """(row, score, predicted) for every row of docs, without a shuffle.
 
-    Each word of the whole text is held against the lexicon, exactly or within one edit; hits inside
+    Each word of the whole text is held against the lexicon, exactly or within an edit, two for long terms; hits inside
     quotations count apart. Words that are frequent in clean documents are not taken for misspellings. A
     null or empty text has no hits and the score of such texts. predicted is 1 from the threshold on.
     """
