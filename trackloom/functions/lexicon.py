@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,17 +45,53 @@ DIRECTIONS = {"INSERT": "INTO", "CLOSE": "INTO", "REMOVE": "OUT_OF", "OPEN": "OU
 STATEFUL = ("PICK", "PLACE", "OPEN", "CLOSE", "INSERT", "REMOVE", "GRASP", "RELEASE")
 
 
+#: What leads to a place rather than to the thing in the hand, and the words between the two.
+LOCATIVES = ("into", "in", "onto", "on", "from", "out of", "off", "inside", "under", "over", "at", "against", "toward", "towards", "near", "beside", "to")
+DETERMINERS = ("the", "a", "an", "its", "his", "her", "their")
+#: Words that say that a thing is open or closed.
+OPEN_WORDS = r"\b(?:is open|was open|opened|open)\b"
+CLOSED_WORDS = r"\b(?:is closed|was closed|closed|shut|shuts)\b"
+#: Words that deny an action.
+DENIALS = {
+    "PICK": r"\b(stationary|not lifted|no pickup|did not lift|did not move|did not pick)\b",
+    "PLACE": r"\b(kept holding|not placed|no placement|did not place)\b",
+    "OPEN": r"\b(already open|not opened|remained closed)\b",
+    "CLOSE": r"\b(already closed|not closed|remained open)\b",
+}
+#: Actions, the state that they leave and what must be said for it, the state that they find and what says so.
+STATE_RULES = (
+    (("PICK", "GRASP"), "IN_HAND", r"\b(in hand|held|holding|lifted|pick|grab)", "ON_SURFACE", r"\b(off table|from table|off surface|from surface|picked up from|grabbed from)"),
+    (("PLACE", "RELEASE"), "ON_SURFACE", r"\b(on table|on surface|put|set|place|drop)", "IN_HAND", r"\b(was holding|from hand|held)"),
+    (("OPEN",), "OPEN", None, "CLOSED", r"\b(was closed|from closed|opened the closed)\b"),
+    (("CLOSE",), "CLOSED", None, "OPEN", r"\b(was open|from open|closed the open)\b"),
+)
+#: Opposite directions, and what a label's wording says of direction, the first that stands in it wins.
+OPPOSITE_DIRECTIONS = {"INTO": "OUT_OF", "OUT_OF": "INTO", "ONTO": "OFF", "OFF": "ONTO"}
+TEMPLATE_WORDS = (("out of", "OUT_OF"), ("off of", "OFF"), ("into", "INTO"), ("onto", "ONTO"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def mapped(values: dict[str, str], key: Column) -> Column:
+    """What a small dictionary says of a key; null if nothing."""
+    return F.element_at(F.create_map(*[F.lit(x) for p in values.items() for x in p]), key)
+
+
 def stem_pattern(stems: tuple[str, ...]) -> str:
     """Any of the stems as a whole word with one of the usual endings."""
     return rf"\b({'|'.join(stems)})({'|'.join(ENDINGS)})\b"
 
 
 BREAK_PATTERN = "|".join(BREAKS)
+LOCATIVE_PATTERN = rf"(^| )({'|'.join(LOCATIVES)}) *( ({'|'.join(DETERMINERS)}))?$"
 
 
-def first_at(text: Column, pattern: str) -> Column:
-    """Position of the first match, from 1; 0 without one."""
-    return F.regexp_instr(text, F.lit(pattern))
+def word_pattern(phrase: Column) -> Column:
+    """A pattern for a phrase as whole words."""
+    return F.concat(F.lit(r"\b\Q"), phrase, F.lit(r"\E\b"))
 
 
 def clause_after(text: Column, position: Column) -> Column:
@@ -61,61 +99,139 @@ def clause_after(text: Column, position: Column) -> Column:
     return F.get(F.split(F.substring(text, position, F.length(text)), BREAK_PATTERN, 2), F.lit(0))
 
 
-def match_action(text: Column) -> Column:
-    """(verb, at): the action that a caption names, promoted by its clause, and where its verb stands (from 1); UNKNOWN and 0 without one."""
+def blanked(low: Column, objects: Column) -> Column:
+    """A lower-case text with the names of objects, the longest first, replaced by as many spaces: no verb is read from a name."""
+    names = F.array_distinct(F.transform(F.filter(objects, lambda o: F.trim(o) != ""), lambda o: F.lower(F.trim(o))))
+    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
+    return F.coalesce(F.aggregate(longest, low, lambda t, n: F.regexp_replace(t, word_pattern(n), F.repeat(F.lit(" "), F.length(n)))), low)
+
+
+def verb_in(blank: Column) -> Column:
+    """(verb, at) of a lower-case text: the first group of stems that it has, promoted by the words of its clause; UNKNOWN and 0 without one."""
+    tries = F.array(*[F.struct(F.regexp_instr(blank, F.lit(stem_pattern(stems))).alias("at"), F.lit(name).alias("verb")) for stems, name in STEMS])
+
+    def promoted(h: Column) -> Column:
+        clause = clause_after(blank, h["at"])
+        out = None
+        for base, words, better in PROMOTIONS:
+            test = (h["verb"] == base) & clause.rlike(rf"\b({'|'.join(words)})")
+            out = F.when(test, better) if out is None else out.when(test, better)
+        return F.struct(F.coalesce(out.otherwise(h["verb"]), F.lit("UNKNOWN")).alias("verb"), F.coalesce(h["at"], F.lit(0)).alias("at"))
+
+    return let(F.get(F.filter(tries, lambda h: h["at"] > 0), F.lit(0)), promoted)
+
+
+def match_action(text: Column, objects: Column | None = None) -> Column:
+    """(verb, at): the action that a caption names and where its verb stands (from 1), names of objects aside."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    verb, at = None, None
-    for stems, name in STEMS:
-        p = stem_pattern(stems)
-        hit = low.rlike(p)
-        verb = F.when(hit, name) if verb is None else verb.when(hit, name)
-        at = F.when(hit, first_at(low, p)) if at is None else at.when(hit, first_at(low, p))
-    verb, at = verb.otherwise("UNKNOWN"), at.otherwise(0)
-    clause = clause_after(low, at)
-    out = None
-    for base, words, better in PROMOTIONS:
-        test = (verb == base) & (at > 0) & clause.rlike(rf"\b({'|'.join(words)})")
-        out = F.when(test, better) if out is None else out.when(test, better)
-    return F.struct(out.otherwise(verb).alias("verb"), at.alias("at"))
+    return let(low if objects is None else blanked(low, objects), verb_in)
+
+
+def clauses(low: Column) -> Column:
+    """array<struct<at, text>>: the clauses of a text that are not blank, trimmed, and where they begin (from 1)."""
+    pieces, breaks = F.split(low, BREAK_PATTERN, -1), F.regexp_extract_all(low, F.lit(BREAK_PATTERN), F.lit(0))
+    zero = F.struct(F.lit(1).alias("pos"), F.array().cast("array<struct<at:int,text:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        lead = F.length(x["piece"]) - F.length(F.ltrim(x["piece"]))
+        spot = F.struct((acc["pos"] + lead).cast("int").alias("at"), F.trim(x["piece"]).alias("text"))
+        after = acc["pos"] + F.length(x["piece"]) + F.coalesce(F.length(x["cut"]), F.lit(0))
+        return F.struct(after.cast("int").alias("pos"), F.when(F.trim(x["piece"]) != "", F.array_append(acc["out"], spot)).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(F.arrays_zip(pieces.alias("piece"), breaks.alias("cut")), zero, step, lambda acc: acc["out"])
+
+
+def action_clauses(text: Column, objects: Column) -> Column:
+    """array<struct<verb, at>>: the actions of a caption's clauses, or if fewer than two, that of the whole caption.
+
+    Clauses without an action or of one word don't count, nor do those that repeat the action before.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+
+    def actions(t: Column) -> Column:
+        longer = F.filter(clauses(t), lambda c: F.contains(c["text"], F.lit(" ")))
+        read = lambda c: let(let(blanked(c["text"], objects), verb_in), lambda m: F.struct(m["verb"].alias("verb"), (c["at"] + m["at"] - 1).alias("at")))
+        known = F.filter(F.transform(longer, read), lambda m: m["verb"] != "UNKNOWN")
+        fresh = let(known, lambda k: F.filter(k, lambda m, i: (i == 0) | (m["verb"] != F.get(k, i - 1)["verb"])))
+        return let(fresh, lambda f: F.when(F.size(f) > 1, f).otherwise(F.array(let(blanked(t, objects), verb_in))))
+
+    return let(low, actions)
+
+
+def mention_at(low: Column, label: Column) -> Column:
+    """Where a label stands in a lower-case text as whole words, from 1: the phrase, else its last word, else 0."""
+    name = F.lower(F.trim(label))
+    phrase = F.regexp_instr(low, word_pattern(name))
+    head = F.regexp_instr(low, word_pattern(F.element_at(F.split(name, " +"), -1)))
+    return F.when(F.coalesce(name, F.lit("")) == "", 0).when(phrase > 0, phrase).otherwise(F.coalesce(head, F.lit(0)))
+
+
+def is_locative(low: Column, at: Column) -> Column:
+    """Whether a preposition of place leads to the mention at a position, with one determiner at most between."""
+    return F.rtrim(F.substring(low, F.lit(1), at - 1)).rlike(LOCATIVE_PATTERN)
+
+
+def ordered_objects(low: Column, objects: Column, verb_at: Column) -> Column:
+    """The labels, those that the verb acts on first: not led by a preposition of place, behind the verb, near it; labels without a mention last."""
+
+    def key(label: Column, i: Column) -> Column:
+        def of(m: Column) -> Column:
+            seen = m > 0
+            distance = F.when(verb_at > 0, F.abs(m - verb_at)).otherwise(m)
+            return F.struct((~seen).alias("absent"), (seen & is_locative(low, m)).alias("place"), (seen & (verb_at > 0) & (m < verb_at)).alias("before"), F.when(seen, distance).otherwise(0).alias("far"), i.alias("nth"), label.alias("label"))
+
+        return let(mention_at(low, label), of)
 
+    return F.transform(F.array_sort(F.transform(objects, key)), lambda k: k["label"])
 
-def mention_at(text: Column, label: Column) -> Column:
-    """Where a label stands in a text as whole words, from 1: the phrase, else its last word, else 0."""
-    low, name = F.lower(text), F.lower(label)
-    phrase = F.regexp_instr(low, F.concat(F.lit(r"\b"), name, F.lit(r"\b")))
-    head = F.regexp_instr(low, F.concat(F.lit(r"\b"), F.element_at(F.split(name, " "), -1), F.lit(r"\b")))
-    return F.when(phrase > 0, phrase).otherwise(head)
 
+def names_any(low: Column, objects: Column) -> Column:
+    return F.coalesce(F.exists(objects, lambda o: mention_at(low, o) > 0), F.lit(False))
 
-def label_score(a: Column, b: Column) -> Column:
-    """3 for equal labels, 2 if the second stands in the first, 1 the other way round, else 0."""
-    x, y = F.lower(F.trim(a)), F.lower(F.trim(b))
-    return F.when(x == y, 3).when(F.contains(x, y), 2).when(F.contains(y, x), 1).otherwise(0)
 
+def label_score(label: Column, name: Column) -> Column:
+    """3 for equal labels, 2 if the name stands in the label, 1 the other way round, else 0; empty ones match nothing."""
+    x, y = F.lower(F.trim(label)), F.lower(F.trim(name))
+    both = (F.coalesce(x, F.lit("")) != "") & (F.coalesce(y, F.lit("")) != "")
+    return F.when(~both, 0).when(x == y, 3).when(F.contains(x, y), 2).when(F.contains(y, x), 1).otherwise(0)
 
-def evidence(facts: Column) -> Column:
-    """OPEN or CLOSED, as the words of a text say; null if they say neither or both."""
-    low = F.lower(facts)
-    is_open, is_closed = low.rlike(r"\b(open|opened|uncovered)\b"), low.rlike(r"\b(closed|shut|sealed)\b")
-    return F.when(is_open & ~is_closed, "OPEN").when(is_closed & ~is_open, "CLOSED")
 
+def evidence(low: Column) -> Column:
+    """(state, at): OPEN or CLOSED as a lower-case text says, and where; null if it says neither or both."""
+    opened, closed = F.regexp_instr(low, F.lit(OPEN_WORDS)), F.regexp_instr(low, F.lit(CLOSED_WORDS))
+    one = lambda at, name: F.struct(F.lit(name).alias("state"), at.alias("at"), low.alias("text"))
+    return F.when((opened > 0) & (closed == 0), one(opened, "OPEN")).when((closed > 0) & (opened == 0), one(closed, "CLOSED"))
 
-def state_after(verb: Column, facts: Column) -> Column:
-    """The state that an action leaves its object in."""
-    low = F.lower(F.coalesce(facts, F.lit("")))
-    return (
-        F.when(verb == "OPEN", "OPEN")
-        .when(verb == "CLOSE", "CLOSED")
-        .when((verb == "PICK") & low.rlike(r"\b(in|held in) the hand"), "IN_HAND")
-        .when((verb == "PLACE") & low.rlike(r"\b(lies|placed|resting) on"), "ON_SURFACE")
-        .otherwise("UNKNOWN")
-    )
 
+def stated(facts: Column, change: Column) -> Column:
+    """(state, at, text) of what is visible, else of what is said to change."""
+    return F.coalesce(evidence(F.lower(facts)), evidence(F.lower(change)))
 
-def contradicts(verb: Column, facts: Column) -> Column:
-    """Whether the facts say the opposite of an action's result."""
-    says = evidence(facts)
-    return F.coalesce(((verb == "OPEN") & (says == "CLOSED")) | ((verb == "CLOSE") & (says == "OPEN")), F.lit(False))
+
+def denied(verb: Column, said: Column) -> Column:
+    """Whether a lower-case text says that an action did not happen."""
+    out = F.lit(False)
+    for name, pattern in DENIALS.items():
+        out = out | ((verb == name) & said.rlike(pattern))
+    return out
+
+
+def state_left(verb: Column, said: Column) -> Column:
+    """The state that an action leaves its object in, as far as it is said."""
+    out = None
+    for verbs, after, words, _, _ in STATE_RULES:
+        test = verb.isin(*verbs) & (said.rlike(words) if words else F.lit(True))
+        out = F.when(test, after) if out is None else out.when(test, after)
+    return out.otherwise("UNKNOWN")
+
+
+def state_found(verb: Column, said: Column) -> Column:
+    """The state that an action found its object in, if that is said; else UNKNOWN."""
+    out = None
+    for verbs, _, _, before, words in STATE_RULES:
+        test = verb.isin(*verbs) & said.rlike(words)
+        out = F.when(test, before) if out is None else out.when(test, before)
+    return out.otherwise("UNKNOWN")
 
 
 def timing(start: Column, end: Column, seg_start: Column, seg_end: Column, slack: float = 0.05) -> Column:
@@ -124,10 +240,44 @@ def timing(start: Column, end: Column, seg_start: Column, seg_end: Column, slack
     return F.when(F.coalesce(inside, F.lit(False)), "EXACT").otherwise("SEGMENT")
 
 
+def absolute_timing(start: Column, end: Column, seg_start: Column, seg_end: Column, fps: Column) -> Column:
+    """(start_sec, end_sec, note): times that a model gave as text from the segment's start, in seconds of the video.
+
+    A time past an edge by at most one frame is moved to the edge (`snapped`). If a time is no number
+    (`not a number`), lies outside, or the two are in the wrong order (`outside`), neither is kept.
+    """
+    none = F.lit(None).cast("double")
+
+    def pulled(t: Column) -> Column:
+        frame = F.when(fps > 0, 1.0 / fps).otherwise(0.0)
+        return F.when((t < seg_start) & (seg_start - t <= frame), seg_start).when((t > seg_end) & (t - seg_end <= frame), seg_end).otherwise(t)
+
+    def checked(x: Column) -> Column:
+        a, b = seg_start + x["a"], seg_start + x["b"]
+        lost = (start.isNotNull() & x["a"].isNull()) | (end.isNotNull() & x["b"].isNull())
+        p, q = pulled(a), pulled(b)
+        out = F.coalesce((p < seg_start) | (p > seg_end), F.lit(False)) | F.coalesce((q < seg_start) | (q > seg_end), F.lit(False)) | F.coalesce(p > q, F.lit(False))
+        moved = F.coalesce(p != a, F.lit(False)) | F.coalesce(q != b, F.lit(False))
+        note = F.when(lost, "not a number").when(out, "outside").when(moved, "snapped")
+        return F.struct(F.when(lost | out, none).otherwise(p).alias("start_sec"), F.when(lost | out, none).otherwise(q).alias("end_sec"), note.alias("note"))
+
+    return let(F.struct(F.expr("cast(null as double)").alias("z"), start.try_cast("double").alias("a"), end.try_cast("double").alias("b")), checked)
+
+
 def template_direction(template: Column) -> Column:
-    """The direction that a label's wording gives; null without one."""
-    low = F.lower(template)
-    return F.when(low.rlike(r"\bout of\b"), "OUT_OF").when(low.rlike(r"\boff of\b"), "OFF").when(low.rlike(r"\binto\b"), "INTO").when(low.rlike(r"\bonto\b"), "ONTO")
+    """The direction that a label's wording gives as whole words; null without one."""
+    low = F.concat(F.lit(" "), F.lower(F.regexp_replace(template, r"[\[\]]", "")), F.lit(" "))
+    out = None
+    for words, name in TEMPLATE_WORDS:
+        test = F.contains(low, F.lit(f" {words} "))
+        out = F.when(test, name) if out is None else out.when(test, name)
+    return out
+
+
+def direction_verdict(mine: Column, wanted: Column) -> Column:
+    """SAME, REVERSED or OTHER of two directions; N/A if either is not given."""
+    given = mine.isNotNull() & wanted.isNotNull() & ~wanted.isin("", "NONE")
+    return F.when(~given, "N/A").when(mine == wanted, "SAME").when(mapped(OPPOSITE_DIRECTIONS, wanted) == mine, "REVERSED").otherwise("OTHER")
 
 
 def normal_template(template: Column) -> Column:
@@ -135,8 +285,57 @@ def normal_template(template: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(template, r"[\[\]]", ""), r"\s+", " "))
 
 
+def reason_signature(text: Column) -> Column:
+    """A status code and its name, else the first 56 characters."""
+    found = F.regexp_extract(text, r"\b([0-9]{3}\s+[A-Z][A-Z_]+)", 1)
+    return F.when(found != "", F.regexp_replace(found, r"\s+", " ")).otherwise(F.left(text, F.lit(56)))
+
+
+def detector_prompt(phrases: Column) -> Column:
+    """Lower-case phrases, each once, blanks collapsed, joined as a detector's vocabulary."""
+    clean = F.transform(phrases, lambda p: F.trim(F.regexp_replace(F.lower(p), r"\s+", " ")))
+    return F.concat(F.array_join(F.array_distinct(F.filter(clean, lambda p: p != "")), " . "), F.lit(" ."))
+
+
+def with_duration(prompt: Column, token: str, seconds: Column) -> Column:
+    """A prompt whose token is replaced by a duration with two decimals."""
+    return F.replace(prompt, F.lit(token), F.format_string("%.2f", seconds))
+
+
+def spoken(action: Column, label: Column) -> Column:
+    """An event as a person would write it: UNKNOWN stands alone, and so does an action without a label."""
+    return F.when((action == "UNKNOWN") | (F.coalesce(label, F.lit("")) == ""), action).otherwise(F.concat_ws(" ", action, label))
+
+
+def byte_size(n: Column) -> Column:
+    """A number of bytes with one decimal and its unit."""
+    out = F.format_string("%.1f TB", n / 1024**4)
+    for i, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
+        out = F.when(F.abs(n) < 1024 ** (i + 1), F.format_string(f"%.1f {unit}", n / float(1024**i))).otherwise(out)
+    return out
+
+
+def missing_keys(body: Column, required: tuple[str, ...]) -> Column:
+    """Which required keys a JSON object lacks, in order; a key with a null is there. All, if it is no object."""
+    return F.array_except(F.array(*map(F.lit, required)), F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")))
+
+
+def bad_times(start: Column, end: Column, seg_start: Column, seg_end: Column) -> Column:
+    """Whether given times are in the wrong order or outside the segment, its edges being inside."""
+    out = lambda t: F.coalesce((t < seg_start) | (t > seg_end), F.lit(False))
+    return F.coalesce(start > end, F.lit(False)) | out(start) | out(end)
+
+
 def json_body(text: Column) -> Column:
     """The JSON in a model's answer: what a fence holds, else from the first bracket to the last one that closes."""
     fenced = F.regexp_extract(text, r"(?is)```(?:json)?\s*(.*?)```", 1)
     loose = F.regexp_extract(text, r"(?s)([\[{].*[\]}])", 1)
     return F.when(fenced != "", F.trim(fenced)).otherwise(loose)
+
+
+def json_rows(body: Column) -> Column:
+    """array<string>: the objects of a JSON array, or the one object; null if it is neither or there are none."""
+    many = F.from_json(body, "array<string>", {"mode": "PERMISSIVE"})
+    one = F.when(F.json_object_keys(body).isNotNull(), F.array(body))
+    found = F.filter(F.when(F.ltrim(body).startswith("["), many).otherwise(one), lambda x: F.ltrim(x).startswith("{"))
+    return F.when(F.size(found) > 0, found)

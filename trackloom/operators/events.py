@@ -1,4 +1,4 @@
-"""From captioned observations to events, states, a graph, scores, episodes, integrity issues and evaluation tables."""
+"""From captioned observations to events, states, a graph, scores, episodes and integrity issues."""
 
 from __future__ import annotations
 
@@ -7,157 +7,332 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import lexicon as lx
 from trackloom.functions import sequences as s
+from trackloom.operators.reports import clause_windows
 
 AUTO, REVIEW = 0.70, 0.40
-#: Seconds of a stretch in which events and labels meet.
-SPAN = 16.0
-VOCABULARY = ("GRASP", "RELEASE", "PICK", "PLACE", "MOVE", "PUSH", "PULL", "OPEN", "CLOSE", "INSERT", "REMOVE", "USE_TOOL", "TOUCH", "INSPECT", "UNKNOWN")
-WEIGHTS = {"timing": 0.10, "actor": 0.20, "object": 0.20, "state": 0.20, "action": 0.10, "model": 0.20}
-
-
-def extract(observations: DataFrame) -> DataFrame:
-    """Events of the successful observations: action, direction, timing and the object that the caption names first."""
-    o = observations.where(F.col("status") == "SUCCESS").withColumn("m", lx.match_action(F.col("raw_action")))
-    at = {k: lx.mention_at(F.col("raw_action"), F.col(k)) for k in ("object_1", "object_2")}
-    # Objects after the verb come first, then by distance from it.
-    key = lambda k: F.when(at[k] == 0, F.lit(1_000_000)).when(at[k] < F.col("m.at"), 100_000 + F.col("m.at") - at[k]).otherwise(at[k] - F.col("m.at"))
-    label = F.when(key("object_2") < key("object_1"), F.col("object_2")).otherwise(F.col("object_1"))
-    direction = F.element_at(F.create_map(*[F.lit(x) for p in lx.DIRECTIONS.items() for x in p]), F.col("m.verb"))
+PERSON, BACKGROUND = ("person",), ("dining table",)
+SEGMENT = ["video_id", "segment_id"]
+EVENT = ["video_id", "event_id"]
+WEIGHTS = {"action_certainty": 0.10, "actor_resolution": 0.20, "object_resolution": 0.20, "state_evidence": 0.20, "timing_precision": 0.10, "trajectory_support": 0.20}
+#: The order in which events were found; ties of time are settled by it.
+FOUND = ["observation_id", "clause"]
+
+
+def of_class(names: tuple[str, ...]):
+    return lambda t: F.lower(t["class_name"]).isin(*names)
+
+
+def actor_of(tracks: Column) -> Column:
+    """The person's track with the most points, the least id on a tie; null without a person."""
+    best = F.array_max(F.transform(F.filter(tracks, of_class(PERSON)), lambda t: F.struct(t["n_points"], -t["track_id"])))
+    return -best["col2"]
+
+
+def object_of(ordered: Column, tracks: Column) -> Column:
+    """(track, label): the first label that names a track, and of its tracks the best named, then no marking on another, then that with the most points."""
+    things = F.filter(tracks, lambda t: ~of_class(PERSON + BACKGROUND)(t))
+    named = lambda label, i: F.transform(
+        F.filter(things, lambda t: lx.label_score(label, t["class_name"]) > 0),
+        lambda t: F.struct(i.alias("nth"), (-lx.label_score(label, t["class_name"])).alias("score"), t["surface"].alias("surface"), (-t["n_points"]).alias("n"), t["track_id"].alias("track"), label.alias("label")),
+    )
+    best = F.array_min(F.flatten(F.transform(ordered, named)))
+    return lx.let(best, lambda b: F.struct(b["track"].alias("track"), F.coalesce(b["label"], F.get(ordered, F.lit(0))).alias("label")))
+
+
+def identity_of(track: Column, label: Column, objects: Column, tracks: Column) -> Column:
+    """(track, label, status) of what an event's state belongs to: its own track, else the one track whose class contains the first object's name."""
+    first = F.get(objects, F.lit(0))
+    fits = F.filter(tracks, lambda t: F.contains(F.lower(t["class_name"]), F.lower(first)))
+    made = lambda t, name, status: F.struct(t.cast("long").alias("track"), name.alias("label"), F.lit(status).alias("status"))
+    none = F.lit(None)
+    return (
+        F.when(track.isNotNull(), made(track, F.coalesce(label, first), "RESOLVED"))
+        .when(first.isNull(), made(none, none.cast("string"), "UNRESOLVED"))
+        .when(F.size(fits) == 1, made(F.get(fits, F.lit(0))["track_id"], first, "RESOLVED"))
+        .when(F.size(fits) > 1, made(none, first, "AMBIGUOUS"))
+        .otherwise(made(none, first, "UNRESOLVED"))
+    )
+
+
+def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | None = None) -> DataFrame:
+    """The events of the successful observations, one for each action that a caption names.
+
+    tracks: (video_id, segment_id, track_id, class_name, n_points, surface), changes: (video_id, segment_id,
+    sec). The tracks of a segment, few by nature, travel as one array. A caption's only action has its times, or
+    the segment's; several actions share the segment, cut at its changes if there are enough. An
+    action of several acts on what its own clause names, or on nothing known.
+    """
+    fields = F.struct(F.col("track_id").cast("long").alias("track_id"), "class_name", "n_points", "surface")
+    held = tracks.groupBy(*SEGMENT).agg(F.array_sort(F.collect_set(fields)).alias("_tracks"))
+    o = observations.where(F.col("status") == "SUCCESS").join(held, SEGMENT, "left")
+    if changes is None:
+        o = o.withColumn("_secs", F.array().cast("array<double>"))
+    else:
+        o = o.join(changes.groupBy(*SEGMENT).agg(F.collect_set("sec").alias("_secs")), SEGMENT, "left")
+    low = F.lower(F.coalesce("raw_action", F.lit("")))
+    o = o.withColumns({"_low": low, "_acts": lx.action_clauses(F.col("raw_action"), F.col("objects"))})
+    cut = clause_windows(F.col("_secs"), F.col("seg_start"), F.col("seg_end"), F.size("_acts"))
+    o = o.withColumns({"_n": F.size("_acts"), "_cut": cut}).select("*", F.posexplode("_acts").alias("clause", "_act"))
+    several, at = F.col("_n") > 1, F.col("_act.at")
+    own = F.when(several, lx.clause_after(F.col("_low"), at)).otherwise(F.col("_low"))
+    o = o.withColumns({"_own": own, "_at": F.when(several, 1).otherwise(at), "_cut": F.get("_cut", F.col("clause"))})
+    bound = lx.let(lx.ordered_objects(F.col("_own"), F.col("objects"), F.col("_at")), lambda names: object_of(names, F.col("_tracks")))
+    o = o.withColumn("_bound", F.when(~several | lx.names_any(F.col("_own"), F.col("objects")), bound))
+    start = F.when(several, F.coalesce("_cut.from_sec", "seg_start")).otherwise(F.coalesce("start_sec", "seg_start"))
+    end = F.when(several, F.coalesce("_cut.to_sec", "seg_end")).otherwise(F.coalesce("end_sec", "seg_end"))
+    timing = F.when(several, "SEGMENT").otherwise(lx.timing(F.col("start_sec"), F.col("end_sec"), F.col("seg_start"), F.col("seg_end")))
+    source = F.when(several & F.col("_cut").isNotNull(), "CHANGE_POINT").when(several | (timing != "EXACT"), "SEGMENT").otherwise("VLM")
+    said = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("visible_facts", "state_change", "inference", "uncertainty") if c in observations.columns]))
     return o.select(
-        "video_id",
-        "segment_id",
-        F.concat(F.lit("evt_"), F.col("observation_id")).alias("event_id"),
-        F.col("m.verb").alias("action"),
-        F.coalesce(direction, F.lit("NONE")).alias("direction"),
-        label.alias("object_label"),
-        "actor_id",
-        "object_id",
-        "start_sec",
-        "end_sec",
-        lx.timing(F.col("start_sec"), F.col("end_sec"), F.col("seg_start"), F.col("seg_end")).alias("timing"),
+        *SEGMENT,
+        "observation_id",
+        F.col("clause").cast("long").alias("clause"),
+        F.concat(F.lit("evt_"), "observation_id", F.when(several, F.concat(F.lit("_"), "clause")).otherwise("")).alias("event_id"),
+        F.col("_act.verb").alias("action"),
+        F.coalesce(lx.mapped(lx.DIRECTIONS, F.col("_act.verb")), F.lit("NONE")).alias("direction"),
+        F.col("_bound.label").alias("object_label"),
+        "actor",
+        actor_of(F.col("_tracks")).alias("actor_id"),
+        F.col("_bound.track").alias("object_id"),
+        F.coalesce(F.size(F.filter("_tracks", lambda t: t["class_name"] == "person")), F.lit(0)).alias("n_people"),
+        identity_of(F.col("_bound.track"), F.col("_bound.label"), F.col("objects"), F.col("_tracks")).alias("identity"),
+        start.alias("start_sec"),
+        end.alias("end_sec"),
+        timing.alias("timing"),
+        source.alias("timing_source"),
         "confidence",
-        "facts",
+        "objects",
+        lx.stated(F.col("visible_facts"), F.col("state_change")).alias("stated"),
+        said.alias("said"),
+        "raw_action",
     )
 
 
 def transitions(events: DataFrame) -> DataFrame:
-    """State before and after each event: before is what the last event of the object in the segment left, else what the facts say."""
-    w = Window.partitionBy("video_id", "segment_id", "object_id", "object_label").orderBy("start_sec", "event_id")
-    contradicted = lx.contradicts(F.col("action"), F.col("facts"))
-    t = events.withColumn("after", F.when(contradicted, "UNKNOWN").otherwise(lx.state_after(F.col("action"), F.col("facts"))))
-    before = F.coalesce(F.lag("after").over(w), F.lit("UNKNOWN"))
-    t = t.withColumn("_before", before)
-    said = F.when(F.col("_before") == "UNKNOWN", F.coalesce(lx.evidence(F.col("facts")), F.lit("UNKNOWN"))).otherwise(F.col("_before"))
-    t = t.withColumn("before", F.when(contradicted, "UNKNOWN").otherwise(said))
-    return t.select("video_id", F.concat(F.lit("tr_"), "event_id").alias("transition_id"), "event_id", "segment_id", "object_label", "object_id", "before", "after", "start_sec", "end_sec", "timing")
+    """State before and after each event: before is what the last event of the object in the segment left, else what is said of it."""
+    e = events.select("*", F.col("identity.track").alias("state_track"), F.col("identity.label").alias("state_label"), F.col("identity.status").alias("state_status"))
+    denied, said = lx.denied(F.col("action"), F.col("said")), F.col("said")
+    e = e.withColumn("after", F.when(denied, "UNKNOWN").otherwise(lx.state_left(F.col("action"), said)))
+    w = Window.partitionBy(*SEGMENT, "state_track", "state_label").orderBy("start_sec", *FOUND)
+    e = e.withColumn("_kept", F.coalesce(F.lag("after").over(w), F.lit("UNKNOWN")))
+    before = F.when(denied, "UNKNOWN").when(F.col("_kept") != "UNKNOWN", F.col("_kept")).otherwise(lx.state_found(F.col("action"), said))
+    return e.select("video_id", F.concat(F.lit("tr_"), "event_id").alias("transition_id"), "event_id", "segment_id", "state_track", "state_label", "state_status", before.alias("before"), "after", "start_sec", "end_sec", "timing")
+
+
+def node_id(track: Column, label: Column, observation: Column) -> Column:
+    name = F.coalesce(F.when(label != "", label), F.lit("unknown"))
+    return F.when(track.isNotNull(), F.concat(F.lit("node_track_"), track)).otherwise(F.concat_ws("_", F.lit("node_unresolved"), F.coalesce(observation.cast("string"), F.lit("no_obs")), name))
 
 
-def resolve(events: DataFrame, people: DataFrame) -> DataFrame:
-    """Adds actor_status and object_status; people has (video_id, n_people)."""
-    e = events.join(people, "video_id", "left")
-    actor = F.when(F.col("actor_id").isNotNull(), "RESOLVED").when(F.coalesce("n_people", F.lit(0)) > 1, "AMBIGUOUS").otherwise("UNRESOLVED")
-    return e.withColumns({"actor_status": actor, "object_status": F.when(F.col("object_id").isNotNull(), "RESOLVED").otherwise("UNRESOLVED")}).drop("n_people")
+def one_each(targets: Column) -> Column:
+    """Of targets with the same track, or the same label without one, the last, where the first stood."""
+    key = lambda t: F.coalesce(t["track"].cast("string"), t["label"], F.lit(""))
+    keys = F.transform(targets, key)
+    return F.transform(F.filter(targets, lambda t, i: F.array_position(keys, key(t)) == i + 1), lambda t: F.element_at(F.filter(targets, lambda u: key(u) == key(t)), -1))
 
 
-def node_id(track: Column, event: Column, label: Column) -> Column:
-    return F.when(track.isNotNull(), F.concat(F.lit("node_track_"), track)).otherwise(F.concat_ws("_", F.lit("node_unresolved"), event, F.coalesce(label, F.lit("unknown"))))
+def edges(events: DataFrame, states: DataFrame) -> DataFrame:
+    """An edge from an event's person to each of its targets.
 
+    Targets are the event's own track, else what its states belong to, else the only object named; several
+    objects without a link are one target, `multiple_ambiguous`. An edge has the states of its target.
+    """
+    of_event = states.groupBy(*EVENT).agg(F.array_sort(F.collect_list(F.struct("transition_id", F.col("state_track").alias("track"), F.col("state_label").alias("label"), F.col("state_status").alias("status")))).alias("_states"))
+    e = events.join(of_event, EVENT, "left")
+    target = lambda t, label, status: F.array(F.struct(t.cast("long").alias("track"), label.cast("string").alias("label"), F.lit(status).alias("status")))
+    none, plain = F.lit(None), F.transform("_states", lambda x: F.struct(x["track"].alias("track"), x["label"].alias("label"), x["status"].alias("status")))
+    targets = (
+        F.when(F.col("object_id").isNotNull(), target(F.col("object_id"), F.col("object_label"), "RESOLVED"))
+        .when(F.size("_states") > 0, one_each(plain))
+        .when(F.size("objects") == 1, target(none, F.get("objects", F.lit(0)), "UNRESOLVED"))
+        .when(F.size("objects") > 1, target(none, F.lit("multiple_ambiguous"), "AMBIGUOUS"))
+        .otherwise(target(none, none, "UNRESOLVED"))
+    )
+    e = e.select("*", F.posexplode(targets).alias("nth", "_to"))
+    actor = F.when(F.col("actor_id").isNotNull(), "RESOLVED").when(F.col("n_people") > 1, "AMBIGUOUS").otherwise("UNRESOLVED")
+    to = F.col("_to")
+    attached = F.filter("_states", lambda x: F.coalesce(F.when(to["track"].isNotNull(), x["track"] == to["track"]).otherwise((to["label"] != "") & (x["label"] == to["label"])), F.lit(False)))
+    e = e.withColumns({"source_id": node_id(F.col("actor_id"), F.col("actor"), F.col("observation_id")), "target_id": node_id(to["track"], to["label"], F.col("observation_id"))})
+    return e.select(
+        "video_id",
+        F.concat_ws("_", F.lit("edge"), "event_id", "source_id", "target_id").alias("edge_id"),
+        "event_id",
+        *FOUND,
+        F.col("nth").cast("long").alias("nth"),
+        "source_id",
+        "target_id",
+        "action",
+        actor.alias("actor_resolution"),
+        to["status"].alias("object_resolution"),
+        F.col("actor_id").alias("source_track"),
+        to["track"].alias("target_track"),
+        F.col("actor").alias("source_label"),
+        to["label"].alias("target_label"),
+        F.transform(attached, lambda x: x["transition_id"]).alias("state_ids"),
+        "timing",
+        "start_sec",
+        "end_sec",
+    )
 
-def edges(events: DataFrame) -> DataFrame:
-    """One edge for each event from its person to its object."""
-    source = F.concat_ws("_", F.lit("p"), node_id(F.col("actor_id"), F.col("event_id"), F.lit("person")))
-    target = F.concat_ws("_", F.lit("o"), node_id(F.col("object_id"), F.col("event_id"), F.col("object_label")))
-    e = events.withColumns({"source_id": source, "target_id": target})
-    return e.select("video_id", F.concat_ws("_", F.lit("edge"), "event_id", "source_id", "target_id").alias("edge_id"), "event_id", "source_id", "target_id", "action", "timing", "start_sec", "end_sec")
 
+def nodes(links: DataFrame) -> DataFrame:
+    """The graph's nodes by video, each with role and label of the edge end that named it first, and its degree."""
+    end = lambda side, role: F.struct(F.col(f"{side}_id").alias("node_id"), F.lit(role).alias("role"), F.col(f"{side}_track").cast("long").alias("track"), F.col(f"{side}_label").alias("label"), F.lit(int(side == "target")).alias("side"))
+    flat = links.select("video_id", *FOUND, "nth", F.explode(F.array(end("source", "PERSON"), end("target", "OBJECT"))).alias("n"))
+    first = F.min_by(F.struct("n.role", "n.track", "n.label"), F.struct(*FOUND, F.when(F.col("n.side") == 0, -1).otherwise(F.col("nth"))))
+    found = flat.groupBy("video_id", F.col("n.node_id").alias("node_id")).agg(first.alias("f"), F.count("*").alias("degree"))
+    return found.select("video_id", "node_id", "f.role", "f.track", "f.label", "degree")
 
-def nodes(events: DataFrame) -> DataFrame:
-    """The graph's nodes, each with the label of the event that named it first."""
-    e = edges(events).join(events.select("event_id", "object_label"), "event_id")
-    sides = F.explode(F.array(F.struct(F.col("source_id").alias("node_id"), F.lit("PERSON").alias("role"), F.lit("person").alias("label")), F.struct(F.col("target_id").alias("node_id"), F.lit("OBJECT").alias("role"), F.col("object_label").alias("label"))))
-    flat = e.select("video_id", "event_id", "start_sec", sides.alias("n")).select("video_id", "event_id", "start_sec", "n.*")
-    return flat.groupBy("video_id", "node_id").agg(F.min_by(F.struct("role", "label"), F.struct("start_sec", "event_id")).alias("f"), F.count("*").alias("degree")).select("video_id", "node_id", "f.role", "f.label", "degree")
 
+def quality(events: DataFrame, links: DataFrame, states: DataFrame, trajectories: DataFrame) -> DataFrame:
+    """A weighted score of six parts, its tier, the reasons and what it rests on; a part of 0 rules out automatic acceptance.
 
-def quality(events: DataFrame, states: DataFrame) -> DataFrame:
-    """A weighted score of six parts, and its tier; a part of 0 rules out automatic acceptance."""
-    known = F.when((F.col("before") != "UNKNOWN") & (F.col("after") != "UNKNOWN"), 1.0).when((F.col("before") != "UNKNOWN") | (F.col("after") != "UNKNOWN"), 0.5).otherwise(0.0)
-    best = states.groupBy("event_id").agg(F.max(known).alias("state"))
-    e = events.join(best, "event_id", "left")
+    Of an event's edges the last counts. trajectories: (video_id, track_id).
+    """
+    unknown = lambda c: F.col(c) == "UNKNOWN"
+    known = F.when(~unknown("before") & ~unknown("after"), 1.0).when(unknown("before") & unknown("after"), 0.0).otherwise(0.5)
+    best = states.groupBy(*EVENT).agg(F.max(known).alias("_best"), F.array_join(F.array_sort(F.collect_list("transition_id")), ",").alias("transition_ids"))
+    last = links.groupBy(*EVENT).agg(F.max_by(F.struct("edge_id", "actor_resolution", "object_resolution", "source_track", "target_track"), "nth").alias("_edge"))
+    e = events.select(*EVENT, "action", "timing", "confidence").join(best, EVENT, "left").join(last, EVENT, "left")
+    for side in ("source", "target"):
+        paths = trajectories.select(F.col("video_id").alias("_v"), F.col("track_id").alias(f"_{side}")).distinct()
+        e = e.join(paths, (F.col("video_id") == F.col("_v")) & (F.col(f"_edge.{side}_track") == F.col(f"_{side}")), "left").drop("_v")
+    met = lambda c: F.when(c == "RESOLVED", 1.0).when(c == "AMBIGUOUS", 0.5).otherwise(0.0)
+    there = F.when(F.col("_edge.source_track").isNotNull(), 1).otherwise(0) + F.when(F.col("_edge.target_track").isNotNull(), 1).otherwise(0)
+    backed = F.when(F.col("_source").isNotNull(), 1).otherwise(0) + F.when(F.col("_target").isNotNull(), 1).otherwise(0)
     parts = {
-        "timing": F.when(F.col("timing") == "EXACT", 1.0).otherwise(0.5),
-        "actor": F.when(F.col("actor_id").isNotNull(), 1.0).otherwise(0.0),
-        "object": F.when(F.col("object_id").isNotNull(), 1.0).otherwise(0.0),
-        "state": F.when(F.col("action").isin(*lx.STATEFUL), F.coalesce("state", F.lit(0.0))).otherwise(1.0),
-        "action": F.when(F.col("action") == "UNKNOWN", 0.0).otherwise(1.0),
-        "model": F.coalesce("confidence", F.lit(0.0)),
+        "action_certainty": F.when(unknown("action"), 0.0).otherwise(1.0),
+        "actor_resolution": met(F.col("_edge.actor_resolution")),
+        "object_resolution": met(F.col("_edge.object_resolution")),
+        "state_evidence": F.when(F.col("action").isin(*lx.STATEFUL) | F.col("_best").isNotNull(), F.coalesce("_best", F.lit(0.0))).otherwise(1.0),
+        "timing_precision": F.when(F.col("timing") == "EXACT", 1.0).otherwise(0.5),
+        "trajectory_support": F.when(there == 0, 0.0).otherwise(backed / there),
     }
-    e = e.select("video_id", "event_id", "action", *[v.alias(f"{k}_part") for k, v in parts.items()])
-    total = sum((F.col(f"{k}_part") * w for k, w in WEIGHTS.items()), F.lit(0.0))
-    e = e.withColumns({"score": total, "least": F.least(*[f"{k}_part" for k in WEIGHTS])})
-    tier = F.when((F.col("score") >= AUTO) & (F.col("least") > 0), "AUTO_ACCEPT").when(F.col("score") >= REVIEW, "HUMAN_REVIEW").otherwise("REJECT")
-    return e.select("video_id", "event_id", "score", tier.alias("tier"))
+    e = e.withColumns({**parts, "_there": there, "_backed": backed})
+    total = sum((F.col(k) * w for k, w in WEIGHTS.items()), F.lit(0.0))
+    e = e.withColumns({"score": total, "_zero": F.array_join(F.array_compact(F.array(*[F.when(F.col(k) == 0, k) for k in WEIGHTS])), ", ")})
+    tier = F.when((F.col("score") >= AUTO) & (F.col("_zero") == ""), "AUTO_ACCEPT").when(F.col("score") >= REVIEW, "HUMAN_REVIEW").otherwise("REJECT")
+    linked = F.col("_edge").isNotNull()
+    reasons = (
+        F.when(unknown("action"), "action unknown"),
+        F.when(~linked, "no edge"),
+        F.when(linked & (F.col("actor_resolution") < 1), F.concat(F.lit("actor "), F.lower("_edge.actor_resolution"))),
+        F.when(linked & (F.col("object_resolution") < 1), F.concat(F.lit("object "), F.lower("_edge.object_resolution"))),
+        F.when(F.col("state_evidence") < 1, "no full state evidence"),
+        F.when(F.col("timing") != "EXACT", "timing not exact"),
+        F.when(F.col("_there") == 0, "no participants").when(F.col("_backed") < F.col("_there"), "participants without trajectory"),
+        F.when((F.col("score") >= AUTO) & (F.col("_zero") != ""), F.concat(F.lit("capped: "), "_zero")),
+    )
+    tracks = F.array_join(F.array_compact(F.array(F.col("_source"), F.col("_target"))), ",")
+    return e.select(*EVENT, "action", "confidence", *WEIGHTS, "score", tier.alias("tier"), F.array_join(F.array_compact(F.array(*reasons)), "; ").alias("reasons"), F.col("_edge.edge_id").alias("edge_id"), "transition_ids", tracks.alias("trajectory_tracks"))
+
+
+#: Names that tiers go by.
+TIER_NAMES = {"high": ("HIGH", "AUTO_ACCEPT"), "medium": ("MEDIUM", "HUMAN_REVIEW"), "low": ("LOW",), "rejected": ("REJECT", "REJECTED")}
 
 
 def tiers(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("video_id").agg(*[F.sum(F.when(F.col("tier") == t, 1).otherwise(0)).alias(f"n_{t.lower()}") for t in ("AUTO_ACCEPT", "HUMAN_REVIEW", "REJECT")])
+    return scores.groupBy("video_id").agg(*[F.sum(F.when(F.col("tier").isin(*names), 1).otherwise(0)).alias(f"n_{k}") for k, names in TIER_NAMES.items()])
 
 
 def temporal_episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
     """Episodes by time alone: events of a video no further than `gap` apart."""
     marked = s.islands(events, ["video_id"], "start_sec", "end_sec", gap, ["event_id"])
-    return marked.groupBy("video_id", F.col("island").cast("long").alias("episode")).agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), F.count("*").alias("n_events"), F.sha2(F.array_join(F.array_sort(F.collect_list("event_id")), ","), 256).alias("_h")).select("video_id", "episode", "start_sec", "end_sec", "n_events", F.concat(F.lit("ie_"), F.left("_h", F.lit(8))).alias("episode_id"))
-
-
-def bad_bounds(df: DataFrame) -> Column:
-    return (F.col("start_sec") > F.col("end_sec")) | (F.col("start_sec") < 0) | (F.col("end_sec") < 0)
+    found = marked.groupBy("video_id", F.col("island").cast("long").alias("episode")).agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), F.count("*").alias("n_events"), F.array_sort(F.collect_list(F.struct("start_sec", "end_sec", "event_id"))).alias("_e"))
+    name = F.sha2(F.array_join(F.transform("_e", lambda x: x["event_id"]), "-"), 256)
+    return found.select("video_id", "episode", "start_sec", "end_sec", "n_events", F.concat(F.lit("ie_"), F.left(name, F.lit(8))).alias("episode_id"))
 
 
 def gathered(members: DataFrame, events: DataFrame, states: DataFrame, links: DataFrame) -> DataFrame:
-    """(episode_id, start_sec, end_sec, event_ids, edge_ids, transition_ids) of the episodes that members (video_id, event_id, episode) name."""
-    m = members.select("event_id", "video_id", "episode").join(events.select("event_id", "start_sec", "end_sec"), "event_id", "left")
-    m = m.join(links.select("event_id", "edge_id"), "event_id", "left").join(states.select("event_id", "transition_id"), "event_id", "left")
-    ids = [F.collect_set(f"{k}_id").alias(f"{k}_ids") for k in ("event", "edge", "transition")]
-    found = m.groupBy("video_id", "episode").agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), *ids)
-    return found.select(F.concat_ws("_", F.lit("ie"), "video_id", "episode").alias("episode_id"), "start_sec", "end_sec", "event_ids", "edge_ids", "transition_ids")
-
-
-def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataFrame, scores: DataFrame, resolved: DataFrame, whole: DataFrame | None = None) -> DataFrame:
-    """(rule, severity, item_id): what breaks the rules of reference and order between the tables; each rule is a filter or an anti-join. whole: episodes as gathered() gives them."""
+    """(video_id, episode_id, start_sec, end_sec, timing, quality, event_ids, edge_ids, transition_ids) of the episodes that members (video_id, event_id, episode) name."""
+    m = members.join(events.select(*EVENT, "start_sec", "end_sec"), EVENT, "left")
+    m = m.join(links.select(*EVENT, "edge_id"), EVENT, "left").join(states.select(*EVENT, "transition_id"), EVENT, "left")
+    ids = [F.collect_set(f"{k}_id").alias(f"{k}_ids") for k in ("edge", "transition")]
+    order = F.transform(F.array_sort(F.collect_set(F.struct("start_sec", "end_sec", "event_id"))), lambda x: x["event_id"])
+    extra = [F.first(c).alias(c) for c in ("timing", "quality") if c in members.columns]
+    found = m.groupBy("video_id", "episode").agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), order.alias("event_ids"), *ids, *extra)
+    name = F.concat(F.lit("ie_"), F.left(F.sha2(F.array_join("event_ids", "-"), 256), F.lit(8)))
+    return found.select("video_id", name.alias("episode_id"), "start_sec", "end_sec", *[c for c in ("timing", "quality") if c in members.columns], "event_ids", "edge_ids", "transition_ids")
+
+
+def bad_bounds() -> Column:
+    return F.coalesce((F.col("start_sec") > F.col("end_sec")) | (F.col("start_sec") < 0) | (F.col("end_sec") < 0), F.lit(False))
+
+
+#: Rules of reference and order, with their severity; each stands once, whichever table breaks it.
+RULES = {
+    "event_bounds": "ERROR",
+    "transition_event_missing": "ERROR",
+    "transition_bounds": "ERROR",
+    "transition_segment_timing": "INFO",
+    "transition_unknown_state": "INFO",
+    "edge_event_missing": "ERROR",
+    "edge_source_missing": "ERROR",
+    "edge_target_missing": "ERROR",
+    "edge_source_role": "ERROR",
+    "edge_target_role": "ERROR",
+    "edge_actor_unresolved": "WARNING",
+    "edge_object_unresolved": "WARNING",
+    "edge_bounds": "ERROR",
+    "edge_segment_timing": "INFO",
+    "score_event_missing": "ERROR",
+    "episode_bounds": "ERROR",
+    "episode_event_missing": "ERROR",
+    "episode_event_outside": "WARNING",
+    "episode_edge_missing": "ERROR",
+    "episode_transition_missing": "ERROR",
+}
+
+
+def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataFrame, scores: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """(video_id, rule, severity, item_id): what breaks the rules between the tables.
+
+    points: the graph's nodes; whole: episodes as gathered() gives them. All ids hold within a video. Each table
+    is read once: joins say what is missing, and a row tells all the rules that it breaks.
+    """
+    there = events.select(*EVENT, F.lit(True).alias("_there"))
+    absent = F.col("_there").isNull()
 
-    def issue(df: DataFrame, rule: str, severity: str, item: str) -> DataFrame:
-        return df.select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.col(item).alias("item_id"))
+    def broken(df: DataFrame, item: str, tests: dict[str, Column]) -> DataFrame:
+        found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(k).alias("rule"), F.lit(RULES[k]).alias("severity"))) for k, c in tests.items()]))
+        return df.select("video_id", F.explode(found).alias("_x"), F.col(item).alias("item_id")).select("video_id", "_x.rule", "_x.severity", "item_id")
 
-    known = events.select("event_id")
-    ids = points.select(F.col("node_id").alias("id"), "role")
-    source = links.join(ids.withColumnRenamed("id", "source_id"), "source_id", "left")
-    target = links.join(ids.withColumnRenamed("id", "target_id"), "target_id", "left")
+    ends = links
+    for side in ("source", "target"):
+        ends = ends.join(points.select("video_id", F.col("node_id").alias(f"{side}_id"), F.col("role").alias(f"{side}_role")), ["video_id", f"{side}_id"], "left")
     out = [
-        issue(events.where(bad_bounds(events)), "event_bounds", "ERROR", "event_id"),
-        issue(states.join(known, "event_id", "left_anti"), "transition_event_missing", "ERROR", "transition_id"),
-        issue(states.where(bad_bounds(states)), "transition_bounds", "ERROR", "transition_id"),
-        issue(states.where("timing = 'SEGMENT'"), "transition_segment_timing", "INFO", "transition_id"),
-        issue(states.where("before = 'UNKNOWN' or after = 'UNKNOWN'"), "transition_unknown_state", "INFO", "transition_id"),
-        issue(links.join(known, "event_id", "left_anti"), "edge_event_missing", "ERROR", "edge_id"),
-        issue(source.where("role is null"), "edge_source_missing", "ERROR", "edge_id"),
-        issue(target.where("role is null"), "edge_target_missing", "ERROR", "edge_id"),
-        issue(source.where("role <> 'PERSON'"), "edge_source_role", "ERROR", "edge_id"),
-        issue(target.where("role <> 'OBJECT'"), "edge_target_role", "ERROR", "edge_id"),
-        issue(resolved.where("actor_status <> 'RESOLVED'"), "edge_actor_unresolved", "WARNING", "event_id"),
-        issue(resolved.where("object_status <> 'RESOLVED'"), "edge_object_unresolved", "WARNING", "event_id"),
-        issue(links.where(bad_bounds(links)), "edge_bounds", "ERROR", "edge_id"),
-        issue(links.where("timing = 'SEGMENT'"), "edge_segment_timing", "INFO", "edge_id"),
-        issue(scores.join(known, "event_id", "left_anti"), "score_event_missing", "ERROR", "event_id"),
+        broken(events, "event_id", {"event_bounds": bad_bounds()}),
+        broken(
+            states.join(there, EVENT, "left"),
+            "transition_id",
+            {"transition_event_missing": absent, "transition_bounds": bad_bounds(), "transition_segment_timing": F.col("timing") == "SEGMENT", "transition_unknown_state": F.expr("before = 'UNKNOWN' or after = 'UNKNOWN'")},
+        ),
+        broken(
+            ends.join(there, EVENT, "left"),
+            "edge_id",
+            {
+                "edge_event_missing": absent,
+                "edge_source_missing": F.col("source_role").isNull(),
+                "edge_target_missing": F.col("target_role").isNull(),
+                "edge_source_role": F.col("source_role") != "PERSON",
+                "edge_target_role": F.col("target_role") != "OBJECT",
+                "edge_actor_unresolved": F.col("actor_resolution") != "RESOLVED",
+                "edge_object_unresolved": F.col("object_resolution") != "RESOLVED",
+                "edge_bounds": bad_bounds(),
+                "edge_segment_timing": F.col("timing") == "SEGMENT",
+            },
+        ),
+        broken(scores.join(there, EVENT, "left"), "event_id", {"score_event_missing": absent}),
     ]
     if whole is not None:
-        each = lambda k: whole.select("episode_id", F.col("start_sec").alias("a"), F.col("end_sec").alias("b"), F.explode(f"{k}_ids").alias(f"{k}_id"))
-        held = each("event").join(events.select("event_id", "start_sec", "end_sec"), "event_id")
+        each = lambda k: whole.select("video_id", "episode_id", F.col("start_sec").alias("_a"), F.col("end_sec").alias("_b"), F.explode(f"{k}_ids").alias(f"{k}_id"))
+        held = each("event").join(events.select(*EVENT, "start_sec", "end_sec", F.lit(True).alias("_there")), EVENT, "left")
+        gone = lambda k, df: each(k).join(df.select("video_id", f"{k}_id", F.lit(True).alias("_there")), ["video_id", f"{k}_id"], "left")
         out += [
-            issue(whole.where(bad_bounds(whole)), "episode_bounds", "ERROR", "episode_id"),
-            issue(each("event").join(known, "event_id", "left_anti"), "episode_event_missing", "ERROR", "episode_id"),
-            issue(held.where("start_sec < a or end_sec > b"), "episode_event_outside", "WARNING", "episode_id"),
-            issue(each("edge").join(links.select("edge_id"), "edge_id", "left_anti"), "episode_edge_missing", "ERROR", "episode_id"),
-            issue(each("transition").join(states.select("transition_id"), "transition_id", "left_anti"), "episode_transition_missing", "ERROR", "episode_id"),
+            broken(whole, "episode_id", {"episode_bounds": bad_bounds()}),
+            broken(held, "episode_id", {"episode_event_missing": absent, "episode_event_outside": F.expr("start_sec < _a or end_sec > _b")}),
+            broken(gone("edge", links), "episode_id", {"episode_edge_missing": absent}),
+            broken(gone("transition", states), "episode_id", {"episode_transition_missing": absent}),
         ]
     total = out[0]
     for more in out[1:]:
@@ -165,47 +340,23 @@ def issues(events: DataFrame, states: DataFrame, links: DataFrame, points: DataF
     return total
 
 
-def assess(events: DataFrame, truth: DataFrame, tolerance: float = 1.0) -> DataFrame:
-    """Each event against the labelled actions of its video that it overlaps, or if none, that lie within the tolerance.
+def health(found: DataFrame) -> DataFrame:
+    """(video_id, dataset_health, n_errors, n_warnings, n_infos) of integrity issues."""
+    n = {k: F.sum(F.when(F.col("severity") == k.upper(), 1).otherwise(0)) for k in ("error", "warning", "info")}
+    sums = found.groupBy("video_id").agg(*[c.alias(f"n_{k}s") for k, c in n.items()])
+    return sums.withColumn("dataset_health", F.when(F.col("n_errors") > 0, "CRITICAL").when(F.col("n_warnings") > 0, "WARNING").otherwise("HEALTHY"))
 
-    (event_id, action, verdict, attribution, n_covered). truth: (video_id, label_id, truth_action, t_start,
-    t_end), and truth_object and truth_target where known: labels with a role that the event's object names
-    (either contains the other) go before those without. The join
-    is on the video and on stretches of SPAN seconds, each pair in the first that both reach, with an overlap as
-    its condition; the widened one serves only events without a direct overlap.
-    """
-    e = events.select("video_id", "event_id", "action", "start_sec", "end_sec", *[c for c in ("object_label",) if c in events.columns])
-    strict = (F.col("start_sec") < F.col("t_end")) & (F.col("t_start") < F.col("end_sec"))
-    wide = (F.col("start_sec") - tolerance < F.col("t_end")) & (F.col("t_start") < F.col("end_sec") + tolerance)
-
-    def spread(df: DataFrame, a: Column, b: Column, first: str) -> DataFrame:
-        low, high = F.floor(F.least(a, b) / SPAN), F.floor(F.greatest(a, b) / SPAN)
-        return df.withColumns({first: low, "stretch": F.explode(F.sequence(low, high))})
-
-    near = spread(e, F.col("start_sec") - tolerance, F.col("end_sec") + tolerance, "e_first")
-    labels = spread(truth, F.col("t_start"), F.col("t_end"), "t_first")
-    both = near.join(labels, ["video_id", "stretch"]).where(wide & (F.col("stretch") == F.greatest("e_first", "t_first"))).withColumn("hit", strict)
-    some = both.groupBy("event_id").agg(F.bool_or("hit").alias("any_hit"))
-    used = both.join(some, "event_id").where(F.col("hit") | ~F.col("any_hit"))
-    roles = [c for c in ("truth_object", "truth_target") if c in truth.columns and "object_label" in events.columns]
-    if roles:
-        low = lambda c: F.lower(F.trim(c))
-        named = lambda c: (F.length("object_label") > 0) & (F.length(c) > 0) & (F.contains(low("object_label"), low(c)) | F.contains(low(c), low("object_label")))
-        used = used.withColumn("on", F.greatest(F.lit(False), *[named(c) for c in roles]))
-        used = used.withColumn("any_on", F.max("on").over(Window.partitionBy("event_id"))).where(F.col("on") | ~F.col("any_on"))
-    opposite = F.element_at(F.create_map(*[F.lit(x) for p in lx.ANTONYMS.items() for x in p]), F.col("truth_action"))
-    sums = used.groupBy("event_id").agg(F.count("*").alias("n_covered"), F.bool_or(F.col("action") == F.col("truth_action")).alias("same"), F.bool_or(F.coalesce(F.col("action") == opposite, F.lit(False))).alias("turned"), F.first("any_hit").alias("any_hit"), F.bool_or(F.col("truth_action").isin(*VOCABULARY)).alias("worded"))
-    out = e.join(sums, "event_id", "left")
-    verdict = F.when(F.col("n_covered").isNull(), "UNMATCHED").when(F.col("same"), "EXACT").when(F.col("turned"), "REVERSED").when(~F.col("worded"), "NOT_IN_VOCABULARY").otherwise("OTHER")
-    attribution = F.when(F.col("n_covered") > 1, F.concat(F.lit("AMBIGUOUS x"), "n_covered")).when(F.col("any_hit"), "PRECISE").when(F.col("n_covered") == 1, "NEAR")
-    return out.select("video_id", "event_id", "action", verdict.alias("verdict"), attribution.alias("attribution"), F.coalesce("n_covered", F.lit(0)).cast("long").alias("n_covered"))
-
-
-def confusion(pairs: DataFrame, truth: str, got: str, top: int) -> DataFrame:
-    """The most frequent wrong pairs; a report of `top` rows."""
-    return pairs.where(F.col(truth) != F.col(got)).groupBy(truth, got).agg(F.count("*").alias("n")).orderBy(F.desc("n"), truth, got).limit(top)
+
+def preview(whole: DataFrame, events: DataFrame, links: DataFrame, points: DataFrame) -> DataFrame:
+    """(video_id, episode_id, n_events, said): the events of each episode in order, as a person would write them."""
+    each = whole.select("video_id", "episode_id", F.posexplode("event_ids").alias("_nth", "event_id"))
+    last = links.groupBy(*EVENT).agg(F.max_by("target_id", "nth").alias("node_id"))
+    rows = each.join(events.select(*EVENT, "action"), EVENT).join(last, EVENT, "left").join(points.select("video_id", "node_id", "label"), ["video_id", "node_id"], "left")
+    told = F.transform(F.array_sort(F.collect_list(F.struct("_nth", lx.spoken(F.col("action"), F.col("label")).alias("text")))), lambda x: x["text"])
+    return rows.groupBy("video_id", "episode_id").agg(F.count("*").alias("n_events"), F.array_join(told, "; ").alias("said"))
 
 
 def interleave(df: DataFrame, group: str, order: str) -> DataFrame:
-    """A position that takes one row of each group in turn."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy(order)))
+    """Two numbers that sort rows so that every beginning is as even over the groups as the whole: turn, then place among the groups in turn."""
+    turn = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    return df.withColumn("turn", turn).withColumn("place", F.row_number().over(Window.partitionBy("turn").orderBy(group)))

@@ -1,18 +1,25 @@
 """Operators whose next step depends on the last: suppression, tracking, stitching, state correction, episodes, assignment.
 
-Each runs as a grouped map over a unit that is small by its nature (a frame's class, one video, the tracks of
-one class in a video); Spark deals the units out.
+Each runs as a fold or grouped map over a unit that is small by its nature (a frame's class, the stretch of a video in
+which something lives, the items of one object); Spark deals the units out.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackloom.functions import geometry as g
+from trackloom.functions import lexicon as lx
+from trackloom.functions import sequences as s
+
 BOX = ["x1", "y1", "x2", "y2"]
 OPPOSITE = {"OPEN": "CLOSE", "CLOSE": "OPEN"}
+LEAVES = {"OPEN": "OPEN", "CLOSE": "CLOSED"}
 
 
 def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -25,25 +32,19 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def suppress(detections: DataFrame, threshold: float = 0.45) -> DataFrame:
-    """Non-maximum suppression within each frame and class: the most confident box stays, what overlaps it by more than the threshold goes. Ties go to the least det_id."""
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_index", "class_name", "conf", "det_id"], ascending=[True, True, False, True])
-        boxes, frames, labels = pdf[BOX].to_numpy(), pdf["frame_index"].to_numpy(), pdf["class_name"].to_numpy()
-        begins = np.flatnonzero(np.r_[True, (frames[1:] != frames[:-1]) | (labels[1:] != labels[:-1])]).tolist()
-        alive = np.ones(len(pdf), bool)
-        for a, b in zip(begins, [*begins[1:], len(pdf)], strict=True):
-            for i in range(a, b - 1):
-                if alive[i]:
-                    alive[i + 1 : b] &= overlaps(boxes[i : i + 1], boxes[i + 1 : b])[0] <= threshold
-        return pdf[alive]
-
-    # Boxes alone in their frame and class pass by; the others travel in stretches of frames, not a group for each.
-    n = F.count("*").over(Window.partitionBy("video_id", "frame_index", "class_name"))
-    counted = detections.withColumn("_n", n)
-    alone, rest = counted.where("_n = 1").drop("_n"), counted.where("_n > 1").drop("_n")
-    stretch = F.floor(F.col("frame_index") / 256)
-    return alone.unionByName(rest.groupBy("video_id", stretch).applyInPandas(greedy, detections.schema))
+    """Non-maximum suppression within each frame and class: the most confident box stays, what overlaps it by more than the threshold goes. Ties go to the least det_id.
+
+    A frame's boxes of a class, few by nature, are one array, which a fold goes through in order.
+    """
+    keys = ["video_id", "frame_index", "class_name"]
+    rest = [c for c in detections.columns if c not in keys]
+    boxes = F.array_sort(F.collect_list(F.struct((-F.col("conf")).alias("_order"), F.col("det_id").alias("_id"), *[F.col(c) for c in rest])))
+    framed = detections.groupBy(*keys).agg(boxes.alias("_all"))
+    kind = framed.schema["_all"].dataType.simpleString()
+    free = lambda kept, x: ~F.exists(kept, lambda k: g.iou(k, x) > threshold)
+    kept = F.aggregate("_all", F.array().cast(kind), lambda acc, x: F.when(free(acc, x), F.array_append(acc, x)).otherwise(acc))
+    kept = F.when(F.size("_all") > 1, kept).otherwise(F.col("_all"))
+    return framed.select(*keys, F.explode(kept).alias("_x")).select(*[F.col(c) if c in keys else F.col(f"_x.{c}") for c in detections.columns])
 
 
 class Mover:
@@ -52,7 +53,7 @@ class Mover:
     def __init__(self, number: int, box: np.ndarray, label: str) -> None:
         self.number, self.label, self.hits, self.misses = number, label, 1, 0
         self.place, self.speed = self.form(box), np.zeros(4)
-        self.cov = np.tile(np.array([[10.0, 0.0], [0.0, 1000.0]]), (4, 1, 1))
+        self.cov = np.tile(np.array([[1.0, 0.0], [0.0, 1000.0]]), (4, 1, 1))
 
     @staticmethod
     def form(box: np.ndarray) -> np.ndarray:
@@ -68,6 +69,7 @@ class Mover:
         self.cov = step @ self.cov @ step.T
         self.cov[:, 0, 0] += [1.0, 1.0, 10.0, 10.0]
         self.cov[:, 1, 1] += 100.0
+        self.misses += 1
 
     def update(self, box: np.ndarray) -> None:
         gain = self.cov[:, :, 0] / (self.cov[:, 0, 0] + 10.0)[:, None]
@@ -77,177 +79,316 @@ class Mover:
         self.hits, self.misses = self.hits + 1, 0
 
 
+@dataclass
+class Follower:
+    """The tracks of one video, frame by frame; a few numbers a track, so it can be kept between batches of frames."""
+
+    iou_from: float
+    patience: int
+    frame_w: float
+    frame_h: float
+    live: list[Mover] = field(default_factory=list)
+    count: int = 0
+    last: int | None = None
+
+    def point(self, t: Mover, frame: int, box: np.ndarray, conf: float, estimated: bool) -> tuple:
+        return (t.number, t.label, frame, *box, conf, estimated, t.hits)
+
+    def unseen(self, t: Mover, frame: int) -> list[tuple]:
+        """The predicted point of a track without a detection, unless it is under a pixel or out of the frame."""
+        b = t.box()
+        there = min(t.place[2:]) >= 1 and b[2] > 0 and b[3] > 0 and b[0] < self.frame_w and b[1] < self.frame_h
+        return [self.point(t, frame, b, 0.0, True)] if there else []
+
+    def step(self, frame: int, boxes: np.ndarray, labels: list[str], conf: np.ndarray) -> list[tuple]:
+        """The points of a frame, and of the empty frames since the last one."""
+        out = self.idle(frame)
+        for t in self.live:
+            t.predict()
+        taken: dict[int, int] = {}
+        if self.live and len(boxes):
+            table = overlaps(np.array([t.box() for t in self.live]), boxes) * np.array([[t.label == name for name in labels] for t in self.live])
+            for i, j in sorted(np.argwhere(table >= self.iou_from).tolist(), key=lambda p: (-table[p[0], p[1]], p[0], p[1])):
+                if i not in taken and j not in taken.values():
+                    taken[i] = j
+        for i, t in enumerate(self.live):
+            if i in taken:
+                t.update(boxes[taken[i]])
+                out.append(self.point(t, frame, boxes[taken[i]], conf[taken[i]], False))
+            else:
+                out += self.unseen(t, frame)
+        self.live = [t for t in self.live if t.misses <= self.patience]
+        for j in sorted(set(range(len(boxes))) - set(taken.values())):
+            self.count += 1
+            self.live.append(Mover(self.count, boxes[j], labels[j]))
+            out.append(self.point(self.live[-1], frame, boxes[j], conf[j], False))
+        self.last = frame
+        return out
+
+    def idle(self, until: int) -> list[tuple]:
+        """The points of the frames without detections before `until`; ends early once nothing lives."""
+        out: list[tuple] = []
+        frame = until if self.last is None else self.last + 1
+        while self.live and frame < until:
+            for t in self.live:
+                t.predict()
+                out += self.unseen(t, frame)
+            self.live = [t for t in self.live if t.misses <= self.patience]
+            frame += 1
+        return out
+
+    def follow(self, pdf: pd.DataFrame) -> list[tuple]:
+        """The points of all frames of pdf, in order."""
+        out: list[tuple] = []
+        for frame, rows in pdf.sort_values(["frame_index", "det_id"]).groupby("frame_index", sort=True):
+            out += self.step(int(frame), rows[BOX].to_numpy(float), [c.lower() for c in rows["class_name"]], rows["conf"].to_numpy(float))
+        return out
+
+
+POINT_COLUMNS = ["track_id", "class_name", "frame_index", *BOX, "conf", "estimated", "hits"]
+TRACK_SCHEMA = "video_id long, track_id long, class_name string, frame_index long, x1 double, y1 double, x2 double, y2 double, conf double, estimated boolean"
+#: Numbers of tracks in one stretch of a video; the next stretch begins at the next multiple.
+NUMBERS = 1_000_000_000
+
+
+def patience_of(max_age: int, stride: int, max_missed: int) -> int:
+    """Frames after which an unseen track goes; stride is the number of frames between attempts at detection."""
+    return max(max_age, max(1, stride) * (max(0, max_missed) + 1))
+
+
 def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_hits: int = 1, frame_w: float = 1920.0, frame_h: float = 1080.0, stride: int = 1, max_missed: int = 2) -> DataFrame:
     """Tracks of each video: (video_id, track_id, class_name, frame_index, x1..y2, conf, estimated).
 
     In every frame from the video's first to its last detection each track is predicted, the pair of a track
     and a detection of its class with the largest overlap is matched first (ties: least track, then detection),
     matched tracks take the detected box, others keep a predicted point of confidence 0 unless it is under
-    a pixel or out of the frame, and go after max_age frames, or stride * (max_missed + 1) if that is more:
-    stride is the number of frames between attempts at detection. Detections left over begin tracks.
+    a pixel or out of the frame, and go after their patience. Detections left over begin tracks. Tracks with
+    fewer than min_hits detections are left out.
+
+    Nothing lives through more empty frames than the patience, so a video is cut there and each stretch is a group
+    of its own.
     """
-    patience = max(max_age, stride * (max_missed + 1))
+    patience = patience_of(max_age, stride, max_missed)
     if iou_from <= 0:
         raise ValueError("an overlap of 0 would match everything with everything")
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, live, count, last = [], [], 0, None
-
-        def missed(t: Mover, frame: int) -> None:
-            t.misses += 1
-            b = t.box()
-            if min(t.place[2:]) >= 1 and b[2] > 0 and b[3] > 0 and b[0] < frame_w and b[1] < frame_h:
-                out.append((t.number, t.label, frame, *b, 0.0, True, t.hits))
-
-        for frame, rows in pdf.sort_values(["frame_index", "det_id"]).groupby("frame_index", sort=True):
-            boxes, labels, conf = rows[BOX].to_numpy(float), [c.lower() for c in rows["class_name"]], rows["conf"].to_numpy(float)
-            empty = frame if last is None else last + 1
-            while live and empty < frame:
-                for t in live:
-                    t.predict()
-                    missed(t, empty)
-                live = [t for t in live if t.misses <= patience]
-                empty += 1
-            last = frame
-            for t in live:
-                t.predict()
-            free = set(range(len(boxes)))
-            if live:
-                table = overlaps(np.array([t.box() for t in live]), boxes)
-                table *= np.array([[t.label == name for name in labels] for t in live])
-                hit = np.argwhere(table >= iou_from)
-                order = sorted(hit.tolist(), key=lambda p: (-table[p[0], p[1]], p[0], p[1]))
-                taken: set[int] = set()
-                for i, j in order:
-                    if i not in taken and j in free:
-                        taken.add(i)
-                        free.discard(j)
-                        live[i].update(boxes[j])
-                        out.append((live[i].number, live[i].label, frame, *boxes[j], conf[j], False, live[i].hits))
-                for i, t in enumerate(live):
-                    if i not in taken:
-                        missed(t, frame)
-                live = [t for t in live if t.misses <= patience]
-            for j in sorted(free):
-                count += 1
-                live.append(Mover(count, boxes[j], labels[j]))
-                out.append((count, labels[j], frame, *boxes[j], conf[j], False, 1))
-        done = pd.DataFrame(out, columns=["track_id", "class_name", "frame_index", *BOX, "conf", "estimated", "hits"])
-        enough = done.groupby("track_id")["hits"].transform("max") >= min_hits
-        done = done[enough].drop(columns="hits")
+    frames = detections.select("video_id", "frame_index").distinct()
+    cut = s.islands(frames, ["video_id"], "frame_index", "frame_index", patience + 1, []).withColumn("island", F.col("island").cast("long"))
+    ends = cut.groupBy("video_id", "island").agg(F.min("frame_index").alias("_first"))
+    after = F.lead("_first").over(Window.partitionBy("video_id").orderBy("island"))
+    placed = cut.join(ends.select("video_id", "island", after.alias("_next")), ["video_id", "island"])
+    rows = detections.join(placed, ["video_id", "frame_index"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        follower = Follower(iou_from, patience, frame_w, frame_h)
+        out = follower.follow(pdf)
+        if not pd.isna(pdf["_next"].iloc[0]):
+            out += follower.idle(int(pdf["_next"].iloc[0]))
+        done = pd.DataFrame(out, columns=POINT_COLUMNS)
+        done = done[done.groupby("track_id")["hits"].transform("max") >= min_hits].drop(columns="hits")
+        done["track_id"] += (int(pdf["island"].iloc[0]) - 1) * NUMBERS
         done.insert(0, "video_id", pdf["video_id"].iloc[0])
         return done
 
-    schema = "video_id long, track_id long, class_name string, frame_index long, x1 double, y1 double, x2 double, y2 double, conf double, estimated boolean"
-    return detections.groupBy("video_id").applyInPandas(follow, schema)
+    return rows.groupBy("video_id", "island").applyInPandas(run, TRACK_SCHEMA)
 
 
-def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: float = 0.15, diagonal: float = 2202.9, budget: int = 5, same_iou: float = 0.2) -> DataFrame:
+def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: float = 0.15, diagonal: float = 2202.9, budget: int = 18, same_iou: float = 0.2) -> DataFrame:
     """(video_id, class_name, track_id, entity_id): fragments of one object joined, entity_id being the first fragment's id.
 
-    Fragments of a class come by start; each joins the entity that ended last, at most `blind` frames ago, if
-    the boxes at the seam overlap or their centres are near. Overlap in time beyond the budget needs the boxes
-    of shared frames to agree.
+    Fragments of a class come by start; each joins the entity that ended last (ties: the least id) of those seen at
+    most `blind` frames before it, if the boxes at the seam overlap, their centres are near or those of shared
+    frames overlap. Overlap in time beyond the budget needs the boxes of shared frames to agree. Only points that
+    were seen are compared; predicted ones count for the spans. Where a fragment begins more than `blind` frames after all before
+    it were last seen, nothing can join across, so each stretch between such gaps is a group.
     """
+    spans = points.groupBy("video_id", "class_name", "track_id").agg(F.min("frame_index").alias("_a"), F.max(F.when(F.col("conf") > 0, F.col("frame_index"))).alias("_b"))
+    spans = spans.withColumn("_b", F.coalesce("_b", "_a"))
+    cut = s.islands(spans, ["video_id", "class_name"], "_a", "_b", blind, ["track_id"]).select("video_id", "class_name", "track_id", "island")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen = pdf[pdf["conf"] > 0].sort_values(["frame_index", "track_id"])
-        parts = {t: rows for t, rows in seen.groupby("track_id")}
-        entities: list[dict] = []
+        parts = []
+        for t, rows in pdf.sort_values(["frame_index"]).groupby("track_id"):
+            at, box, conf = rows["frame_index"].to_numpy(), rows[BOX].to_numpy(float), rows["conf"].to_numpy(float)
+            parts.append((int(at[0]), t, {int(f): (c, b) for f, b, c in zip(at, box, conf, strict=True)}))
+        entities: list[tuple[int, dict]] = []
         where: dict[int, int] = {}
-        for t in sorted(parts, key=lambda k: (parts[k]["frame_index"].iloc[0], k)):
-            own = {int(f): b for f, b in zip(parts[t]["frame_index"], parts[t][BOX].to_numpy(float), strict=True)}
-            first = min(own)
+        real = lambda own: sorted(f for f, (c, _) in own.items() if c > 0)
+        for start, t, own in sorted(parts, key=lambda p: p[:2]):
+            seen = real(own)
+            first = seen[0] if seen else start
             best = None
-            for e in entities:
-                gap = first - e["end"]
-                if gap > blind:
+            for name, held in entities:
+                known = real(held)
+                last = known[-1] if known else max(held)
+                if first - last > blind:
                     continue
-                seam = max((f for f in e["boxes"] if f <= first), default=min(e["boxes"]))
-                a, b = e["boxes"][seam], own[first]
-                touch = overlaps(a[None], b[None])[0, 0] >= seam_iou or np.hypot(*((a[:2] + a[2:] - b[:2] - b[2:]) / 2)) <= centre * diagonal
-                if -gap > budget:
-                    shared = sorted(own.keys() & e["boxes"].keys())
-                    touch = touch if not shared else np.mean([overlaps(own[f][None], e["boxes"][f][None])[0, 0] for f in shared]) >= same_iou
-                if touch and (best is None or (e["end"], -e["id"]) > (best["end"], -best["id"])):
-                    best = e
+                a, b = held[last][1], own[first][1]
+                seam = overlaps(a[None], b[None])[0, 0] >= seam_iou or np.hypot(*((a[:2] + a[2:] - b[:2] - b[2:]) / 2)) <= centre * diagonal
+                shared = sorted(set(seen) & set(known))
+                mean = np.mean([overlaps(own[f][1][None], held[f][1][None])[0, 0] for f in shared]) if shared else 0.0
+                if start - max(held) < -budget:
+                    fits = mean >= same_iou if shared else seam
+                else:
+                    fits = seam or (bool(shared) and mean >= seam_iou)
+                if fits and (best is None or (max(held), -name) > (max(best[1]), -best[0])):
+                    best = (name, held)
             if best is None:
-                best = {"id": t, "end": -1, "boxes": {}}
+                best = (t, {})
                 entities.append(best)
-            best["boxes"] = own | best["boxes"]
-            best["end"] = max(best["end"], max(own))
-            where[t] = best["id"]
+            for f, point in own.items():
+                if f not in best[1] or point[0] > best[1][f][0]:
+                    best[1][f] = point
+            where[t] = best[0]
         return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "class_name": pdf["class_name"].iloc[0], "track_id": list(where), "entity_id": list(where.values())})
 
-    return points.groupBy("video_id", "class_name").applyInPandas(join, "video_id long, class_name string, track_id long, entity_id long")
+    keys = ["video_id", "class_name"]
+    return points.join(cut, [*keys, "track_id"]).groupBy(*keys, "island").applyInPandas(join, "video_id long, class_name string, track_id long, entity_id long")
+
+
+def state_subjects(events: DataFrame) -> DataFrame:
+    """(video_id, event_id, subject): whose state the text of an event states, that is the track of the label named nearest to the word.
+
+    Candidates are the event's objects and all labels that some event of the video has bound to a track, the first
+    one's; the latter are a vocabulary, and travel as one array for each video. Ties go to the longer label, then the lower track.
+    Only labels whose last word is in the text are looked for.
+    """
+    order = F.struct("start_sec", "observation_id", "clause")
+    key = F.lower(F.trim("object_label"))
+    bound = events.where((F.col("object_label") != "") & F.col("object_id").isNotNull()).groupBy("video_id", key.alias("label")).agg(F.min(order).alias("nth"), F.min_by("object_id", order).alias("track"))
+    known = bound.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("nth", "label", "track"))).alias("_known"))
+    rows = events.where(F.col("stated").isNotNull()).join(known, "video_id", "left")
+    text, at = F.col("stated.text"), F.col("stated.at")
+    head = lambda name: F.element_at(F.split(name, " +"), -1)
+
+    def subject(labels: Column) -> Column:
+        def of(name: Column) -> Column:
+            exact = F.get(F.filter("_known", lambda k: k["label"] == name), F.lit(0))["track"]
+            near = F.array_max(F.transform("_known", lambda k, i: F.struct(lx.label_score(name, k["label"]).alias("score"), (-i).alias("nth"), k["track"].alias("track"))))
+            track = F.coalesce(exact, F.when(near["score"] > 0, near["track"]))
+            return F.struct(F.abs(lx.mention_at(text, name) - at).alias("far"), (-F.length(name)).alias("size"), track.alias("track"))
+
+        return F.array_min(F.filter(F.transform(labels, of), lambda c: c["track"].isNotNull()))["track"]
+
+    named = F.concat(F.coalesce(F.transform("objects", lambda o: F.lower(F.trim(o))), F.array().cast("array<string>")), F.coalesce(F.transform("_known", lambda k: k["label"]), F.array().cast("array<string>")))
+    named = F.filter(F.array_distinct(named), lambda n: (n != "") & F.contains(text, head(n)) & (lx.mention_at(text, n) > 0))
+    return rows.select("video_id", "event_id", lx.let(named, subject).alias("subject"))
+
+
+def state_items(events: DataFrame) -> DataFrame:
+    """(video_id, track, start_sec, observation_id, clause, event_id, verb, says, opens): what sets or claims the state of each object, in order.
+
+    Events that open or close a known object claim its state; opens tells the first of a run, the same verb on the same
+    object in events that follow each other in the video. Texts of other events state it for their subject, else for their own object.
+    """
+    order = Window.partitionBy("video_id").orderBy("start_sec", "observation_id", "clause")
+    claims = F.col("action").isin(*OPPOSITE) & F.col("object_id").isNotNull()
+    same = (F.lag("action").over(order) == F.col("action")) & F.lag("object_id").over(order).eqNullSafe(F.col("object_id"))
+    e = events.withColumns({"_claims": claims, "_opens": ~(claims & F.coalesce(same, F.lit(False)))})
+    keys = ["video_id", "event_id"]
+    seeds = e.where(~F.col("_claims") & F.col("stated").isNotNull()).join(state_subjects(events), keys, "left")
+    track = F.when(F.col("_claims"), F.col("object_id")).otherwise(F.coalesce("subject", "object_id"))
+    both = e.where("_claims").withColumn("subject", F.lit(None).cast("long")).unionByName(seeds)
+    rows = both.select("video_id", track.alias("track"), "start_sec", "observation_id", "clause", "event_id", F.when(F.col("_claims"), F.col("action")).alias("verb"), F.when(~F.col("_claims"), F.col("stated.state")).alias("says"), F.col("_opens").alias("opens"))
+    return rows.where("track is not null")
 
 
 def correct_states(events: DataFrame) -> DataFrame:
-    """(video_id, event_id, action, corrected): an OPEN of what is open, or a CLOSE of what is closed, is turned round.
+    """(video_id, event_id, action, corrected, source): an OPEN of what is open, or a CLOSE of what is closed, is turned round.
 
-    Events of an object in a video are folded by time; runs of one verb are corrected together, and other
-    events set the state where their facts name it.
+    The items of each object are folded by time; runs of one verb are corrected together. Events without a known object are
+    left as they are.
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start_sec", "event_id"])
-        state: dict[object, str] = {}
-        last: dict[object, tuple[str, str]] = {}
-        fixed = []
-        for action, key, says in zip(pdf["action"], pdf["object_label"], pdf["says"], strict=True):
-            verb = action
-            if action in OPPOSITE:
-                done = "OPEN" if action == "OPEN" else "CLOSED"
-                if last.get(key, ("", ""))[0] == action:
-                    verb = last[key][1]
-                elif state.get(key) == done:
-                    verb = OPPOSITE[action]
-                last[key] = (action, verb)
-                state[key] = "OPEN" if verb == "OPEN" else "CLOSED"
-            else:
-                last.pop(key, None)
-                if says in ("OPEN", "CLOSED"):
-                    state[key] = says
+        pdf = pdf.sort_values(["start_sec", "observation_id", "clause"])
+        state, verb, ids, fixed = None, None, [], []
+        for name, claimed, says, opens in zip(pdf["event_id"], pdf["verb"], pdf["says"], pdf["opens"], strict=True):
+            if pd.isna(claimed):
+                state = says
+                continue
+            if opens or verb is None:
+                verb = OPPOSITE[claimed] if state == LEAVES[claimed] else claimed
+                state = LEAVES[verb]
+            ids.append(name)
             fixed.append(verb)
-        return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "action": pdf["action"], "corrected": fixed})
+        return pd.DataFrame({"video_id": np.full(len(ids), pdf["video_id"].iloc[0]), "event_id": np.array(ids, object), "_fixed": np.array(fixed, object)})
 
-    cols = ["video_id", "event_id", "action", "object_label", "says", "start_sec"]
-    return events.select(*cols).groupBy("video_id", "object_label").applyInPandas(fold, "video_id long, event_id string, action string, corrected string")
+    found = state_items(events).groupBy("video_id", "track").applyInPandas(fold, "video_id long, event_id string, _fixed string")
+    out = events.select("video_id", "event_id", "action").join(found, ["video_id", "event_id"], "left").withColumn("corrected", F.coalesce("_fixed", "action"))
+    return out.select("video_id", "event_id", "action", "corrected", F.when(F.col("corrected") != F.col("action"), "STATE_UNSATISFIABLE").alias("source"))
 
 
 def episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
-    """(video_id, event_id, episode, timing, quality): each event joins the first open episode within the gap that shares its object, else its actor without a different object.
+    """(video_id, event_id, episode, reason, timing, quality): each event joins the first open episode within the gap that shares its object, else its actor without a different object.
 
     Where events have a tier those of REJECT are left out, and quality is the least tier in the episode; timing
-    is that of its events, or MIXED. Both are null where events have no such column.
+    is that of its events, or MIXED. Both are null where events have no such column. An id of -1 is no known
+    one. episode is a number within the video. No episode is open across a gap between all events before
+    and the next one, so each stretch between such gaps is a group.
     """
+    cols = ["video_id", "event_id", "start_sec", "end_sec", "actor_id", "object_id"]
+    extra = [(F.col(c) if c in events.columns else F.lit(None).cast("string")).alias(c) for c in ("timing", "tier")]
+    valid = events.select(*cols, *extra).where("tier is null or tier not in ('REJECT', 'REJECTED')")
+    marked = s.islands(valid, ["video_id"], "start_sec", "end_sec", gap, ["event_id"]).withColumn("island", F.col("island").cast("long"))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start_sec", "end_sec", "event_id"])
         live: list[dict] = []
-        ids, count = [], 0
-        for start, end, actor, thing in zip(pdf["start_sec"], pdf["end_sec"], pdf["actor_id"], pdf["object_id"], strict=True):
+        ids, reasons = [], []
+        known = lambda x: not pd.isna(x) and not str(int(x)).startswith("-1")
+        for n, (start, end, actor, thing) in enumerate(zip(pdf["start_sec"], pdf["end_sec"], pdf["actor_id"], pdf["object_id"], strict=True)):
             live = [e for e in live if start - e["end"] <= gap]
-            known_o, known_a = not pd.isna(thing), not pd.isna(actor)
-            home = next((e for e in live if known_o and thing in e["things"]), None)
-            home = home or next((e for e in live if known_a and actor in e["actors"] and (not known_o or not e["things"])), None)
+            home, reason = None, "initial"
+            for e in live:
+                if known(thing) and thing in e["things"]:
+                    home, reason = e, "shared_object"
+                    break
+                if known(actor) and actor in e["actors"] and not (known(thing) and e["things"]):
+                    home, reason = e, "shared_actor"
+                    break
             if home is None:
-                count += 1
-                home = {"n": count, "end": end, "things": set(), "actors": set()}
+                home = {"n": n + 1, "end": end, "things": set(), "actors": set()}
                 live.append(home)
             home["end"] = max(home["end"], end)
-            home["things"] |= {thing} if known_o else set()
-            home["actors"] |= {actor} if known_a else set()
+            home["things"] |= {thing} if known(thing) else set()
+            home["actors"] |= {actor} if known(actor) else set()
             ids.append(home["n"])
-        return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "episode": ids, "timing": pdf["timing"], "tier": pdf["tier"]})
+            reasons.append(reason)
+        number = [(int(pdf["island"].iloc[0]) - 1) * NUMBERS + i for i in ids]
+        return pd.DataFrame({"video_id": pdf["video_id"], "event_id": pdf["event_id"], "episode": number, "reason": reasons, "timing": pdf["timing"], "tier": pdf["tier"]})
 
-    cols = ["video_id", "event_id", "start_sec", "end_sec", "actor_id", "object_id"]
-    extra = [(F.col(c) if c in events.columns else F.lit(None).cast("string")).alias(c) for c in ("timing", "tier")]
-    valid = events.select(*cols, *extra).where("tier is null or tier <> 'REJECT'")
-    found = valid.groupBy("video_id").applyInPandas(gather, "video_id long, event_id string, episode long, timing string, tier string")
+    found = marked.groupBy("video_id", "island").applyInPandas(gather, "video_id long, event_id string, episode long, reason string, timing string, tier string")
     w = Window.partitionBy("video_id", "episode")
     mixed = F.when(F.min("timing").over(w) == F.max("timing").over(w), F.min("timing").over(w)).when(F.max("timing").over(w).isNotNull(), "MIXED")
-    return found.select("video_id", "event_id", "episode", mixed.alias("timing"), F.max("tier").over(w).alias("quality"))
+    return found.select("video_id", "event_id", "episode", "reason", mixed.alias("timing"), F.max("tier").over(w).alias("quality"))
+
+
+def replayed(observations: DataFrame, segments: DataFrame) -> DataFrame:
+    """(video_id, segment_id, observation_id, run_failed): earlier observations bound to the segments with the same bounds, in hundredths of a second.
+
+    All that match are kept. A segment without any has one row without an observation, and fails its video's run.
+    """
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    prior = observations.select("video_id", cents("seg_start").alias("_a"), cents("seg_end").alias("_b"), "observation_id")
+    both = segments.select("video_id", "segment_id", cents("seg_start").alias("_a"), cents("seg_end").alias("_b")).join(prior, ["video_id", "_a", "_b"], "left")
+    failed = both.groupBy("video_id").agg(F.max(F.col("observation_id").isNull()).alias("run_failed"))
+    return both.join(failed, "video_id").select("video_id", "segment_id", "observation_id", "run_failed")
+
+
+def assigned(points: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(video_id, at, point): for each bound of a video a change point of its own, in order, at the least total distance.
+
+    points: (video_id, sec), bounds: (video_id, at). A video's change points and bounds, short lists, are one group.
+    A video with fewer points than bounds has nulls.
+    """
+    both = points.select("video_id", F.col("sec").alias("at"), F.lit(False).alias("bound")).unionByName(bounds.select("video_id", "at", F.lit(True).alias("bound")))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, at = sorted(pdf.loc[~pdf["bound"], "at"]), sorted(pdf.loc[pdf["bound"], "at"])
+        got = [own[i] for i in monotone_assign(own, at)] if len(own) >= len(at) else [None] * len(at)
+        return pd.DataFrame({"video_id": [pdf["video_id"].iloc[0]] * len(at), "at": at, "point": pd.array(got, "Float64")})
+
+    return both.groupBy("video_id").applyInPandas(run, "video_id long, at double, point double")
 
 
 def monotone_assign(points: list[float], bounds: list[float]) -> list[int]:

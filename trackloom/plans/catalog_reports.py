@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from trackloom.operators import reports
 from trackloom.plans.catalog import query
-from trackloom.plans.views import OBSERVATIONS_SQL, observations, table
+from trackloom.plans.views import OBSERVATIONS_SQL, observations, segment_changes, table
 
 DRAWN = 300
 LABELS = ("push chopper", "red widget", "widget", "large blue gear", "bolt", "picture of a red widget", "gear box")
 
 
 @query(f"""with {OBSERVATIONS_SQL}, l as (select 'status' field, status value from obs union all select 'raw_action', raw_action from obs
-union all select 'facts', facts from obs union all select 'object_id', object_id::varchar from obs)
+union all select 'visible_facts', visible_facts from obs union all select 'actor', actor from obs)
 select field, value, count(*) n, round(count(*) / sum(count(*)) over (partition by field), 6) share from l group by 1, 2""")
 def d19_field_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = reports.field_histogram(observations(spark, sf_dir), ("status", "raw_action", "facts", "object_id"))
+    found = reports.field_histogram(observations(spark, sf_dir), ("status", "raw_action", "visible_facts", "actor"))
     return found.withColumn("share", F.round("share", 6))
 
 
@@ -32,13 +32,15 @@ def d22_balanced_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.balanced_draw(rows, "event_type", "event_id", DRAWN)
 
 
-@query(f"""with {OBSERVATIONS_SQL}, g as (select segment_id, seg_start s, seg_end e, min(observation_id) % 3 + 2 n, list(start_sec) x from obs group by 1, 2, 3),
-c as (select *, list_sort(list_distinct(list_filter(x, lambda v: v > s and v < e))) i from g),
+@query(f"""with {OBSERVATIONS_SQL}, g as (select video_id, segment_id, min(seg_start) s, min(seg_end) e, min(observation_id) % 3 + 2 n from obs group by 1, 2),
+x as (select g.*, (select list(sec) from chg where chg.segment_id = g.segment_id) x from g),
+c as (select *, list_sort(list_distinct(list_filter(x, lambda v: v > s and v < e))) i from x),
 b as (select segment_id, n, list_concat([s], list_transform(range(1, n), lambda j: i[cast(floor(j * len(i) / n) as bigint) + 1]), [e]) b from c where len(i) >= n - 1)
 select segment_id, clause, b[clause + 1] from_sec, b[clause + 2] to_sec from b, lateral (select unnest(range(0, n)) clause)""")
 def e13_clause_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = observations(spark, sf_dir).groupBy("segment_id", "seg_start", "seg_end").agg((F.min("observation_id") % 3 + 2).alias("n"), F.collect_set("start_sec").alias("changes"))
-    cut = reports.clause_windows(F.col("changes"), F.col("seg_start"), F.col("seg_end"), F.col("n"))
+    seg = observations(spark, sf_dir).groupBy("video_id", "segment_id").agg(F.min("seg_start").alias("s"), F.min("seg_end").alias("e"), (F.min("observation_id") % 3 + 2).alias("n"))
+    found = seg.join(segment_changes(spark, sf_dir).groupBy("segment_id").agg(F.collect_set("sec").alias("changes")), "segment_id")
+    cut = reports.clause_windows(F.col("changes"), F.col("s"), F.col("e"), F.col("n"))
     return found.select("segment_id", F.posexplode(cut).alias("clause", "w")).select("segment_id", F.col("clause").cast("long").alias("clause"), "w.from_sec", "w.to_sec")
 
 

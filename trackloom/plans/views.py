@@ -74,49 +74,108 @@ DETECTIONS_SQL = """det as (select l_orderkey % 16 video_id, l_orderkey frame_in
 CAPTIONS = (
     "picking up the {}",
     "placing the {} into the cardboard box",
-    "opening the {} and closing the lid of the cardboard box",
-    "removing the {} out of the cardboard box, then placing it on the table",
+    "placing the {} into the cardboard box and closing the lid",
+    "removing the {} out of the cardboard box, then placing the box on the table",
     "placing the {} on the red folder",
     "resting near the {}",
+    "unboxing the push chopper from the cardboard box",
+    "opening and unpacking the cardboard box",
+    "from the box, the {} is pushed and pushed, then dropped and picked up",
 )
-FACTS = (None, "the lid is open", "the box is closed", "the lid was open and is closed now", "nothing changes", "the {} is in the hand", "the {} lies on the table")
+FACTS = (None, "the lid is open", "the cardboard box is closed", "the lid was open and is closed now", "nothing changes", "the {} is held in hand, lifted off table", "the {} was put on table", "an open cardboard box beside the {}")
+SAID = (None, "opened the closed {}", None, "kept holding it", "already open", "was open before")
+REASONS = ("gateway said 503 UNAVAILABLE: try again", "no json in a very long answer that goes on and on and on and on and on", "error 429 RESOURCE_EXHAUSTED")
+#: What the objects of a caption are, by event_id modulo their number.
+OBJECTS = (("{}",), ("cardboard box", "{}"), ("{}", "cardboard box", "push chopper"), (), ("push chopper", "box"))
+#: Wordings of labelled clips, by the clip's number modulo their number.
+TEMPLATES = ("Putting [something] into [something]", "Taking [something]  out of [something]", "Picking [something] up", "Folding [something]", "Pushing [something] off of [something]", "Putting [something] onto [something]", "Closing [something]")
+
+
+def _chosen(options: tuple, key: str, quote=lambda o: "null" if o is None else "'" + o + "'") -> str:
+    """SQL that both engines read: the option of a number modulo their count."""
+    return f"case {key} % {len(options)} " + " ".join(f"when {i} then {quote(o)}" for i, o in enumerate(options)) + " end"
+
+
+def _list_of(brackets: str):
+    def quote(labels: tuple) -> str:
+        inner = ", ".join("p_name" if x == "{}" else f"'{x}'" for x in labels)
+        return brackets.replace("..", inner) if labels else f"cast({brackets.replace('..', '')} as {'array<string>' if brackets.startswith('array') else 'varchar[]'})"
+
+    return quote
+
+
+def _observed(brackets: str, whole: str, text: str) -> str:
+    """The columns of the observation view; the dialects differ in lists and whole division."""
+    n = f"({whole})"
+    names = lambda options: f"replace({_chosen(options, 'event_id')}, '{{}}', p_name)"
+    return f"""{n} % 8 video_id, concat('seg_', {n}) segment_id, event_id observation_id, case when event_type = 'error' then 'FAILED' else 'SUCCESS' end status,
+  {names(CAPTIONS)} raw_action, {_chosen(OBJECTS, 'event_id', _list_of(brackets))} objects, case when event_id % 4 <> 0 then 'person' end actor,
+  {names(FACTS)} visible_facts, {names(SAID)} state_change, case when event_type = 'error' then {_chosen(REASONS, 'event_id')} end error_reason,
+  (event_id % 100) / cast(100 as double) confidence, {n} * cast(8 as double) seg_start, {n} * cast(8 as double) + 8 seg_end,
+  case when event_id % 13 <> 0 then {n} * cast(8 as double) + event_id % 5 end start_sec, case when event_id % 13 <> 0 then {n} * cast(8 as double) + event_id % 5 + 1 + event_id % 3 end end_sec"""
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A caption for each event: (video_id, segment_id, observation_id, status, raw_action, object_1, object_2, facts, confidence, seg_start, seg_end, start_sec, end_sec)."""
+    """A caption for each event: (video_id, segment_id, observation_id, status, raw_action, objects, actor, visible_facts, state_change, error_reason, confidence, seg_start, seg_end, start_sec, end_sec).
+
+    Four events in turn are a segment. Times are those that the caption gives, null for some.
+    """
     ev, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     n = max(1, part.count())
-    keyed = ev.select("event_id", "user_id", "event_type", "value").withColumn("p_partkey", F.col("event_id") % n)
+    keyed = ev.select("event_id", "event_type").withColumn("p_partkey", F.col("event_id") % n)
     both = keyed.join(part.select("p_partkey", "p_name"), "p_partkey")
-    pick = lambda options, k: F.element_at(F.array(*map(F.lit, options)), (F.col("event_id") % k + 1).cast("int"))
-    start = F.floor(F.col("event_id") / 4) * 8.0
-    return both.select(
-        (F.col("user_id") % 8).alias("video_id"),
-        F.concat(F.lit("seg_"), F.floor(F.col("event_id") / 4)).alias("segment_id"),
-        F.col("event_id").alias("observation_id"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"),
-        F.replace(pick(CAPTIONS, 6), F.lit("{}"), F.col("p_name")).alias("raw_action"),
-        F.col("p_name").alias("object_1"),
-        F.lit("cardboard box").alias("object_2"),
-        F.replace(pick(FACTS, 7), F.lit("{}"), F.col("p_name")).alias("facts"),
-        ((F.col("event_id") % 100) / 100.0).alias("confidence"),
-        start.alias("seg_start"),
-        (start + 8.0).alias("seg_end"),
-        (start + F.col("event_id") % 5).alias("start_sec"),
-        (start + F.col("event_id") % 5 + 1.0 + F.col("event_id") % 3).alias("end_sec"),
-        (F.col("user_id") % 3).alias("actor_id"),
-        F.when(F.col("event_id") % 11 != 0, F.col("p_partkey") % 5).alias("object_id"),
+    columns = _observed("array(..)", "event_id div 4", "string")
+    return both.selectExpr(*_columns(columns))
+
+
+def _columns(text: str) -> list[str]:
+    """A list of columns cut at the commas outside brackets and quotes."""
+    out, depth, quoted, at = [], 0, False, 0
+    for i, c in enumerate(text):
+        quoted ^= c == "'"
+        if not quoted:
+            depth += (c in "([") - (c in ")]")
+            if c == "," and not depth:
+                out.append(text[at:i])
+                at = i + 1
+    return [*out, text[at:]]
+
+
+def segment_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tracks of each segment: (video_id, segment_id, track_id, class_name, n_points, surface). A surface is a marking on another object."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    points = ev.groupBy("user_id").agg(F.count("*").alias("n_points"))
+    kind = F.element_at(F.array(*map(F.lit, ("person", "Person", "cardboard box", "push chopper", "dining table"))), (F.col("user_id") % 5 + 1).cast("int"))
+    number = F.expr("event_id div 4")
+    rows = ev.select((number % 8).alias("video_id"), F.concat(F.lit("seg_"), number).alias("segment_id"), "user_id").distinct().join(points, "user_id")
+    return rows.select("video_id", "segment_id", F.col("user_id").alias("track_id"), kind.alias("class_name"), "n_points", (F.col("user_id") % 7 == 0).alias("surface"))
+
+
+def segment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds at which something changes in a segment: (video_id, segment_id, sec)."""
+    number = F.expr("event_id div 4")
+    return table(spark, sf_dir, "events").select((number % 8).alias("video_id"), F.concat(F.lit("seg_"), number).alias("segment_id"), (number * 8.0 + F.col("event_id") % 7 + 0.5).alias("sec"))
+
+
+def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelled clip for each segment: (video_id, segment_id, template, exit_code, seconds, has_output)."""
+    number = F.expr("event_id div 4")
+    seg = table(spark, sf_dir, "events").select(number.alias("n")).distinct()
+    template = F.expr(_chosen(TEMPLATES, "n"))
+    return seg.select(
+        (F.col("n") % 8).alias("video_id"),
+        F.concat(F.lit("seg_"), "n").alias("segment_id"),
+        template.alias("template"),
+        F.when(F.col("n") % 23 == 0, 1).otherwise(0).alias("exit_code"),
+        (20.0 + F.col("n") * 7 % 31).alias("seconds"),
+        (F.col("n") % 17 != 0).alias("has_output"),
     )
 
 
-def _choice(options: tuple, k: int) -> str:
-    quoted = lambda o: "null" if o is None else "'" + o + "'"
-    return f"case event_id % {k} " + " ".join(f"when {i} then {quoted(o)}" for i, o in enumerate(options)) + " end"
-
-
-OBSERVATIONS_SQL = f"""obs as (select user_id % 8 video_id, 'seg_' || (event_id // 4) segment_id, event_id observation_id,
-  case when event_type = 'error' then 'FAILED' else 'SUCCESS' end status, replace({_choice(CAPTIONS, 6)}, '{{}}', p_name) raw_action,
-  p_name object_1, 'cardboard box' object_2, replace({_choice(FACTS, 7)}, '{{}}', p_name) facts, (event_id % 100) / 100.0e0 confidence,
-  (event_id // 4) * 8.0e0 seg_start, (event_id // 4) * 8.0e0 + 8 seg_end, (event_id // 4) * 8.0e0 + event_id % 5 start_sec,
-  (event_id // 4) * 8.0e0 + event_id % 5 + 1.0e0 + event_id % 3 end_sec, user_id % 3 actor_id, case when event_id % 11 <> 0 then p_partkey % 5 end object_id
-  from events join part on p_partkey = event_id % (select count(*) from part))"""
+OBSERVATIONS_SQL = f"""obs as (select {_observed('[..]', 'event_id // 4', 'varchar')} from events join part on p_partkey = event_id % (select count(*) from part)),
+stk as (select distinct (event_id // 4) % 8 video_id, 'seg_' || (event_id // 4) segment_id, user_id track_id,
+  case user_id % 5 when 0 then 'person' when 1 then 'Person' when 2 then 'cardboard box' when 3 then 'push chopper' else 'dining table' end class_name,
+  count(*) over (partition by user_id) n_points, user_id % 7 = 0 surface from events),
+chg as (select distinct (event_id // 4) % 8 video_id, 'seg_' || (event_id // 4) segment_id, (event_id // 4) * 8.0e0 + event_id % 7 + 0.5e0 sec from events),
+clp as (select distinct (event_id // 4) % 8 video_id, 'seg_' || (event_id // 4) segment_id, {_chosen(TEMPLATES, '(event_id // 4)')} as template,
+  case when (event_id // 4) % 23 = 0 then 1 else 0 end exit_code, 20.0e0 + (event_id // 4) * 7 % 31 as seconds, (event_id // 4) % 17 <> 0 has_output from events)"""
