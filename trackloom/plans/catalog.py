@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.operators import tracks
-from trackloom.plans.views import DETECTIONS_SQL, POINTS_SQL, detections, table, track_points
+from trackloom.plans.views import DETECTIONS_SQL, NESTED_SQL, POINTS_SQL, detections, nested, track_points
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,9 +153,12 @@ pr as (select a.video_id, a.track_id inner_id, b.track_id outer_id, a.frame_inde
   from o a join o b on a.video_id = b.video_id and a.frame_index = b.frame_index and a.track_id <> b.track_id)"""
 
 
-@query(f"with {_PAIRS} select video_id, inner_id, outer_id, count(*) shared from pr group by all having bool_and(inside)")
+NESTED_PAIRS_SQL = _PAIRS.replace(POINTS_SQL, NESTED_SQL).replace("from pts where conf > 0", "from nst where conf > 0")
+
+
+@query(f"with {NESTED_PAIRS_SQL} select video_id, inner_id, outer_id, count(*) shared from pr group by all having bool_and(inside)")
 def c4_always_inside(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracks.always_inside(track_points(spark, sf_dir))
+    return tracks.always_inside(nested(spark, sf_dir))
 
 
 @query(f"with {_PAIRS} select video_id, frame_index, inner_id, outer_id, round(part, 6) part from (select *, row_number() over (partition by video_id, frame_index, inner_id order by part desc, outer_id) n from pr) where n = 1")
@@ -187,16 +191,23 @@ def e10_life_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.life_changes(track_points(spark, sf_dir))
 
 
-@query(f"with {_PAIRS}, {_flips('pr', 'video_id, inner_id, outer_id', 'inside')} select video_id, inner_id track_id, outer_id, frame_index, case when inside then 'ENCLOSE_START' else 'ENCLOSE_END' end kind from fl")
+@query(f"with {NESTED_PAIRS_SQL}, {_flips('pr', 'video_id, inner_id, outer_id', 'inside')} select video_id, inner_id track_id, outer_id, frame_index, case when inside then 'ENCLOSE_START' else 'ENCLOSE_END' end kind from fl")
 def e11_enclosure_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracks.enclosure_changes(track_points(spark, sf_dir))
+    return tracks.enclosure_changes(nested(spark, sf_dir))
+
+
+_ALL_MOTION = _MOTION.replace(POINTS_SQL, NESTED_SQL).replace("from pts where conf > 0", "from nst where conf > 0 and lower(class_name) <> 'dining table'")
+_ALL_FLIPS = _flips("prn", "video_id, inner_id, outer_id", "inside")
+for _old in ("r1", "r2", "r3", "fl"):
+    _ALL_FLIPS = re.sub(rf"\b{_old}\b", f"n{_old}", _ALL_FLIPS)
 
 
-@query(f"with {_MOTION.replace('from pts where conf > 0', chr(102) + 'rom pts where conf > 0 and lower(class_name) <> ' + repr('dining table'))}, e as (select video_id, track_id, min(frame_index) a, max(frame_index) d from o group by all) "
-       f"select video_id, track_id, frame_index, case when moves then 'MOVE_START' else 'MOVE_STOP' end kind from fl union all select video_id, track_id, a, 'APPEAR' from e union all select video_id, track_id, d, 'DISAPPEAR' from e")
+@query(f"""with {_ALL_MOTION}, prn as (select a.video_id, a.track_id inner_id, b.track_id outer_id, a.frame_index, {_inside("a", "b")} inside from o a join o b on a.video_id = b.video_id and a.frame_index = b.frame_index and a.track_id <> b.track_id),
+{_ALL_FLIPS}, e as (select video_id, track_id, min(frame_index) a, max(frame_index) d from o group by all)
+select video_id, track_id, frame_index, case when moves then 'MOVE_START' else 'MOVE_STOP' end kind from fl union all select video_id, track_id, a, 'APPEAR' from e union all select video_id, track_id, d, 'DISAPPEAR' from e
+union all select video_id, inner_id, frame_index, case when inside then 'ENCLOSE_START' else 'ENCLOSE_END' end from nfl""")
 def e12_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tracks.change_points(track_points(spark, sf_dir), exclude=("Dining Table",))
-    return found.where(~F.col("kind").startswith("ENCLOSE")).select("video_id", "track_id", "frame_index", "kind")
+    return tracks.change_points(nested(spark, sf_dir), exclude=("Dining Table",)).select("video_id", "track_id", "frame_index", "kind")
 
 
 @query(f"with {POINTS_SQL} select class_name, count(*) n from pts group by all")

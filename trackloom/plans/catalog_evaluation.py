@@ -228,3 +228,18 @@ def g6_upserted_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def i6_clips_to_do(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = clips(spark, sf_dir)
     return va.undone(c, c.where(F.substring("segment_id", 5, 20).cast("long") % 3 == 0), ["segment_id"]).select("segment_id")
+
+
+@query("""select event_id, case when contains(lo, ' out of ') then 'OUT_OF' when contains(lo, ' off of ') then 'OFF' when contains(lo, ' into ') then 'INTO' when contains(lo, ' onto ') then 'ONTO' end direction,
+  trim(regexp_replace(regexp_replace(w, '[\\[\\]]', '', 'g'), '\\s+', ' ', 'g')) template
+from (select *, ' ' || lower(regexp_replace(w, '[\\[\\]]', '', 'g')) || ' ' lo from (select event_id, case event_id % 4 when 0 then 'Putting  [something] into [something]' when 1 then 'Taking [one of many]  out of [something]' when 2 then 'Pushing [something] off of [something]' else 'Holding [something]' end w from events))""")
+def h26_h28_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = ("Putting  [something] into [something]", "Taking [one of many]  out of [something]", "Pushing [something] off of [something]", "Holding [something]")
+    w = table(spark, sf_dir, "events").select("event_id", F.element_at(F.array(*map(F.lit, words)), (F.col("event_id") % 4 + 1).cast("int")).alias("w"))
+    return w.select("event_id", lx.template_direction(F.col("w")).alias("direction"), lx.normal_template(F.col("w")).alias("template"))
+
+
+@query(f"with {OBSERVATIONS_SQL} select status, segment_id, count(*) n, count(raw_action) with_text, round(avg(confidence), 6) mean_confidence from obs group by 1, 2")
+def d18_observation_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = observations(spark, sf_dir)
+    return rounded(o.groupBy("status", "segment_id").agg(F.count("*").alias("n"), F.count("raw_action").alias("with_text"), F.avg("confidence").alias("mean_confidence")))

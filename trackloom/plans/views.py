@@ -48,6 +48,19 @@ pts as (select user_id % 8 video_id, user_id track_id,
   case when event_type = 'error' then 0.0e0 else 0.5e0 + (event_id % 50) / 100.0e0 end conf from pts1)"""
 
 
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Track points in which boxes of one class often lie in those of another: boxes of the cardboard box are enlarged, all others halved and moved to a few places."""
+    p = track_points(spark, sf_dir)
+    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    big, shift = F.col("class_name") == "cardboard box", F.col("frame_index") % 5 * 30.0
+    x, y = F.when(big, 0.0).otherwise(shift), F.when(big, 0.0).otherwise(10.0)
+    return p.withColumns({"x1": x, "y1": y, "x2": x + F.when(big, w + 60).otherwise(w / 2), "y2": y + F.when(big, h + 60).otherwise(h / 2)})
+
+
+NESTED_SQL = POINTS_SQL + """, nst as (select * replace (case when class_name = 'cardboard box' then 0.0e0 else frame_index % 5 * 30.0e0 end as x1, case when class_name = 'cardboard box' then 0.0e0 else 10.0e0 end as y1,
+  case when class_name = 'cardboard box' then x2 - x1 + 60 else frame_index % 5 * 30.0e0 + (x2 - x1) / 2 end as x2, case when class_name = 'cardboard box' then y2 - y1 + 60 else 10.0e0 + (y2 - y1) / 2 end as y2) from pts)"""
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One box for each order line: (video_id, frame_index, det_id, class_name, x1..y2, conf); det_id is unique up to repeated lines."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")

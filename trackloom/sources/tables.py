@@ -29,3 +29,55 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_rows(df: DataFrame, path: str, form: str = "json", by: str | None = "video_id") -> None:
+    """A table as JSON lines or Parquet, one folder for each video."""
+    out = df.write.mode("errorifexists").format(form)
+    (out.partitionBy(by) if by else out).save(path)
+
+
+def rows_of(text: Column) -> Column:
+    """array<string>: the rows of a file's text, a bare list or one wrapped under a known key; empty if it is missing or broken."""
+    bare = F.from_json(text, "array<string>")
+    wrapped = [F.from_json(F.get_json_object(text, f"$.{k}"), "array<string>") for k in WRAPPERS]
+    listed = F.when(F.ltrim(text).startswith("["), bare).otherwise(F.coalesce(*wrapped))
+    return F.coalesce(F.filter(listed, lambda x: F.ltrim(x).startswith("{")), F.array().cast("array<string>"))
+
+
+def flattened(files: DataFrame, text: str, schema: str) -> DataFrame:
+    """The rows of files with a text column, one for each object in it, with the fields of a DDL schema; files without rows give none."""
+    parsed = files.select(*[c for c in files.columns if c != text], F.explode(rows_of(F.col(text))).alias("_row"))
+    return parsed.select(*[c for c in files.columns if c != text], F.from_json("_row", schema).alias("_x")).select(*[c for c in files.columns if c != text], "_x.*")
+
+
+def tracks_text(points: DataFrame) -> DataFrame:
+    """(video_id, track_id, class_name, n_points, text): each track's real points as a JSON list, by frame. A track's points are one array."""
+    real = F.when(F.col("conf") > 0, F.struct("frame_index", "x1", "y1", "x2", "y2", "conf"))
+    made = points.groupBy("video_id", "track_id", "class_name").agg(F.count("*").alias("n_points"), F.array_sort(F.collect_list(real)).alias("real"))
+    return made.select("video_id", "track_id", "class_name", "n_points", F.to_json("real").alias("text"))
+
+
+def observed_boxes(tracks: DataFrame, text: str = "text") -> DataFrame:
+    """(video_id, track_id, class_name, frame_index, x1..y2, conf): the real points of tracks with their points as text."""
+    found = flattened(tracks.select("video_id", "track_id", "class_name", F.col(text).alias("text")), "text", "frame_index long, x1 double, y1 double, x2 double, y2 double, conf double")
+    return found.where("conf > 0")
+
+
+def last_split(*splits: DataFrame, key: str) -> DataFrame:
+    """The rows of all splits by key, a later split's in place of an earlier one's; in one split the row that is largest in order of its columns."""
+    rows = None
+    for i, split in enumerate(splits):
+        part = split.withColumn("_split", F.lit(i))
+        rows = part if rows is None else rows.unionByName(part)
+    cols = [c for c in rows.columns if c not in (key, "_split")]
+    best = rows.groupBy(key).agg(F.max(F.struct("_split", *cols)).alias("_best"))
+    return best.select(key, *[F.col(f"_best.{c}") for c in cols])
+
+
+def first_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, status, row, error): of a model's answers (keys, attempt, rows array<string>) the first with rows, one row for each; a single FAILED row for keys without any."""
+    best = answers.groupBy(*keys).agg(F.min_by("rows", F.when(F.size("rows") > 0, F.col("attempt"))).alias("rows"), F.count("*").alias("_n"))
+    good = best.where("size(rows) > 0").select(*keys, F.lit("SUCCESS").alias("status"), F.explode("rows").alias("row"), F.lit(None).cast("string").alias("error"))
+    bad = best.where("rows is null or size(rows) <= 0").select(*keys, F.lit("FAILED").alias("status"), F.lit(None).cast("string").alias("row"), F.concat(F.lit("no rows in "), "_n", F.lit(" answers")).alias("error"))
+    return good.unionByName(bad)
