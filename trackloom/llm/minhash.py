@@ -376,10 +376,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     one that nothing is linked to. Repeated rows count as copies; null ids are in classes but never their class_id unless
     alone.
     """
-    rows = packed(docs, text).select("row", "body", text_key(F.col("body")).alias("text_key"))
+    rows = packed(docs, text).select(F.col("row").getField(doc_id).alias("id"), "body", text_key(F.col("body")).alias("text_key"))
     found = small(classes(rows.select("text_key", "body"), threshold))
-    same = F.coalesce("class", F.when(F.col("body") != "", F.col("text_key")))
-    own = cut(rows.join(found, "text_key", "left").select(F.col("row").getField(doc_id).alias("id"), "text_key", same.alias("class")))
+    same = F.coalesce("class", F.when(F.col("filled"), F.col("text_key")))
+    slim = rows.select("id", "text_key", (F.col("body") != "").alias("filled"))  # texts stay where they are
+    own = cut(slim.join(found, "text_key", "left").select("id", "text_key", same.alias("class")))
     sums = small(own.where("class is not null").groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("n_in_class")))
     joined = own.join(sums, "class", "left")
     return joined.select("id", "text_key", F.coalesce("class", "text_key").alias("class"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_in_class", F.lit(1)).cast("long").alias("n_in_class"))
