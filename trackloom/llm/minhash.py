@@ -20,7 +20,7 @@ THRESHOLD = 0.8
 #: Members of a bucket that all others are compared with first, at most; FIRST, or LARGE in buckets of more than LATER members.
 FIRST, LATER, LARGE = 4, 32, 2
 #: A bucket of more than LATER members is compared in blocks of about so many members and bytes of shingles, so many distinct shingles at a time.
-BLOCK, BLOCK_BYTES, COLUMNS = 1000, 16 << 20, 2048
+BLOCK, BLOCK_BYTES, COLUMNS = 400, 6 << 20, 2048
 #: Words whose hashes a worker remembers; a full memory is emptied.
 MAX_WORDS = 400_000
 
