@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,12 +104,11 @@ def repeated_words(words: list[bytes], width: int = 8) -> int:
     return int((np.cumsum(marks[:-1]) > 0).sum())
 
 
-_BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)), re.IGNORECASE)
 _SHOUT = re.compile(rb"!{2,}$")
 
 
-def line_fault(line: bytes, words: list[bytes], rules: Rules) -> str | None:
-    """The first rule that a line with words breaks, or None."""
+def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[str] = BOILERPLATE, bars: Sequence[str] = BARS) -> str | None:
+    """The first rule that a line with words breaks, or None. phrases and bars: those of the lists that the text has at all."""
     n = len(words)
     solid = sum(map(len, words))
     symbols = sum(line.count(s) for s in (b"#", b"*", b"$", b"%", b"&", b"<", b">"))
@@ -116,16 +116,16 @@ def line_fault(line: bytes, words: list[bytes], rules: Rules) -> str | None:
         return "punctuation"
     if line.count(b"!!") and sum(1 for w in words if _SHOUT.search(w)) > rules.max_shout_share * n:
         return "punctuation"
-    bars = line.count(b"|") if line.isascii() else sum(map(line.decode("utf-8", "replace").count, BARS))
-    if bars > rules.max_bar_share * n:
+    if bars and sum(map(line.decode("utf-8", "replace").count, bars)) > rules.max_bar_share * n:
         return "navigation"
     if n >= rules.min_run_words:
         runs = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
         if runs > rules.max_run_share * (n - 1):
             return "repetition"
-    phrases = _BOILER.findall(line.decode("utf-8", "replace"))
-    if phrases and sum(len(p.split()) for p in phrases) > rules.max_boiler_share * n:
-        return "boilerplate"
+    if phrases:
+        low = line.decode("utf-8", "replace").lower()
+        if sum(low.count(p) * len(p.split()) for p in phrases) > rules.max_boiler_share * n:
+            return "boilerplate"
     return None
 
 
@@ -136,6 +136,8 @@ def clean(text: str | None, rules: Rules) -> tuple[int, int, int, int, int, bool
     lines = data.split(b"\n")
     words = data.split()
     word_chars = len(text) - sum(map(text.count, " \t\n\x0b\x0c\r"))
+    low = text.lower()
+    phrases, bars = [p for p in BOILERPLATE if p in low], [c for c in BARS if c in text]
     seen: set[bytes] = set()
     dup, good, lost, solid, removed = 0, [], 0, 0, 0
     for line in lines:
@@ -145,7 +147,7 @@ def clean(text: str | None, rules: Rules) -> tuple[int, int, int, int, int, bool
             seen.add(line)
             size = sum(map(len, own))
             solid += size
-            if line_fault(line, own, rules):
+            if line_fault(line, own, rules, phrases, bars):
                 lost += size
                 removed += 1
                 continue
