@@ -51,14 +51,15 @@ def moving(points: DataFrame, lookback: int = 5, frame_h: float = 1080.0) -> Dat
 def contacts(points: DataFrame, min_iou: float = 0.05, max_gap: float = 0.2, frame_w: float = 1920.0, frame_h: float = 1080.0, need_motion: float | None = 0.05) -> DataFrame:
     """Person and object in the same frame that overlap or are near, one of them moving: (video_id, frame_index, ts_sec, person_id, object_id, kind, distance).
 
-    Motion is worked out once for each point before the join, which is on video and frame, so each pair of
-    a frame is made once and no frame's rows meet another's.
+    Motion is worked out once for each point. A frame's boxes, few by nature, are dealt together once and paired there, so
+    no frame's rows meet another's.
     """
     p = moving(points, frame_h=frame_h) if need_motion is not None else points.withColumn("moved", F.lit(None).cast("double"))
-    p = p.select("video_id", "frame_index", "ts_sec", "track_id", "class_name", "moved", g.box().alias("b"))
-    people = p.where(F.col("class_name") == PERSON).select("video_id", "frame_index", "ts_sec", F.col("track_id").alias("person_id"), F.col("b").alias("pb"), F.col("moved").alias("pm"))
-    things = p.where(~F.col("class_name").isin(*OBJECT_NOT)).select("video_id", "frame_index", F.col("track_id").alias("object_id"), F.col("b").alias("ob"), F.col("moved").alias("om"))
-    pairs = people.join(things, ["video_id", "frame_index"])
+    box = F.struct("ts_sec", F.col("track_id").alias("id"), F.col("moved").alias("m"), g.box().alias("b"))
+    is_person, is_thing = F.col("class_name") == PERSON, ~F.col("class_name").isin(*OBJECT_NOT)
+    frames = p.where(is_person | is_thing).groupBy("video_id", "frame_index").agg(F.collect_list(F.when(is_person, box)).alias("_people"), F.collect_list(F.when(is_thing, box)).alias("_things"))
+    pairs = frames.where((F.size("_people") > 0) & (F.size("_things") > 0)).select("video_id", "frame_index", F.explode("_people").alias("p"), "_things").select("video_id", "frame_index", "p", F.explode("_things").alias("o"))
+    pairs = pairs.select("video_id", "frame_index", "p.ts_sec", F.col("p.id").alias("person_id"), F.col("p.b").alias("pb"), F.col("p.m").alias("pm"), F.col("o.id").alias("object_id"), F.col("o.b").alias("ob"), F.col("o.m").alias("om"))
     overlap = g.iou(F.col("pb"), F.col("ob"))
     distance = g.gap(F.col("pb"), F.col("ob")) / max(frame_w, frame_h)
     kind = F.when(overlap > min_iou, "overlap").when(distance < max_gap, "near")

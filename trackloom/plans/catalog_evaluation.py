@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions import lexicon as lx
 from trackloom.operators import evaluation as va
 from trackloom.plans.catalog import query, rounded
-from trackloom.plans.catalog_events import ACTIONS_SQL, EVENTS_SQL, case, events, said, score
+from trackloom.plans.catalog_events import EVENTS_SQL, case, events, kept_events, said, score
 from trackloom.plans.views import OBSERVATIONS_SQL, clips, observations, table
 
 #: Directions of labels, by observation_id modulo their number.
@@ -50,7 +50,7 @@ asd as materialized (select video_id, event_id, action, case when n is null then
 
 
 def assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return va.assess(e, truth(e))
 
 
@@ -67,7 +67,7 @@ def d16_verdict_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {EVENTS_SQL}, {_TRUTH}, h as (select distinct tt.video_id, label_id from tt join ev on ev.video_id = tt.video_id and least(end_sec, t_end) - greatest(start_sec, t_start) > 0)
 select truth_action, count(*) n, count(h.label_id) covered, round(count(h.label_id) / count(*), 6) ceiling from tt left join h using (video_id, label_id) group by 1""")
 def d16_recall_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return rounded(va.recall_ceiling(e, truth(e)))
 
 
@@ -75,13 +75,13 @@ def d16_recall_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
   and least(end_sec, t_end) - greatest(start_sec, t_start) > 0 and ({_ON} or not exists (select 1 from tt t2 where t2.video_id = e.video_id and least(e.end_sec, t2.t_end) - greatest(e.start_sec, t2.t_start) > 0 and ({_ON.replace('truth_', 't2.truth_')}))))
 select video_id, event_id, round(max(bth / (total - bth)), 6) iou from p group by 1, 2""")
 def m12_span_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return rounded(va.span_scores(e, truth(e)))
 
 
 @query(f"with {EVENTS_SQL}, {_TRUTH} select truth_action, action, count(*) n from tt join ev on label_id = event_id and tt.video_id = ev.video_id where truth_action <> action group by 1, 2 order by n desc, truth_action, action limit 15")
 def d15_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     t = truth(e).select(F.col("video_id").alias("v"), "label_id", "truth_action")
     return va.confusion(t.join(e, (F.col("v") == F.col("video_id")) & (F.col("label_id") == F.col("event_id"))).select("truth_action", "action"), "truth_action", "action", 15)
 

@@ -129,6 +129,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.extract(observations(spark, sf_dir), segment_tracks(spark, sf_dir), segment_changes(spark, sf_dir))
 
 
+def kept_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events written once, for queries that read them several times."""
+    return stored(events(spark, sf_dir), "events")
+
+
 def trajectory_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_tracks(spark, sf_dir).where("track_id % 9 <> 0").select("video_id", "track_id").distinct()
 
@@ -175,12 +180,12 @@ def j6_state_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {GRAPH_SQL} select video_id, edge_id, event_id, source_id, target_id, action, actor_resolution, object_resolution, state_ids from ed")
 def k3_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return ev.edges(e, ev.transitions(e)).select("video_id", "edge_id", "event_id", "source_id", "target_id", "action", "actor_resolution", "object_resolution", F.array_join("state_ids", ",").alias("state_ids"))
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return ev.edges(e, ev.transitions(e))
 
 
@@ -199,14 +204,14 @@ _PARTS = ", ".join(f"round({k}, 6) {k}" for k in ev.WEIGHTS)
 
 @query(f"with {SCORES_SQL} select video_id, event_id, action, round(confidence, 6) confidence, {_PARTS}, round(score, 6) score, tier, reasons, edge_id, transition_id transition_ids, trajectory_tracks from sc")
 def d8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     states = ev.transitions(e)
     return rounded(scores(spark, sf_dir, e, states, ev.edges(e, states)))
 
 
 @query(f"with {SCORES_SQL} select video_id, count(*) filter (tier = 'AUTO_ACCEPT') n_high, count(*) filter (tier = 'HUMAN_REVIEW') n_medium, 0::bigint n_low, count(*) filter (tier = 'REJECT') n_rejected from sc group by 1")
 def d11_quality_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     states = ev.transitions(e)
     return ev.tiers(scores(spark, sf_dir, e, states, ev.edges(e, states)))
 
@@ -226,7 +231,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     So that the rules of integrity have something to find, some rows are broken on the way: ids without an event,
     times out of order, roles turned round. Episodes are those of time alone.
     """
-    e = stored(events(spark, sf_dir), "events")
+    e = kept_events(spark, sf_dir)
     states = stored(ev.transitions(e), "states")
     made = stored(ev.edges(e, states), "edges")
     members = ev.s.islands(e, ["video_id"], "start_sec", "end_sec", 2.0, ["event_id"]).select("video_id", "event_id", F.col("island").alias("episode"))

@@ -11,7 +11,7 @@ from trackloom.operators import media as m
 from trackloom.operators import sequential as sq
 from trackloom.operators import tracks as tr
 from trackloom.plans.catalog import _SEGMENTS, NESTED_PAIRS_SQL, _area, _both, _iou, query, rounded
-from trackloom.plans.catalog_events import EVENTS_SQL, STATES_SQL, events
+from trackloom.plans.catalog_events import EVENTS_SQL, STATES_SQL, events, kept_events
 from trackloom.plans.catalog_sequential import _LABELS
 from trackloom.plans.views import DETECTIONS_SQL, NESTED_SQL, OBSERVATIONS_SQL, POINTS_SQL, detections, nested, observations, segment_changes, segment_tracks, table, track_points
 from trackloom.sources import tables as st
@@ -142,7 +142,7 @@ def d4_fragmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {STATES_SQL}, {POINTS_SQL}, k as (select video_id, 'points' t, count(*) n from pts group by 1 union all select video_id, 'observations', count(*) from obs group by 1 union all select video_id, 'events', count(*) from ev group by 1 union all select video_id, 'transitions', count(*) from tr group by 1)
 select video_id, coalesce(sum(n) filter (t = 'points'), 0)::bigint points, coalesce(sum(n) filter (t = 'observations'), 0)::bigint observations, coalesce(sum(n) filter (t = 'events'), 0)::bigint as events, coalesce(sum(n) filter (t = 'transitions'), 0)::bigint transitions from k group by 1""")
 def d7_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+    e = kept_events(spark, sf_dir)
     return m.run_summary({"points": track_points(spark, sf_dir), "observations": observations(spark, sf_dir), "events": e, "transitions": ev.transitions(e)})
 
 
@@ -252,8 +252,9 @@ def e14_longest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with recursive {_LABELS} select video_id, event_id, subject from sj")
 def f4_state_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).where("not (action in ('OPEN', 'CLOSE') and object_id is not null)")
-    labelled = events(spark, sf_dir).withColumn("stated", F.when(F.expr("action in ('OPEN', 'CLOSE') and object_id is not null"), F.lit(None)).otherwise(F.col("stated")))
+    whole = kept_events(spark, sf_dir)
+    e = whole.where("not (action in ('OPEN', 'CLOSE') and object_id is not null)")
+    labelled = whole.withColumn("stated", F.when(F.expr("action in ('OPEN', 'CLOSE') and object_id is not null"), F.lit(None)).otherwise(F.col("stated")))
     return sq.state_subjects(labelled).join(e.select("video_id", "event_id"), ["video_id", "event_id"], "left_semi").where("subject is not null")
 
 

@@ -9,9 +9,8 @@ from trackloom.functions.lexicon import CLOSED_WORDS, OPEN_WORDS
 from trackloom.operators import events as ev
 from trackloom.operators import sequential as sq
 from trackloom.plans.catalog import query, rounded
-from trackloom.plans.catalog_events import EVENTS_SQL, MENTION, at, events, evidence, score, scores
+from trackloom.plans.catalog_events import EVENTS_SQL, MENTION, at, evidence, kept_events, score, scores
 from trackloom.plans.views import DETECTIONS_SQL, HOUR_US, START_US, detections, table, track_points
-from trackloom.sources.tables import stored
 from trackloom.streaming.tracking import replay
 
 
@@ -77,12 +76,12 @@ f as (select video_id, track, i, event_id, verb fixed, case when verb is null th
   from f join im n on n.video_id = f.video_id and n.track = f.track and n.i = f.i + 1)
 select ev.video_id, ev.event_id, action, coalesce(fixed, action) corrected, case when fixed <> action then 'STATE_UNSATISFIABLE' end source from ev left join (select * from f where fixed is not null) g using (video_id, event_id)""")
 def j5_corrected_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sq.correct_states(stored(events(spark, sf_dir), "events"))
+    return sq.correct_states(kept_events(spark, sf_dir))
 
 
 @query()
 def j7_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = stored(events(spark, sf_dir), "events")
+    e = kept_events(spark, sf_dir)
     states = ev.transitions(e)
     tier = scores(spark, sf_dir, e, states, ev.edges(e, states)).select("video_id", "event_id", "tier")
     return sq.episodes(e.join(tier, ["video_id", "event_id"], "left"))

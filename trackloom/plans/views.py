@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackloom.sources.tables import spread
+
 START_US = 1_704_067_200_000_000
 HOUR_US = 3_600_000_000
 FPS = 30.0
@@ -135,7 +137,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     n = max(1, part.count())
-    keyed = ev.select("event_id", "event_type").withColumn("p_partkey", F.col("event_id") % n)
+    keyed = spread(ev.select("event_id", "event_type")).withColumn("p_partkey", F.col("event_id") % n)
     both = keyed.join(part.select("p_partkey", "p_name"), "p_partkey")
     columns = _observed("array(..)", "event_id div 4", "string")
     return both.selectExpr(*_columns(columns))

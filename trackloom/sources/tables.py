@@ -31,6 +31,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table dealt evenly to all cores if it has fewer splits than there are cores; for small files before costly expressions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_rows(df: DataFrame, path: str, form: str = "json", by: str | None = "video_id") -> None:
     """A table as JSON lines or Parquet, one folder for each video."""
     out = df.write.mode("errorifexists").format(form)
