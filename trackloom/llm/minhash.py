@@ -22,7 +22,7 @@ FIRST, LATER, LARGE = 4, 32, 2
 #: A bucket of more than LATER members is compared in blocks of about so many members and bytes of shingles, so many distinct shingles at a time.
 BLOCK, BLOCK_BYTES, COLUMNS = 400, 6 << 20, 2048
 #: Words whose hashes a worker remembers; a full memory is emptied.
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACED = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
