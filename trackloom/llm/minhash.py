@@ -181,17 +181,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(key, root): root is the least key of the component that the edges (a, b) put a key in.
 
     Large and small stars in turn: each key hands its larger, then its smaller neighbours its least one,
-    until only stars are left. Least neighbours are found with sums inside the map tasks, so a hub
-    is no single task's work. A table in the shared folder cuts the lineage after each turn.
+    until only stars are left. Least neighbours are found with sums inside the map tasks and stored, so a hub
+    is no single task's work: the join with them is a broadcast, or can be split. A table in the shared folder cuts the lineage after each turn.
     """
 
     def stars(e: DataFrame) -> DataFrame:
         around = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = small(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = around.join(least, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        least = small(large.groupBy("a").agg(F.min("b").alias("m")))
+        lower = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return lower.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
     def done(e: DataFrame) -> bool:
         """Whether each key has one root, which is no key's child."""
