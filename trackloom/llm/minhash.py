@@ -196,7 +196,8 @@ def components(edges: DataFrame) -> DataFrame:
     def done(e: DataFrame) -> bool:
         """Whether each key has one root, which is no key's child."""
         own = e.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
-        return own.join(own.select(F.col("a").alias("up")), F.col("b") == F.col("up"), "left").where("n > 1 or up is not null").isEmpty()
+        roots = own.select("b").distinct()
+        return own.where("n > 1").isEmpty() and roots.join(own.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
 
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     while not done(now):
