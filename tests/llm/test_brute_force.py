@@ -38,11 +38,13 @@ def plain_quality(text):
             seen.add(line)
             solid = sum(len(w.encode("utf-8", "surrogatepass")) for w in own)
             symbols = len(re.findall(r"[#*$%&<>]", line))
+            quoted = ("»" if "«" in line else "") + ("›" if "‹" in line else "")
+            bars = [c for c in re.sub(r"^[|»›•· \t-\r]+|[|»›•· \t-\r]+$", "", line) if c in "|»›•·" and c not in quoted]
             phrases = [p for p in quality.BOILERPLATE for _ in range(line.lower().count(p))]
             fault = (
                 (symbols > 2 and symbols > 0.1 * solid)
                 or sum(w.endswith("!!") for w in own) > 0.5 * len(own)
-                or sum(line.count(c) for c in "|»›•·") > 0.15 * len(own)
+                or len(bars) > 0.15 * len(own)
                 or (len(own) > 5 and sum(a == b for a, b in zip(own, own[1:], strict=False)) > 0.5 * (len(own) - 1))
                 or sum(len(p.split()) for p in phrases) > 0.05 * len(own)
             )
@@ -67,6 +69,7 @@ def test_quality_rules_on_lines():
         return [quality.line_fault(x.encode(), x.encode().split(), quality.Rules()) for x in lines]
 
     assert faults("Start | Über uns | Kontakt | Impressum", "Accueil » Produits » Contact", "Alle Rechte vorbehalten.", "Tous droits réservés", "Haz clic aquí para ver más") == ["navigation", "navigation", "boilerplate", "boilerplate", "boilerplate"]
+    assert faults("• buy some milk", "Il a dit « bonjour ».", "»Ja«, sagte er", "fin de la phrase »", "· erster Punkt", "| a | b | c |") == [None] * 5 + ["navigation"]
     prose = "a plain sentence about a river that says nothing else and goes on for long " * 8
     assert faults(prose, prose + "click here", "ha ha ha ha ha ha ha") == [None, None, "repetition"]
 

@@ -15,6 +15,7 @@ from trackloom.llm.common import map_texts, packed
 SYMBOLS = "#*$%&|<>"
 #: Signs between the entries of a menu; fixed values.
 BARS = "|»›•·"
+AROUND = BARS + " \t\n\x0b\x0c\r"
 #: Phrases of legal and site furniture in the corpus's languages; fixed values.
 BOILERPLATE = (
     "all rights reserved",
@@ -107,6 +108,12 @@ def repeated_words(words: list[bytes], width: int = 8) -> int:
 _SHOUT = re.compile(rb"!{2,}$")
 
 
+def menu_signs(line: str, bars: Sequence[str]) -> int:
+    """Signs that stand between entries: bullets and others at either end of the line are none, nor are quotation marks."""
+    inner = line.strip(AROUND)
+    return sum(inner.count(c) for c in bars if not ((c == "»" and "«" in line) or (c == "›" and "‹" in line)))
+
+
 def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[str] = BOILERPLATE, bars: Sequence[str] = BARS) -> str | None:
     """The first rule that a line with words breaks, or None. phrases and bars: those of the lists that the text has at all."""
     n = len(words)
@@ -116,7 +123,7 @@ def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[
         return "punctuation"
     if line.count(b"!!") and sum(1 for w in words if _SHOUT.search(w)) > rules.max_shout_share * n:
         return "punctuation"
-    if bars and sum(map(line.decode("utf-8", "replace").count, bars)) > rules.max_bar_share * n:
+    if bars and menu_signs(line.decode("utf-8", "replace"), bars) > rules.max_bar_share * n:
         return "navigation"
     if n >= rules.min_run_words:
         runs = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
