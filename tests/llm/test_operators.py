@@ -106,6 +106,38 @@ def test_warc_chains_run_across_splits(spark):
         assert bytes(r.payload).decode() == (texts[r.page_id] if r.record_type == "response" else "")
 
 
+def test_warc_keeps_all_records_when_splits_change(spark):
+    rows = [(i, "u", f"page {i} " + "WARC/1.1\r\n" * (i % 3) + "x" * (i % 700)) for i in range(3000)]
+    path = new_path(spark, "test-warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    records = warc.read_warc(spark, path)
+    try:  # as if executors came between plan and action, so that Spark would cut the archive anew
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "64")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        got = {r.page_id: bytes(r.payload).decode() for r in records.collect() if r.sound}
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i: t for i, _, t in rows}
+
+
+def test_warc_of_long_pages_and_clashing_columns(spark):
+    long = "é\r\n" * 300_000 + "WARC/1.1\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n" * 500
+    rows = [(1, "u", long, "f", 7, "b"), (2, None, long, "f", 7, "b"), (3, "u", long + "!", "f", 7, "b")]
+    path = new_path(spark, "test-warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string, file string, block long, digest string"), path)
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.resolve_revisits(warc.read_warc(spark, path)).collect()}
+    n = len(long.encode())
+    assert got == {1: (n, "revisit", 2), 2: (n, "response", None), 3: (n + 1, "response", None)}
+
+
+def test_lines_of_a_long_text_with_a_shared_line(spark):
+    long = "\n".join(f"line {i}" for i in range(100_000)) + "\nshared by ten"
+    rows = [(0, long)] + [(i, "shared by ten\nown %d" % i) for i in range(1, 10)]
+    got = {r.row.doc_id: r for r in linededup.drop_shared_lines(docs(spark, rows)).collect()}
+    assert got[0].n_lines == 100_001 and got[0].n_dropped == 1 and got[0].kept_text == long[: -len("\nshared by ten")]
+
+
 def test_warc_of_no_pages(spark):
     path = new_path(spark, "test-warc")
     warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)

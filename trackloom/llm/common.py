@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,13 +51,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back; for what is read more than once."""
+def stored(df: DataFrame, name: str, compression: str = "snappy", keep: bool = False) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back; for what is read more than once.
+
+    The table goes with the room() that it is written in, unless keep says that the result reads it.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
+    if _ROOMS and not keep:
+        _ROOMS[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_ROOMS: list[list[str]] = []
+
+
+@contextmanager
+def room(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that stored() writes inside, and paths that the caller adds, go when the block ends.
+
+    What leaves the block must not read them any more: a stage's result is written, with keep, before its end.
+    """
+    _ROOMS.append([])
+    try:
+        yield _ROOMS[-1]
+    finally:
+        for path in _ROOMS.pop():
+            discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a path that nothing reads any more, in whatever store it lies."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -79,6 +102,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, other letters as they are. The cheaper lower() serves texts of one byte a character."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

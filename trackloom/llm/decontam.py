@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ascii_lower, cut, packed, small, text_key
+from trackloom.llm.common import ascii_lower, cut, let, packed, small, text_key
 
 #: What stands between words, after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -17,11 +17,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), BETWEEN, -1), "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is worked out once, however often body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def grams(items: Column, n: int, of: Callable[..., Column]) -> Column:
     """of(items[i], ..., items[i + n - 1]) for each i; empty for fewer than n items."""
     spots = F.when(F.size(items) >= n, F.sequence(F.lit(0), F.size(items) - n)).otherwise(F.array().cast("array<int>"))

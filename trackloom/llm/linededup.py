@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ascii_lower, packed, small, text_key
+from trackloom.llm.common import ascii_lower, let, packed, small, text_key
 
 #: What is stripped from both ends of a line: space, tab, newline, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -46,8 +46,8 @@ def drop_shared_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, m
     found = small(lines.join(common, "line_hash").groupBy("key").agg(F.collect_set("pos").alias("dropped")))
     joined = rows.select("row", text_key(F.col("body")).alias("key")).join(found.withColumnRenamed("key", "found_key"), F.col("key") == F.col("found_key"), "left")
     joined = joined.select("row", body.alias("body"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "dropped")
-    kept = F.array_join(F.transform(stay, lambda p: F.get(split, p)), "\n")
+    stay = lambda parts: F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
+    kept = let(split, lambda parts: F.array_join(F.transform(stay(parts), lambda p: F.get(parts, p)), "\n"))  # a text is split once, not for each line
     return joined.select(
         "row",
         F.when(F.size("dropped") == 0, F.col("body")).otherwise(kept).alias("kept_text"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import bpe, decontam, langid, linededup, minhash, pii, quality, secrets, toxicity, warc
-from trackloom.llm.common import discard, held_out, new_path
+from trackloom.llm.common import held_out, new_path, room
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "warc")
-    warc.write_warc(table(spark, sf_dir, "pages"), path)
-    found = warc.resolve_revisits(warc.read_warc(spark, path))  # the figures are stored, so the archives can go
-    discard(spark, path)
+    with room(spark) as made:  # the figures are stored, so the archives and their scan can go
+        made.append(new_path(spark, "warc"))
+        warc.write_warc(table(spark, sf_dir, "pages"), made[0])
+        found = warc.resolve_revisits(warc.read_warc(spark, made[0]))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -119,48 +119,14 @@ def exits(at: np.ndarray, after: np.ndarray, stop: int) -> np.ndarray:
     return out
 
 
-def links(chunks: DataFrame) -> DataFrame:
-    """(file, block, local, after, leaves, length) for each chunk, without the text and without a shuffle.
+def placed(chunks: DataFrame) -> DataFrame:
+    """(path, file, block, local, step, leap, value): the chunks of a scan with their places in their splits, written once.
 
-    local is the chunk's place in its split, after the place of the record that its header points to (null if
-    it is no candidate), leaves the first place outside the split on its chain. Tasks add up lengths as they read.
+    Spark cuts splits by the cores that it has when it plans a scan, so a second scan may cut elsewhere. All
+    that follows reads this one table: its numbers to find the records, then its texts. step is the chunk's
+    length with the magic before it, leap the way to the next record by its own header, or null.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, steps, jumps = None, [], []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if split is None:
-                return
-            step, leap = np.concatenate(steps), np.concatenate(jumps)
-            ends = np.cumsum(step)
-            at = ends - step
-            after = np.where(leap >= 0, at + leap, -1)
-            out = exits(at, after, int(ends[-1]))
-            n = len(at)
-            cols = [np.full(n, split[0]), np.full(n, split[1]), at]
-            arrays = [pa.array(c, pa.int64()) for c in cols]
-            arrays += [pa.array(x, pa.int64(), mask=x < 0) for x in (after, out)] + [pa.array(np.full(n, ends[-1]), pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["file", "block", "local", "after", "leaves", "length"])
-
-        for batch in batches:
-            file, block, step, leap = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            for a, b in _runs(file, block):
-                if split != (file[a], block[a]):
-                    yield from flush()
-                    split, steps, jumps = (file[a], block[a]), [], []
-                steps.append(step[a:b])
-                jumps.append(leap[a:b])
-        yield from flush()
-
-    step = (F.octet_length("value") + len(MAGIC)).cast("long")
-    rows = chunks.select("file", "block", step.alias("step"), F.coalesce(jump(F.col("value")), F.lit(-1)).cast("long").alias("leap"))
-    return rows.mapInArrow(run, "file long, block long, local long, after long, leaves long, length long")
-
-
-def placed(chunks: DataFrame) -> DataFrame:
-    """(path, file, block, local, value): the chunks with their places in their splits, to join texts by."""
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, at = None, 0
         for batch in batches:
@@ -171,11 +137,33 @@ def placed(chunks: DataFrame) -> DataFrame:
                     split, at = (file[a], block[a]), 0
                 ends = at + np.cumsum(step[a:b])
                 local[a:b], at = ends - step[a:b], int(ends[-1])
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(local)], ["path", "file", "block", "value", "local"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local)], [*batch.schema.names, "local"])
 
     limit_batches(chunks.sparkSession)
-    rows = chunks.select("path", "file", "block", "value", (F.octet_length("value") + len(MAGIC)).cast("long").alias("step"))
-    return rows.mapInArrow(run, "path string, file long, block long, value string, local long")
+    step = (F.octet_length("value") + len(MAGIC)).cast("long")
+    rows = chunks.select("path", "file", "block", step.alias("step"), jump(F.col("value")).cast("long").alias("leap"), "value")
+    return stored(rows.mapInArrow(run, "path string, file long, block long, step long, leap long, value string, local long"), "warc-chunks", "zstd")
+
+
+def links(chunks: DataFrame) -> DataFrame:
+    """(file, block, local, after, leaves, length) for each placed chunk, without the text.
+
+    after is the place of the record that its header points to (null if it is no candidate), leaves the first
+    place outside the split on its chain, length that of the split. Only numbers move, split by split.
+    """
+
+    def leave(group: pa.Table) -> pa.Table:
+        group = group.sort_by("local")
+        at, step = (group.column(c).to_numpy() for c in ("local", "step"))
+        after = np.nan_to_num(at + group.column("leap").to_numpy(zero_copy_only=False), nan=-1).astype(np.int64)
+        stop = int(at[-1] + step[-1])
+        out = exits(at, after, stop)
+        cols = [group.column(c).combine_chunks() for c in ("file", "block", "local")]
+        cols += [pa.array(x, pa.int64(), mask=x < 0) for x in (after, out)] + [pa.array(np.full(len(at), stop), pa.int64())]
+        return pa.Table.from_arrays(cols, ["file", "block", "local", "after", "leaves", "length"])
+
+    numbers = chunks.select("file", "block", "local", "step", "leap")
+    return numbers.groupBy("file", "block").applyInArrow(leave, "file long, block long, local long, after long, leaves long, length long")
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -196,7 +184,7 @@ def reachable(links: DataFrame) -> DataFrame:
 
 
 def boundaries(chunks: DataFrame) -> DataFrame:
-    """(file, block, local, at, pieces): the chunks of each record on the chain of its file; at is the record's first byte.
+    """(file, block, local, at, pieces): the placed chunks of each record on the chain of its file; at is the record's first byte.
 
     Tasks emit, split by split, where each candidate's chain leaves the split. The byte where a split begins is
     the sum of the lengths of those before it, one row for a split. Pointer jumping over the gates, which are the
@@ -254,13 +242,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record of the archives under path.
 
     (file, at, record_type, page_id, url, refers_to, named_digest, payload, sound): payload is binary, whole,
-    also where it holds the magic; sound says that it has its full length. Texts are joined once to the places
-    of the records; those whose payload holds the magic are put together from their pieces. A file without records
+    also where it holds the magic; sound says that it has its full length. The archives are scanned once, into a
+    table in the shared folder; its texts are joined to the places of the records that its numbers give, and those
+    whose payload holds the magic are put together from their pieces. A file without records
     gives none; bytes behind a broken boundary are not on the chain and are left out.
     """
-    chunks = scan(spark, path)
+    chunks = placed(scan(spark, path))
     owned = small(boundaries(chunks))
-    both = placed(chunks).join(owned, ["file", "block", "local"])
+    both = chunks.join(owned, ["file", "block", "local"])
     single = both.where("pieces = 1").select("path", "at", F.col("value").alias("whole"))
     parts = both.where("pieces > 1").groupBy("path", "at").agg(F.array_sort(F.collect_list(F.struct("block", "local", "value"))).alias("parts"))
     rec = single.unionByName(parts.select("path", "at", F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).alias("whole")))
@@ -292,7 +281,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     have one id. A revisit whose response is not there keeps the digest that it names and has no size.
     """
     own = records.select("page_id", "record_type", "refers_to", "named_digest", F.octet_length("payload").cast("long").alias("size"), sha1_base32(F.col("payload")).alias("digest"))
-    own = stored(own, "warc-figures")  # used three times; the payloads are read once
+    own = stored(own, "warc-figures", keep=True)  # used three times; the payloads are read once
     first = own.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("source"), F.col("digest").alias("same")).agg(F.max("size").alias("seen"))
     revisits = own.where("record_type = 'revisit'").join(first, (F.col("refers_to") == F.col("source")) & (F.col("named_digest") == F.col("same")), "left")
     done = revisits.select("page_id", F.col("seen").alias("payload_bytes"), F.col("named_digest").alias("payload_digest"), "record_type", "refers_to")
