@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import bpe, decontam, linededup, minhash, quality
-from trackloom.llm.common import stored
+from trackloom.llm.common import new_path, room
 from trackloom.llm.queries import table, tokenizer_path
 
 
@@ -51,8 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn over `documents`; each result is written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages in turn over `documents`; each result is written as Parquet in the shared folder and read again.
+
+    What a stage stored for itself, and the documents that it read, go when its result is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with room(spark) as made:
+            path = new_path(spark, name)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            made += [before] * (before is not None)
+        docs, before = spark.read.parquet(path), path
     return docs
