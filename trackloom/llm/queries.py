@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import bpe, decontam, langid, linededup, minhash, pii, quality, secrets, toxicity, warc
-from trackloom.llm.common import held_out, new_path, room
+from trackloom.llm import bpe, decontam, langid, linededup, minhash, periodic, pii, quality, secrets, toxicity, warc
+from trackloom.llm.common import held_out, let, new_path, room
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,7 +90,40 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_in_class")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a text whose id's crc32 ends in 0 repeats a block of its words from one of them to its end; others are as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, first + (i - first) % period))), " ")
+
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), "")
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, lambda w: F.when(F.size(w) > 0, repeated(w)))).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    more = lambda a, r: a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"])
+    top = F.aggregate("runs", none, lambda a, r: F.when(more(a, r), r).otherwise(a))
+    spelled = F.transform("runs", lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]))
+    return found.withColumn("top", top).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(spelled, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_secrets, op3_toxicity, op4_pii, op5_decontamination, op6_language, op7_bpe, op8_line_dedup, op9_quality, op10_near_duplicates)
+    for f in (op1_warc, op2_secrets, op3_toxicity, op4_pii, op5_decontamination, op6_language, op7_bpe, op8_line_dedup, op9_quality, op10_near_duplicates, op11_periodic_runs)
 }
