@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.llm import periodic, queries
+from trackloom.llm import chat, periodic, queries
 
 SF = "/root/testdata/sf0.001"
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -106,3 +106,65 @@ def test_runs_on_odd_texts(spark, texts):
         assert got[4].row.runs == "x" and got[4].row.text == texts[4]
     with pytest.raises(ValueError):
         periodic.find_runs(df, min_periods=2)
+
+
+# ---- chat
+
+
+def plain_format(rows, t=chat.Template()):
+    """The formatted text, its loss spans in bytes and the turns of one conversation."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "", r[2] or ""))
+    turns = [(r[1] or "", r[2] or "") for r in rows]
+
+    def escaped(x):
+        x = x.replace("\\", "\\\\")
+        for c in t.controls():
+            x = x.replace(c, c[0] + "\\" + c[1:])
+        return x
+
+    out, spans, last = "", [], None
+    for i, (role, text) in enumerate(turns):
+        out += t.joint if i and role == last else (t.end if i else "") + t.start + escaped(role) + t.body
+        start = len(out.encode())
+        out += escaped(text)
+        if role == t.loss_role:
+            spans.append((start, len(out.encode())))
+        last = role
+    return out + t.end, spans, turns
+
+
+def check_chats(spark, rows, **options):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, said string, part string")
+    made = chat.format_chats(df, **options)
+    t = options.get("template") or chat.Template()
+    got = made.select("*", chat.read_turns(F.col("formatted"), t).alias("turns"), chat.loss_texts(F.col("formatted"), F.col("loss_spans"), t).alias("learned")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r[1:4])
+    assert sorted((r.conv_id is None, r.conv_id or 0) for r in got) == sorted((k is None, k or 0) for k in by)
+    for r in got:
+        text, spans, turns = plain_format(by[r.conv_id], t)
+        assert r.formatted == text and [tuple(x) for x in r.loss_spans] == spans
+        assert [tuple(x) for x in r.turns] == turns and r.learned == [x for role, x in turns if role == t.loss_role]
+
+
+def test_chats_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(chat, "STRETCH", 3)
+    rng = random.Random(4)
+    bits = ["<s>", "</s>", "[INST]", "[/INST]", " ", "\\", "<", "[", "s>", "/s>", "INST]", "é", "\n", "ok", "<\\s>", "😀", "$1"]
+    rows = []
+    for c in [None, *range(60)]:
+        for i in range(rng.choice([1, 2, 9, 40])):
+            turn = rng.choice([i, i, i // 2, None, -i])
+            rows.append((c, turn, rng.choice(["user", "assistant", "assistant", "system", None, "<s>", "a\nb\\"]), rng.choice([None, "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))]), "f", "s", "p"))
+    check_chats(spark, rows)
+    check_chats(spark, rows, template=chat.Template("{|a}", "{|b}\n", "{|c}\n", "{|d}\n", "user"))
+
+
+def test_chats_of_nothing_and_of_very_much(spark):
+    check_chats(spark, [])
+    rng = random.Random(6)
+    check_chats(spark, [(1, rng.choice([i, 5]), rng.choice(["user", "assistant"]), f"text {i} é " * 3, "f", "s", "p") for i in range(20_000)] + [(2, None, "user", "x" * 3_000_000, "f", "s", "p")])
+    for marks in (("<s>", "<s>", "[x]", "</s>"), ("a", "<b>", "<c>", "<d>"), ("<s>", "<s>x", "<c>", "<d>"), ("<s x>", "<b>", "<c>", "<d>")):
+        with pytest.raises(ValueError):
+            chat.Template(*marks)

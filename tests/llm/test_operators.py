@@ -28,7 +28,7 @@ def ids(df):
 @pytest.mark.parametrize("name", sorted(queries_sql.ORACLE))
 def test_matches_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = c.execute(queries_sql.ORACLE[name])
     cols = [d[0] for d in want.description]

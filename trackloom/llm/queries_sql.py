@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackloom.llm import secrets
+from trackloom.llm import chat, secrets
 from trackloom.llm.common import LOWER, UPPER
 from trackloom.llm.warc import BASE32
 
@@ -91,4 +91,26 @@ select doc_id, coalesce(n_assign, 0)::bigint n_assign, coalesce(n_access, 0)::bi
   sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans from d left join g using (rid)
 """
 
-ORACLE = {"op1_warc": OP1, "op2_secrets": OP2, "op5_decontamination": OP5, "op8_line_dedup": OP8}
+
+
+def _escaped(text: str) -> str:
+    marks = chat.Template().controls()
+    out = f"replace({text}, '\\', '\\\\')"
+    for m in marks:
+        out = f"replace({out}, '{m}', '{m[0]}\\{m[1:]}')"
+    return out
+
+
+_T = chat.Template()
+OP13 = f"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m as (select *, row_number() over o as i, lag(role) over o as before from c window o as (partition by conv_id order by turn nulls first, role, text)),
+s as (select *, length({_escaped("text")}) + case when before = role then {len(_T.joint)} else {len(_T.start + _T.body + _T.end)} + length({_escaped("role")}) end as n from m)
+select conv_id, count(*)::bigint n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) turns_sha256,
+  coalesce(sum(length(text)) filter (role = '{_T.loss_role}'), 0)::bigint loss_chars,
+  sha256(coalesce(string_agg(text, '' order by i) filter (role = '{_T.loss_role}'), '')) loss_sha256, sum(n)::bigint formatted_chars
+from s group by conv_id
+"""
+
+ORACLE = {"op1_warc": OP1, "op2_secrets": OP2, "op5_decontamination": OP5, "op8_line_dedup": OP8, "op13_chat_format": OP13}
