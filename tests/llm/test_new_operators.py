@@ -4,12 +4,13 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.llm import chat, periodic, queries
+from trackloom.llm import align, chat, periodic, queries
 
 SF = "/root/testdata/sf0.001"
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -108,6 +109,92 @@ def test_runs_on_odd_texts(spark, texts):
         periodic.find_runs(df, min_periods=2)
 
 
+# ---- alignment of two tokenizers
+
+
+class PlainAlignment:
+    """The two libraries as they are, tokens met one by one."""
+
+    def __init__(self):
+        import public_tokenizers
+        from sentencepiece import SentencePieceProcessor
+        from tokenizers import Tokenizer
+
+        self.paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+        self.a, self.b = Tokenizer.from_file(self.paths[0]), SentencePieceProcessor(model_file=self.paths[1])
+        self.a.encode_special_tokens = True
+        letters = align.Codec(self.paths[0]).bytes_of
+        self.a_bytes = letters.__getitem__
+
+    def b_bytes(self, i):
+        p = self.b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
+
+    def one(self, text):
+        """(A ids, B ids, links, groups), or None for a text without tokens."""
+        data = (" " + (text or "")).encode()
+        a, b = self.a.encode(" " + (text or ""), add_special_tokens=False).ids, self.b.encode(text or "")
+        x, y = [self.a_bytes(i) for i in a], [self.b_bytes(i) for i in b]
+        if not text or b"".join(x) != data or b"".join(y) != data:
+            return None
+        ends = [np.cumsum([len(t) for t in z]).tolist() for z in (x, y)]
+        starts = [[0, *e[:-1]] for e in ends]
+        links, j = [], 0
+        for i in range(len(a)):
+            while ends[1][j] <= starts[0][i]:
+                j += 1
+            k = j
+            while k < len(b) and starts[1][k] < ends[0][i]:
+                links.append((a[i], b[k]))
+                k += 1
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        within = lambda ids, e, low, high: ",".join(str(t) for t, z in zip(ids, e, strict=True) if low < z <= high)
+        groups = ";".join(f"{within(a, ends[0], low, high)}|{within(b, ends[1], low, high)}" for low, high in zip([0, *cuts], cuts, strict=False)) if len(a) < 2000 else None
+        return a, b, links, groups, len(cuts)
+
+
+def check_alignment(texts, rows, plain):
+    """rows: {key: result}; texts: {key: text}."""
+    want = {k: plain.one(t) for k, t in texts.items()}
+    counts = Counter(p for w in want.values() if w for p in w[2])
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    assert rows.keys() == texts.keys()
+    for k, r in rows.items():
+        w = want[k]
+        if w is None:
+            assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) == (0, 0, 0, 0, 0, 0, ""), texts[k]
+            continue
+        assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (len(w[0]), len(w[1]), w[4], len(w[2])), texts[k]
+        assert r.n_best == sum(counts[p] == most[p[1]] for p in w[2]) and r.count_sum == sum(counts[p] for p in w[2])
+        assert w[3] is None or r.groups_sha256 == sha(w[3])
+
+
+def test_alignment_query_by_brute_force(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    check_alignment(texts, {r.doc_id: r for r in queries.op12_tokenizer_alignment(spark, SF).collect()}, PlainAlignment())
+
+
+@pytest.mark.parametrize("lane", [3, 1024])
+def test_alignment_of_odd_texts(spark, monkeypatch, lane):
+    monkeypatch.setattr(align, "LANE", lane)
+    plain, rng = PlainAlignment(), random.Random(8)
+    bits = [" ", "  ", "\n", "\t", "a", "é", "<|endoftext|>", "日本", "'s", "1", "!!", "\r\n", "xyz ", "😀", "\x85", "foo", "The", "\u2581", "<s>", "<0x41>", "\x00", "\u3000", " of the"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(250)]
+    texts += [None, "", " ", "a", "a", "a ", "</s>", "<unk>", "x" * 3000, " " * 3000, "word " * 5000]
+    df = spark.createDataFrame([(i, t, "b", 3, "p") for i, t in enumerate(texts)], "doc_id long, text string, block string, n_a int, pairs string").repartition(3)
+    got = align.align(df, *plain.paths, with_groups=True).collect()
+    assert all((r.row.block, r.row.n_a, r.row.pairs, r.row.text) == ("b", 3, "p", texts[r.row.doc_id]) for r in got)
+    assert all(sha(r.groups) == r.groups_sha256 for r in got if r.groups)
+    check_alignment(dict(enumerate(texts)), {r.row.doc_id: r for r in got}, plain)
+
+
+def test_alignment_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert align.align(df, *PlainAlignment().paths).collect() == []
+
+
 # ---- chat
 
 

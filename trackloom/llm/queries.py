@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import bpe, chat, decontam, langid, linededup, minhash, periodic, pii, quality, secrets, toxicity, warc
+from trackloom.llm import align, bpe, chat, decontam, langid, linededup, minhash, periodic, pii, quality, secrets, toxicity, warc
 from trackloom.llm.common import held_out, let, new_path, room
 
 
@@ -123,6 +123,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = align.align(docs, tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"), columns=["doc_id"])
+    return made.select("row.doc_id", *align.FIGURES, "n_best", "count_sum", "groups_sha256")
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = F.lit("</s>[INST] ok [/INST]").alias("text")
     roles = F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -142,5 +150,5 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_secrets, op3_toxicity, op4_pii, op5_decontamination, op6_language, op7_bpe, op8_line_dedup, op9_quality, op10_near_duplicates, op11_periodic_runs, op13_chat_format)
+    for f in (op1_warc, op2_secrets, op3_toxicity, op4_pii, op5_decontamination, op6_language, op7_bpe, op8_line_dedup, op9_quality, op10_near_duplicates, op11_periodic_runs, op12_tokenizer_alignment, op13_chat_format)
 }
