@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str]) -> DataFrame:
-    """Numbers the groups of intervals that overlap or lie within `gap` of what came before; column `island`, from 1."""
-    order = Window.partitionBy(*keys).orderBy(start, end, *ties)
+#: Lengths of the stretches that islands() cuts time into, in seconds and in frames; they change no result.
+STRETCH_SEC, STRETCH_FRAMES = 64.0, 1024
+#: What islands() needs beside the columns of its input.
+_STRETCH, _COPY, _OPENS, _BASE = "_stretch", "_copy", "_opens", "_base"
+
+
+def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str], stretch: float) -> DataFrame:
+    """Numbers the groups of intervals that overlap or lie within `gap` of what came before; column `island`, from 1 for each key.
+
+    A prefix scan in two steps, so that a key with most of the rows is shared by all tasks. Time is cut into
+    stretches of the given length, which changes no result. Each is a window of its own, in which intervals
+    from earlier ones that reach into it lie as copies; so whether an interval opens an island is known there. The numbers
+    of openings of all stretches, a row for each, are then added up along each key and joined back. An interval is
+    copied to every stretch it reaches, so stretches should not be far shorter than intervals.
+
+    Intervals without a start are islands of their own only where they come first.
+    """
+    at = lambda c: F.floor(c / F.lit(stretch)).cast("long")
+    low = at(F.col(start))
+    high = F.greatest(low, at(F.col(end) + gap))
+    spread = df.withColumn(_STRETCH, F.explode_outer(F.sequence(low, high))).withColumn(_COPY, F.coalesce(F.col(_STRETCH) > low, F.lit(False)))
+    order = Window.partitionBy(*keys, _STRETCH).orderBy(start, end, *ties)
     reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(reached.isNull() | (F.col(start) > reached + gap), 1).otherwise(0)
-    marked = df.withColumn("_opens", opens)
-    return marked.withColumn("island", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_opens")
+    opens = F.when(~F.col(_COPY) & (reached.isNull() | (F.col(start) > reached + gap)), 1).otherwise(0)
+    marked = spread.withColumn(_OPENS, opens)
+    marked = marked.withColumn("island", F.sum(_OPENS).over(order.rowsBetween(Window.unboundedPreceding, 0))).where(~F.col(_COPY))
+    along = Window.partitionBy(*keys).orderBy(_STRETCH).rowsBetween(Window.unboundedPreceding, -1)
+    sums = marked.groupBy(*keys, _STRETCH).agg(F.sum(_OPENS).alias(_OPENS))
+    other = {k: f"_{k}_{i}" for i, k in enumerate([*keys, _STRETCH])}
+    base = sums.select(*[F.col(k).alias(v) for k, v in other.items()], F.coalesce(F.sum(_OPENS).over(along), F.lit(0)).alias(_BASE))
+    same = [F.col(k).eqNullSafe(F.col(v)) for k, v in other.items()]
+    both = marked.join(base, same)
+    return both.select(*df.columns, (F.col("island") + F.col(_BASE)).cast("long").alias("island"))
 
 
 def runs(df: DataFrame, keys: list[str], order: str, state: str) -> DataFrame:
@@ -29,15 +55,3 @@ def flips(df: DataFrame, keys: list[str], order: str, state: str, min_hits: int)
     long = runs(df, keys, order, state).where(F.col("n") >= min_hits)
     before = F.lag(state).over(Window.partitionBy(*keys).orderBy("first"))
     return long.withColumn("_before", before).where(F.col("_before").isNotNull() & (F.col("_before") != F.col(state))).select(*keys, F.col("first").alias(order), state)
-
-
-def upper_median(values: Column) -> Column:
-    """Element n // 2 of the sorted values of a group."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1)
-
-
-def last_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key in an order without ties."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]))
-    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")

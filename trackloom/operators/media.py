@@ -124,7 +124,7 @@ def contact_windows(hits: DataFrame, longest: float, pad: float = 0.05, gap: flo
     of its segment. trigger is the kind of the segment's first hit.
     """
     spans = hits.withColumns({"s": F.greatest(F.lit(0.0), F.col("ts_sec") - pad), "e": F.least(F.lit(end_of_video), F.col("ts_sec") + pad)})
-    marked = s.islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"]).withColumn("island", F.col("island").cast("long"))
+    marked = s.islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"], s.STRETCH_SEC).withColumn("island", F.col("island").cast("long"))
     whole = marked.groupBy("video_id", "island").agg(F.min("s").alias("start_sec"), F.max("e").alias("end_sec"), F.min_by("kind", F.struct("s", "e", "person_id", "object_id")).alias("trigger"))
     windows = split_even(whole, longest).select("video_id", "island", "part", "part_start", "part_end", "trigger")
     both = windows.join(marked.select("video_id", "island", "frame_index", "ts_sec", "person_id", "object_id"), ["video_id", "island"])
@@ -190,7 +190,7 @@ def overall(statuses: DataFrame, key: str) -> DataFrame:
 def covered_fraction(changes: DataFrame, durations: DataFrame, tolerance: float) -> DataFrame:
     """(video_id, fraction): the part of each video that lies within the tolerance of some change. changes: (video_id, sec), durations: (video_id, duration)."""
     spans = changes.join(durations, "video_id").select("video_id", "duration", F.greatest(F.lit(0.0), F.col("sec") - tolerance).alias("a"), F.least(F.col("duration"), F.col("sec") + tolerance).alias("b")).where("b > a")
-    marked = s.islands(spans, ["video_id"], "a", "b", 0.0, [])
+    marked = s.islands(spans, ["video_id"], "a", "b", 0.0, [], s.STRETCH_SEC)
     each = marked.groupBy("video_id", "duration", "island").agg((F.max("b") - F.min("a")).alias("n"))
     sums = each.groupBy("video_id").agg((F.sum("n") / F.first("duration")).alias("fraction"))
     return durations.where("duration > 0").select("video_id").join(sums, "video_id", "left").select("video_id", F.coalesce("fraction", F.lit(0.0)).alias("fraction"))

@@ -172,7 +172,7 @@ def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_h
     if iou_from <= 0:
         raise ValueError("an overlap of 0 would match everything with everything")
     frames = detections.select("video_id", "frame_index").distinct()
-    cut = s.islands(frames, ["video_id"], "frame_index", "frame_index", patience + 1, []).withColumn("island", F.col("island").cast("long"))
+    cut = s.islands(frames, ["video_id"], "frame_index", "frame_index", patience + 1, [], s.STRETCH_FRAMES).withColumn("island", F.col("island").cast("long"))
     ends = cut.groupBy("video_id", "island").agg(F.min("frame_index").alias("_first"))
     after = F.lead("_first").over(Window.partitionBy("video_id").orderBy("island"))
     placed = cut.join(ends.select("video_id", "island", after.alias("_next")), ["video_id", "island"])
@@ -203,7 +203,7 @@ def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: f
     """
     spans = points.groupBy("video_id", "class_name", "track_id").agg(F.min("frame_index").alias("_a"), F.max(F.when(F.col("conf") > 0, F.col("frame_index"))).alias("_b"))
     spans = spans.withColumn("_b", F.coalesce("_b", "_a"))
-    cut = s.islands(spans, ["video_id", "class_name"], "_a", "_b", blind, ["track_id"]).select("video_id", "class_name", "track_id", "island")
+    cut = s.islands(spans, ["video_id", "class_name"], "_a", "_b", blind, ["track_id"], s.STRETCH_FRAMES).select("video_id", "class_name", "track_id", "island")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -329,7 +329,7 @@ def episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
     cols = ["video_id", "event_id", "start_sec", "end_sec", "actor_id", "object_id"]
     extra = [(F.col(c) if c in events.columns else F.lit(None).cast("string")).alias(c) for c in ("timing", "tier")]
     valid = events.select(*cols, *extra).where("tier is null or tier not in ('REJECT', 'REJECTED')")
-    marked = s.islands(valid, ["video_id"], "start_sec", "end_sec", gap, ["event_id"]).withColumn("island", F.col("island").cast("long"))
+    marked = s.islands(valid, ["video_id"], "start_sec", "end_sec", gap, ["event_id"], s.STRETCH_SEC).withColumn("island", F.col("island").cast("long"))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start_sec", "end_sec", "event_id"])

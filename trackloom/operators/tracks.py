@@ -72,7 +72,7 @@ def contacts(points: DataFrame, min_iou: float = 0.05, max_gap: float = 0.2, fra
 def segments(hits: DataFrame, pad: float = 0.05, gap: float = 0.02, end_of_video: float = 24.0) -> DataFrame:
     """Padded hits merged into segments: one row for each island of a video."""
     spans = hits.withColumns({"s": F.greatest(F.lit(0.0), F.col("ts_sec") - pad), "e": F.least(F.lit(end_of_video), F.col("ts_sec") + pad)})
-    marked = s.islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"])
+    marked = s.islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"], s.STRETCH_SEC)
     return marked.groupBy("video_id", F.col("island").cast("long").alias("island")).agg(
         F.min("s").alias("start_sec"),
         F.max("e").alias("end_sec"),

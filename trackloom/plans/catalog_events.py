@@ -234,7 +234,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     e = kept_events(spark, sf_dir)
     states = stored(ev.transitions(e), "states")
     made = stored(ev.edges(e, states), "edges")
-    members = ev.s.islands(e, ["video_id"], "start_sec", "end_sec", 2.0, ["event_id"]).select("video_id", "event_id", F.col("island").alias("episode"))
+    members = ev.s.islands(e, ["video_id"], "start_sec", "end_sec", 2.0, ["event_id"], ev.s.STRETCH_SEC).select("video_id", "event_id", F.col("island").alias("episode"))
     whole = stored(ev.gathered(members, e, states, made), "episodes")
     return {"events": e, "states": states, "links": made, "points": ev.nodes(made), "scores": scores(spark, sf_dir, e, states, made), "whole": whole}
 
