@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,16 +12,12 @@ STRETCH_SEC, STRETCH_FRAMES = 64.0, 1024
 _STRETCH, _COPY, _OPENS, _BASE = "_stretch", "_copy", "_opens", "_base"
 
 
-def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str], stretch: float) -> DataFrame:
-    """Numbers the groups of intervals that overlap or lie within `gap` of what came before; column `island`, from 1 for each key.
+def _in_stretches(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str], stretch: float) -> DataFrame:
+    """df with _stretch, _opens and the running number of openings in the stretch as `island`; 0 goes on from the stretch before.
 
-    A prefix scan in two steps, so that a key with most of the rows is shared by all tasks. Time is cut into
-    stretches of the given length, which changes no result. Each is a window of its own, in which intervals
-    from earlier ones that reach into it lie as copies; so whether an interval opens an island is known there. The numbers
-    of openings of all stretches, a row for each, are then added up along each key and joined back. An interval is
-    copied to every stretch it reaches, so stretches should not be far shorter than intervals.
-
-    Intervals without a start are islands of their own only where they come first.
+    Each stretch of time is a window of its own, in which intervals from earlier stretches that reach into it lie as
+    copies, so whether an interval opens an island is known there. An interval is copied to every stretch it
+    reaches: stretches should not be far shorter than intervals.
     """
     at = lambda c: F.floor(c / F.lit(stretch)).cast("long")
     low = at(F.col(start))
@@ -31,7 +27,18 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ti
     reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(~F.col(_COPY) & (reached.isNull() | (F.col(start) > reached + gap)), 1).otherwise(0)
     marked = spread.withColumn(_OPENS, opens)
-    marked = marked.withColumn("island", F.sum(_OPENS).over(order.rowsBetween(Window.unboundedPreceding, 0))).where(~F.col(_COPY))
+    return marked.withColumn("island", F.sum(_OPENS).over(order.rowsBetween(Window.unboundedPreceding, 0))).where(~F.col(_COPY)).drop(_COPY)
+
+
+def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str], stretch: float) -> DataFrame:
+    """Numbers the groups of intervals that overlap or lie within `gap` of what came before; column `island`, from 1 for each key.
+
+    A prefix scan, so that a key with most of the rows is shared by all tasks: openings are found stretch by
+    stretch, their numbers, a row for each stretch, are added up along each key and joined back. df is read twice.
+    The length of the stretches changes no result. Intervals without a start are islands of their own only where
+    they come first.
+    """
+    marked = _in_stretches(df, keys, start, end, gap, ties, stretch)
     along = Window.partitionBy(*keys).orderBy(_STRETCH).rowsBetween(Window.unboundedPreceding, -1)
     sums = marked.groupBy(*keys, _STRETCH).agg(F.sum(_OPENS).alias(_OPENS))
     other = {k: f"_{k}_{i}" for i, k in enumerate([*keys, _STRETCH])}
@@ -41,6 +48,19 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ti
     return both.select(*df.columns, (F.col("island") + F.col(_BASE)).cast("long").alias("island"))
 
 
+def merged_islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float, ties: list[str], stretch: float, parts: dict[str, Column], whole: dict[str, Column]) -> DataFrame:
+    """(keys, island, *whole): aggregates of the islands that islands() numbers, with df read once.
+
+    parts aggregate the rows of an island within a stretch, whole the parts of an island. Only parts are numbered
+    along a key: they lie more than `gap` apart or in different stretches, so a key's length bounds how many there
+    are, whatever the number of rows.
+    """
+    local = _in_stretches(df, keys, start, end, gap, ties, stretch).groupBy(*keys, _STRETCH, "island").agg(*[c.alias(k) for k, c in parts.items()])
+    opened = F.sum(F.when(F.col("island") > 0, 1).otherwise(0)).over(Window.partitionBy(*keys).orderBy(_STRETCH, "island"))
+    numbered = local.withColumn(_BASE, opened.cast("long"))
+    return numbered.groupBy(*keys, F.col(_BASE).alias("island")).agg(*[c.alias(k) for k, c in whole.items()])
+
+
 def runs(df: DataFrame, keys: list[str], order: str, state: str) -> DataFrame:
     """One row for each run of equal states: keys, state, first, last, n."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -237,8 +237,9 @@ def tiers(scores: DataFrame) -> DataFrame:
 
 def temporal_episodes(events: DataFrame, gap: float = 2.0) -> DataFrame:
     """Episodes by time alone: events of a video no further than `gap` apart."""
-    marked = s.islands(events, ["video_id"], "start_sec", "end_sec", gap, ["event_id"], s.STRETCH_SEC)
-    found = marked.groupBy("video_id", F.col("island").cast("long").alias("episode")).agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), F.count("*").alias("n_events"), F.array_sort(F.collect_list(F.struct("start_sec", "end_sec", "event_id"))).alias("_e"))
+    parts = {"start_sec": F.min("start_sec"), "end_sec": F.max("end_sec"), "n_events": F.count("*"), "_e": F.collect_list(F.struct("start_sec", "end_sec", "event_id"))}
+    whole = {"start_sec": F.min("start_sec"), "end_sec": F.max("end_sec"), "n_events": F.sum("n_events"), "_e": F.array_sort(F.flatten(F.collect_list("_e")))}
+    found = s.merged_islands(events, ["video_id"], "start_sec", "end_sec", gap, ["event_id"], s.STRETCH_SEC, parts, whole).withColumnRenamed("island", "episode")
     name = F.sha2(F.array_join(F.transform("_e", lambda x: x["event_id"]), "-"), 256)
     return found.select("video_id", "episode", "start_sec", "end_sec", "n_events", F.concat(F.lit("ie_"), F.left(name, F.lit(8))).alias("episode_id"))
 

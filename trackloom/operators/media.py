@@ -190,8 +190,8 @@ def overall(statuses: DataFrame, key: str) -> DataFrame:
 def covered_fraction(changes: DataFrame, durations: DataFrame, tolerance: float) -> DataFrame:
     """(video_id, fraction): the part of each video that lies within the tolerance of some change. changes: (video_id, sec), durations: (video_id, duration)."""
     spans = changes.join(durations, "video_id").select("video_id", "duration", F.greatest(F.lit(0.0), F.col("sec") - tolerance).alias("a"), F.least(F.col("duration"), F.col("sec") + tolerance).alias("b")).where("b > a")
-    marked = s.islands(spans, ["video_id"], "a", "b", 0.0, [], s.STRETCH_SEC)
-    each = marked.groupBy("video_id", "duration", "island").agg((F.max("b") - F.min("a")).alias("n"))
+    ends = {"duration": F.first("duration"), "a": F.min("a"), "b": F.max("b")}
+    each = s.merged_islands(spans, ["video_id"], "a", "b", 0.0, [], s.STRETCH_SEC, ends, ends).withColumn("n", F.col("b") - F.col("a"))
     sums = each.groupBy("video_id").agg((F.sum("n") / F.first("duration")).alias("fraction"))
     return durations.where("duration > 0").select("video_id").join(sums, "video_id", "left").select("video_id", F.coalesce("fraction", F.lit(0.0)).alias("fraction"))
 

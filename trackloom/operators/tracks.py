@@ -42,47 +42,53 @@ def moving(points: DataFrame, lookback: int = 5, frame_h: float = 1080.0) -> Dat
     b = g.box()
     w = Window.partitionBy(*TRACK).orderBy("frame_index").rangeBetween(-lookback, 0)
     p = points.withColumns({"_cx": g.centre_x(b), "_cy": g.centre_y(b)})
-    first = {k: F.first(k).over(w) for k in ("_cx", "_cy", "frame_index")}
-    dx, dy = F.col("_cx") - first["_cx"], F.col("_cy") - first["_cy"]
-    shift = F.when(first["frame_index"] < F.col("frame_index"), F.sqrt(dx * dx + dy * dy) / frame_h)
-    return p.withColumn("moved", shift).drop("_cx", "_cy")
+    p = p.withColumns({f"_first{k}": F.first(k).over(w) for k in ("_cx", "_cy", "frame_index")})
+    dx, dy = F.col("_cx") - F.col("_first_cx"), F.col("_cy") - F.col("_first_cy")
+    shift = F.when(F.col("_firstframe_index") < F.col("frame_index"), F.sqrt(dx * dx + dy * dy) / frame_h)
+    return p.select(*points.columns, shift.alias("moved"))
 
 
 def contacts(points: DataFrame, min_iou: float = 0.05, max_gap: float = 0.2, frame_w: float = 1920.0, frame_h: float = 1080.0, need_motion: float | None = 0.05) -> DataFrame:
     """Person and object in the same frame that overlap or are near, one of them moving: (video_id, frame_index, ts_sec, person_id, object_id, kind, distance).
 
-    Motion is worked out once for each point. A frame's boxes, few by nature, are dealt together once and paired there, so
-    no frame's rows meet another's.
+    A track has one class, so people and objects are parted first; motion is worked out once for each point of
+    either, and the two meet in a join on the frame. Boxes are plain columns there: the arithmetic of a pair is
+    then one short compiled loop, which took a third of the time that it took on structs.
     """
-    p = moving(points, frame_h=frame_h) if need_motion is not None else points.withColumn("moved", F.lit(None).cast("double"))
-    box = F.struct("ts_sec", F.col("track_id").alias("id"), F.col("moved").alias("m"), g.box().alias("b"))
-    is_person, is_thing = F.col("class_name") == PERSON, ~F.col("class_name").isin(*OBJECT_NOT)
-    frames = p.where(is_person | is_thing).groupBy("video_id", "frame_index").agg(F.collect_list(F.when(is_person, box)).alias("_people"), F.collect_list(F.when(is_thing, box)).alias("_things"))
-    pairs = frames.where((F.size("_people") > 0) & (F.size("_things") > 0)).select("video_id", "frame_index", F.explode("_people").alias("p"), "_things").select("video_id", "frame_index", "p", F.explode("_things").alias("o"))
-    pairs = pairs.select("video_id", "frame_index", "p.ts_sec", F.col("p.id").alias("person_id"), F.col("p.b").alias("pb"), F.col("p.m").alias("pm"), F.col("o.id").alias("object_id"), F.col("o.b").alias("ob"), F.col("o.m").alias("om"))
-    overlap = g.iou(F.col("pb"), F.col("ob"))
-    distance = g.gap(F.col("pb"), F.col("ob")) / max(frame_w, frame_h)
+    b = ("x1", "y1", "x2", "y2")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        p = moving(rows, frame_h=frame_h) if need_motion is not None else rows.withColumn("moved", F.lit(None).cast("double"))
+        return p.select("video_id", "frame_index", "ts_sec", F.col("track_id").alias(f"{name}_id"), F.col("moved").alias(f"_{name}"), *[F.col(c).alias(f"_{name}_{c}") for c in b])
+
+    people = side(points.where(F.col("class_name") == PERSON), "person")
+    things = side(points.where(~F.col("class_name").isin(*OBJECT_NOT)), "object").drop("ts_sec")
+    pairs = people.join(things, ["video_id", "frame_index"])
+    pb, ob = (F.struct(*[F.col(f"_{name}_{c}").alias(c) for c in b]) for name in ("person", "object"))
+    overlap = g.iou(pb, ob)
+    distance = g.gap(pb, ob) / max(frame_w, frame_h)
     kind = F.when(overlap > min_iou, "overlap").when(distance < max_gap, "near")
-    pairs = pairs.withColumns({"kind": kind, "distance": distance}).where(F.col("kind").isNotNull())
     if need_motion is not None:
-        pairs = pairs.where((F.coalesce("pm", F.lit(0.0)) > need_motion) | (F.coalesce("om", F.lit(0.0)) > need_motion))
-    return pairs.select("video_id", "frame_index", "ts_sec", "person_id", "object_id", "kind", "distance")
+        pairs = pairs.where((F.coalesce("_person", F.lit(0.0)) > need_motion) | (F.coalesce("_object", F.lit(0.0)) > need_motion))
+    pairs = pairs.select("video_id", "frame_index", "ts_sec", "person_id", "object_id", kind.alias("kind"), distance.alias("distance"))
+    return pairs.where(F.col("kind").isNotNull())
 
 
 def segments(hits: DataFrame, pad: float = 0.05, gap: float = 0.02, end_of_video: float = 24.0) -> DataFrame:
     """Padded hits merged into segments: one row for each island of a video."""
     spans = hits.withColumns({"s": F.greatest(F.lit(0.0), F.col("ts_sec") - pad), "e": F.least(F.lit(end_of_video), F.col("ts_sec") + pad)})
-    marked = s.islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"], s.STRETCH_SEC)
-    return marked.groupBy("video_id", F.col("island").cast("long").alias("island")).agg(
-        F.min("s").alias("start_sec"),
-        F.max("e").alias("end_sec"),
-        F.min("frame_index").alias("start_frame"),
-        F.max("frame_index").alias("end_frame"),
-        F.count("*").alias("hits"),
-        F.countDistinct("person_id").alias("persons"),
-        F.array_join(F.array_sort(F.collect_set(F.col("object_id").cast("string"))), ",").alias("objects"),
-        F.min_by("person_id", F.struct("s", "e", "person_id", "object_id")).alias("first_person"),
-    )
+    first = F.struct("s", "e", "person_id", "object_id")
+    parts = {"start_sec": F.min("s"), "end_sec": F.max("e"), "start_frame": F.min("frame_index"), "end_frame": F.max("frame_index"), "hits": F.count("*"), "_people": F.collect_set("person_id"), "_things": F.collect_set("object_id"), "_first": F.min(first)}
+    all_of = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    whole = {
+        **{k: F.min(k) for k in ("start_sec", "start_frame")},
+        **{k: F.max(k) for k in ("end_sec", "end_frame")},
+        "hits": F.sum("hits"),
+        "persons": F.size(all_of("_people")).cast("long"),
+        "objects": F.array_join(F.array_sort(F.transform(all_of("_things"), lambda x: x.cast("string"))), ","),
+        "first_person": F.min("_first")["person_id"],
+    }
+    return s.merged_islands(spans, ["video_id"], "s", "e", gap, ["person_id", "object_id"], s.STRETCH_SEC, parts, whole)
 
 
 def split_even(spans: DataFrame, longest: float) -> DataFrame:

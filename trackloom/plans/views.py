@@ -23,7 +23,7 @@ def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = F.floor((F.col("us") - START_US) / float(HOUR_US)).cast("long")
     kind = F.element_at(F.array(*map(F.lit, ("person", "person", "cardboard box", "push chopper", "dining table"))), (F.col("user_id") % 5 + 1).cast("int"))
     first = F.row_number().over(Window.partitionBy("user_id", "frame_index").orderBy("event_id"))
-    p = ev.withColumn("frame_index", frame).withColumn("_nth", first).where("_nth = 1")
+    p = ev.withColumn("frame_index", frame).repartition("user_id").withColumn("_nth", first).where("_nth = 1")  # dealt once, for this window and those by track
     cx = 200.0 + (F.col("user_id") * 9.0) % 1200 + F.col("value")
     cy = 300.0 + F.col("value") * 0.5
     w, h = 40.0 + F.col("event_id") % 60, 40.0 + F.col("event_id") % 45
