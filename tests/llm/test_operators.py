@@ -339,6 +339,32 @@ def test_short_items_and_long_spans(spark):
     assert got == {1: (3, [1]), 2: (10, [2]), 3: (0, []), 4: (2, []), 5: (0, [])}
 
 
+@pytest.mark.parametrize("window,k", [(10, 5), (6, 6), (4, 1), (7, 6)])
+def test_contamination_by_brute_force(spark, window, k):
+    rng = random.Random(window)
+    some = lambda n, kinds: [rng.choice("abcdefghij"[:kinds]) for _ in range(n)]
+    items = [some(rng.choice([1, 3, window - 1, window, window + 1, 40]), rng.choice([1, 2, 10])) for _ in range(12)] + [[]]
+    docs_in = []
+    for _ in range(120):
+        words = some(rng.randint(0, 30), rng.choice([1, 3, 10]))
+        for _ in range(rng.randint(0, 3)):
+            item = rng.choice(items)
+            a = rng.randint(0, len(item))
+            words += item[a : a + rng.randint(0, 2 * window)] + some(rng.randint(0, 4), 10)
+        docs_in.append(words)
+    got = decontam.contamination(docs(spark, [(i, " ".join(w)) for i, w in enumerate(docs_in)]), spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"), window=window, k=k)
+    for r in got.select("row.doc_id", "n_words", "n_hit", "item_ids").collect():
+        w, hit, ids = docs_in[r.doc_id], set(), set()
+        for i, item in enumerate(items):
+            n = min(window, len(item))
+            spans = {tuple(item[a : a + n]) for a in range(len(item) - n + 1)} if n else set()
+            for a in range(len(w) - n + 1) if n else ():
+                if tuple(w[a : a + n]) in spans:
+                    hit |= set(range(a, a + n))
+                    ids.add(i)
+        assert (r.n_words, r.n_hit, set(r.item_ids)) == (len(w), len(hit), ids), w
+
+
 def test_language_of_held_out_rows(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.op6_language(spark, SF).join(df.select("doc_id", "lang"), "doc_id").where("held_out")
