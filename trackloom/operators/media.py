@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import geometry as g
 from trackloom.functions import sequences as s
+from trackloom.operators.sequential import assigned
 from trackloom.operators.tracks import TRACK, box_columns, inside_by_frame, observed, shared_frames, split_even
 
 
@@ -309,6 +310,22 @@ def change_point_scores(changes: DataFrame, bounds: DataFrame, durations: DataFr
     return sums.join(covered_fraction(changes, durations, tolerance), "video_id", "left").withColumn("vacuous", F.col("fraction") >= 1.0)
 
 
+def ordered_scores(changes: DataFrame, bounds: DataFrame, durations: DataFrame, tolerance: float) -> DataFrame:
+    """(video_id, n_bounds, n_ordered, n_inner, n_inner_hit, n_grid_hit, grid_as_good): bounds that have a change point of their own near, in order.
+
+    The first and last bound of a video are its edges, which any track reaches, so inner ones are counted apart.
+    As a control as many times, spread evenly from 0 to the duration, take the place of the changes. All
+    counts of hits are null if there are fewer changes than bounds.
+    """
+    hit = (F.abs(F.col("point") - F.col("at")) <= tolerance).cast("long")
+    inner = (F.col("nth") > 0) & (F.col("nth") < F.col("n") - 1)
+    own = assigned(changes, bounds).groupBy("video_id").agg(F.count("*").alias("n_bounds"), F.sum(hit).alias("n_ordered"), F.sum(inner.cast("long")).alias("n_inner"), F.when(F.count("point") > 0, F.coalesce(F.sum(F.when(inner, hit)), F.lit(0))).alias("n_inner_hit"))
+    sums = changes.groupBy("video_id").agg(F.count("sec").alias("_n")).join(durations, "video_id")
+    even = sums.where("duration > 0").select("video_id", F.explode(grid(F.col("duration"), F.col("_n"))).alias("sec"))
+    other = assigned(even, bounds.join(sums.where("duration > 0").select("video_id"), "video_id", "left_semi")).groupBy("video_id").agg(F.sum(hit).alias("n_grid_hit"))
+    return own.join(other, "video_id", "left").withColumn("grid_as_good", F.col("n_grid_hit") >= F.col("n_ordered"))
+
+
 def enclosed_share(points: DataFrame) -> DataFrame:
     """(video_id, inner_id, outer_id, shared, n_inside): on how many of their shared frames one track lies in another."""
     return inside_by_frame(points).groupBy("video_id", "inner_id", "outer_id").agg(F.count("*").alias("shared"), F.sum(F.col("inside").cast("long")).alias("n_inside"))

@@ -375,37 +375,71 @@ def replayed(observations: DataFrame, segments: DataFrame) -> DataFrame:
     return both.join(failed, "video_id").select("video_id", "segment_id", "observation_id", "run_failed")
 
 
-def assigned(points: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(video_id, at, point): for each bound of a video a change point of its own, in order, at the least total distance.
+def least_onwards(items: Column) -> Column:
+    """Of an array, the least element of each place and those behind it; in n times the root of n comparisons."""
+
+    def of(x: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(x))).cast("int"))
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / width).cast("int")), lambda c: F.array_min(F.slice(x, c * width + 1, width)))
+        rest = lx.let(chunks, lambda m: F.transform(m, lambda _, c: F.array_min(F.slice(m, c + 1, F.size(m)))))
+        near = lambda i: F.array_min(F.slice(x, i + 1, width - i % width))
+        return lx.let(rest, lambda m: F.transform(x, lambda _, i: F.least(near(i), F.get(m, F.floor(i / width).cast("int") + 1))))
+
+    return lx.let(items, of)
+
 
-    points: (video_id, sec), bounds: (video_id, at). A video's change points and bounds, short lists, are one group.
-    A video with fewer points than bounds has nulls.
+def in_order(bounds: Column, points: Column) -> Column:
+    """For each bound the index of a point of its own, increasing, at the least total distance; of equal choices the earliest points. Needs as many points as bounds.
+
+    A fold from the last bound to the first keeps what the bounds from there on cost with the points from each
+    place on, and which point the first of them takes; a second fold follows these choices.
     """
-    both = points.select("video_id", F.col("sec").alias("at"), F.lit(False).alias("bound")).unionByName(bounds.select("video_id", "at", F.lit(True).alias("bound")))
+    zero = F.struct(F.array_repeat(F.lit(0.0), F.size(points) + 1).alias("cost"), F.array().cast("array<array<int>>").alias("picks"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, at = sorted(pdf.loc[~pdf["bound"], "at"]), sorted(pdf.loc[pdf["bound"], "at"])
-        got = [own[i] for i in monotone_assign(own, at)] if len(own) >= len(at) else [None] * len(at)
-        return pd.DataFrame({"video_id": [pdf["video_id"].iloc[0]] * len(at), "at": at, "point": pd.array(got, "Float64")})
-
-    return both.groupBy("video_id").applyInPandas(run, "video_id long, at double, point double")
-
-
-def monotone_assign(points: list[float], bounds: list[float]) -> list[int]:
-    """Strictly increasing indices of points, one for each bound, with the least total distance; needs as many points as bounds."""
-    n, m = len(points), len(bounds)
-    if m > n:
-        raise ValueError("more boundaries than points")
-    cost = np.full((m + 1, n + 1), np.inf)
-    cost[0] = 0
-    for i in range(1, m + 1):
-        for j in range(i, n + 1):
-            cost[i, j] = min(cost[i, j - 1], cost[i - 1, j - 1] + abs(points[j - 1] - bounds[i - 1]))
-    out, j = [], n
-    for i in range(m, 0, -1):
-        while cost[i, j] < cost[i - 1, j - 1] + abs(points[j - 1] - bounds[i - 1]):
-            j -= 1
-        j -= 1
-        out.append(j)
-    return out[::-1]
+    def step(acc: Column, bound: Column) -> Column:
+        takes = F.transform(points, lambda p, i: F.struct((F.abs(p - bound) + F.get(acc["cost"], i + 1)).alias("cost"), i.alias("at")))
+        return lx.let(least_onwards(takes), lambda best: F.struct(F.array_append(F.transform(best, lambda b: b["cost"]), F.lit(float("inf"))).alias("cost"), F.array_prepend(acc["picks"], F.transform(best, lambda b: b["at"])).alias("picks")))
+
+    def follow(acc: Column, row: Column) -> Column:
+        return lx.let(F.get(row, acc["next"]), lambda i: F.struct((i + 1).alias("next"), F.array_append(acc["out"], i).alias("out")))
 
+    picks = F.aggregate(F.reverse(bounds), zero, step, lambda acc: acc["picks"])
+    return F.aggregate(picks, F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("out")), follow, lambda acc: acc["out"])
+
+
+def assigned(points: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(video_id, nth, n, at, point): for each of a video's n bounds a change point of its own, in order, at the least total distance; of equal choices the earliest points.
+
+    points: (video_id, sec), bounds: (video_id, at); repeated times count as often as they occur. A video with fewer
+    points than bounds has nulls, one without bounds has no rows.
+
+    No bound takes a point beyond where its nearest would be pushed if all conflicts before it went to the right, or all
+    after it to the left: any other choice costs more. Where these bands part, bounds don't compete, and each
+    stretch between is folded on its own, in the JVM. Bands come from one ordered pass over a video's times.
+    """
+    by_time = Window.partitionBy("video_id").orderBy("at")
+    rank = F.rank().over(Window.partitionBy("video_id").orderBy("sec")) - 1
+    numbered = points.where("sec is not null").select("video_id", "sec", (F.row_number().over(Window.partitionBy("video_id").orderBy("sec")) - 1).alias("place"), rank.alias("first"))
+    both = numbered.select("video_id", F.col("sec").alias("at"), "first").unionByName(bounds.where("at is not null").select("video_id", "at", F.lit(None).cast("int").alias("first")))
+    known = F.when(F.col("first").isNotNull(), F.struct("first", "at"))
+    low = F.last(known, ignorenulls=True).over(by_time.rangeBetween(Window.unboundedPreceding, 0))
+    high = F.first(known, ignorenulls=True).over(by_time.rangeBetween(0, Window.unboundedFollowing))
+    seen = both.withColumns({"_low": low, "_high": high, "_points": F.count("first").over(Window.partitionBy("video_id"))}).where("first is null")
+    nearer = F.when(F.col("_high").isNull() | (F.col("at") - F.col("_low.at") <= F.col("_high.at") - F.col("at")), F.col("_low.first")).otherwise(F.col("_high.first"))
+    i = F.row_number().over(by_time) - 1
+    rows = seen.select("video_id", "at", "_points", i.alias("nth"), F.count("*").over(Window.partitionBy("video_id")).cast("int").alias("n"), nearer.alias("_near"))
+    order = Window.partitionBy("video_id").orderBy("nth")
+    spare = F.col("_near") - F.col("nth")
+    left = F.col("nth") + F.min(spare).over(order.rowsBetween(0, Window.unboundedFollowing))
+    right = F.col("nth") + F.max(spare).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"_left": F.greatest(left, F.col("nth")), "_right": F.least(right, F.col("_points") - F.col("n") + F.col("nth"))})
+    parts = F.coalesce(F.col("_left") > F.lag("_right").over(order), F.lit(True)).cast("int")
+    rows = rows.withColumn("_parts", parts).withColumn("_group", F.sum("_parts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    fits = rows.where("_points >= n").groupBy("video_id", "_group").agg(F.array_sort(F.collect_list(F.struct("nth", "at"))).alias("_bounds"), F.min("_left").cast("int").alias("_from"), F.max("_right").cast("int").alias("_to"))
+    wanted = fits.select("video_id", "_group", F.explode(F.sequence("_from", "_to")).alias("place"))
+    held = wanted.join(numbered, ["video_id", "place"]).groupBy("video_id", "_group").agg(F.array_sort(F.collect_list(F.struct("place", "sec"))).alias("_points"))
+    both = fits.join(held, ["video_id", "_group"]).withColumn("_secs", F.transform("_points", lambda p: p["sec"]))
+    chosen = in_order(F.transform("_bounds", lambda b: b["at"]), F.col("_secs"))
+    found = both.withColumn("_chosen", chosen).select("video_id", F.explode(F.transform("_bounds", lambda b, k: F.struct(b["nth"].alias("nth"), F.get("_secs", F.get("_chosen", k)).alias("point")))).alias("x"))
+    return rows.select("video_id", "nth", "n", "at").join(found.select("video_id", "x.nth", "x.point"), ["video_id", "nth"], "left").select("video_id", "nth", "n", "at", "point")

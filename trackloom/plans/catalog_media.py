@@ -353,9 +353,44 @@ def b10_lower_case_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("video_id").agg(n(plain == "person").alias("people"), n(F.lower(plain) == "person").alias("people_any_case"), n(~plain.isin(*tr.OBJECT_NOT)).alias("things"), n(~F.lower(plain).isin(*tr.OBJECT_NOT)).alias("things_any_case"))
 
 
-@query()
+def _assigned_sql(points: str, bounds: str, tag: str) -> str:
+    """Common table expressions that end in g{tag}(video_id, i, j): the point of each bound, by the whole table of costs, from the last bound back."""
+    return f"""pt{tag} as materialized (select video_id, sec, row_number() over (partition by video_id order by sec) - 1 a, count(*) over (partition by video_id) n from {points}),
+bd{tag} as materialized (select video_id, loc, row_number() over (partition by video_id order by loc) - 1 i, count(*) over (partition by video_id) m from {bounds}),
+vm{tag} as (select distinct bd{tag}.video_id, m, n from bd{tag} join (select distinct video_id, n from pt{tag}) using (video_id) where m <= n),
+f{tag} as materialized (select video_id, m i, unnest(range(0, n + 1)) a, 0.0e0 as price, -1::bigint pick from vm{tag}
+  union all select video_id, i, a, x.t, x.a from (select f.video_id, b.i, p.a, min({{'t': abs(p.sec - b.loc) + f.price, 'a': p.a}}) over (partition by f.video_id order by p.a desc rows between unbounded preceding and current row) x
+    from f{tag} f join bd{tag} b on b.video_id = f.video_id and b.i = f.i - 1 join pt{tag} p on p.video_id = f.video_id and p.a = f.a - 1)),
+g{tag} as (select video_id, i, pick j from f{tag} where i = 0 and a = 0 union all select n.video_id, n.i, n.pick from g{tag} c join f{tag} n on n.video_id = c.video_id and n.i = c.i + 1 and n.a = c.j + 1)"""
+
+
+_BOUNDS = """lb as (select distinct video_id, seg_start + 0.25e0 as loc from obs union select distinct video_id, seg_start + 1.5e0 from obs where substr(segment_id, 5)::bigint % 3 = 0), ch as (select distinct video_id, sec from chg)"""
+
+
+def labelled_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(video_id, at): a bound at each segment's start, and one more in every third."""
+    o = observations(spark, sf_dir)
+    third = o.where(F.substring("segment_id", 5, 20).cast("long") % 3 == 0)
+    return o.select("video_id", (F.col("seg_start") + 0.25).alias("at")).union(third.select("video_id", (F.col("seg_start") + 1.5).alias("at"))).distinct()
+
+
+@query(f"""with recursive {OBSERVATIONS_SQL}, {_BOUNDS}, {_assigned_sql("ch", "lb", "")}
+select b.video_id, round(b.loc, 6) as "at", b.i::int nth, b.m::int n, round(p.sec, 6) point from bd b left join g on g.video_id = b.video_id and g.i = b.i left join pt p on p.video_id = b.video_id and p.a = g.j""")
 def j9_assigned_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A change point of its own for each labelled bound: one bound in fifty segments, all changes of the video."""
-    c = segment_changes(spark, sf_dir).select("video_id", "sec").distinct()
-    b = observations(spark, sf_dir).where("cast(round(seg_start) as long) % 400 = 0").select("video_id", (F.col("seg_start") + 0.25).alias("at")).distinct()
-    return rounded(sq.assigned(c, b))
+    """A change point of its own for each labelled bound, all changes of the video."""
+    return rounded(sq.assigned(segment_changes(spark, sf_dir).select("video_id", "sec").distinct(), labelled_bounds(spark, sf_dir)))
+
+
+_THIN = "substr(segment_id, 5)::bigint % 4 = 0"
+
+
+@query(f"""with recursive {OBSERVATIONS_SQL}, lb as (select distinct video_id, seg_start + 0.25e0 as loc from obs where {_THIN}), ch as (select distinct video_id, sec from chg where {_THIN} and floor(sec)::bigint % 4 <> 3),
+dr as (select video_id, max(sec) + 3 duration from ch group by 1), gr as (select video_id, unnest(list_transform(range(0, n), lambda i: case when n > 1 then duration * i / (n - 1) else 0.0e0 end)) sec from (select video_id, count(*) n from ch group by 1) join dr using (video_id)),
+{_assigned_sql("ch", "lb", "")}, {_assigned_sql("gr", "lb", "2")},
+o as (select b.video_id, count(*) n_bounds, sum((abs(sec - loc) <= 1)::int) n_ordered, count(*) filter (b.i > 0 and b.i < m - 1) n_inner, sum((abs(sec - loc) <= 1)::int) filter (b.i > 0 and b.i < m - 1) n_inner_hit from bd b left join g on g.video_id = b.video_id and g.i = b.i left join pt p on p.video_id = b.video_id and p.a = g.j group by 1),
+e as (select b.video_id, sum((abs(sec - loc) <= 1)::int) n_grid_hit from bd2 b left join g2 g on g.video_id = b.video_id and g.i = b.i left join pt2 p on p.video_id = b.video_id and p.a = g.j group by 1)
+select video_id, n_bounds, n_ordered::bigint n_ordered, n_inner, n_inner_hit::bigint n_inner_hit, n_grid_hit::bigint n_grid_hit, n_grid_hit >= n_ordered grid_as_good from o left join e using (video_id)""")
+def m9_ordered_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = segment_changes(spark, sf_dir).where("cast(substring(segment_id, 5) as long) % 4 = 0 and floor(sec) % 4 <> 3").select("video_id", "sec").distinct()
+    b = observations(spark, sf_dir).where("cast(substring(segment_id, 5) as long) % 4 = 0").select("video_id", (F.col("seg_start") + 0.25).alias("at")).distinct()
+    return m.ordered_scores(c, b, c.groupBy("video_id").agg((F.max("sec") + 3).alias("duration")), 1.0)
