@@ -296,11 +296,11 @@ def change_point_scores(changes: DataFrame, bounds: DataFrame, durations: DataFr
     and changes. vacuous: the changes are so dense that any bounds would do.
     """
     rows = bounds.select("video_id", "at", F.lit("bound").alias("kind")).unionByName(changes.select("video_id", F.col("sec").alias("at"), F.lit("change").alias("kind")))
-    w = Window.partitionBy("video_id").orderBy("at")
+    w, back = Window.partitionBy("video_id").orderBy("at"), Window.partitionBy("video_id").orderBy(F.desc("at"))
 
     def nearest(kind: str) -> Column:
         other = F.when(F.col("kind") == kind, F.col("at"))
-        low, high = F.last(other, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), F.first(other, ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+        low, high = (F.last(other, ignorenulls=True).over(x.rangeBetween(Window.unboundedPreceding, 0)) for x in (w, back))
         return F.least(F.col("at") - low, high - F.col("at"))
 
     r = rows.withColumns({"_change": nearest("change"), "_bound": nearest("bound")})

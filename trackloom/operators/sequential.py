@@ -423,14 +423,14 @@ def assigned(points: DataFrame, bounds: DataFrame) -> DataFrame:
     both = numbered.select("video_id", F.col("sec").alias("at"), "first").unionByName(bounds.where("at is not null").select("video_id", "at", F.lit(None).cast("int").alias("first")))
     known = F.when(F.col("first").isNotNull(), F.struct("first", "at"))
     low = F.last(known, ignorenulls=True).over(by_time.rangeBetween(Window.unboundedPreceding, 0))
-    high = F.first(known, ignorenulls=True).over(by_time.rangeBetween(0, Window.unboundedFollowing))
+    high = F.last(known, ignorenulls=True).over(Window.partitionBy("video_id").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0))
     seen = both.withColumns({"_low": low, "_high": high, "_points": F.count("first").over(Window.partitionBy("video_id"))}).where("first is null")
     nearer = F.when(F.col("_high").isNull() | (F.col("at") - F.col("_low.at") <= F.col("_high.at") - F.col("at")), F.col("_low.first")).otherwise(F.col("_high.first"))
     i = F.row_number().over(by_time) - 1
     rows = seen.select("video_id", "at", "_points", i.alias("nth"), F.count("*").over(Window.partitionBy("video_id")).cast("int").alias("n"), nearer.alias("_near"))
     order = Window.partitionBy("video_id").orderBy("nth")
     spare = F.col("_near") - F.col("nth")
-    left = F.col("nth") + F.min(spare).over(order.rowsBetween(0, Window.unboundedFollowing))
+    left = F.col("nth") + F.min(spare).over(Window.partitionBy("video_id").orderBy(F.desc("nth")).rowsBetween(Window.unboundedPreceding, 0))
     right = F.col("nth") + F.max(spare).over(order.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumns({"_left": F.greatest(left, F.col("nth")), "_right": F.least(right, F.col("_points") - F.col("n") + F.col("nth"))})
     parts = F.coalesce(F.col("_left") > F.lag("_right").over(order), F.lit(True)).cast("int")

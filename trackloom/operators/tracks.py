@@ -238,7 +238,8 @@ def nearest_change(boundaries: DataFrame, changes: DataFrame) -> DataFrame:
     rows = boundaries.select("video_id", F.col("boundary").alias("at"), F.lit(None).cast("long").alias("change")).unionByName(changes.select("video_id", F.col("frame_index").alias("at"), F.col("frame_index").alias("change")).distinct())
     w = Window.partitionBy("video_id").orderBy("at")
     low = F.last("change", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    high = F.first("change", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy("video_id").orderBy(F.desc("at"))  # a frame that only grows is one pass
+    high = F.last("change", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     out = rows.withColumns({"_low": low, "_high": high}).where("change is null").distinct()
     nearer = F.when(F.col("_high").isNull() | (F.col("at") - F.col("_low") <= F.col("_high") - F.col("at")), F.col("_low")).otherwise(F.col("_high"))
     return out.select("video_id", F.col("at").alias("boundary"), nearer.alias("frame_index"), F.abs(nearer - F.col("at")).alias("off"))
