@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ascii_lower, cut, let, packed, small, text_key
+from trackloom.llm.common import ascii_lower, cut, let, packed, small, stored, text_key
 
 #: What stands between words, after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -23,16 +23,30 @@ def grams(items: Column, n: int, of: Callable[..., Column]) -> Column:
     return F.transform(spots, lambda i: of(*[F.get(items, i + j) for j in range(n)]))
 
 
+def word_hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda w: F.xxhash64(w))
+
+
+def least_hashes(tokens: Column, window: int, k: int) -> Column:
+    """Winnowing: of each window - k + 1 runs of k words in a row, the least hash. None for fewer than `window` words."""
+    return let(word_hashes(tokens), lambda h: let(grams(h, k, F.xxhash64), lambda g: grams(g, window - k + 1, F.least) if window > k else g))
+
+
+def run_hashes(tokens: Column, n: int) -> Column:
+    """The hashes of all runs of n words."""
+    return grams(tokens, n, lambda *w: F.xxhash64(F.lit(len(w)), *w))
+
+
 def numbered(marks: Column) -> Column:
     """(mark, pos) of each."""
     return F.transform(marks, lambda x, i: F.struct(x.alias("mark"), i.alias("pos")))
 
 
 def fingerprints(tokens: Column, window: int, k: int) -> Column:
-    """Winnowing: (mark, pos) of the runs of k words whose hash is the least of some window - k + 1 in a row; ties all count.
+    """(mark, pos) of the runs of k words whose hash is one of least_hashes(); ties all count.
 
-    The choice depends on the words of the window alone, so a window that two texts share gives both the same
-    mark at the same place in it. None for fewer than `window` words.
+    The choice depends on the words of a window alone, so a window that two texts share gives both the same
+    mark at the same place in it.
     """
     width = window - k + 1
 
@@ -44,13 +58,13 @@ def fingerprints(tokens: Column, window: int, k: int) -> Column:
         marked = lambda least: F.filter(numbered(g), lambda x: top(least, x["pos"]) >= x["mark"])
         return let(grams(g, width, F.least), marked)
 
-    found = let(F.transform(tokens, lambda w: F.xxhash64(w)), lambda h: let(grams(h, k, F.xxhash64), chosen))
+    found = let(word_hashes(tokens), lambda h: let(grams(h, k, F.xxhash64), chosen))
     return F.when(F.size(tokens) >= window, found).otherwise(F.array().cast("array<struct<mark:bigint,pos:int>>"))
 
 
 def exact(tokens: Column, n: int) -> Column:
     """(mark, pos) of all runs of n words."""
-    return numbered(grams(tokens, n, lambda *w: F.xxhash64(F.lit(len(w)), *w)))
+    return numbered(run_hashes(tokens, n))
 
 
 def seeds(items: DataFrame, window: int, k: int, lengths: list[int]) -> DataFrame:
@@ -90,12 +104,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     A window is `window` consecutive words of an item, or all words of a shorter item. n_hit counts the words
     of the document inside any occurrence of a window, item_ids lists the items that have one.
 
-    Documents and items are winnowed, and fingerprints joined with their positions. Each hit is extended outwards word for
-    word, as far as a window around the fingerprint can reach; runs that are long enough count, and their union
-    is what is hit. Every shared window holds a fingerprint of both texts, so none is missed. Items too short to
-    winnow are fingerprints as a whole. Texts are keyed by a 128-bit hash, so copies are examined once; only those
-    with a hit are cut into words again. A null or empty text has no words and no hits. The items' fingerprints and the
-    documents' hits are stored, and broadcast only up to a size counted before; else the joins can be split where
+    Documents and items are winnowed; texts that share a fingerprint with an item are candidates. Their fingerprints are joined
+    with the items' by positions, and each hit is extended outwards word for word, as far as a window around the
+    fingerprint can reach; runs that are long enough count, and their union is what is hit. Every shared window holds a fingerprint of both texts, so none is missed. Items too short to
+    winnow are fingerprints as a whole. Texts are keyed by a 128-bit hash, so copies are examined once; only candidates
+    are cut into words again. A null or empty text has no words and no hits. The items' fingerprints, the candidates and
+    their hits are stored, and broadcast only up to a size counted before; else the joins can be split where
     a fingerprint or text is hot. Items with a null id count as hits but are not listed; items of the same id count as one.
     """
     if not 0 < k <= window:
@@ -106,16 +120,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     lengths = sorted(r[0] for r in items.where(F.size("tokens") < window).select(F.size("tokens")).distinct().collect())  # fewer than window values
     sought = cut(seeds(items, window, k, lengths))
 
-    marked = rows.select("key", F.explode(let(words(F.col("body")), lambda t: F.concat(fingerprints(t, window, k), *[exact(t, n) for n in lengths]))).alias("x"))
-    places = marked.select("key", "x.mark", "x.pos").join(small(sought.select("mark").distinct()), "mark", "left_semi")
-    places = small(places.distinct())
-    hits = places.join(sought, "mark").groupBy("key").agg(F.collect_list(F.struct("pos", "item", "around", "at", "size", "need")).alias("hits"))
-    texts = rows.select("key", "body").join(small(places.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.first("body").alias("body"))
-    both = texts.join(hits, "key").select("key", words(F.col("body")).alias("tokens"), "hits")
-    runs = F.transform("hits", lambda h: F.struct(extended(F.col("tokens"), h, window - k).alias("run"), h["item"].alias("item")))
-    found = both.select("key", F.filter(runs, lambda r: r["run"].isNotNull()).alias("runs")).where(F.size("runs") > 0)
+    def marks(tokens: Column) -> Column:
+        return F.array_distinct(F.concat(least_hashes(tokens, window, k), *[run_hashes(tokens, n) for n in lengths]))
+
+    marked = rows.select("key", F.explode(let(words(F.col("body")), marks)).alias("mark"))
+    candidates = small(marked.join(small(sought.select("mark").distinct()), "mark", "left_semi").select("key").distinct())
+    texts = stored(rows.select("key", "body").join(candidates, "key", "left_semi").groupBy("key").agg(F.first("body").alias("body")), "candidates")
+    places = texts.select("key", F.explode(let(words(F.col("body")), lambda t: F.concat(fingerprints(t, window, k), *[exact(t, n) for n in lengths]))).alias("x"))
+    hits = places.select("key", "x.mark", "x.pos").join(small(sought), "mark").groupBy(F.col("key").alias("at_key")).agg(F.collect_list(F.struct("pos", "item", "around", "at", "size", "need")).alias("hits"))
+
+    def runs(tokens: Column) -> Column:
+        each = F.transform("hits", lambda h: F.struct(extended(tokens, h, window - k).alias("run"), h["item"].alias("item")))
+        return F.filter(each, lambda r: r["run"].isNotNull())
+
+    found = texts.join(hits, F.col("key") == F.col("at_key")).select("key", F.explode(let(words(F.col("body")), runs)).alias("x"))
+    found = found.groupBy("key").agg(F.collect_set("x.run").alias("runs"), F.collect_set("x.item").alias("item_ids"))
     covered = F.aggregate(
-        F.array_sort(F.array_distinct(F.transform("runs", lambda r: r["run"]))),
+        F.array_sort("runs"),
         F.struct(F.lit(0).alias("stop"), F.lit(0).alias("n")),
         lambda a, x: F.struct(
             F.greatest(a["stop"], x["stop"]).alias("stop"),
@@ -123,8 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         ),
         lambda a: a["n"],
     )
-    listed = F.array_compact(F.array_distinct(F.transform("runs", lambda r: r["item"])))
-    found = small(found.select(F.col("key").alias("hit_key"), covered.cast("long").alias("n_hit"), listed.alias("item_ids")))
+    found = small(found.select(F.col("key").alias("hit_key"), covered.cast("long").alias("n_hit"), "item_ids"))
     row = F.struct(*[F.col("row").getField(c).alias(c) for c in columns]) if columns else F.col("row")
     counted = rows.select(row.alias("row"), "key", F.size(words(F.col("body"))).cast("long").alias("n_words"))
     none = F.array().cast(f"array<{benchmark.schema[item_id].dataType.simpleString()}>")
