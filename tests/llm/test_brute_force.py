@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.llm import bpe, decontam, langid, linededup, minhash, pii, quality, queries, secrets, toxicity
+from trackloom.llm import bpe, common, decontam, langid, linededup, minhash, pii, quality, queries, secrets, toxicity
 
 SF, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -45,8 +45,10 @@ def plain_quality(text):
                 (symbols > 2 and symbols > 0.1 * solid)
                 or sum(w.endswith("!!") for w in own) > 0.5 * len(own)
                 or len(bars) > 0.15 * len(own)
-                or (len(own) > 5 and sum(a == b for a, b in zip(own, own[1:], strict=False)) > 0.5 * (len(own) - 1))
-                or sum(len(p.split()) for p in phrases) > 0.05 * len(own)
+                or sum(a == b for a, b in zip(own, own[1:], strict=False)) > 0.5 * (len(own) - 1)
+                or (len(own) <= 5 and re.search(r"(\.\.\.|…|»|›|>>)[ \t-\r]*$", line) is not None)
+                or sum(len(w.encode("utf-8", "surrogatepass")) for w in own if "http://" in w or "https://" in w or "www." in w) > 0.5 * solid
+                or sum(len(p.split()) for p in phrases) > 0.25 * len(own)
             )
             bad += solid
             if fault:
@@ -69,7 +71,10 @@ def test_quality_rules_on_lines():
         return [quality.line_fault(x.encode(), x.encode().split(), quality.Rules()) for x in lines]
 
     assert faults("Start | Über uns | Kontakt | Impressum", "Accueil » Produits » Contact", "Alle Rechte vorbehalten.", "Tous droits réservés", "Haz clic aquí para ver más") == ["navigation", "navigation", "boilerplate", "boilerplate", "boilerplate"]
-    assert faults("• buy some milk", "Il a dit « bonjour ».", "»Ja«, sagte er", "fin de la phrase »", "· erster Punkt", "| a | b | c |") == [None] * 5 + ["navigation"]
+    assert faults("• buy some milk", "Il a dit « bonjour ».", "»Ja«, sagte er", "et voici enfin la fin de la phrase »", "· erster Punkt", "| a | b | c |") == [None] * 5 + ["navigation"]
+    assert faults("read more...", "Weiter lesen »", "see https://example.org/a/long/path/to/it", "the page www.example.org tells all about the river and its towns") == ["teaser", "teaser", "links", None]
+    good = "click here to read the whole of this long and well written story about the town and the people who live beside its old river"
+    assert faults(good, "click here to read", "no no") == [None, "boilerplate", "repetition"]
     prose = "a plain sentence about a river that says nothing else and goes on for long " * 8
     assert faults(prose, prose + "click here", "ha ha ha ha ha ha ha") == [None, None, "repetition"]
 
@@ -133,7 +138,15 @@ def test_language_filters_hold_all_their_trigrams():
 
 
 def test_pii_query_goes_back(spark):
-    texts, feistel = documents(spark), pii.Feistel(pii.DEMO_KEY)
+    texts, feistel = documents(spark), pii.Feistel(b"a key of this test")
+    spark.conf.set("spark.trackloom.pii.secret", "a key of this test")
+    try:
+        check_pii(spark, texts, feistel)
+    finally:
+        spark.conf.unset("spark.trackloom.pii.secret")
+
+
+def check_pii(spark, texts, feistel):
     seen = Counter()
     for r in queries.op4_pii(spark, SF).collect():
         spans = [x.split(":") for x in r.spans.split(",") if x]
@@ -295,7 +308,7 @@ def every_operator(df, items, labels):
     """(name, result with a column row or with the columns of df) of all operators on texts."""
     yield "secrets", secrets.scan(df)
     yield "toxicity", toxicity.score(df, toxicity.fit(df, labels))
-    yield "pii", pii.pseudonymise(df)
+    yield "pii", pii.pseudonymise(df, b"k")
     yield "decontam", decontam.contamination(df, items)
     yield "langid", langid.identify(df, langid.fit(df.withColumn("lang", F.lit("en"))))
     yield "bpe", bpe.encode_decode(df, queries.tokenizer_path())
@@ -343,6 +356,20 @@ def test_filters_on_little(spark, texts):
     assert minhash.keep_one(df).count() == (1 if texts == ["x", "x"] else len(texts))
 
 
+def test_joins_without_broadcasts(spark, monkeypatch):
+    """The form of every join that tables beyond BROADCAST_BYTES take gives the same rows."""
+    names = ("op1_warc", "op2_secrets", "op5_decontamination", "op8_line_dedup", "op10_near_duplicates", "op12_tokenizer_alignment", "op13_chat_format")
+    rows = lambda name: sorted(map(str, queries.QUERIES[name](spark, SF).collect()))
+    want = {name: rows(name) for name in names}
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {name: rows(name) for name in names} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_repeated_rows_and_ids(spark):
     df = spark.createDataFrame([(1, "one two three four five six"), (1, "one two three four five six"), (1, "other words that stand here alone"), (None, "one two three four five six"), (2, "----"), (3, "----")], "doc_id long, text string")
     kept = sorted((r.doc_id or 0, r.text) for r in minhash.keep_one(df).collect())

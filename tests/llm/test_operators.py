@@ -44,7 +44,7 @@ def test_every_row_comes_back(spark, rows):
     want = ids(df)
     assert ids(secrets.scan(df).select("row.doc_id")) == want
     assert ids(toxicity.score(df, toxicity.fit(df, labels)).select("row.doc_id")) == want
-    assert ids(pii.pseudonymise(df).select("row.doc_id")) == want
+    assert ids(pii.pseudonymise(df, b"k").select("row.doc_id")) == want
     assert ids(decontam.contamination(df, items).select("row.doc_id")) == want
     assert ids(langid.identify(df, langid.fit(df.withColumn("lang", F.lit("en")))).select("row.doc_id")) == want
     assert ids(bpe.encode_decode(df, queries.tokenizer_path()).select("row.doc_id")) == want

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from trackloom.llm.common import map_texts, packed
 
 KINDS = ("email", "iban", "card", "ipv4", "date", "phone", "ssn")
-DEMO_KEY = b"replace this key in production"
 ROUNDS = 8
 FIRST_DAY, DAYS = date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal() - date(1900, 1, 1).toordinal()
 
@@ -226,7 +225,7 @@ def replace(text: str, feistel: Feistel, back: bool = False) -> tuple[str, list[
     return "".join([*out, text[at:]]), [(k, a, b) for a, b, k, _ in taken]
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """(row, masked_text, n_<kind> for each kind, spans) for every row of docs, without a shuffle.
 
     Numbers are validated (card and IBAN check digits, octets, days of the calendar, area codes) and then

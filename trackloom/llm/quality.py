@@ -74,8 +74,9 @@ class Rules:
     max_shout_share: float = 0.5
     max_bar_share: float = 0.15
     max_run_share: float = 0.5
-    min_run_words: int = 6
-    max_boiler_share: float = 0.05
+    max_boiler_share: float = 0.25
+    max_link_share: float = 0.5
+    max_teaser_words: int = 5
     max_lost_share: float = 0.5
 
 
@@ -106,6 +107,9 @@ def repeated_words(words: list[bytes], width: int = 8) -> int:
 
 
 _SHOUT = re.compile(rb"!{2,}$")
+_LINK = re.compile(rb"https?://|www\.")
+#: How a line ends that only leads to another page; fixed values.
+TEASERS = ("...".encode(), "…".encode(), "»".encode(), "›".encode(), ">>".encode())
 
 
 def menu_signs(line: str, bars: Sequence[str]) -> int:
@@ -114,8 +118,8 @@ def menu_signs(line: str, bars: Sequence[str]) -> int:
     return sum(inner.count(c) for c in bars if not ((c == "»" and "«" in line) or (c == "›" and "‹" in line)))
 
 
-def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[str] = BOILERPLATE, bars: Sequence[str] = BARS) -> str | None:
-    """The first rule that a line with words breaks, or None. phrases and bars: those of the lists that the text has at all."""
+def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[str] = BOILERPLATE, bars: Sequence[str] = BARS, links: bool = True) -> str | None:
+    """The first rule that a line with words breaks, or None. phrases, bars and links: those of the lists that the text has at all, and whether it has links."""
     n = len(words)
     solid = sum(map(len, words))
     symbols = sum(line.count(s) for s in (b"#", b"*", b"$", b"%", b"&", b"<", b">"))
@@ -125,10 +129,13 @@ def line_fault(line: bytes, words: list[bytes], rules: Rules, phrases: Sequence[
         return "punctuation"
     if bars and menu_signs(line.decode("utf-8", "replace"), bars) > rules.max_bar_share * n:
         return "navigation"
-    if n >= rules.min_run_words:
-        runs = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
-        if runs > rules.max_run_share * (n - 1):
-            return "repetition"
+    runs = sum(1 for a, b in zip(words, words[1:], strict=False) if a == b)
+    if runs > rules.max_run_share * (n - 1):
+        return "repetition"
+    if n <= rules.max_teaser_words and line.rstrip().endswith(TEASERS):
+        return "teaser"
+    if links and sum(len(w) for w in words if _LINK.search(w)) > rules.max_link_share * solid:
+        return "links"
     if phrases:
         low = line.decode("utf-8", "replace").lower()
         if sum(low.count(p) * len(p.split()) for p in phrases) > rules.max_boiler_share * n:
@@ -145,6 +152,7 @@ def clean(text: str | None, rules: Rules) -> tuple[int, int, int, int, int, bool
     word_chars = len(text) - sum(map(text.count, " \t\n\x0b\x0c\r"))
     low = text.lower()
     phrases, bars = [p for p in BOILERPLATE if p in low], [c for c in BARS if c in text]
+    links = "://" in text or "www." in text
     seen: set[bytes] = set()
     dup, good, lost, solid, removed = 0, [], 0, 0, 0
     for line in lines:
@@ -154,7 +162,7 @@ def clean(text: str | None, rules: Rules) -> tuple[int, int, int, int, int, bool
             seen.add(line)
             size = sum(map(len, own))
             solid += size
-            if line_fault(line, own, rules, phrases, bars):
+            if line_fault(line, own, rules, phrases, bars, links):
                 lost += size
                 removed += 1
                 continue
@@ -173,7 +181,10 @@ def judge(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFr
     """(row, statistics, base_failed, kept, clean_text, n_lines_removed) for every row of docs, without a shuffle.
 
     Words are runs without ASCII blanks. Each line with a word is held against the rules for punctuation,
-    navigation, repetition and boilerplate, which are shares of the line and hold at any length; failing lines leave clean_text. A document is kept if it passes
+    navigation, repetition, links and boilerplate, which are shares of the line and hold at any length, so a long line
+    of good words with "click here" in it stays; a line of up to max_teaser_words that ends in dots or an arrow only
+    leads elsewhere. Failing lines leave clean_text. How many documents hold a line is no rule here, as copies are still
+    there: whole groups of them would lose their text; that is line dedup's work, behind this one. A document is kept if it passes
     the base rules (enough words, few repeated windows) and its failing lines hold at most max_lost_share of
     its text. A null or empty text has no words, fails, and is not kept.
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +76,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = spark.conf.get("spark.trackloom.pii.secret", None)
-    masked = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=named.encode() if named else pii.DEMO_KEY)
+    named = spark.conf.get("spark.trackloom.pii.secret", None)  # without one a key is drawn, that links values within this run alone
+    masked = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=named.encode() if named else os.urandom(32))
     return masked.select("row.doc_id", F.col("masked_text").alias("text"), *[f"n_{k}" for k in pii.KINDS], "spans")
 
 
