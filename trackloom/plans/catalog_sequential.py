@@ -11,7 +11,7 @@ from trackloom.operators import sequential as sq
 from trackloom.plans.catalog import query, rounded
 from trackloom.plans.catalog_events import EVENTS_SQL, MENTION, at, evidence, kept_events, score, scores
 from trackloom.plans.views import DETECTIONS_SQL, HOUR_US, START_US, detections, table, track_points
-from trackloom.streaming.tracking import replay
+from trackloom.streaming.tracking import halves, replay
 
 
 def _iou(a: str, b: str) -> str:
@@ -43,7 +43,8 @@ def j1_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def i1_streamed_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tracks of j1 from a stream that stops halfway and goes on."""
-    return rounded(replay(seen(spark, sf_dir), "frame_index"))
+    made = replay(halves(seen(spark, sf_dir), "frame_index"))
+    return rounded(made.where(~F.col("late")).drop("late", "det_id"))
 
 
 @query()

@@ -2,52 +2,125 @@
 
 from __future__ import annotations
 
-import pickle
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from trackloom.operators.sequential import POINT_COLUMNS, TRACK_SCHEMA, Follower, patience_of
+from trackloom.operators.sequential import BOX, POINT_COLUMNS, TRACK_SCHEMA, Follower, Mover, patience_of
 from trackloom.sources.tables import shared_dir
 
+#: What the stream gives: points of tracks, and detections that came too late, with det_id and without a track.
+OUT_SCHEMA = TRACK_SCHEMA + ", det_id string, late boolean"
+#: Keeping state by key and field needs this store; it is Spark's own.
+STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-def track_stream(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, frame_w: float = 1920.0, frame_h: float = 1080.0, stride: int = 1, max_missed: int = 2) -> DataFrame:
-    """The points of sequential.track for a stream of detections, in append mode.
 
-    A video's live tracks are its state. A batch's frames are followed in order, with the empty frames
-    between them and since the last batch. Rows of frames that are done already come too late and are
-    left out, so a source has to deliver a video's frames in order. Tracks are numbered through the whole video.
+class Tracking(StatefulProcessor):
+    """A video's live tracks, one entry each in a map, and a clock of its last frame and number of tracks."""
+
+    def __init__(self, iou_from: float, patience: int, frame_w: float, frame_h: float, idle_ms: int | None) -> None:
+        self.options, self.idle_ms = (iou_from, patience, frame_w, frame_h), idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.clock = handle.getValueState("clock", "last long, count long")
+        self.tracks = handle.getMapState("tracks", "number long", "label string, hits long, misses long, place array<double>, speed array<double>, cov array<double>")
+
+    def load(self) -> Follower:
+        follower = Follower(*self.options)
+        if self.clock.exists():
+            follower.last, follower.count = self.clock.get()
+        for (number,), (label, hits, misses, place, speed, cov) in self.tracks.iterator():
+            t = Mover(number, np.zeros(4), label)
+            t.hits, t.misses, t.place, t.speed, t.cov = hits, misses, np.array(place), np.array(speed), np.array(cov).reshape(4, 2, 2)
+            follower.live.append(t)
+        follower.live.sort(key=lambda t: t.number)
+        return follower
+
+    def save(self, follower: Follower) -> None:
+        alive = {t.number for t in follower.live}
+        for (number,) in list(self.tracks.keys()):
+            if number not in alive:
+                self.tracks.removeKey((number,))
+        for t in follower.live:
+            self.tracks.updateValue((t.number,), (t.label, t.hits, t.misses, t.place.tolist(), t.speed.tolist(), t.cov.ravel().tolist()))
+        self.clock.update((follower.last, follower.count))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        follower, all_rows = self.load(), pd.concat(list(rows))
+        late = all_rows[all_rows["frame_index"] <= follower.last] if follower.last is not None else all_rows.iloc[:0]
+        fresh = all_rows.drop(late.index) if len(late) == 0 else all_rows[all_rows["frame_index"] > follower.last]
+        if len(fresh):
+            done = pd.DataFrame(follower.follow(fresh), columns=POINT_COLUMNS).drop(columns="hits")
+            self.save(follower)
+            if self.idle_ms is not None:
+                for old in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(old)
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+            yield told(done, key[0], False)
+        if len(late):
+            yield told(late[["class_name", "frame_index", *BOX, "conf", "det_id"]], key[0], True)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """A video that has been silent for idle_ms has ended: its tracks go, its clock stays to tell late frames."""
+        self.tracks.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def told(rows: pd.DataFrame, video: int, late: bool) -> pd.DataFrame:
+    """Rows with all columns of OUT_SCHEMA, in order."""
+    names = [x.split()[0] for x in OUT_SCHEMA.split(", ")]
+    out = rows.reindex(columns=names)
+    out["video_id"], out["late"] = video, late
+    out["track_id"], out["estimated"] = out["track_id"].astype("Int64"), out["estimated"].astype("boolean")
+    out["det_id"] = out["det_id"].astype(object).where(out["det_id"].notna(), None)
+    return out
+
+
+def track_stream(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, frame_w: float = 1920.0, frame_h: float = 1080.0, stride: int = 1, max_missed: int = 2, idle_ms: int | None = None) -> DataFrame:
+    """The points of sequential.track for a stream of detections, in append mode, and the detections that came too late.
+
+    A video's live tracks are its state, a few numbers each. A batch's frames are followed in order, with the
+    empty frames between them and since the last batch; tracks are numbered through the whole video. Rows of
+    frames up to the last one done come too late: they are given back with `late`, so a sink can count and keep
+    them, and change no track. With idle_ms, a timer drops the tracks of a video that has no rows for so long, and only
+    its clock is kept; that is for streams that run on, since Spark runs batches for timers for ever and such a query
+    never ends of itself. Needs the state store of STORE.
     """
-    patience = patience_of(max_age, stride, max_missed)
     if iou_from <= 0:
         raise ValueError("an overlap of 0 would match everything with everything")
+    processor = Tracking(iou_from, patience_of(max_age, stride, max_missed), frame_w, frame_h, idle_ms)
+    return detections.groupBy("video_id").transformWithStateInPandas(processor, OUT_SCHEMA, "Append", "None" if idle_ms is None else "ProcessingTime")
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        follower = pickle.loads(state.get[0]) if state.exists else Follower(iou_from, patience, frame_w, frame_h)
-        rows = pd.concat(list(batches))
-        fresh = rows if follower.last is None else rows[rows["frame_index"] > follower.last]
-        done = pd.DataFrame(follower.follow(fresh), columns=POINT_COLUMNS).drop(columns="hits")
-        done.insert(0, "video_id", key[0])
-        state.update((pickle.dumps(follower),))
-        yield done
 
-    return detections.groupBy("video_id").applyInPandasWithState(update, TRACK_SCHEMA, "follower binary", "append", GroupStateTimeout.NoTimeout)
+def replay(parts: list[DataFrame], **options) -> DataFrame:
+    """track_stream over tables that arrive one after the other, from a source that is stopped after each and resumed: all rows of OUT_SCHEMA."""
+    spark = parts[0].sparkSession
+    root = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(f"{root}/source")
+            source = spark.readStream.schema(parts[0].schema).parquet(f"{root}/source")
+            sink = track_stream(source, **options).writeStream.format("parquet").option("path", f"{root}/tracks").option("checkpointLocation", f"{root}/progress")
+            sink.trigger(availableNow=True).outputMode("append").start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema(OUT_SCHEMA).parquet(f"{root}/tracks")
 
 
-def replay(detections: DataFrame, order: str, **options) -> DataFrame:
-    """The tracks of a table that is streamed in two parts by its order column, from a source that is stopped between them and resumed."""
-    spark = detections.sparkSession
-    root = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    detections.write.parquet(f"{root}/whole")
-    whole = spark.read.schema(detections.schema).parquet(f"{root}/whole")
-    middle = whole.agg(F.percentile_approx(order, 0.5)).first()[0]
-    for part in (F.col(order) <= middle, F.col(order) > middle) if middle is not None else (F.lit(True),):
-        whole.where(part).write.mode("append").parquet(f"{root}/source")
-        source = spark.readStream.schema(detections.schema).parquet(f"{root}/source")
-        sink = track_stream(source, **options).writeStream.format("parquet").option("path", f"{root}/tracks").option("checkpointLocation", f"{root}/progress")
-        sink.trigger(availableNow=True).outputMode("append").start().awaitTermination()
-    return spark.read.schema(TRACK_SCHEMA).parquet(f"{root}/tracks")
+def halves(detections: DataFrame, order: str) -> list[DataFrame]:
+    """A table in two parts by its order column, or whole if it is empty."""
+    middle = detections.agg(F.percentile_approx(order, 0.5)).first()[0]
+    return [detections.where(F.col(order) <= middle), detections.where(F.col(order) > middle)] if middle is not None else [detections]
