@@ -192,6 +192,35 @@ def track(detections: DataFrame, iou_from: float = 0.2, max_age: int = 15, min_h
     return rows.groupBy("video_id", "island").applyInPandas(run, TRACK_SCHEMA)
 
 
+@dataclass
+class Entity:
+    """What fragments of one object add up to: its points, and which of them, the last above all, were seen."""
+
+    name: int
+    points: dict[int, tuple[float, list[float]]] = field(default_factory=dict)
+    real: set[int] = field(default_factory=set)
+    end: int = -1
+    last: int = -1
+
+    def take(self, own: dict[int, tuple[float, list[float]]]) -> None:
+        """Adds the points of a fragment; of two in one frame the more confident stays."""
+        for f, point in own.items():
+            if f not in self.points or point[0] > self.points[f][0]:
+                self.points[f] = point
+                if point[0] > 0:
+                    self.real.add(f)
+        self.end = max(self.end, max(own))
+        self.last = max(self.last, max(f for f in own if f in self.real)) if self.real & own.keys() else max(self.real, default=self.end)
+
+
+def iou_of(a: list[float], b: list[float]) -> float:
+    """Intersection over union of two boxes."""
+    across, down = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    both = max(0.0, across) * max(0.0, down)
+    union = sum(max(0.0, x[2] - x[0]) * max(0.0, x[3] - x[1]) for x in (a, b)) - both
+    return both / union if union > 0 else 0.0
+
+
 def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: float = 0.15, diagonal: float = 2202.9, budget: int = 18, same_iou: float = 0.2) -> DataFrame:
     """(video_id, class_name, track_id, entity_id): fragments of one object joined, entity_id being the first fragment's id.
 
@@ -205,40 +234,35 @@ def stitch(points: DataFrame, blind: int = 45, seam_iou: float = 0.10, centre: f
     spans = spans.withColumn("_b", F.coalesce("_b", "_a"))
     cut = s.islands(spans, ["video_id", "class_name"], "_a", "_b", blind, ["track_id"], s.STRETCH_FRAMES).select("video_id", "class_name", "track_id", "island")
 
+    def fits(held: Entity, start: int, first: int, own: dict, seen: list[int]) -> bool:
+        if first - held.last > blind:
+            return False
+        a, b = held.points[held.last][1], own[first][1]
+        seam = iou_of(a, b) >= seam_iou or ((a[0] + a[2] - b[0] - b[2]) ** 2 + (a[1] + a[3] - b[1] - b[3]) ** 2) ** 0.5 / 2 <= centre * diagonal
+        if seam and start - held.end >= -budget:
+            return True
+        shared = [f for f in seen if f in held.real]
+        mean = sum(iou_of(own[f][1], held.points[f][1]) for f in shared) / len(shared) if shared else 0.0
+        if start - held.end < -budget:
+            return mean >= same_iou if shared else seam
+        return bool(shared) and mean >= seam_iou
+
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for t, rows in pdf.sort_values(["frame_index"]).groupby("track_id"):
-            at, box, conf = rows["frame_index"].to_numpy(), rows[BOX].to_numpy(float), rows["conf"].to_numpy(float)
-            parts.append((int(at[0]), t, {int(f): (c, b) for f, b, c in zip(at, box, conf, strict=True)}))
-        entities: list[tuple[int, dict]] = []
+            at = rows["frame_index"].tolist()
+            parts.append((at[0], t, dict(zip(at, zip(rows["conf"].tolist(), rows[BOX].to_numpy(float).tolist(), strict=True), strict=True))))
+        live: list[Entity] = []
         where: dict[int, int] = {}
-        real = lambda own: sorted(f for f, (c, _) in own.items() if c > 0)
         for start, t, own in sorted(parts, key=lambda p: p[:2]):
-            seen = real(own)
-            first = seen[0] if seen else start
-            best = None
-            for name, held in entities:
-                known = real(held)
-                last = known[-1] if known else max(held)
-                if first - last > blind:
-                    continue
-                a, b = held[last][1], own[first][1]
-                seam = overlaps(a[None], b[None])[0, 0] >= seam_iou or np.hypot(*((a[:2] + a[2:] - b[:2] - b[2:]) / 2)) <= centre * diagonal
-                shared = sorted(set(seen) & set(known))
-                mean = np.mean([overlaps(own[f][1][None], held[f][1][None])[0, 0] for f in shared]) if shared else 0.0
-                if start - max(held) < -budget:
-                    fits = mean >= same_iou if shared else seam
-                else:
-                    fits = seam or (bool(shared) and mean >= seam_iou)
-                if fits and (best is None or (max(held), -name) > (max(best[1]), -best[0])):
-                    best = (name, held)
-            if best is None:
-                best = (t, {})
-                entities.append(best)
-            for f, point in own.items():
-                if f not in best[1] or point[0] > best[1][f][0]:
-                    best[1][f] = point
-            where[t] = best[0]
+            seen = [f for f, (conf, _) in own.items() if conf > 0]
+            live = [e for e in live if start - e.last <= blind]  # starts only grow, so what is too old now is for all that follow
+            home = max((e for e in live if fits(e, start, seen[0] if seen else start, own, seen)), key=lambda e: (e.end, -e.name), default=None)
+            if home is None:
+                home = Entity(t)
+                live.append(home)
+            home.take(own)
+            where[t] = home.name
         return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "class_name": pdf["class_name"].iloc[0], "track_id": list(where), "entity_id": list(where.values())})
 
     keys = ["video_id", "class_name"]
