@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -253,29 +257,55 @@ def seams(points: DataFrame, diagonal: float = 2202.9) -> DataFrame:
     )
 
 
+#: Vectors in a block of offsets(); a side is broadcast up to so many bytes.
+BLOCK, BROADCAST_BYTES = 64, 16 << 20
+
+
 def offsets(short: DataFrame, long: DataFrame) -> DataFrame:
     """(offset, score): the mean absolute difference of two sequences of vectors (pos, vector) for every place of the short one that lies wholly in the long one.
 
-    Each vector of the long one goes to the places in which it would meet one of the short one; the join is on the position there.
+    Both are cut into blocks of consecutive vectors. A pair of blocks gives, for each diagonal, the sum of its
+    differences; these are summed over pairs by offset, in the tasks first. Only blocks move: the short side to all
+    tasks if its bytes, counted before, are few, else each pair's blocks meet by their numbers.
     """
-    n_short, n_long = short.count(), long.count()
-    spots = long.select(F.col("pos").alias("_at"), F.col("vector").alias("_v"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n_short - 1, 0)).cast("long"))).alias("pos"))
-    both = spots.join(short, "pos").withColumn("offset", F.col("_at") - F.col("pos")).where((F.col("offset") >= 0) & (F.col("offset") <= n_long - n_short))
-    gap = F.aggregate(F.zip_with("_v", "vector", lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda acc, x: acc + x)
-    return both.groupBy("offset").agg((F.sum(gap) / F.sum(F.size("vector"))).alias("score"))
+    told = short.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("size"), F.max("pos").alias("last")).first()
+    n_short, n_long = told["n"], long.count()
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        held = F.array_sort(F.collect_list(F.struct("pos", F.col("vector").cast("array<double>").alias("v"))))
+        rows = df.groupBy(F.floor(F.col("pos") / BLOCK).alias(name)).agg(held.alias("_held"))
+        return rows.select(name, F.transform("_held", lambda x: x["pos"]).alias(f"{name}_pos"), F.flatten(F.transform("_held", lambda x: x["v"])).alias(f"{name}_values"))
+
+    few = n_short * 8 * max(1, told["size"] or 0) <= BROADCAST_BYTES
+    shorts = blocks(short, "s")
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit((told["last"] or 0) // BLOCK).cast("long"))
+    pairs = blocks(long, "l").withColumn("s", F.explode(numbers)).join(F.broadcast(shorts) if few else shorts, "s")
+
+    def diagonals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                at_l, at_s = np.array(row["l_pos"], np.int64), np.array(row["s_pos"], np.int64)
+                x, y = np.array(row["l_values"]).reshape(len(at_l), -1), np.array(row["s_values"]).reshape(len(at_s), -1)
+                gaps = np.abs(x[:, None] - y[None]).sum(axis=2).ravel()
+                where = (at_l[:, None] - at_s[None]).ravel()
+                inside = (where >= 0) & (where <= n_long - n_short)
+                found, which = np.unique(where[inside], return_inverse=True)
+                sums, n = np.bincount(which, gaps[inside], len(found)), np.bincount(which, minlength=len(found)) * x.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums), pa.array(n)], ["offset", "gap", "n"])
+
+    sums = pairs.select("l_pos", "l_values", "s_pos", "s_values").mapInArrow(diagonals, "offset long, gap double, n long")
+    return sums.groupBy("offset").agg((F.sum("gap") / F.sum("n")).alias("score"))
 
 
 def best_offsets(scores: DataFrame, apart: int, top: int = 5) -> DataFrame:
-    """(rank, offset, score, ambiguous): the best offsets at least `apart` from each other, a report of `top` rows; ambiguous if the second is within twice the best."""
+    """(rank, offset, score, ambiguous): the best offsets at least `apart` from each other, a report of `top` rows; ambiguous if the second is within twice the best.
+
+    An offset shuts out fewer than two times `apart` others, so the best of the list are among so many for each row of the report.
+    """
     found: list[tuple[int, float]] = []
-    for _ in range(top):
-        rest = scores
-        for at, _score in found:
-            rest = rest.where(F.abs(F.col("offset") - at) >= apart)
-        best = rest.agg(F.min(F.struct("score", "offset")).alias("m")).first()[0]
-        if best is None:
-            break
-        found.append((best["offset"], best["score"]))
+    for r in scores.orderBy("score", "offset").limit(max(1, 2 * apart) * top).collect():
+        if len(found) < top and all(abs(r["offset"] - at) >= apart for at, _ in found):
+            found.append((r["offset"], r["score"]))
     unclear = len(found) > 1 and found[1][1] < 2 * found[0][1]
     return scores.sparkSession.createDataFrame([(i + 1, o, sc, unclear) for i, (o, sc) in enumerate(found)], "rank long, offset long, score double, ambiguous boolean")
 
