@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackloom.operators import reports
+from trackloom.sources import answers
 
 
 def one_by_one(sizes, limit):
@@ -38,3 +39,60 @@ def test_clause_windows(spark):
     df = spark.createDataFrame(rows, "c array<double>, s double, e double, n int")
     got = [r.w and [tuple(x) for x in r.w] for r in df.select(reports.clause_windows(F.col("c"), F.col("s"), F.col("e"), F.col("n")).alias("w")).collect()]
     assert got == [[(0.0, 2.0), (2.0, 3.0), (3.0, 5.0)], None, None, None, [(0.0, 1.0), (1.0, 5.0)]]
+
+
+def test_profile_of_nested_fields(spark):
+    df = spark.sql("select * from values (1, array(named_struct('a', 'x', 'b', array(1.5D, null))), map('k', 2)), (2, null, map()), (null, array(null, named_struct('a', 'y', 'b', null)), null) t(id, items, tags)")
+    got = {r.path: r for r in reports.profile(df).collect()}
+    counts = {k: (r.kind, r.n, r.n_null, r.lists, r.shortest, r.longest) for k, r in got.items()}
+    assert counts["id"] == ("int", 3, 1, None, None, None) and got["id"].n_distinct == 2 and (got["id"].least, got["id"].most) == (1.0, 2.0)
+    assert counts["items"] == ("array", 3, 1, 3, 1, 2) and got["items"].mean_length == 1.5
+    assert counts["items[]"] == ("struct", 3, 1, None, None, None)
+    assert counts["items[].a"] == ("string", 3, 1, None, None, None) and got["items[].a"].n_distinct == 2
+    assert counts["items[].b"] == ("array", 3, 2, 2, 2, 2) and counts["items[].b[]"] == ("double", 2, 1, None, None, None)
+    assert counts["tags"] == ("map", 3, 1, 1, 0, 1) and got["tags[].value"].most == 2.0 and got["tags[].key"].n == 1
+    assert reports.profile(df.limit(0)).count() == 0
+
+
+def test_profile_sketches(spark):
+    r = {x.path: x for x in reports.profile(spark.range(0, 20_000, 1, 8).select((F.col("id") % 5000).alias("v"))).collect()}["v"]
+    assert abs(r.n_distinct - 5000) < 400 and abs(r.median - 2500) < 60
+
+
+def test_answers_are_whole_or_failed(spark):
+    said = {1: ['[{"a": 1}, {"b": 2}]'], 2: ["no", "x [{\"a\": 1}, 7] y", '{"c": [3]} done'], 3: ["[]", "[1]", "{"], 4: [None, None, None]}
+
+    def call(row, attempt):
+        text = said[row["id"]][attempt - 1]
+        if text is None:
+            raise OSError("down")
+        return text
+
+    df = spark.createDataFrame([(k, "r") for k in said], "id long, row string")
+    got = sorted((r.id, r.status, r.nth, r.row, r.attempts, bool(r.error)) for r in answers.answered(df, ["id"], call).collect())
+    assert got == [(1, "SUCCESS", 0, '{"a": 1}', 1, False), (1, "SUCCESS", 1, '{"b": 2}', 1, False), (2, "SUCCESS", 0, '{"c": [3]}', 3, False), (3, "FAILED", 0, None, 3, True), (4, "FAILED", 0, None, 3, True)]
+    assert answers.answered(df.limit(0), ["id"], call).count() == 0
+
+
+def test_answers_go_on_where_a_run_stopped(spark, tmp_path):
+    df = spark.range(40).select("id")
+    path, log = str(tmp_path / "answers"), str(tmp_path / "log")
+
+    def call(row, attempt):
+        with open(log, "a") as f:
+            f.write(f"{row['id']}\n")
+        return '{"n": %d}' % row["id"]
+
+    def stops(row, attempt):
+        if row["id"] == 25:
+            raise SystemExit("killed")  # no error of the call: the task dies with it
+        return call(row, attempt)
+
+    with pytest.raises(Exception):  # noqa: B017
+        answers.answer_into(path, df, ["id"], stops, parts=5)
+    before = spark.read.schema("id long, status string").parquet(path).count()
+    done = set(open(log).read().split())
+    open(log, "w").close()
+    got = answers.answer_into(path, df, ["id"], call, parts=5)
+    assert 0 < before < 40 and sorted((r.id, r.row) for r in got.collect()) == [(i, '{"n": %d}' % i) for i in range(40)]
+    assert len(open(log).read().split()) == 40 - before and len(done) >= before

@@ -292,6 +292,11 @@ def remapped(r: DataFrame, recorded: str = "got") -> DataFrame:
     return rows.select(*CLIP, "truth_action", F.col(recorded).alias("was"), "now", "verbs", "raw_action", F.when(F.size("verbs") == 1, outcome).alias("outcome"))
 
 
+def several_verbs(m: DataFrame) -> DataFrame:
+    """(clip, truth_action, verbs, raw_action, hit) of the captions that name several actions: hit tells whether the true one is among them."""
+    return m.where(F.size("verbs") > 1).select(*CLIP, "truth_action", "verbs", "raw_action", F.coalesce(F.array_contains("verbs", F.col("truth_action")), F.lit(False)).alias("hit"))
+
+
 def remap_table(m: DataFrame) -> DataFrame:
     """(truth_action, n, was, now, delta) over the captions of one action."""
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import geometry as g
 from trackloom.functions import sequences as s
-from trackloom.operators.sequential import assigned
+from trackloom.operators.sequential import assigned, stitch
 from trackloom.operators.tracks import TRACK, box_columns, inside_by_frame, observed, shared_frames, split_even
 
 
@@ -257,6 +257,14 @@ def seams(points: DataFrame, diagonal: float = 2202.9) -> DataFrame:
     )
 
 
+def seam_outcomes(points: DataFrame, diagonal: float = 2202.9, **options) -> DataFrame:
+    """seams() with what stitching made of each: the entity of the later fragment, and whether both are of it (merged)."""
+    own = stitch(points, diagonal=diagonal, **options).select("video_id", "track_id", "entity_id")
+    side = lambda name: own.select("video_id", F.col("track_id").alias(f"{name}_id"), F.col("entity_id").alias(f"_{name}"))
+    both = seams(points, diagonal).join(side("before"), ["video_id", "before_id"]).join(side("after"), ["video_id", "after_id"])
+    return both.withColumn("merged", F.col("_before") == F.col("_after")).withColumnRenamed("_after", "entity_id").drop("_before")
+
+
 #: Vectors in a block of offsets(); a side is broadcast up to so many bytes.
 BLOCK, BROADCAST_BYTES = 64, 16 << 20
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def field_histogram(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -16,6 +17,53 @@ def field_histogram(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return counts.join(totals, "field").select("field", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def _told(path: str, value: Column, kind: T.DataType) -> Column:
+    """array<struct<path, kind, missing, value, number, size>>: a value and all that it holds, the elements of a list under the path with []."""
+    none = F.lit(None)
+    own = F.struct(
+        F.lit(path).alias("path"),
+        F.lit(kind.simpleString() if not isinstance(kind, T.StructType | T.ArrayType | T.MapType) else kind.typeName()).alias("kind"),
+        value.isNull().alias("missing"),
+        (none if isinstance(kind, T.StructType | T.ArrayType | T.MapType | T.BinaryType) else value).cast("string").alias("value"),
+        (value if isinstance(kind, T.NumericType) else none).cast("double").alias("number"),
+        (F.size(value) if isinstance(kind, T.ArrayType | T.MapType) else none).cast("int").alias("size"),
+    )
+    inner: list[Column] = []
+    if isinstance(kind, T.StructType):
+        inner = [_told(f"{path}.{f.name}", value.getField(f.name), f.dataType) for f in kind.fields]
+    elif isinstance(kind, T.ArrayType):
+        inner = [F.flatten(F.transform(value, lambda x: _told(f"{path}[]", x, kind.elementType)))]
+    elif isinstance(kind, T.MapType):
+        pair = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        inner = [F.flatten(F.transform(F.map_entries(value), lambda x: _told(f"{path}[]", x, pair)))]
+    empty = F.array().cast("array<struct<path:string,kind:string,missing:boolean,value:string,number:double,size:int>>")
+    return F.concat(F.array(own), *[F.coalesce(x, empty) for x in inner]) if inner else F.array(own)
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """(path, kind, n, n_null, null_share, n_distinct, least, most, median, lists, shortest, longest, mean_length) of every field, however deep.
+
+    Fields of structs are named with a dot, elements of lists with [], entries of maps as elements with key and
+    value. Numbers are compared as numbers, other values not at all (least, most and median are null). n_distinct and
+    median come from sketches that merge, so one pass with sums in the tasks gives all. lists adds up the lengths.
+    """
+    rows = df.select(F.explode(F.concat(*[_told(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])).alias("x")).select("x.*")
+    n = F.count("*")
+    return rows.groupBy("path", "kind").agg(
+        n.alias("n"),
+        F.sum(F.col("missing").cast("long")).alias("n_null"),
+        (F.sum(F.col("missing").cast("long")) / n).alias("null_share"),
+        F.approx_count_distinct("value").alias("n_distinct"),
+        F.min("number").alias("least"),
+        F.max("number").alias("most"),
+        F.percentile_approx("number", 0.5).alias("median"),
+        F.sum("size").alias("lists"),
+        F.min("size").alias("shortest"),
+        F.max("size").alias("longest"),
+        F.avg("size").alias("mean_length"),
+    )
+
+
 def quotas(sizes: Mapping[str, int], limit: int) -> dict[str, int]:
     """How many of each group to draw so that groups get equal parts of the limit, as far as they last; what is left over goes to the first names."""
     level, spare = 0, limit

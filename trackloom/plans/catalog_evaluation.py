@@ -193,6 +193,11 @@ def m8_remapped_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remapped(spark, sf_dir).withColumn("verbs", F.array_join("verbs", ",")).drop("raw_action")
 
 
+@query(f"with {_REMAP} select video_id, segment_id, truth_action, verbs, raw_action, coalesce(list_contains(string_split(verbs, ','), truth_action), false) hit from rmp where n > 1")
+def m13_several_verbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va.several_verbs(remapped(spark, sf_dir)).withColumn("verbs", F.array_join("verbs", ","))
+
+
 @query(f"with {_REMAP} select truth_action, count(*) n, count(*) filter (was = truth_action) was, count(*) filter (now = truth_action) now, count(*) filter (now = truth_action) - count(*) filter (was = truth_action) delta from rmp where outcome is not null group by 1")
 def m8_remap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.remap_table(remapped(spark, sf_dir))

@@ -217,6 +217,11 @@ def m10_seams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(m.seams(track_points(spark, sf_dir)))
 
 
+@query()
+def m10_seam_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(m.seam_outcomes(track_points(spark, sf_dir)))
+
+
 _SHORT = 24
 _VECTORS = f"lg as (select vec_id pos, embedding v from embeddings), sh as (select vec_id - 40 pos, list_transform(embedding, lambda x: x + 0.125::float) v from embeddings where vec_id between 40 and {39 + _SHORT}), sz as (select count(*) n from lg)"
 _OFFSETS = f"""{_VECTORS}, ofs as materialized (select l.pos - s.pos off, sum(list_sum(list_transform(list_zip(l.v, s.v), lambda z: abs(z[1] - z[2])::double))) / sum(len(s.v)) score from lg l, sh s, sz where l.pos - s.pos between 0 and n - {_SHORT} group by 1)"""

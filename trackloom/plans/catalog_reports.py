@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.operators import reports
 from trackloom.plans.catalog import query
 from trackloom.plans.views import OBSERVATIONS_SQL, observations, segment_changes, table
+from trackloom.sources import answers
 
 DRAWN = 300
 LABELS = ("push chopper", "red widget", "widget", "large blue gear", "bolt", "picture of a red widget", "gear box")
@@ -54,3 +55,38 @@ select p_partkey, p_name, case when span = '' then 'unmatched' when span in (sel
 from t left join best using (span) left join part_of using (span)""")
 def h10_span_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", "p_name", reports.resolved_label(F.col("p_name"), LABELS).alias("label"))
+
+
+@query(f"""with {OBSERVATIONS_SQL}, o as (select *, case when event_n % 3 <> 0 then {{'low': seg_start, 'high': end_sec, 'names': objects}} end span from (select *, observation_id event_n from obs)),
+u as (select unnest(objects) x from obs), w as (select unnest(span.names) x from o where span is not null)
+select 'objects' as path, 'array' as kind, count(*) n, count(*) filter (objects is null) n_null, null::double as least, null::double as most, sum(len(objects))::bigint lists, min(len(objects))::int shortest, max(len(objects))::int longest from o
+union all select 'objects[]', 'string', count(*), count(*) filter (x is null), null, null, null, null, null from u
+union all select 'actor', 'string', count(*), count(*) filter (actor is null), null, null, null, null, null from o
+union all select 'confidence', 'double', count(*), count(*) filter (confidence is null), min(confidence), max(confidence), null, null, null from o
+union all select 'span', 'struct', count(*), count(*) filter (span is null), null, null, null, null, null from o
+union all select 'span.low', 'double', count(*), count(*) filter (span.low is null), min(span.low), max(span.low), null, null, null from o
+union all select 'span.high', 'double', count(*), count(*) filter (span.high is null), min(span.high), max(span.high), null, null, null from o
+union all select 'span.names', 'array', count(*), count(*) filter (span.names is null), null, null, sum(len(span.names))::bigint, min(len(span.names))::int, max(len(span.names))::int from o
+union all select 'span.names[]', 'string', count(*), count(*) filter (x is null), null, null, null, null, null from w""")
+def d19_nested_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = observations(spark, sf_dir)
+    span = F.when(F.col("observation_id") % 3 != 0, F.struct(F.col("seg_start").alias("low"), F.col("end_sec").alias("high"), F.col("objects").alias("names")))
+    found = reports.profile(o.select("objects", "actor", "confidence", span.alias("span")))
+    return found.select("path", "kind", "n", "n_null", "least", "most", "lists", "shortest", "longest")
+
+
+def flaky(row: dict, attempt: int) -> str:
+    """A stand-in for a model: some rows are answered at once, others after one or two failures of two kinds, some never."""
+    if attempt <= row["user_id"] % 5:
+        if attempt % 2:
+            raise RuntimeError("503")
+        return "sorry"
+    return "here: " + str([{"n": row["n"]}] * (1 + row["part"] % 2)).replace("'", '"')
+
+
+@query("""with r as (select user_id, event_id // 600 part, count(*) n from events group by 1, 2)
+select user_id, part, 'SUCCESS' status, i::int nth, '{"n": ' || n || '}' "row", (user_id % 5 + 1)::int attempts, null error from (select *, unnest(range(0, 1 + part % 2)) i from r where user_id % 5 < 3)
+union all select user_id, part, 'FAILED', 0, null, 3, 'call: 503' from r where user_id % 5 >= 3""")
+def j10_retried_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "events").groupBy("user_id", F.expr("event_id div 600").alias("part")).agg(F.count("*").alias("n"))
+    return answers.answered(r, ["user_id", "part"], flaky)
