@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from trackloom.operators import evaluation as va
 from trackloom.plans.catalog import query, rounded
 from trackloom.plans.catalog_events import EVENTS_SQL, case, events, kept_events, said, score
 from trackloom.plans.views import OBSERVATIONS_SQL, clips, observations, table
+from trackloom.sources import commits
+from trackloom.sources.tables import shared_dir
 
 #: Directions of labels, by observation_id modulo their number.
 _STATED = (None, "INTO", "NONE", "ONTO", "out_of")
@@ -229,6 +233,17 @@ def g6_upserted_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.upsert(old.drop("exit_code"), new, ["segment_id"])
 
 
+@query(f"""with {OBSERVATIONS_SQL}, n as (select video_id, segment_id, template || '!' as template, seconds + 1 as seconds from clp where exit_code = 1)
+select video_id, segment_id, template, seconds from n union all select video_id, segment_id, template, seconds from clp where segment_id not in (select segment_id from n)""")
+def a8_committed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written to a table in the shared folder, then changed by an upsert, and read back."""
+    old = clips(spark, sf_dir).select("video_id", "segment_id", "template", "seconds", "exit_code")
+    new = old.where("exit_code = 1").select("video_id", "segment_id", F.concat("template", F.lit("!")).alias("template"), (F.col("seconds") + 1).alias("seconds"))
+    root = f"{shared_dir(spark).rstrip('/')}/results-{uuid.uuid4().hex}"
+    commits.upsert(root, old.drop("exit_code"), ["segment_id"])
+    return commits.upsert(root, new, ["segment_id"]).select("video_id", "segment_id", "template", "seconds")
+
+
 @query(f"with {OBSERVATIONS_SQL} select segment_id from clp where substr(segment_id, 5)::bigint % 3 <> 0")
 def i6_clips_to_do(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = clips(spark, sf_dir)

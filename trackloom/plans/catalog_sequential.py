@@ -11,6 +11,7 @@ from trackloom.operators import sequential as sq
 from trackloom.plans.catalog import query, rounded
 from trackloom.plans.catalog_events import EVENTS_SQL, MENTION, at, evidence, kept_events, score, scores
 from trackloom.plans.views import DETECTIONS_SQL, HOUR_US, START_US, detections, table, track_points
+from trackloom.streaming import windows
 from trackloom.streaming.tracking import halves, replay
 
 
@@ -96,6 +97,15 @@ def i5_tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(slot.alias("slot"), "event_type", "n", "total")
 
 
+@query(f"select (floor((epoch_us(ts) - {START_US}) / {float(HOUR_US)} / 6))::bigint slot, event_type, count(*) n, round(sum(value), 4) total from events group by 1, 2")
+def i5_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of i5 from a stream that stops halfway and goes on, each told once, when event time has passed it."""
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("kind"), "value")
+    found, _ = windows.closed(halves(e.withColumn("_us", F.unix_micros("at")), "_us"), "6 hours", "1 hour")
+    slot = F.floor((F.unix_micros("start") - START_US) / float(HOUR_US) / 6).cast("long")
+    return found.select(slot.alias("slot"), F.col("kind").alias("event_type"), "n", F.round("total", 4).alias("total"))
+
+
 @query("""with l as (select user_id, ts, case when ts < lag(ts) over w + interval 6 hours then 0 else 1 end o from events window w as (partition by user_id order by ts)),
 s as (select user_id, ts, sum(o) over (partition by user_id order by ts) k from l) select user_id, epoch_us(min(ts)) start_us, count(*) n from s group by user_id, k""")
 def i5_session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
