@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Keys under which a wrapped file may hold its rows, the first that is there counts.
 WRAPPERS = ("scores", "nodes", "events", "transitions", "segments", "observations", "tracks", "items")
@@ -43,18 +44,21 @@ def write_rows(df: DataFrame, path: str, form: str = "json", by: str | None = "v
     (out.partitionBy(by) if by else out).save(path)
 
 
-def rows_of(text: Column) -> Column:
-    """array<string>: the rows of a file's text, a bare list or one wrapped under a known key; empty if it is missing or broken."""
-    bare = F.from_json(text, "array<string>")
-    wrapped = [F.from_json(F.get_json_object(text, f"$.{k}"), "array<string>") for k in WRAPPERS]
-    listed = F.when(F.ltrim(text).startswith("["), bare).otherwise(F.coalesce(*wrapped))
-    return F.coalesce(F.filter(listed, lambda x: F.ltrim(x).startswith("{")), F.array().cast("array<string>"))
+def rows_of(parsed: Column) -> Column:
+    """array<variant>: the objects of a file parsed as a variant, a bare list or one wrapped under a known key; null if it is missing, broken or something else."""
+    listed = [F.try_variant_get(parsed, path, "array<variant>") for path in ("$", *[f"$.{k}" for k in WRAPPERS])]
+    return F.filter(F.coalesce(*listed), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
 
 
 def flattened(files: DataFrame, text: str, schema: str) -> DataFrame:
-    """The rows of files with a text column, one for each object in it, with the fields of a DDL schema; files without rows give none."""
-    parsed = files.select(*[c for c in files.columns if c != text], F.explode(rows_of(F.col(text))).alias("_row"))
-    return parsed.select(*[c for c in files.columns if c != text], F.from_json("_row", schema).alias("_x")).select(*[c for c in files.columns if c != text], "_x.*")
+    """The rows of files with a text column, one for each object in it, with the fields of a DDL schema; files without rows give none.
+
+    A text is parsed once. A field that is absent or does not fit its type is null.
+    """
+    rest = [c for c in files.columns if c != text]
+    parsed = files.select(*rest, F.try_parse_json(F.col(text)).alias("_file"))
+    rows = parsed.select(*rest, F.explode(rows_of(F.col("_file"))).alias("_row"))
+    return rows.select(*rest, *[F.try_variant_get("_row", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in T.StructType.fromDDL(schema).fields])
 
 
 def tracks_text(points: DataFrame) -> DataFrame:
