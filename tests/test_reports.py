@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom.operators import reports
+from trackloom.operators import events, reports
 from trackloom.sources import answers
 
 
@@ -96,3 +96,12 @@ def test_answers_go_on_where_a_run_stopped(spark, tmp_path):
     got = answers.answer_into(path, df, ["id"], call, parts=5)
     assert 0 < before < 40 and sorted((r.id, r.row) for r in got.collect()) == [(i, '{"n": %d}' % i) for i in range(40)]
     assert len(open(log).read().split()) == 40 - before and len(done) >= before
+
+
+def test_interleave_by_brute_force(spark):
+    rows = [("hot", i) for i in range(500)] + [("b", 7), ("b", 3), (None, 1), (None, 2), ("c", 0)]
+    got = {(r.g, r.i): (r.turn, r.place) for r in events.interleave(spark.createDataFrame(rows, "g string, i long").repartition(5), "g", "i").collect()}
+    turn = {(g, i): sum(h == g and j <= i for h, j in rows) for g, i in rows}
+    order = {g: n for n, g in enumerate([None, "b", "c", "hot"])}
+    assert got == {k: (t, sum(u == t and order[h] <= order[k[0]] for (h, _), u in turn.items())) for k, t in turn.items()}
+    assert events.interleave(spark.createDataFrame([], "g string, i long"), "g", "i").count() == 0

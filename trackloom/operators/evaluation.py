@@ -12,8 +12,9 @@ from trackloom.functions import lexicon as lx
 #: Seconds of a stretch in which events and labels meet.
 SPAN = 16.0
 CLIP = ["video_id", "segment_id"]
+#: The actions that events may have.
 VOCABULARY = ("GRASP", "RELEASE", "PICK", "PLACE", "MOVE", "PUSH", "PULL", "OPEN", "CLOSE", "INSERT", "REMOVE", "USE_TOOL", "TOUCH", "INSPECT", "UNKNOWN")
-#: Causes in the order in which they are tried and told.
+#: Causes in the order in which they are tried and told.
 CAUSES = ("NO_SEGMENT", "VLM_FAILED", "UNMAPPED", "RANKING", "WRONG_VERB", "UNKNOWN_CAUSE")
 #: The wordings of labelled clips that name one action, with the action.
 LABEL_ACTIONS = {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions import lexicon as lx
 from trackloom.functions import sequences as s
 from trackloom.operators.reports import clause_windows
+from trackloom.sources.tables import stored
 
 AUTO, REVIEW = 0.70, 0.40
 PERSON, BACKGROUND = ("person",), ("dining table",)
@@ -358,6 +359,15 @@ def preview(whole: DataFrame, events: DataFrame, links: DataFrame, points: DataF
 
 
 def interleave(df: DataFrame, group: str, order: str) -> DataFrame:
-    """Two numbers that sort rows so that every beginning is as even over the groups as the whole: turn, then place among the groups in turn."""
-    turn = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("turn", turn).withColumn("place", F.row_number().over(Window.partitionBy("turn").orderBy(group)))
+    """Two numbers that sort rows so that every beginning is as even over the groups as the whole: turn, then place among the groups in turn.
+
+    Rows are dealt by ranges of group and order, and written once, so a group with most of the rows lies in many tasks. Each
+    numbers its own; what a group has in earlier ranges, a row for each, is added.
+    """
+    dealt = stored(df.repartitionByRange(F.col(group), F.col(order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    nth = F.row_number().over(Window.partitionBy("_range", group).orderBy(order))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("_range", group).agg(F.count("*").alias("_n")).select(F.col("_range").alias("_at"), F.col(group).alias("_group"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    both = dealt.withColumn("_nth", nth).join(sums, (F.col("_range") == F.col("_at")) & F.col(group).eqNullSafe(F.col("_group")))
+    turned = both.select(*df.columns, (F.col("_nth") + F.col("_before")).alias("turn"))
+    return turned.withColumn("place", F.row_number().over(Window.partitionBy("turn").orderBy(group)))
