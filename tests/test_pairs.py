@@ -67,3 +67,22 @@ def test_pairs_are_not_shuffled(spark, make):
     plan = make(spark.createDataFrame(points(1), COLUMNS))._jdf.queryExecution().optimizedPlan().toString()
     assert "inner_id" not in plan.split("FlatMapGroupsInArrow", 1)[1].split("\n", 1)[1]
     assert "FlatMapGroupsInArrow" in plan
+
+
+def test_seams_pair_no_frames(spark):
+    """Shared frames are worked out for the seams alone: points meet by track, not by frame alone."""
+    plan = m.seams(spark.createDataFrame(points(2), COLUMNS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(frame_index" in plan and all("track_id" in line for line in plan.splitlines() if "Join" in line and "frame_index" in line)
+
+
+def test_contact_frames_sum_up_contacts(spark):
+    """Frames tell what a list of all contacts tells, of whichever size parts are."""
+    rows = [(*r[:2], "person" if r[1] % 2 else "cup", *r[3:]) for r in points(3)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    want = {}
+    for r in tr.contacts(df).collect():
+        want.setdefault((r.video_id, r.frame_index), []).append((r.person_id, r.object_id, r.kind))
+    made = tr.contact_frames(df)
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.video_id, r.frame_index): (r.hits, r.people, r.things, (r.first_person, r.first_thing, r.first_kind)) for r in made.collect()}
+    assert got == {k: (len(v), sorted({x[0] for x in v}), sorted({x[1] for x in v}), min(v)) for k, v in want.items()} and got
