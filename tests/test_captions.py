@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from trackloom.functions import lexicon as lx
 from trackloom.operators import evaluation as va
 from trackloom.operators import events as ev
+from trackloom.plans.views import observations
 from trackloom.sources import tables as st
 
 #: (caption, objects, actions)
@@ -140,3 +142,11 @@ def test_written_rows_come_back(spark, tmp_path):
     df = spark.createDataFrame([(0, "a"), (1, "b")], "video_id long, name string")
     st.write_rows(df, str(tmp_path / "out"))
     assert sorted(map(tuple, spark.read.json(str(tmp_path / "out")).select("video_id", "name").collect())) == [(0, "a"), (1, "b")]
+
+
+def test_captions_are_read_once_and_by_all_cores(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    for name in ("f2_h16_object_order", "h11_events", "h13_h14_action_clauses"):
+        plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("unbox|unpack" in line for line in plan.splitlines() if line.strip(" +-:").startswith("Filter"))
+    assert observations(spark, sf_dir).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism

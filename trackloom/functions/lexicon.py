@@ -86,6 +86,7 @@ def stem_pattern(stems: tuple[str, ...]) -> str:
 
 
 BREAK_PATTERN = "|".join(BREAKS)
+CLAUSE_PATTERN = rf"(?s)^(.*?)(?:{BREAK_PATTERN}|\z)"
 LOCATIVE_PATTERN = rf"(^| )({'|'.join(LOCATIVES)}) *( ({'|'.join(DETERMINERS)}))?$"
 
 
@@ -96,29 +97,56 @@ def word_pattern(phrase: Column) -> Column:
 
 def clause_after(text: Column, position: Column) -> Column:
     """The text from a position on, up to the first word or mark that ends a clause."""
-    return F.get(F.split(F.substring(text, position, F.length(text)), BREAK_PATTERN, 2), F.lit(0))
+    return F.regexp_extract(F.substring(text, position, F.length(text)), CLAUSE_PATTERN, 1)
+
+
+def word_at(low: Column, phrase: Column) -> Column:
+    """Where a phrase stands in a text as whole words, from 1, else 0. A pattern is made only where its characters are there at all."""
+    return F.when(F.contains(low, phrase), F.regexp_instr(low, word_pattern(phrase))).otherwise(F.lit(0))
+
+
+def longest_names(objects: Column) -> Column:
+    """The names of objects in lower case, each once, the longest first."""
+    names = F.array_distinct(F.transform(F.filter(objects, lambda o: F.trim(o) != ""), lambda o: F.lower(F.trim(o))))
+    return F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
+
+
+def without(low: Column, names: Column) -> Column:
+    """A lower-case text with names replaced by as many spaces, in their order."""
+    blank = lambda t, n: F.regexp_replace(t, word_pattern(n), F.repeat(F.lit(" "), F.length(n)))
+    return F.coalesce(F.aggregate(names, low, lambda t, n: F.when(F.contains(t, n), blank(t, n)).otherwise(t)), low)
 
 
 def blanked(low: Column, objects: Column) -> Column:
     """A lower-case text with the names of objects, the longest first, replaced by as many spaces: no verb is read from a name."""
-    names = F.array_distinct(F.transform(F.filter(objects, lambda o: F.trim(o) != ""), lambda o: F.lower(F.trim(o))))
-    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
-    return F.coalesce(F.aggregate(longest, low, lambda t, n: F.regexp_replace(t, word_pattern(n), F.repeat(F.lit(" "), F.length(n)))), low)
+    return without(low, longest_names(objects))
 
 
 def verb_in(blank: Column) -> Column:
-    """(verb, at) of a lower-case text: the first group of stems that it has, promoted by the words of its clause; UNKNOWN and 0 without one."""
-    tries = F.array(*[F.struct(F.regexp_instr(blank, F.lit(stem_pattern(stems))).alias("at"), F.lit(name).alias("verb")) for stems, name in STEMS])
+    """(verb, at) of a lower-case text: the first group of stems that it has, promoted by the words of its clause; UNKNOWN and 0 without one.
+
+    Groups are tried in order up to the first, and a pattern only where a stem's characters are there at all.
+    """
+    found = None
+    for stems, name in STEMS:
+        near = F.contains(blank, F.lit(stems[0]))
+        for stem in stems[1:]:
+            near = near | F.contains(blank, F.lit(stem))
+        test, hit = near & blank.rlike(stem_pattern(stems)), F.struct(F.regexp_instr(blank, F.lit(stem_pattern(stems))).alias("at"), F.lit(name).alias("verb"))
+        found = F.when(test, hit) if found is None else found.when(test, hit)
 
     def promoted(h: Column) -> Column:
-        clause = clause_after(blank, h["at"])
-        out = None
-        for base, words, better in PROMOTIONS:
-            test = (h["verb"] == base) & clause.rlike(rf"\b({'|'.join(words)})")
-            out = F.when(test, better) if out is None else out.when(test, better)
-        return F.struct(F.coalesce(out.otherwise(h["verb"]), F.lit("UNKNOWN")).alias("verb"), F.coalesce(h["at"], F.lit(0)).alias("at"))
+        def by(clause: Column) -> Column:
+            out = None
+            for base, words, better in PROMOTIONS:
+                test = (h["verb"] == base) & clause.rlike(rf"\b({'|'.join(words)})")
+                out = F.when(test, better) if out is None else out.when(test, better)
+            return out.otherwise(h["verb"])
+
+        better = F.when(h["verb"].isin(*{p[0] for p in PROMOTIONS}), let(clause_after(blank, h["at"]), by)).otherwise(h["verb"])
+        return F.struct(F.coalesce(better, F.lit("UNKNOWN")).alias("verb"), F.coalesce(h["at"], F.lit(0)).alias("at"))
 
-    return let(F.get(F.filter(tries, lambda h: h["at"] > 0), F.lit(0)), promoted)
+    return let(found, promoted)
 
 
 def match_action(text: Column, objects: Column | None = None) -> Column:
@@ -148,22 +176,26 @@ def action_clauses(text: Column, objects: Column) -> Column:
     """
     low = F.lower(F.coalesce(text, F.lit("")))
 
-    def actions(t: Column) -> Column:
+    def read(t: Column, names: Column) -> Column:
+        return let(without(t, names), verb_in)
+
+    def actions(x: Column) -> Column:
+        t, names = x["text"], x["names"]
         longer = F.filter(clauses(t), lambda c: F.contains(c["text"], F.lit(" ")))
-        read = lambda c: let(let(blanked(c["text"], objects), verb_in), lambda m: F.struct(m["verb"].alias("verb"), (c["at"] + m["at"] - 1).alias("at")))
-        known = F.filter(F.transform(longer, read), lambda m: m["verb"] != "UNKNOWN")
+        placed = lambda c: let(read(c["text"], names), lambda m: F.struct(m["verb"].alias("verb"), (c["at"] + m["at"] - 1).alias("at")))
+        known = F.filter(F.transform(longer, placed), lambda m: m["verb"] != "UNKNOWN")
         fresh = let(known, lambda k: F.filter(k, lambda m, i: (i == 0) | (m["verb"] != F.get(k, i - 1)["verb"])))
-        return let(fresh, lambda f: F.when(F.size(f) > 1, f).otherwise(F.array(let(blanked(t, objects), verb_in))))
+        several = F.when(t.rlike(BREAK_PATTERN), let(fresh, lambda f: F.when(F.size(f) > 1, f)))
+        return F.coalesce(several, F.array(read(t, names)))
 
-    return let(low, actions)
+    return let(F.struct(low.alias("text"), longest_names(objects).alias("names")), actions)
 
 
 def mention_at(low: Column, label: Column) -> Column:
     """Where a label stands in a lower-case text as whole words, from 1: the phrase, else its last word, else 0."""
     name = F.lower(F.trim(label))
-    phrase = F.regexp_instr(low, word_pattern(name))
-    head = F.regexp_instr(low, word_pattern(F.element_at(F.split(name, " +"), -1)))
-    return F.when(F.coalesce(name, F.lit("")) == "", 0).when(phrase > 0, phrase).otherwise(F.coalesce(head, F.lit(0)))
+    found = lambda n: F.coalesce(F.nullif(word_at(low, n), F.lit(0)), word_at(low, F.substring_index(n, " ", -1)))
+    return F.when(F.coalesce(name, F.lit("")) == "", 0).otherwise(let(name, found))
 
 
 def is_locative(low: Column, at: Column) -> Column:
@@ -171,18 +203,44 @@ def is_locative(low: Column, at: Column) -> Column:
     return F.rtrim(F.substring(low, F.lit(1), at - 1)).rlike(LOCATIVE_PATTERN)
 
 
-def ordered_objects(low: Column, objects: Column, verb_at: Column) -> Column:
-    """The labels, those that the verb acts on first: not led by a preposition of place, behind the verb, near it; labels without a mention last."""
+def read_objects(low: Column, objects: Column, verb_at: Column) -> Column:
+    """(ordered, named): the labels, those that the verb acts on first, and whether any is named.
 
-    def key(label: Column, i: Column) -> Column:
-        def of(m: Column) -> Column:
-            seen = m > 0
-            distance = F.when(verb_at > 0, F.abs(m - verb_at)).otherwise(m)
-            return F.struct((~seen).alias("absent"), (seen & is_locative(low, m)).alias("place"), (seen & (verb_at > 0) & (m < verb_at)).alias("before"), F.when(seen, distance).otherwise(0).alias("far"), i.alias("nth"), label.alias("label"))
+    First come those not led by a preposition of place, behind the verb, near it; labels without a mention last.
+    """
+
+    def key(m: Column, label: Column, i: Column) -> Column:
+        seen = m > 0
+        distance = F.when(verb_at > 0, F.abs(m - verb_at)).otherwise(m)
+        return F.struct((~seen).alias("absent"), (seen & is_locative(low, m)).alias("place"), (seen & (verb_at > 0) & (m < verb_at)).alias("before"), F.when(seen, distance).otherwise(0).alias("far"), i.alias("nth"), label.alias("label"))
+
+    def of(keys: Column) -> Column:
+        return F.struct(F.transform(keys, lambda k: k["label"]).alias("ordered"), F.coalesce(~F.get(keys, F.lit(0))["absent"], F.lit(False)).alias("named"))
+
+    return let(F.array_sort(F.transform(objects, lambda label, i: let(mention_at(low, label), lambda m: key(m, label, i)))), of)
 
-        return let(mention_at(low, label), of)
 
-    return F.transform(F.array_sort(F.transform(objects, key)), lambda k: k["label"])
+def read_actions(low: Column, objects: Column) -> Column:
+    """array<struct<verb, at, ordered, named>>: the actions of a caption with what each acts on; one of several is read from its own clause.
+
+    Never empty, so explode it with explode_outer: explode() would have it worked out once more for a filter on its size.
+    """
+
+    def all_of(acts: Column) -> Column:
+        def one(a: Column) -> Column:
+            several = F.size(acts) > 1
+            own = F.when(several, clause_after(low, a["at"])).otherwise(low)
+            read = let(own, lambda text: read_objects(text, objects, F.when(several, 1).otherwise(a["at"])))
+            return let(read, lambda r: F.struct(a["verb"].alias("verb"), a["at"].alias("at"), r["ordered"].alias("ordered"), r["named"].alias("named")))
+
+        return F.transform(acts, one)
+
+    return let(action_clauses(low, objects), all_of)
+
+
+def ordered_objects(low: Column, objects: Column, verb_at: Column) -> Column:
+    """The labels, those that the verb acts on first: not led by a preposition of place, behind the verb, near it; labels without a mention last."""
+    return read_objects(low, objects, verb_at)["ordered"]
 
 
 def names_any(low: Column, objects: Column) -> Column:
@@ -198,9 +256,11 @@ def label_score(label: Column, name: Column) -> Column:
 
 def evidence(low: Column) -> Column:
     """(state, at): OPEN or CLOSED as a lower-case text says, and where; null if it says neither or both."""
-    opened, closed = F.regexp_instr(low, F.lit(OPEN_WORDS)), F.regexp_instr(low, F.lit(CLOSED_WORDS))
+    opened = F.when(F.contains(low, F.lit("open")), F.regexp_instr(low, F.lit(OPEN_WORDS))).otherwise(F.lit(0))
+    closed = F.when(F.contains(low, F.lit("closed")) | F.contains(low, F.lit("shut")), F.regexp_instr(low, F.lit(CLOSED_WORDS))).otherwise(F.lit(0))
     one = lambda at, name: F.struct(F.lit(name).alias("state"), at.alias("at"), low.alias("text"))
-    return F.when((opened > 0) & (closed == 0), one(opened, "OPEN")).when((closed > 0) & (opened == 0), one(closed, "CLOSED"))
+    of = lambda x: F.when((x["opened"] > 0) & (x["closed"] == 0), one(x["opened"], "OPEN")).when((x["closed"] > 0) & (x["opened"] == 0), one(x["closed"], "CLOSED"))
+    return let(F.struct(opened.alias("opened"), closed.alias("closed")), of)
 
 
 def stated(facts: Column, change: Column) -> Column:

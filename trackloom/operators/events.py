@@ -59,31 +59,30 @@ def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | Non
     """The events of the successful observations, one for each action that a caption names.
 
     tracks: (video_id, segment_id, track_id, class_name, n_points, surface), changes: (video_id, segment_id,
-    sec). The tracks of a segment, few by nature, travel as one array. A caption's only action has its times, or
+    sec). The tracks of a segment, few by nature, travel as one array. Captions are read before they meet them, in the
+    tasks that observations come in. A caption's only action has its times, or
     the segment's; several actions share the segment, cut at its changes if there are enough. An
     action of several acts on what its own clause names, or on nothing known.
     """
     fields = F.struct(F.col("track_id").cast("long").alias("track_id"), "class_name", "n_points", "surface")
     held = tracks.groupBy(*SEGMENT).agg(F.array_sort(F.collect_set(fields)).alias("_tracks"))
-    o = observations.where(F.col("status") == "SUCCESS").join(held, SEGMENT, "left")
+    low = F.lower(F.coalesce("raw_action", F.lit("")))
+    said = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("visible_facts", "state_change", "inference", "uncertainty") if c in observations.columns]))
+    read = observations.where(F.col("status") == "SUCCESS").withColumns({"_acts": lx.read_actions(low, F.col("objects")), "_stated": lx.stated(F.col("visible_facts"), F.col("state_change")), "_told": said})
+    o = read.join(held, SEGMENT, "left")
     if changes is None:
         o = o.withColumn("_secs", F.array().cast("array<double>"))
     else:
         o = o.join(changes.groupBy(*SEGMENT).agg(F.collect_set("sec").alias("_secs")), SEGMENT, "left")
-    low = F.lower(F.coalesce("raw_action", F.lit("")))
-    o = o.withColumns({"_low": low, "_acts": lx.action_clauses(F.col("raw_action"), F.col("objects"))})
     cut = clause_windows(F.col("_secs"), F.col("seg_start"), F.col("seg_end"), F.size("_acts"))
-    o = o.withColumns({"_n": F.size("_acts"), "_cut": cut}).select("*", F.posexplode("_acts").alias("clause", "_act"))
-    several, at = F.col("_n") > 1, F.col("_act.at")
-    own = F.when(several, lx.clause_after(F.col("_low"), at)).otherwise(F.col("_low"))
-    o = o.withColumns({"_own": own, "_at": F.when(several, 1).otherwise(at), "_cut": F.get("_cut", F.col("clause"))})
-    bound = lx.let(lx.ordered_objects(F.col("_own"), F.col("objects"), F.col("_at")), lambda names: object_of(names, F.col("_tracks")))
-    o = o.withColumn("_bound", F.when(~several | lx.names_any(F.col("_own"), F.col("objects")), bound))
+    o = o.withColumns({"_n": F.size("_acts"), "_cut": cut}).select("*", F.posexplode_outer("_acts").alias("clause", "_act"))
+    several = F.col("_n") > 1
+    bound = object_of(F.col("_act.ordered"), F.col("_tracks"))
+    o = o.withColumns({"_cut": F.get("_cut", F.col("clause")), "_bound": F.when(~several | F.col("_act.named"), bound)})
     start = F.when(several, F.coalesce("_cut.from_sec", "seg_start")).otherwise(F.coalesce("start_sec", "seg_start"))
     end = F.when(several, F.coalesce("_cut.to_sec", "seg_end")).otherwise(F.coalesce("end_sec", "seg_end"))
     timing = F.when(several, "SEGMENT").otherwise(lx.timing(F.col("start_sec"), F.col("end_sec"), F.col("seg_start"), F.col("seg_end")))
     source = F.when(several & F.col("_cut").isNotNull(), "CHANGE_POINT").when(several | (timing != "EXACT"), "SEGMENT").otherwise("VLM")
-    said = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("visible_facts", "state_change", "inference", "uncertainty") if c in observations.columns]))
     return o.select(
         *SEGMENT,
         "observation_id",
@@ -103,8 +102,8 @@ def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | Non
         source.alias("timing_source"),
         "confidence",
         "objects",
-        lx.stated(F.col("visible_facts"), F.col("state_change")).alias("stated"),
-        said.alias("said"),
+        F.col("_stated").alias("stated"),
+        F.col("_told").alias("said"),
         "raw_action",
     )
 

@@ -150,7 +150,7 @@ def h11_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {ACTIONS_SQL} select observation_id, k clause, n n_clauses, verb, pos::bigint as verb_at from act")
 def h13_h14_action_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = observations(spark, sf_dir).where("status = 'SUCCESS'").withColumn("acts", lx.action_clauses(F.col("raw_action"), F.col("objects")))
-    return o.select("observation_id", F.size("acts").cast("long").alias("n_clauses"), F.posexplode("acts").alias("k", "a")).select("observation_id", F.col("k").cast("long").alias("clause"), "n_clauses", "a.verb", F.col("a.at").cast("long").alias("verb_at"))
+    return o.select("observation_id", F.size("acts").cast("long").alias("n_clauses"), F.posexplode_outer("acts").alias("k", "a")).select("observation_id", F.col("k").cast("long").alias("clause"), "n_clauses", "a.verb", F.col("a.at").cast("long").alias("verb_at"))
 
 
 @query(f"with {ACTIONS_SQL} select observation_id, bl as blanked from c3 where i = 0")
@@ -161,10 +161,8 @@ def h9_blanked_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {EVENTS_SQL} select observation_id, k clause, string_agg(label, ' > ' order by rk) ordered, bool_or(named) named from b3 group by all")
 def f2_h16_object_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = observations(spark, sf_dir).where("status = 'SUCCESS' and size(objects) > 0").withColumn("low", F.lower(F.coalesce("raw_action", F.lit(""))))
-    o = o.withColumn("acts", lx.action_clauses(F.col("raw_action"), F.col("objects"))).select("*", F.size("acts").alias("n"), F.posexplode("acts").alias("k", "a"))
-    own = F.when(F.col("n") > 1, lx.clause_after(F.col("low"), F.col("a.at"))).otherwise(F.col("low"))
-    o = o.withColumns({"own": own, "at": F.when(F.col("n") > 1, 1).otherwise(F.col("a.at"))})
-    return o.select("observation_id", F.col("k").cast("long").alias("clause"), F.array_join(lx.ordered_objects(F.col("own"), F.col("objects"), F.col("at")), " > ").alias("ordered"), lx.names_any(F.col("own"), F.col("objects")).alias("named"))
+    found = o.select("observation_id", F.posexplode_outer(lx.read_actions(F.col("low"), F.col("objects"))).alias("k", "a"))
+    return found.select("observation_id", F.col("k").cast("long").alias("clause"), F.array_join("a.ordered", " > ").alias("ordered"), "a.named")
 
 
 @query(f"with {EVENTS_SQL} select segment_id, actor_id, n_people from seg")

@@ -33,9 +33,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scanned table dealt evenly to all cores if it has fewer splits than there are cores; for small files before costly expressions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt evenly to four tasks a core, before costly expressions: files may be small or few, and tasks over slim rows are merged by their bytes."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def write_rows(df: DataFrame, path: str, form: str = "json", by: str | None = "video_id") -> None:
