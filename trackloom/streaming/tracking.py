@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from trackloom.operators.sequential import BOX, POINT_COLUMNS, TRACK_SCHEMA, Follower, Mover, patience_of
+from trackloom.operators.sequential import BOX, POINT_COLUMNS, TRACK, TRACK_SCHEMA, Follower, patience_of, together
 from trackloom.sources.tables import shared_dir
 
 #: What the stream gives: points of tracks, and detections that came too late, with det_id and without a track.
@@ -35,20 +35,20 @@ class Tracking(StatefulProcessor):
         follower = Follower(*self.options)
         if self.clock.exists():
             follower.last, follower.count = self.clock.get()
-        for (number,), (label, hits, misses, place, speed, cov) in self.tracks.iterator():
-            t = Mover(number, np.zeros(4), label)
-            t.hits, t.misses, t.place, t.speed, t.cov = hits, misses, np.array(place), np.array(speed), np.array(cov).reshape(4, 2, 2)
-            follower.live.append(t)
-        follower.live.sort(key=lambda t: t.number)
+        held = sorted((number, *rest) for (number,), rest in self.tracks.iterator())
+        for k, column in zip(TRACK, zip(*held, strict=True), strict=False):
+            shape, kind = TRACK[k]
+            follower.live[k] = np.array([*column], kind).reshape(len(held), *shape)
         return follower
 
     def save(self, follower: Follower) -> None:
-        alive = {t.number for t in follower.live}
+        live = follower.live
+        alive = set(live["number"].tolist())
         for (number,) in list(self.tracks.keys()):
             if number not in alive:
                 self.tracks.removeKey((number,))
-        for t in follower.live:
-            self.tracks.updateValue((t.number,), (t.label, t.hits, t.misses, t.place.tolist(), t.speed.tolist(), t.cov.ravel().tolist()))
+        for number, *rest in zip(*[live[k].reshape(len(alive), -1).tolist() if live[k].ndim > 1 else live[k].tolist() for k in TRACK], strict=True):
+            self.tracks.updateValue((number,), tuple(rest))
         self.clock.update((follower.last, follower.count))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
@@ -56,13 +56,13 @@ class Tracking(StatefulProcessor):
         late = all_rows[all_rows["frame_index"] <= follower.last] if follower.last is not None else all_rows.iloc[:0]
         fresh = all_rows.drop(late.index) if len(late) == 0 else all_rows[all_rows["frame_index"] > follower.last]
         if len(fresh):
-            done = pd.DataFrame(follower.follow(fresh), columns=POINT_COLUMNS).drop(columns="hits")
+            for done in together(follower.follow(fresh)):
+                yield told(done[POINT_COLUMNS[:-1]], key[0], False)
             self.save(follower)
             if self.idle_ms is not None:
                 for old in list(self.handle.listTimers()):
                     self.handle.deleteTimer(old)
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-            yield told(done, key[0], False)
         if len(late):
             yield told(late[["class_name", "frame_index", *BOX, "conf", "det_id"]], key[0], True)
 
