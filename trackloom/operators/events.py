@@ -360,9 +360,10 @@ def preview(whole: DataFrame, events: DataFrame, links: DataFrame, points: DataF
 def interleave(df: DataFrame, group: str, order: str) -> DataFrame:
     """Two numbers that sort rows so that every beginning is as even over the groups as the whole: turn, then place among the groups in turn.
 
-    Rows are dealt by ranges of group and order, and written once, so a group with most of the rows lies in many tasks. Each
+    Rows are written once before they are dealt by ranges of group and order, as finding the ranges reads them too, and once more when dealt, so a group with most of the rows lies in many tasks. Each
     numbers its own; what a group has in earlier ranges, a row for each, is added.
     """
+    df = stored(df, "rows")
     dealt = stored(df.repartitionByRange(F.col(group), F.col(order)).withColumn("_range", F.spark_partition_id()), "ranges")
     nth = F.row_number().over(Window.partitionBy("_range", group).orderBy(order))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
