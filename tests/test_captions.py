@@ -150,3 +150,9 @@ def test_captions_are_read_once_and_by_all_cores(spark):
         plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert not any("unbox|unpack" in line for line in plan.splitlines() if line.strip(" +-:").startswith("Filter"))
     assert observations(spark, sf_dir).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_costly_parts_are_worked_out_once(spark):
+    plan = lambda c: spark.range(1).selectExpr("'Open' t", "array(1D) c", "cast(id as int) n").select(c.alias("x"))._jdf.queryExecution().analyzed().toString().splitlines()[0]
+    assert plan(ev.clause_windows(F.col("c"), F.lit(0.0), F.lit(2.0), F.col("n"))).count("array_distinct(") == 1
+    assert plan(lx.evidence(F.lower("t"))).count("lower(") == 1

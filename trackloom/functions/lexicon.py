@@ -108,7 +108,7 @@ def word_at(low: Column, phrase: Column) -> Column:
 def longest_names(objects: Column) -> Column:
     """The names of objects in lower case, each once, the longest first."""
     names = F.array_distinct(F.transform(F.filter(objects, lambda o: F.trim(o) != ""), lambda o: F.lower(F.trim(o))))
-    return F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
+    return F.transform(F.sort_array(F.transform(names, lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
 
 
 def without(low: Column, names: Column) -> Column:
@@ -193,9 +193,14 @@ def action_clauses(text: Column, objects: Column) -> Column:
 
 def mention_at(low: Column, label: Column) -> Column:
     """Where a label stands in a lower-case text as whole words, from 1: the phrase, else its last word, else 0."""
-    name = F.lower(F.trim(label))
-    found = lambda n: F.coalesce(F.nullif(word_at(low, n), F.lit(0)), word_at(low, F.substring_index(n, " ", -1)))
-    return F.when(F.coalesce(name, F.lit("")) == "", 0).otherwise(let(name, found))
+    return let(F.lower(F.trim(label)), lambda name: name_at(low, name))
+
+
+def name_at(low: Column, name: Column) -> Column:
+    """mention_at() of a label in lower case and trimmed; its characters hold those of its last word, so without those it is not looked for."""
+    head = F.substring_index(name, " ", -1)
+    found = F.when(F.contains(low, head), F.coalesce(F.nullif(word_at(low, name), F.lit(0)), word_at(low, head))).otherwise(F.lit(0))
+    return F.when(F.coalesce(name, F.lit("")) == "", 0).otherwise(found)
 
 
 def is_locative(low: Column, at: Column) -> Column:
@@ -203,8 +208,13 @@ def is_locative(low: Column, at: Column) -> Column:
     return F.rtrim(F.substring(low, F.lit(1), at - 1)).rlike(LOCATIVE_PATTERN)
 
 
-def read_objects(low: Column, objects: Column, verb_at: Column) -> Column:
-    """(ordered, named): the labels, those that the verb acts on first, and whether any is named.
+def plain_names(objects: Column) -> Column:
+    """array<struct<label, name>>: the names of objects as they stand, and in lower case and trimmed."""
+    return F.transform(objects, lambda o: F.struct(o.alias("label"), F.lower(F.trim(o)).alias("name")))
+
+
+def read_objects(low: Column, plain: Column, verb_at: Column) -> Column:
+    """(ordered, named): the labels of plain_names(), those that the verb acts on first, and whether any is named.
 
     First come those not led by a preposition of place, behind the verb, near it; labels without a mention last.
     """
@@ -217,7 +227,7 @@ def read_objects(low: Column, objects: Column, verb_at: Column) -> Column:
     def of(keys: Column) -> Column:
         return F.struct(F.transform(keys, lambda k: k["label"]).alias("ordered"), F.coalesce(~F.get(keys, F.lit(0))["absent"], F.lit(False)).alias("named"))
 
-    return let(F.array_sort(F.transform(objects, lambda label, i: let(mention_at(low, label), lambda m: key(m, label, i)))), of)
+    return let(F.sort_array(F.transform(plain, lambda x, i: let(name_at(low, x["name"]), lambda m: key(m, x["label"], i)))), of)
 
 
 def read_actions(low: Column, objects: Column) -> Column:
@@ -226,21 +236,21 @@ def read_actions(low: Column, objects: Column) -> Column:
     Never empty, so explode it with explode_outer: explode() would have it worked out once more for a filter on its size.
     """
 
-    def all_of(acts: Column) -> Column:
+    def all_of(x: Column) -> Column:
         def one(a: Column) -> Column:
-            several = F.size(acts) > 1
-            own = F.when(several, clause_after(low, a["at"])).otherwise(low)
-            read = let(own, lambda text: read_objects(text, objects, F.when(several, 1).otherwise(a["at"])))
+            several = F.size(x["acts"]) > 1
+            own = F.when(several, clause_after(x["low"], a["at"])).otherwise(x["low"])
+            read = let(own, lambda text: read_objects(text, x["plain"], F.when(several, 1).otherwise(a["at"])))
             return let(read, lambda r: F.struct(a["verb"].alias("verb"), a["at"].alias("at"), r["ordered"].alias("ordered"), r["named"].alias("named")))
 
-        return F.transform(acts, one)
+        return F.transform(x["acts"], one)
 
-    return let(action_clauses(low, objects), all_of)
+    return let(F.struct(action_clauses(low, objects).alias("acts"), low.alias("low"), plain_names(objects).alias("plain")), all_of)
 
 
 def ordered_objects(low: Column, objects: Column, verb_at: Column) -> Column:
     """The labels, those that the verb acts on first: not led by a preposition of place, behind the verb, near it; labels without a mention last."""
-    return read_objects(low, objects, verb_at)["ordered"]
+    return read_objects(low, plain_names(objects), verb_at)["ordered"]
 
 
 def names_any(low: Column, objects: Column) -> Column:
@@ -249,18 +259,26 @@ def names_any(low: Column, objects: Column) -> Column:
 
 def label_score(label: Column, name: Column) -> Column:
     """3 for equal labels, 2 if the name stands in the label, 1 the other way round, else 0; empty ones match nothing."""
-    x, y = F.lower(F.trim(label)), F.lower(F.trim(name))
+    return plain_score(F.lower(F.trim(label)), F.lower(F.trim(name)))
+
+
+def plain_score(x: Column, y: Column) -> Column:
+    """label_score() of a label and a name in lower case and trimmed."""
     both = (F.coalesce(x, F.lit("")) != "") & (F.coalesce(y, F.lit("")) != "")
     return F.when(~both, 0).when(x == y, 3).when(F.contains(x, y), 2).when(F.contains(y, x), 1).otherwise(0)
 
 
 def evidence(low: Column) -> Column:
     """(state, at): OPEN or CLOSED as a lower-case text says, and where; null if it says neither or both."""
-    opened = F.when(F.contains(low, F.lit("open")), F.regexp_instr(low, F.lit(OPEN_WORDS))).otherwise(F.lit(0))
-    closed = F.when(F.contains(low, F.lit("closed")) | F.contains(low, F.lit("shut")), F.regexp_instr(low, F.lit(CLOSED_WORDS))).otherwise(F.lit(0))
-    one = lambda at, name: F.struct(F.lit(name).alias("state"), at.alias("at"), low.alias("text"))
-    of = lambda x: F.when((x["opened"] > 0) & (x["closed"] == 0), one(x["opened"], "OPEN")).when((x["closed"] > 0) & (x["opened"] == 0), one(x["closed"], "CLOSED"))
-    return let(F.struct(opened.alias("opened"), closed.alias("closed")), of)
+
+    def told(t: Column) -> Column:
+        opened = F.when(F.contains(t, F.lit("open")), F.regexp_instr(t, F.lit(OPEN_WORDS))).otherwise(F.lit(0))
+        closed = F.when(F.contains(t, F.lit("closed")) | F.contains(t, F.lit("shut")), F.regexp_instr(t, F.lit(CLOSED_WORDS))).otherwise(F.lit(0))
+        one = lambda at, name: F.struct(F.lit(name).alias("state"), at.alias("at"), t.alias("text"))
+        of = lambda x: F.when((x["opened"] > 0) & (x["closed"] == 0), one(x["opened"], "OPEN")).when((x["closed"] > 0) & (x["opened"] == 0), one(x["closed"], "CLOSED"))
+        return let(F.struct(opened.alias("opened"), closed.alias("closed")), of)
+
+    return let(low, told)
 
 
 def stated(facts: Column, change: Column) -> Column:

@@ -29,43 +29,47 @@ def actor_of(tracks: Column) -> Column:
     return -best["col2"]
 
 
-def object_of(ordered: Column, tracks: Column) -> Column:
-    """(track, label): the first label that names a track, and of its tracks the best named, then no marking on another, then that with the most points."""
+def things_of(tracks: Column) -> Column:
+    """array<struct<track_id, name, n_points, surface>>: the tracks that may be an event's object, their classes in lower case and trimmed."""
     things = F.filter(tracks, lambda t: ~of_class(PERSON + BACKGROUND)(t))
-    named = lambda label, i: F.transform(
-        F.filter(things, lambda t: lx.label_score(label, t["class_name"]) > 0),
-        lambda t: F.struct(i.alias("nth"), (-lx.label_score(label, t["class_name"])).alias("score"), t["surface"].alias("surface"), (-t["n_points"]).alias("n"), t["track_id"].alias("track"), label.alias("label")),
-    )
-    best = F.array_min(F.flatten(F.transform(ordered, named)))
+    return F.transform(things, lambda t: F.struct(t["track_id"].alias("track_id"), F.lower(F.trim(t["class_name"])).alias("name"), t["n_points"].alias("n_points"), t["surface"].alias("surface")))
+
+
+def object_of(ordered: Column, things: Column) -> Column:
+    """(track, label): the first label that names one of things_of(), and of its tracks the best named, then no marking on another, then that with the most points."""
+
+    def scored(label: Column, i: Column) -> Column:
+        one = lambda name, t: F.struct(i.alias("nth"), (-lx.plain_score(name, t["name"])).alias("score"), t["surface"].alias("surface"), (-t["n_points"]).alias("n"), t["track_id"].alias("track"), label.alias("label"))
+        return F.filter(lx.let(F.lower(F.trim(label)), lambda name: F.transform(things, lambda t: one(name, t))), lambda s: s["score"] < 0)
+
+    best = F.when(F.size(things) > 0, F.array_min(F.flatten(F.transform(ordered, scored))))
     return lx.let(best, lambda b: F.struct(b["track"].alias("track"), F.coalesce(b["label"], F.get(ordered, F.lit(0))).alias("label")))
 
 
 def identity_of(track: Column, label: Column, objects: Column, tracks: Column) -> Column:
-    """(track, label, status) of what an event's state belongs to: its own track, else the one track whose class contains the first object's name."""
+    """(track, label, status) of what an event's state belongs to: its own track, else the one of tracks (track_id, low) whose class in lower case contains the first object's name."""
     first = F.get(objects, F.lit(0))
-    fits = F.filter(tracks, lambda t: F.contains(F.lower(t["class_name"]), F.lower(first)))
+    fitting = lx.let(F.lower(first), lambda name: F.filter(tracks, lambda t: F.contains(t["low"], name)))
     made = lambda t, name, status: F.struct(t.cast("long").alias("track"), name.alias("label"), F.lit(status).alias("status"))
     none = F.lit(None)
-    return (
-        F.when(track.isNotNull(), made(track, F.coalesce(label, first), "RESOLVED"))
-        .when(first.isNull(), made(none, none.cast("string"), "UNRESOLVED"))
-        .when(F.size(fits) == 1, made(F.get(fits, F.lit(0))["track_id"], first, "RESOLVED"))
-        .when(F.size(fits) > 1, made(none, first, "AMBIGUOUS"))
-        .otherwise(made(none, first, "UNRESOLVED"))
-    )
+    guessed = lambda fits: F.when(F.size(fits) == 1, made(F.get(fits, F.lit(0))["track_id"], first, "RESOLVED")).when(F.size(fits) > 1, made(none, first, "AMBIGUOUS")).otherwise(made(none, first, "UNRESOLVED"))
+    return F.when(track.isNotNull(), made(track, F.coalesce(label, first), "RESOLVED")).when(first.isNull(), made(none, none.cast("string"), "UNRESOLVED")).otherwise(lx.let(fitting, guessed))
 
 
 def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """The events of the successful observations, one for each action that a caption names.
 
     tracks: (video_id, segment_id, track_id, class_name, n_points, surface), changes: (video_id, segment_id,
-    sec). The tracks of a segment, few by nature, travel as one array. Captions are read before they meet them, in the
+    sec). The tracks of a segment, few by nature, travel as one array, and what they alone tell is worked out once for each segment. Captions are read before they meet them, in the
     tasks that observations come in. A caption's only action has its times, or
     the segment's; several actions share the segment, cut at its changes if there are enough. An
     action of several acts on what its own clause names, or on nothing known.
     """
     fields = F.struct(F.col("track_id").cast("long").alias("track_id"), "class_name", "n_points", "surface")
     held = tracks.groupBy(*SEGMENT).agg(F.array_sort(F.collect_set(fields)).alias("_tracks"))
+    people = F.size(F.filter("_tracks", lambda t: t["class_name"] == "person"))
+    named = F.transform("_tracks", lambda t: F.struct(t["track_id"].alias("track_id"), F.lower(t["class_name"]).alias("low")))
+    held = held.select(*SEGMENT, actor_of(F.col("_tracks")).alias("_actor"), people.alias("_people"), things_of(F.col("_tracks")).alias("_things"), named.alias("_named"))
     low = F.lower(F.coalesce("raw_action", F.lit("")))
     said = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("visible_facts", "state_change", "inference", "uncertainty") if c in observations.columns]))
     read = observations.where(F.col("status") == "SUCCESS").withColumns({"_acts": lx.read_actions(low, F.col("objects")), "_stated": lx.stated(F.col("visible_facts"), F.col("state_change")), "_told": said})
@@ -77,7 +81,7 @@ def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | Non
     cut = clause_windows(F.col("_secs"), F.col("seg_start"), F.col("seg_end"), F.size("_acts"))
     o = o.withColumns({"_n": F.size("_acts"), "_cut": cut}).select("*", F.posexplode_outer("_acts").alias("clause", "_act"))
     several = F.col("_n") > 1
-    bound = object_of(F.col("_act.ordered"), F.col("_tracks"))
+    bound = object_of(F.col("_act.ordered"), F.col("_things"))
     o = o.withColumns({"_cut": F.get("_cut", F.col("clause")), "_bound": F.when(~several | F.col("_act.named"), bound)})
     start = F.when(several, F.coalesce("_cut.from_sec", "seg_start")).otherwise(F.coalesce("start_sec", "seg_start"))
     end = F.when(several, F.coalesce("_cut.to_sec", "seg_end")).otherwise(F.coalesce("end_sec", "seg_end"))
@@ -92,10 +96,10 @@ def extract(observations: DataFrame, tracks: DataFrame, changes: DataFrame | Non
         F.coalesce(lx.mapped(lx.DIRECTIONS, F.col("_act.verb")), F.lit("NONE")).alias("direction"),
         F.col("_bound.label").alias("object_label"),
         "actor",
-        actor_of(F.col("_tracks")).alias("actor_id"),
+        F.col("_actor").alias("actor_id"),
         F.col("_bound.track").alias("object_id"),
-        F.coalesce(F.size(F.filter("_tracks", lambda t: t["class_name"] == "person")), F.lit(0)).alias("n_people"),
-        identity_of(F.col("_bound.track"), F.col("_bound.label"), F.col("objects"), F.col("_tracks")).alias("identity"),
+        F.coalesce("_people", F.lit(0)).alias("n_people"),
+        identity_of(F.col("_bound.track"), F.col("_bound.label"), F.col("objects"), F.col("_named")).alias("identity"),
         start.alias("start_sec"),
         end.alias("end_sec"),
         timing.alias("timing"),

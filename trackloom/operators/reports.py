@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackloom.functions.lexicon import let
+
 
 def field_histogram(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, value, n, share) for every value of the fields, as text; nulls have a row of their own."""
@@ -99,12 +101,16 @@ def clause_windows(changes: Column, start: Column, end: Column, n: Column) -> Co
 
     Null for a single clause, or with fewer than n - 1 such changes.
     """
-    inside = F.array_sort(F.array_distinct(F.filter(changes, lambda c: (c > start) & (c < end))))
-    k = F.size(inside)
-    cuts = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)).cast("int")), lambda i: F.get(inside, F.floor(i * k / n).cast("int")))
-    edges = F.concat(F.array(start), cuts, F.array(end))
-    spans = F.transform(F.sequence(F.lit(0), F.size(edges) - 2), lambda i: F.struct(F.get(edges, i).alias("from_sec"), F.get(edges, i + 1).alias("to_sec")))
-    return F.when((n > 1) & (k >= n - 1), spans)
+
+    def spans(edges: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(edges) - 2), lambda i: F.struct(F.get(edges, i).alias("from_sec"), F.get(edges, i + 1).alias("to_sec")))
+
+    def cut(inside: Column) -> Column:
+        k = F.size(inside)
+        cuts = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)).cast("int")), lambda i: F.get(inside, F.floor(i * k / n).cast("int")))
+        return F.when(k >= n - 1, let(F.concat(F.array(start), cuts, F.array(end)), spans))
+
+    return F.when(n > 1, let(F.array_sort(F.array_distinct(F.filter(changes, lambda c: (c > start) & (c < end)))), cut))
 
 
 def resolved_label(span: Column, labels: Sequence[str]) -> Column:
