@@ -10,7 +10,7 @@ from trackloom.operators import events as ev
 from trackloom.operators import media as m
 from trackloom.operators import sequential as sq
 from trackloom.operators import tracks as tr
-from trackloom.plans.catalog import _SEGMENTS, NESTED_PAIRS_SQL, _area, _both, _iou, query, rounded
+from trackloom.plans.catalog import _SEGMENTS, NESTED_PAIRS_SQL, _area, _both, _iou, query, rounded, to_places
 from trackloom.plans.catalog_events import EVENTS_SQL, STATES_SQL, events, kept_events
 from trackloom.plans.catalog_sequential import _LABELS
 from trackloom.plans.views import DETECTIONS_SQL, NESTED_SQL, OBSERVATIONS_SQL, POINTS_SQL, detections, nested, observations, segment_changes, segment_tracks, table, track_points
@@ -238,7 +238,7 @@ def sequences(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query(f'with {_OFFSETS} select off::bigint as "offset", round(score, 5) score from ofs')
 def d23_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     short, long = sequences(spark, sf_dir)
-    return m.offsets(short, long).withColumn("score", F.round("score", 5))
+    return m.offsets(short, long).withColumn("score", to_places("score", 5))
 
 
 @query(f"""with recursive {_OFFSETS}, p as (select 1 k, [arg_min(off, (score, off))] picked, min(score) score from ofs union all
@@ -246,7 +246,7 @@ def d23_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 select k::bigint "rank", picked[-1]::bigint "offset", round(score, 5) score, (select score from p where k = 2) < 2 * (select score from p where k = 1) ambiguous from p""")
 def d23_best_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     short, long = sequences(spark, sf_dir)
-    return m.best_offsets(m.offsets(short, long), _SHORT // 2).withColumn("score", F.round("score", 5))
+    return m.best_offsets(m.offsets(short, long), _SHORT // 2).withColumn("score", to_places("score", 5))
 
 
 @query(f"""with {EVENTS_SQL}, l as (select *, case when lag(action) over w = action and lag(object_id) over w is not distinct from object_id then 0 else 1 end c from ev window w as (partition by video_id order by start_sec, observation_id, clause)),

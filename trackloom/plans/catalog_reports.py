@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.operators import reports
-from trackloom.plans.catalog import query
+from trackloom.plans.catalog import query, to_places
 from trackloom.plans.views import OBSERVATIONS_SQL, observations, segment_changes, table
 from trackloom.sources import answers
 
@@ -19,7 +19,7 @@ union all select 'visible_facts', visible_facts from obs union all select 'actor
 select field, value, count(*) n, round(count(*) / sum(count(*)) over (partition by field), 6) share from l group by 1, 2""")
 def d19_field_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = reports.field_histogram(observations(spark, sf_dir), ("status", "raw_action", "visible_facts", "actor"))
-    return found.withColumn("share", F.round("share", 6))
+    return found.withColumn("share", to_places("share", 6))
 
 
 @query(f"""with c as (select event_type, count(*) c from events group by 1),
