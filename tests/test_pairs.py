@@ -3,7 +3,10 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from trackloom.operators import media as m
 from trackloom.operators import pairs as pr
@@ -69,6 +72,36 @@ def test_pairs_are_not_shuffled(spark, make):
     assert "FlatMapGroupsInArrow" in plan
 
 
+@pytest.mark.parametrize("make", [tr.shared_frames, tr.pose_spread, tr.enclosure_changes, m.enclosed_share])
+def test_groups_of_a_video_are_dealt_to_many_tasks(spark, monkeypatch, make):
+    """However few bytes they have: their work is not by bytes, and no join leaves them where their video is."""
+    monkeypatch.setattr(pr, "BLOCK_POINTS", 40)
+    df = spark.createDataFrame([r for r in points(4) if r[0] == 0], COLUMNS)
+    assert make(df).select(F.spark_partition_id()).distinct().count() > 2
+
+
+@pytest.mark.parametrize(("pairs", "met", "strip"), [(1, 1, 1), (20, 9, 60), (1 << 16, 1 << 16, 1 << 25)])
+def test_meetings_in_parts(monkeypatch, pairs, met, strip):
+    """However many are told at a time, all meetings are told once, by track and frame, with what is_inside tells of them; frames and tracks may be on one side alone."""
+    monkeypatch.setattr(pr, "PAIRS", pairs)
+    monkeypatch.setattr(pr, "MEETINGS", met)
+    monkeypatch.setattr(pr, "STRIP", strip)
+    rnd = random.Random(5)
+    rows = [(r[1], r[3], *r[5:9]) for r in points(5) if r[0] == 0]
+    rows += [(99, f, *[v * (1 + rnd.choice((0, 1e-13, 1e-10, 1e-8))) for v in r[2:]]) for f, r in enumerate(rows[:30])] + [(77, 1000, 0.0, 0.0, 1.0, 1.0), (78, 5, 3.0, 3.0, 3.0, 9.0)]
+    rows = [(*r, r[0] != 4, r[0] % 5 != 0) for r in rows]
+    table = pa.table(dict(zip(("track_id", "frame_index", *pr.BOX, "_inner", "_outer"), map(list, zip(*rows, strict=True)), strict=True)))
+    a, b = pr.Points(table, "_inner", ["track_id", "frame_index"]), pr.Points(table, "_outer", ["frame_index", "track_id"])
+    got, parts = [], 0
+    for part in pr.meetings(a, b, within=True, same=True):
+        inner, outer = part.ids(part.pair)
+        got += zip(inner.tolist(), part.frames(np.arange(len(part.pair))).tolist(), outer.tolist(), part.inside.tolist(), strict=True)
+        parts += 1
+    box = lambda r: [np.array([v]) for v in r[2:6]]
+    want = [(i[0], i[1], o[0], bool(pr.is_inside(box(i), box(o))[0])) for i in rows for o in rows if i[6] and o[7] and i[1] == o[1]]
+    assert got == sorted(want) and any(w[3] for w in want) and (parts == 1) == (strip > 60)
+
+
 def test_seams_pair_no_frames(spark):
     """Shared frames are worked out for the seams alone: points meet by track, not by frame alone."""
     plan = m.seams(spark.createDataFrame(points(2), COLUMNS))._jdf.queryExecution().optimizedPlan().toString()
